@@ -1,0 +1,75 @@
+"""DuckDB SQL equivalents of the registered queries (the correctness oracle).
+
+The same fixture views as ``ledgerlens.sources.tables`` are spelled here as
+CTEs over the raw test tables; every query then restates the operator in SQL.
+"""
+
+from __future__ import annotations
+
+ORDER_LINES = """order_lines AS (
+  SELECT printf('ORD-%07d', l_orderkey) AS order_id,
+         l_shipdate AS order_date,
+         l_returnflag || l_linestatus AS product_category,
+         CAST(trunc(l_quantity) AS INTEGER) AS quantity,
+         round(l_extendedprice / l_quantity, 2) AS unit_price,
+         'R' || CAST(l_suppkey % 5 AS VARCHAR) AS delivery_region,
+         l_partkey % 4 = 0 AS is_express,
+         CASE WHEN (l_orderkey + l_suppkey) % 20 = 7 THEN NULL
+              ELSE round(1.0 + l_discount * 40.0, 1) END AS customer_rating,
+         l_extendedprice AS total_amount
+  FROM lineitem)"""
+
+IMPUTED = """fill AS (
+  SELECT round(avg(CASE WHEN isnan(customer_rating) THEN NULL ELSE customer_rating END), 1) AS v
+  FROM order_lines),
+imputed AS (
+  SELECT * REPLACE (coalesce(CASE WHEN isnan(customer_rating) THEN NULL ELSE customer_rating END,
+                             (SELECT v FROM fill)) AS customer_rating)
+  FROM order_lines)"""
+
+RUN_LOG = """run_log AS (
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS run_id,
+         CASE user_id % 5 WHEN 0 THEN '1dn_base' WHEN 1 THEN '1dn_opt'
+              WHEN 2 THEN '3dn_base' WHEN 3 THEN '3dn_opt' ELSE 'zzz' END AS config,
+         event_type AS step,
+         CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3
+              WHEN 'purchase' THEN 4 WHEN 'error' THEN 5 ELSE 99 END AS INTEGER) AS step_pos,
+         CAST(sum(CAST(round_even(value * 100, 0) AS BIGINT)) AS DOUBLE) / 100 AS secs
+  FROM events GROUP BY user_id, event_type)"""
+
+
+def money(expr: str) -> str:
+    """Exact cent sum, same arithmetic as ``functions.money.money_sum``."""
+    return f"CAST(sum(CAST(round_even(({expr}) * 100, 0) AS BIGINT)) AS DOUBLE) / 100"
+
+
+def with_views(*views: str) -> str:
+    return "WITH " + ",\n".join(views) + "\n"
+
+
+def category_summary_sql(source: str = "imputed") -> str:
+    return f"""SELECT product_category,
+       count(order_id) AS total_orders,
+       {money('total_amount')} AS revenue,
+       round(avg(customer_rating), 6) AS avg_rating,
+       round(avg(quantity), 6) AS avg_quantity
+FROM {source} GROUP BY product_category
+ORDER BY revenue DESC NULLS LAST, product_category"""
+
+
+def express_by_region_sql(threshold: float, source: str = "order_lines") -> str:
+    return f"""SELECT delivery_region,
+       count(order_id) AS express_orders,
+       {money('total_amount')} AS express_revenue
+FROM {source} WHERE is_express AND total_amount > {threshold!r}
+GROUP BY delivery_region
+ORDER BY express_revenue DESC NULLS LAST, delivery_region"""
+
+
+def queries(express_threshold: float) -> dict[str, str]:
+    ol = with_views(ORDER_LINES)
+    imp = with_views(ORDER_LINES, IMPUTED)
+    return {
+        "category_summary": imp + category_summary_sql(),
+        "express_by_region": ol + express_by_region_sql(express_threshold),
+    }
