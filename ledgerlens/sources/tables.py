@@ -39,7 +39,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp_ntz").alias("order_date"),
         F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("product_category"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit_price"),
+        F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
         F.concat(F.lit("R"), (F.col("l_suppkey") % 5).cast("string")).alias("delivery_region"),
         (F.col("l_partkey") % 4 == 0).alias("is_express"),
         rating.alias("customer_rating"),
