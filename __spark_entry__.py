@@ -148,12 +148,12 @@ def q_tuned_express_by_region(spark, sf_dir):
 
 
 def q_single_pass_category_summary(spark, sf_dir):
-    _, summary, _ = single_pass_reports(_lines(spark, sf_dir), EXPRESS_THRESHOLD, materialize=False)
+    _, summary, _ = single_pass_reports(_lines(spark, sf_dir), EXPRESS_THRESHOLD)
     return summary
 
 
 def q_single_pass_express_by_region(spark, sf_dir):
-    _, _, express = single_pass_reports(_lines(spark, sf_dir), EXPRESS_THRESHOLD, materialize=False)
+    _, _, express = single_pass_reports(_lines(spark, sf_dir), EXPRESS_THRESHOLD)
     return express
 
 
