@@ -18,11 +18,19 @@ from pyspark.sql import functions as F
 TWO_POW_32 = 4294967296.0
 
 
-def hash_uniform(id_col: Column | str, salt: str, seed: int) -> Column:
-    """Uniform in (0, 1): (first 8 hex digits of md5("id:seed:salt") + 0.5) / 2^32."""
+def hash_uniform(id_col: Column | str, salt: str, seed: int, slot: int = 0) -> Column:
+    """Uniform in (0, 1) from 32 bits of md5("id:seed:salt").
+
+    A digest has 128 bits, so ``slot`` 0-3 selects one of four independent
+    uniforms (hex digits 8*slot+1 .. 8*slot+8): (bits + 0.5) / 2^32.  Columns
+    that share a salt share the digest; Spark's subexpression elimination
+    computes it once per row.
+    """
+    if not 0 <= slot <= 3:
+        raise ValueError("slot must be 0..3")
     idc = F.col(id_col) if isinstance(id_col, str) else id_col
     key = F.concat(idc.cast("string"), F.lit(f":{seed}:{salt}"))
-    bits = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    bits = F.conv(F.substring(F.md5(key), 1 + 8 * slot, 8), 16, 10).cast("bigint")
     return (bits.cast("double") + 0.5) / F.lit(TWO_POW_32)
 
 

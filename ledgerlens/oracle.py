@@ -10,6 +10,7 @@ import math
 
 from ledgerlens import constants as C
 from ledgerlens.functions.random import cumulative
+from ledgerlens.sources.generate import VARIATES
 
 ORDER_LINES = """order_lines AS (
   SELECT printf('ORD-%07d', l_orderkey) AS order_id,
@@ -77,8 +78,9 @@ IDS = "ids AS (SELECT o_orderkey AS id FROM orders)"
 TWO_PI = repr(2.0 * math.pi)
 
 
-def uniform(salt: str, seed: int) -> str:
-    return (f"((CAST(CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':{seed}:{salt}'), 1, 8))"
+def uniform(variate: str, seed: int) -> str:
+    salt, slot = VARIATES[variate]
+    return (f"((CAST(CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':{seed}:{salt}'), {1 + 8 * slot}, 8))"
             f" AS BIGINT) AS DOUBLE) + 0.5) / 4294967296.0)")
 
 

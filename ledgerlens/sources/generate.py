@@ -22,8 +22,13 @@ from ledgerlens.functions.random import (
     weighted_choice,
 )
 
-# Salt per variate: independent uniforms for every column.
-SALTS = ("day", "hour", "cat", "qty", "p1", "p2", "reg", "ex", "r1", "r2", "nul")
+# Variate -> (digest salt, 32-bit slot): four independent uniforms per digest,
+# three digests per row.
+VARIATES = {
+    "day": ("a", 0), "hour": ("a", 1), "cat": ("a", 2), "qty": ("a", 3),
+    "p1": ("b", 0), "p2": ("b", 1), "reg": ("b", 2), "ex": ("b", 3),
+    "r1": ("c", 0), "r2": ("c", 1), "nul": ("c", 2),
+}
 
 
 def order_ids(spark: SparkSession, n_rows: int, num_partitions: int | None = None) -> DataFrame:
@@ -31,8 +36,9 @@ def order_ids(spark: SparkSession, n_rows: int, num_partitions: int | None = Non
     return spark.range(1, n_rows + 1, numPartitions=num_partitions)
 
 
-def _u(id_col: str, salt: str, seed: int) -> Column:
-    return hash_uniform(id_col, salt, seed)
+def _u(id_col: str, variate: str, seed: int) -> Column:
+    salt, slot = VARIATES[variate]
+    return hash_uniform(id_col, salt, seed, slot)
 
 
 def order_id(id_col: str = "id") -> Column:
