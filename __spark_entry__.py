@@ -249,7 +249,7 @@ def q_runlog_custom_order(spark, sf_dir):
 
 def q_runlog_speedups(spark, sf_dir):
     totals = runlog.config_totals(_log(spark, sf_dir))
-    return runlog.speedups(totals, F.broadcast(tables.speedup_pairs(spark)))
+    return runlog.speedups(totals, tables.speedup_pairs(spark))
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -22,12 +22,18 @@ from ledgerlens.functions.ordering import list_position
 
 # --- run records (nested) <-> long log ----------------------------------------
 
-def records_from_log(log: DataFrame, run: str = "run_id") -> DataFrame:
+def records_from_log(log: DataFrame, run: str = "run_id", pre_aggregated: bool = True) -> DataFrame:
     """One nested record per run: ``steps`` map in step order and the total.
 
-    ``log`` must hold one row per (run, step), as ``sources.tables.run_log``
-    does, so each collected list is bounded by the number of step names.
+    Each run's collected list must be bounded by the number of step names,
+    i.e. one row per (run, step), as ``sources.tables.run_log`` produces.
+    With ``pre_aggregated=False`` repeated (run, step) rows are first summed
+    exactly (partial aggregation before the shuffle, so a run holding a large
+    share of a raw log is reduced inside each task).
     """
+    if not pre_aggregated:
+        log = log.groupBy(run, "step").agg(
+            F.min("step_pos").alias("step_pos"), money_sum("secs").alias("secs"))
     entries = F.array_sort(F.collect_list(F.struct("step_pos", "step", "secs")))
     return log.groupBy(F.col(run).alias("experiment_id")).agg(
         money_sum("secs").alias("total_time_sec"),
@@ -39,6 +45,21 @@ def records_from_log(log: DataFrame, run: str = "run_id") -> DataFrame:
     )
 
 
+def first_record_steps(records: DataFrame, order: Sequence[str] = tuple(C.RUN_ORDER)) -> list[str]:
+    """Step names of the first record in ``order``, as a chart's step list.
+
+    Returns a short list of column names for ``step_pivot`` (a pivot's columns
+    must be known before the query runs); only one row reaches the driver.
+    """
+    first = (
+        with_custom_order(records, "experiment_id", order)
+        .orderBy("sort_key", "experiment_id")
+        .select(F.map_keys("steps").alias("keys"))
+        .first()
+    )
+    return list(first.keys) if first and first.keys else []
+
+
 def steps_long(records: DataFrame) -> DataFrame:
     """Records -> long log; ``step_pos`` is the step's position in its record."""
     return records.select(

@@ -128,3 +128,24 @@ def test_records_roundtrip_and_dynamic_overwrite(spark, tmp_dir):
     back = files.read_run_records(spark, out, multi_line=True)
     assert back.count() == 150
     assert back.filter("experiment_id = 'U0'").first().total_time_sec == 1.0
+
+
+def test_first_record_steps_drive_the_pivot(spark, tmp_dir):
+    rows = [("3dn_opt", {"a": 1.0, "late": 9.0}), ("1dn_base", {"b": 2.0, "a": 3.0})]
+    for exp, steps in rows:
+        with open(os.path.join(tmp_dir, f"{exp}.json"), "w", encoding="utf-8") as fh:
+            json.dump({"experiment_id": exp, "total_time_sec": 1.0, "steps": steps}, fh, indent=2)
+    recs = _records(spark, tmp_dir)
+    steps = runlog.first_record_steps(recs)
+    assert steps == ["b", "a"]  # 1dn_base comes first; "late" is dropped like the chart does
+    pivot = runlog.step_pivot(runlog.steps_long(recs), steps)
+    got = {r.run_id: (r.b, r.a) for r in pivot.collect()}
+    assert got == {"1dn_base": (2.0, 3.0), "3dn_opt": (0.0, 1.0)}
+
+
+def test_records_from_raw_log_sum_repeated_steps(spark):
+    log = spark.createDataFrame(
+        [("r", "c", "a", 1, 0.1), ("r", "c", "a", 1, 0.2), ("r", "c", "b", 2, 1.0)],
+        "run_id string, config string, step string, step_pos int, secs double")
+    rec = runlog.records_from_log(log, pre_aggregated=False).first()
+    assert rec.steps == {"a": 0.3, "b": 1.0} and rec.total_time_sec == 1.3
