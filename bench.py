@@ -21,7 +21,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from ledgerlens import constants as C  # noqa: E402
+from ledgerlens import schemas  # noqa: E402
 from ledgerlens.operators import clean, runlog, summaries  # noqa: E402
 from ledgerlens.plans import TunedReports, single_pass_reports  # noqa: E402
 from ledgerlens.session import build_session, scratch_path  # noqa: E402
@@ -113,6 +116,27 @@ def main() -> None:
     job_totals = [sum(samples[s][i] for s in steps) for i in range(RUNS)]
     total = round(statistics.median(job_totals), 4)
     med["order_job_total"] = total
+
+    # The timings as run records (the job's own format), written and read back,
+    # and compared with the run-log operators.
+    variants = {
+        "base": (total, {s: med[s] for s in steps}),
+        "csv": (med["csv_job_infer_total"], {}),
+        "tuned": (med["tuned_job"], {}),
+        "single_pass": (med["single_pass_job"], {}),
+    }
+    records = spark.createDataFrame(
+        [(k, v, None, None, None, st, None) for k, (v, st) in variants.items()], schemas.RUN_RECORD)
+    rec_dir = scratch_path(spark, "bench-run-records")
+    files.write_run_records(records, rec_dir)
+    back = files.read_run_records(spark, rec_dir)
+    totals = back.select(F.col("experiment_id").alias("config"), F.col("total_time_sec").alias("total_secs"))
+    pairs = tables.speedup_pairs(spark, [
+        ("tuned_vs_base", "base", "tuned"),
+        ("single_pass_vs_base", "base", "single_pass"),
+        ("parquet_vs_csv", "csv", "base"),
+    ])
+    speedups = {r.pair: round(r.speedup, 3) for r in runlog.speedups(totals, pairs).collect()}
     out = {
         "metric": "order_job_total_sec",
         "value": total,
@@ -123,6 +147,7 @@ def main() -> None:
         "rows_per_sec": round(n_rows / total, 1) if total else None,
         "runs": RUNS,
         "cpus": CPUS,
+        "speedups": speedups,
     }
     print(json.dumps(out))
     spark.stop()
