@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlens import constants as C
 from ledgerlens import oracle
 from ledgerlens.operators import clean, filters, profile, runlog, summaries
-from ledgerlens.plans import single_pass_reports, tuned_reports
+from ledgerlens.plans import single_pass_reports, tuned_report
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import files, generate, tables
 
@@ -138,13 +138,11 @@ def q_result_roundtrip_parquet(spark, sf_dir):
 
 
 def q_tuned_category_summary(spark, sf_dir):
-    summary, _ = tuned_reports(_lines(spark, sf_dir), EXPRESS_THRESHOLD, repartition=8)
-    return summary
+    return tuned_report(_lines(spark, sf_dir), "category_summary", EXPRESS_THRESHOLD, repartition=8)
 
 
 def q_tuned_express_by_region(spark, sf_dir):
-    _, express = tuned_reports(_lines(spark, sf_dir), EXPRESS_THRESHOLD, repartition=8)
-    return express
+    return tuned_report(_lines(spark, sf_dir), "express_by_region", EXPRESS_THRESHOLD, repartition=8)
 
 
 def q_single_pass_category_summary(spark, sf_dir):

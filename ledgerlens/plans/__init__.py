@@ -2,7 +2,7 @@
 
 from ledgerlens.plans.order_job import OrderReports, base_reports
 from ledgerlens.plans.single_pass import order_stats, reports_from_stats, single_pass_reports
-from ledgerlens.plans.tuned import TunedReports, tuned_reports
+from ledgerlens.plans.tuned import TunedReports, tuned_report, tuned_reports
 
 __all__ = [
     "OrderReports",
@@ -11,5 +11,6 @@ __all__ = [
     "order_stats",
     "reports_from_stats",
     "single_pass_reports",
+    "tuned_report",
     "tuned_reports",
 ]

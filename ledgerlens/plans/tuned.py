@@ -73,3 +73,16 @@ def tuned_reports(
         summary = t.category_summary.checkpoint(eager=True)
         express = t.express_by_region.checkpoint(eager=True)
     return summary, express
+
+
+def tuned_report(
+    df: DataFrame,
+    name: str,
+    threshold: float = C.EXPRESS_AMOUNT_THRESHOLD,
+    repartition: int | None = None,
+) -> DataFrame:
+    """One report (``row_count``, ``category_summary`` or ``express_by_region``)
+    through the tuned plan, checkpointed before the cache is released."""
+    checkpoint_root(df.sparkSession)
+    with TunedReports(df, threshold, repartition) as t:
+        return getattr(t, name).checkpoint(eager=True)

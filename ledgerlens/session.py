@@ -52,11 +52,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     private temporary folder (tests); a cluster session without it is an error,
     because a machine-local folder is not visible to other executors.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
+        return configured
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError(
