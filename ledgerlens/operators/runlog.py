@@ -32,8 +32,7 @@ def records_from_log(log: DataFrame, run: str = "run_id", pre_aggregated: bool =
     share of a raw log is reduced inside each task).
     """
     if not pre_aggregated:
-        log = log.groupBy(run, "step").agg(
-            F.min("step_pos").alias("step_pos"), money_sum("secs").alias("secs"))
+        log = aggregate_steps(log, run)
     entries = F.array_sort(F.collect_list(F.struct("step_pos", "step", "secs")))
     return log.groupBy(F.col(run).alias("experiment_id")).agg(
         money_sum("secs").alias("total_time_sec"),
@@ -127,8 +126,27 @@ def step_pivot(log: DataFrame, steps: Sequence[str], run: str = "run_id") -> Dat
     return log.groupBy(run).agg(*cols)
 
 
-def stack_offsets(log: DataFrame, run: str = "run_id", pos: str = "step_pos") -> DataFrame:
-    """Adds ``offset``: the exact sum of the run's earlier steps (0 for the first)."""
+def aggregate_steps(log: DataFrame, run: str = "run_id", key: str = "config") -> DataFrame:
+    """One row per (run, step): exact sum of repeated rows, earliest position.
+
+    Partial aggregation runs before the shuffle, so even a run that holds a
+    large share of a raw log leaves each task as one row per step.
+    """
+    return log.groupBy(run, key, "step").agg(
+        F.min("step_pos").alias("step_pos"), money_sum("secs").alias("secs"))
+
+
+def stack_offsets(
+    log: DataFrame, run: str = "run_id", pos: str = "step_pos", pre_aggregated: bool = True,
+) -> DataFrame:
+    """Adds ``offset``: the exact sum of the run's earlier steps (0 for the first).
+
+    The window partitions by run, so the input must hold one row per
+    (run, step); pass ``pre_aggregated=False`` for a raw log to reduce it
+    with ``aggregate_steps`` first.
+    """
+    if not pre_aggregated:
+        log = aggregate_steps(log, run)
     w = (
         Window.partitionBy(run)
         .orderBy(F.col(pos), F.col("step"))

@@ -1,7 +1,9 @@
 """Physical-plan checks over every registered query (sf0.001).
 
-No row-at-a-time Python, no cartesian or nested-loop joins, and a limit only
-where it is the feature (top-n report, ordered head).
+No row-at-a-time Python, no cartesian or nested-loop joins, a limit only where
+it is the feature (top-n report, ordered head), and no hash shuffle of raw
+rows: every hash exchange sits on an aggregate, so a key holding a third of
+all rows sends one partial row per task, not its rows.
 """
 
 import pytest
@@ -22,3 +24,19 @@ def test_plan_hygiene(spark, name):
         assert bad not in plan, (name, bad)
     has_limit = "TakeOrderedAndProject" in plan or "CollectLimit" in plan or "GlobalLimit" in plan
     assert has_limit == (name in LIMITED), name
+
+
+def _final_plan(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0].split("\n")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_hash_exchanges_sit_on_aggregates(spark, name):
+    lines = _final_plan(QUERIES[name](spark, SF001))
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" not in line:
+            continue
+        below = " ".join(lines[i + 1:i + 3])  # child, or child of a projection
+        assert "HashAggregate" in below, (name, line, below)

@@ -149,3 +149,11 @@ def test_records_from_raw_log_sum_repeated_steps(spark):
         "run_id string, config string, step string, step_pos int, secs double")
     rec = runlog.records_from_log(log, pre_aggregated=False).first()
     assert rec.steps == {"a": 0.3, "b": 1.0} and rec.total_time_sec == 1.3
+
+
+def test_offsets_of_raw_log_aggregate_first(spark):
+    log = spark.createDataFrame(
+        [("r", "c", "a", 1, 0.1), ("r", "c", "a", 1, 0.2), ("r", "c", "b", 2, 1.0)],
+        "run_id string, config string, step string, step_pos int, secs double")
+    got = {r.step: (r.secs, r.offset) for r in runlog.stack_offsets(log, pre_aggregated=False).collect()}
+    assert got == {"a": (0.3, 0.0), "b": (1.0, 0.3)}
