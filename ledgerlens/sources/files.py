@@ -29,30 +29,36 @@ def read_csv(
     )
 
 
-def read_csv_inferred(spark: SparkSession, path: str, ntz: bool = True) -> DataFrame:
+def read_csv_inferred(
+    spark: SparkSession, path: str, ntz: bool = True, sampling_ratio: float = 1.0,
+) -> DataFrame:
     """Header-row CSV with inferred column types.
 
-    Inference reads the whole input once more before the query runs; prefer
-    ``read_csv`` with a schema for large inputs.  Inferred timestamps are
-    session-zone ``timestamp``; with ``ntz`` they become wall-clock
-    ``timestamp_ntz`` like the rest of the library (exact in a UTC session).
+    Inference reads the input (or a ``sampling_ratio`` share of it) once more
+    before the query runs; prefer ``read_csv`` with a schema for large inputs.
+    Spark infers zone-aware ``timestamp``; with ``ntz`` those columns are read
+    as wall-clock ``timestamp_ntz`` instead, like the rest of the library.  The
+    file is parsed with the adjusted schema, so no session time zone is
+    involved.
     """
-    df = (
+    inferred = (
         spark.read.option("header", True)
         .option("inferSchema", True)
+        .option("samplingRatio", sampling_ratio)
         .option("timestampFormat", TIMESTAMP_FORMAT)
         .csv(path)
     )
     if not ntz:
-        return df
-    return df.select(
-        *[
-            F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
+        return inferred
+    schema = T.StructType(
+        [
+            T.StructField(f.name, T.TimestampNTZType(), f.nullable)
             if isinstance(f.dataType, T.TimestampType)
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
+            else f
+            for f in inferred.schema.fields
         ]
     )
+    return read_csv(spark, path, schema)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
