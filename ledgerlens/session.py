@@ -45,6 +45,14 @@ def build_session(
     return spark
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (``spark.default.parallelism`` without a SparkContext)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return int(spark.conf.get("spark.default.parallelism", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -21,6 +21,7 @@ from ledgerlens.functions.random import (
     uniform_int,
     weighted_choice,
 )
+from ledgerlens.session import default_parallelism
 
 # Variate -> (digest salt, 32-bit slot): four independent uniforms per digest,
 # three digests per row.
@@ -31,8 +32,20 @@ VARIATES = {
 }
 
 
+# Rows per generated partition when none is given: about 100-150 MB of order
+# lines per task, whatever the table size.
+ROWS_PER_PARTITION = 2_000_000
+
+
 def order_ids(spark: SparkSession, n_rows: int, num_partitions: int | None = None) -> DataFrame:
-    """Ids 1..n as column ``id``, split evenly over ``num_partitions``."""
+    """Ids 1..n as column ``id``, split evenly over ``num_partitions``.
+
+    By default the partition count grows with ``n_rows`` (``ROWS_PER_PARTITION``
+    each, at least the cluster's default parallelism), so a 10^12-row table
+    is not cut into a few huge tasks.
+    """
+    if num_partitions is None:
+        num_partitions = max(default_parallelism(spark), -(-n_rows // ROWS_PER_PARTITION))
     return spark.range(1, n_rows + 1, numPartitions=num_partitions)
 
 

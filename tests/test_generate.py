@@ -67,3 +67,11 @@ def test_uniforms_are_in_open_unit_interval(spark):
     df = spark.range(1, 5001).select(hash_uniform("id", "x", 1).alias("u"))
     s = df.agg(F.min("u").alias("lo"), F.max("u").alias("hi"), F.avg("u").alias("m")).first()
     assert 0.0 < s.lo and s.hi < 1.0 and math.isclose(s.m, 0.5, abs_tol=0.02)
+
+
+def test_default_partitioning_grows_with_rows(spark):
+    from ledgerlens.sources.generate import ROWS_PER_PARTITION, order_ids
+    small = order_ids(spark, 10).rdd.getNumPartitions()
+    assert small == spark.sparkContext.defaultParallelism
+    big = order_ids(spark, ROWS_PER_PARTITION * 40).rdd.getNumPartitions()
+    assert big == max(40, spark.sparkContext.defaultParallelism)
