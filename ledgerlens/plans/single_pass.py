@@ -93,7 +93,7 @@ def reports_from_stats(
         .filter(F.col("x_rows") > 0)
         .drop("x_rows")
     )
-    count = stats.agg(F.sum("n_rows").alias("row_count"))
+    count = stats.agg(F.coalesce(F.sum("n_rows"), F.lit(0).cast("bigint")).alias("row_count"))
     return count, ranked(summary, "revenue", category), ranked(express, "express_revenue", region)
 
 
