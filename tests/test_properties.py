@@ -97,3 +97,70 @@ def test_all_plans_match_brute_force(spark, data):
     check(*single_pass_reports(df, THRESHOLD, materialize=False), expected)
     with TunedReports(df, THRESHOLD, repartition=3) as t:
         check(t.row_count, t.category_summary, t.express_by_region, expected)
+
+
+# --- run-log operators -----------------------------------------------------------
+
+from ledgerlens import constants as C  # noqa: E402
+from ledgerlens.operators import runlog  # noqa: E402
+from ledgerlens.sources import tables  # noqa: E402
+
+STEPS = ["s1", "s2", "s3"]
+LOG_SCHEMA = "run_id string, config string, step string, step_pos int, secs double"
+
+logs = st.dictionaries(
+    keys=st.tuples(st.sampled_from(["r1", "r2", "r3", "r4"]), st.sampled_from(STEPS)),
+    values=st.integers(0, 50000).map(lambda c: c / 100),
+    max_size=12,
+)
+
+
+def _log_rows(entries):
+    config = {"r1": "1dn_base", "r2": "1dn_opt", "r3": "1dn_base", "r4": "zzz"}
+    return [(run, config[run], step, STEPS.index(step) + 1, secs) for (run, step), secs in entries.items()]
+
+
+@settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "12")), deadline=None,
+          suppress_health_check=list(HealthCheck))
+@given(logs)
+def test_runlog_operators_match_brute_force(spark, entries):
+    rows = _log_rows(entries)
+    log = spark.createDataFrame(rows, LOG_SCHEMA)
+    cents = {(r[0], r[2]): round(r[4] * 100) for r in rows}
+
+    offsets = {(r.run_id, r.step): r.offset for r in runlog.stack_offsets(log).collect()}
+    for run, _, step, pos, _ in rows:
+        earlier = sum(c for (rr, s), c in cents.items() if rr == run and STEPS.index(s) + 1 < pos)
+        assert offsets[(run, step)] == earlier / 100
+
+    pivot = {r.run_id: tuple(r[s] for s in STEPS) for r in runlog.step_pivot(log, STEPS).collect()}
+    runs = {r[0] for r in rows}
+    assert set(pivot) == runs
+    for run in runs:
+        assert pivot[run] == tuple(entries.get((run, s), 0.0) for s in STEPS)
+
+    totals = {r.run_id: (r.total_time_sec, r.n_steps) for r in runlog.run_totals(log).collect()}
+    for run in runs:
+        mine = [c for (rr, _), c in cents.items() if rr == run]
+        assert totals[run] == (sum(mine) / 100, len(mine))
+
+    by_config = defaultdict(int)
+    for run, cfg, step, _, _ in rows:
+        by_config[cfg] += cents[(run, step)]
+    ctot = {r.config: r.total_secs for r in runlog.config_totals(log).collect()}
+    assert ctot == {k: v / 100 for k, v in by_config.items()}
+
+    sp = {r.pair: r.speedup for r in runlog.speedups(
+        runlog.config_totals(log), tables.speedup_pairs(spark)).collect()}
+    for pair, base, other in C.SPEEDUP_PAIRS:
+        b, o = ctot.get(base), ctot.get(other)
+        want = None if b is None or o is None or o == 0 else b / o
+        assert sp[pair] == want, (pair, sp[pair], want)
+
+    back = runlog.steps_long(runlog.records_from_log(log))
+    got = sorted((r.run_id, r.step, r.step_pos, r.secs) for r in back.collect())
+    want = []
+    for run in runs:
+        mine = sorted((STEPS.index(s), s, v) for (rr, s), v in entries.items() if rr == run)
+        want += [(run, s, i + 1, v) for i, (_, s, v) in enumerate(mine)]
+    assert got == sorted(want)
