@@ -2,7 +2,9 @@
 
 Usage: python tools/scale_probe.py OUT_DIR N_ROWS [CPUS]
 OUT_DIR must be a fresh folder.  Prints one JSON line of timings.  The data is
-written once and then read by every plan, so the scan cost is real.
+written once and then read by every plan, so the scan cost is real.  The
+reports of the base and single-pass plans are compared with each other and
+with DuckDB running the oracle SQL over the same files.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import duckdb  # noqa: E402
+
+from ledgerlens import oracle  # noqa: E402
 from ledgerlens.operators import clean, summaries  # noqa: E402
 from ledgerlens.plans import TunedReports, single_pass_reports  # noqa: E402
 from ledgerlens.session import build_session  # noqa: E402
@@ -52,7 +57,19 @@ def main() -> None:
             t.express_by_region.collect()
     step("tuned_job", tuned)
     timings["generate_write"] = round(timings["generate_write"], 3)
-    print(json.dumps({"rows": n, "cpus": cpus, **timings}))
+
+    base = ([tuple(r) for r in summaries.category_summary(imputed).collect()],
+            [tuple(r) for r in summaries.express_by_region(imputed).collect()])
+    _, sp_summary, sp_express = single_pass_reports(df)
+    single = ([tuple(r) for r in sp_summary.collect()], [tuple(r) for r in sp_express.collect()])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW order_lines AS SELECT * FROM read_parquet('{out}/*.parquet')")
+    duck = ([tuple(r) for r in con.execute(
+                "WITH " + oracle.IMPUTED + "\n" + oracle.category_summary_sql()).fetchall()],
+            [tuple(r) for r in con.execute(
+                oracle.express_by_region_sql(summaries.C.EXPRESS_AMOUNT_THRESHOLD)).fetchall()])
+    checks = {"single_pass_equals_base": single == base, "duckdb_equals_base": duck == base}
+    print(json.dumps({"rows": n, "cpus": cpus, **timings, **checks}))
     spark.stop()
 
 
