@@ -24,7 +24,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerlens import constants as C  # noqa: E402
-from ledgerlens import schemas  # noqa: E402
 from ledgerlens.operators import clean, runlog, summaries  # noqa: E402
 from ledgerlens.plans import TunedReports, single_pass_reports  # noqa: E402
 from ledgerlens.session import build_session, scratch_path  # noqa: E402
@@ -125,8 +124,8 @@ def main() -> None:
         "tuned": (med["tuned_job"], {}),
         "single_pass": (med["single_pass_job"], {}),
     }
-    records = spark.createDataFrame(
-        [(k, v, None, None, None, st, None) for k, (v, st) in variants.items()], schemas.RUN_RECORD)
+    records = tables.run_records(spark, [
+        {"experiment_id": k, "total_time_sec": v, "steps": st} for k, (v, st) in variants.items()])
     rec_dir = scratch_path(spark, "bench-run-records")
     files.write_run_records(records, rec_dir)
     back = files.read_run_records(spark, rec_dir)

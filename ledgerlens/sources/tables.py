@@ -75,6 +75,34 @@ def run_meta(
     return spark.createDataFrame(list(rows or C.RUN_META_ROWS), schemas.RUN_META)
 
 
+def run_records(spark: SparkSession, records: Sequence[dict]) -> DataFrame:
+    """Run records given as dicts (the job's own record shape), step order kept.
+
+    ``createDataFrame`` turns a dict into a map through an unordered hash map;
+    here the map is built from two arrays so step positions survive.
+    """
+    def one(rec: dict) -> DataFrame:
+        steps = rec.get("steps") or {}
+        cols = []
+        for f in schemas.RUN_RECORD.fields:
+            if f.name == "steps":
+                cols.append(F.map_from_arrays(
+                    F.array(*[F.lit(k) for k in steps]).cast("array<string>"),
+                    F.array(*[F.lit(v) for v in steps.values()]).cast("array<double>"),
+                ).alias("steps"))
+            else:
+                cols.append(F.lit(rec.get(f.name)).cast(f.dataType).alias(f.name))
+        return spark.range(1).select(*cols)
+
+    frames = [one(r) for r in records]
+    if not frames:
+        return spark.createDataFrame([], schemas.RUN_RECORD)
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
 def speedup_pairs(spark: SparkSession, rows: Sequence[tuple] | None = None) -> DataFrame:
     """Pairs of configurations to compare: speedup = base total / other total."""
     return spark.createDataFrame(list(rows or C.SPEEDUP_PAIRS), schemas.SPEEDUP_PAIRS)

@@ -157,3 +157,15 @@ def test_offsets_of_raw_log_aggregate_first(spark):
         "run_id string, config string, step string, step_pos int, secs double")
     got = {r.step: (r.secs, r.offset) for r in runlog.stack_offsets(log, pre_aggregated=False).collect()}
     assert got == {"a": (0.3, 0.0), "b": (1.0, 0.3)}
+
+
+def test_inline_run_records_keep_step_order(spark, tmp_dir):
+    recs = tables.run_records(spark, [
+        {"experiment_id": "a", "total_time_sec": 1.0, "steps": {"z": 1.0, "b": 2.0, "y": 3.0}},
+        {"experiment_id": "b", "total_time_sec": 2.0, "steps": {}},
+    ])
+    out = os.path.join(tmp_dir, "recs")
+    files.write_run_records(recs, out)
+    back = files.read_run_records(spark, out)
+    keys = {r.experiment_id: r.k for r in back.select("experiment_id", F.map_keys("steps").alias("k")).collect()}
+    assert keys == {"a": ["z", "b", "y"], "b": []}
