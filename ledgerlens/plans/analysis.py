@@ -1,6 +1,6 @@
 """Run-record analysis as a Spark application (the numbers behind the charts).
 
-    spark-submit -m ledgerlens.plans.analysis --records hdfs://nn:9000/results
+    spark-submit --py-files ledgerlens.zip ledgerlens/plans/analysis.py --records hdfs://nn:9000/results
 
 Reads every run record below ``--records`` (pretty-printed ``*.json`` files or
 ``write_run_records`` folders) and prints: runs in the fixed order with their

@@ -1,6 +1,6 @@
 """The order job as a Spark application: timed steps, reports, a run record.
 
-    spark-submit -m ledgerlens.plans.app --input hdfs://nn:9000/data/orders.csv \
+    spark-submit --py-files ledgerlens.zip ledgerlens/plans/app.py --input hdfs://nn:9000/data/orders.csv \
         --results-dir hdfs://nn:9000/results --experiment-id 1dn_base [--plan tuned]
 
 Steps, each a Spark job with a job description: read (scan + count), impute
