@@ -38,3 +38,14 @@ def test_job_plans_write_records_and_analysis_reads_them(spark, tmp_dir, capsys)
     assert t["step_table"].columns == ["run_id", "чтение", "пропуски", "группировка", "фильтрация"]
     assert t["speedups"].filter(F.col("speedup").isNull()).count() == 0
     assert t["unknown_configs"].count() == 0
+
+
+def test_dataset_app_generates_profiles_and_feeds_the_job(spark, tmp_dir):
+    from ledgerlens.plans import dataset
+    path = os.path.join(tmp_dir, "orders.csv")
+    info = dataset.main(["--rows", "5000", "--output", path, "--partitions", "3"], spark=spark)
+    assert (info["n_rows"], info["n_cols"]) == (5000, 9)
+    assert 0 < info["nulls"]["customer_rating"] < 500
+    assert sum(info["nulls"].values()) == info["nulls"]["customer_rating"]
+    record = app.main(["--input", path, "--results-dir", os.path.join(tmp_dir, "r")], spark=spark)
+    assert record["experiment_id"] == "1dn_base"
