@@ -23,8 +23,12 @@ def _col(c: Column | str) -> Column:
 
 
 def to_cents(c: Column | str, scale: int = 2) -> Column:
-    """Amount as an integer number of 10^-scale units (half-even)."""
-    return F.rint(_col(c) * float(10**scale)).cast("bigint")
+    """Amount as an integer number of 10^-scale units (half-even).
+
+    NaN counts as a missing amount (null), so sums skip it as they skip null.
+    """
+    amount = F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))
+    return F.rint(amount * float(10**scale)).cast("bigint")
 
 
 def money_sum(c: Column | str, scale: int = 2) -> Column:

@@ -40,13 +40,19 @@ RUN_LOG = """run_log AS (
          event_type AS step,
          CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3
               WHEN 'purchase' THEN 4 WHEN 'error' THEN 5 ELSE 99 END AS INTEGER) AS step_pos,
-         CAST(sum(CAST(round_even(value * 100, 0) AS BIGINT)) AS DOUBLE) / 100 AS secs
+         CAST(sum(CAST(round_even((CASE WHEN isnan(value) THEN NULL ELSE value END) * 100, 0)
+              AS BIGINT)) AS DOUBLE) / 100 AS secs
   FROM events GROUP BY user_id, event_type)"""
 
 
+def cents(expr: str) -> str:
+    """Whole cents, NaN as missing: same arithmetic as ``functions.money.to_cents``."""
+    return f"CAST(round_even((CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END) * 100, 0) AS BIGINT)"
+
+
 def money(expr: str) -> str:
     """Exact cent sum, same arithmetic as ``functions.money.money_sum``."""
-    return f"CAST(sum(CAST(round_even(({expr}) * 100, 0) AS BIGINT)) AS DOUBLE) / 100"
+    return f"CAST(sum({cents(expr)}) AS DOUBLE) / 100"
 
 
 def with_views(*views: str) -> str:
@@ -236,7 +242,7 @@ FROM run_log r LEFT JOIN meta m ON r.config = m.config""",
 WHERE config NOT IN (SELECT config FROM meta)""",
         "runlog_steps_long": rl + STEPS_LONG,
         "runlog_step_pivot": rl + f"SELECT run_id,\n       {pivot_cols}\nFROM run_log GROUP BY run_id",
-        "runlog_stack_offsets": rl + """SELECT *, CAST(coalesce(sum(CAST(round_even(secs * 100, 0) AS BIGINT)) OVER (
+        "runlog_stack_offsets": rl + f"""SELECT *, CAST(coalesce(sum({cents('secs')}) OVER (
     PARTITION BY run_id ORDER BY step_pos, step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     AS DOUBLE) / 100 AS "offset"
 FROM run_log""",

@@ -97,3 +97,10 @@ def test_filters_reach_the_parquet_scan(spark):
     assert "GreaterThan(l_extendedprice,30000.0)" in plan
     # Only the three lineitem columns the report needs are read.
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_extendedprice:double>" in plan
+
+
+def test_money_sum_skips_nan_and_null(spark):
+    df = spark.createDataFrame([(1.25,), (None,), (float("nan"),), (2.5,)], "total_amount double")
+    assert df.agg(summaries.money_sum("total_amount").alias("s")).first().s == 3.75
+    empty = spark.createDataFrame([(None,)], "total_amount double")
+    assert empty.agg(summaries.money_sum("total_amount").alias("s")).first().s is None
