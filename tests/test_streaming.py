@@ -31,3 +31,16 @@ def test_stream_reports_equal_batch_reports_after_each_arrival(spark, tmp_dir):
             F.col("express_revenue").desc(), "delivery_region")) == _rows(expected.express_by_region)
         assert spark.read.parquet(f"{out}/row_count").first().row_count == expected.row_count.first().row_count
     assert seen.count() == lines.count()
+
+
+def test_stream_over_csv_landing_folder(spark, tmp_dir):
+    from ledgerlens.sources import files
+    lines = tables.order_lines(spark, SF001)
+    landing, out = os.path.join(tmp_dir, "csv-landing"), os.path.join(tmp_dir, "csv-reports")
+    files.write_csv(lines, landing)
+    q = start_order_reports(spark, landing, out, 30000.0, available_now=True, fmt="csv",
+                            checkpoint_location=os.path.join(tmp_dir, "csv-ckpt"))
+    q.awaitTermination(120)
+    expected = base_reports(lines, 30000.0)
+    assert _rows(spark.read.parquet(f"{out}/category_summary").orderBy(
+        F.col("revenue").desc(), "product_category")) == _rows(expected.category_summary)
