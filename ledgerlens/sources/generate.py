@@ -65,8 +65,8 @@ def order_date(id_col: str = "id", seed: int = C.GEN_SEED) -> Column:
     return base + F.make_dt_interval(days=days, hours=hours)
 
 
-def product_category(id_col: str = "id", seed: int = C.GEN_SEED) -> Column:
-    return weighted_choice(_u(id_col, "cat", seed), C.GEN_CATEGORIES, C.GEN_CATEGORY_WEIGHTS)
+def product_category(id_col: str = "id", seed: int = C.GEN_SEED, weights=None) -> Column:
+    return weighted_choice(_u(id_col, "cat", seed), C.GEN_CATEGORIES, weights or C.GEN_CATEGORY_WEIGHTS)
 
 
 def quantity(id_col: str = "id", seed: int = C.GEN_SEED) -> Column:
@@ -78,8 +78,8 @@ def unit_price(id_col: str = "id", seed: int = C.GEN_SEED) -> Column:
     return F.round(price, C.GEN_PRICE_SCALE)
 
 
-def delivery_region(id_col: str = "id", seed: int = C.GEN_SEED) -> Column:
-    return weighted_choice(_u(id_col, "reg", seed), C.GEN_REGIONS, C.GEN_REGION_WEIGHTS)
+def delivery_region(id_col: str = "id", seed: int = C.GEN_SEED, weights=None) -> Column:
+    return weighted_choice(_u(id_col, "reg", seed), C.GEN_REGIONS, weights or C.GEN_REGION_WEIGHTS)
 
 
 def is_express(id_col: str = "id", seed: int = C.GEN_SEED) -> Column:
@@ -109,15 +109,22 @@ def format_date(c: Column, fmt: str = C.GEN_DATE_FORMAT) -> Column:
     return F.date_format(c, fmt)
 
 
-def order_table(ids: DataFrame, id_col: str = "id", seed: int = C.GEN_SEED) -> DataFrame:
-    """Order lines for every id of ``ids`` (ids must be unique for unique orders)."""
+def order_table(
+    ids: DataFrame, id_col: str = "id", seed: int = C.GEN_SEED,
+    category_weights=None, region_weights=None,
+) -> DataFrame:
+    """Order lines for every id of ``ids`` (ids must be unique for unique orders).
+
+    ``category_weights`` / ``region_weights`` replace the default mix, e.g. to
+    make one category hold most rows when testing hot keys.
+    """
     base = ids.select(
         order_id(id_col).alias("order_id"),
         order_date(id_col, seed).alias("order_date"),
-        product_category(id_col, seed).alias("product_category"),
+        product_category(id_col, seed, category_weights).alias("product_category"),
         quantity(id_col, seed).alias("quantity"),
         unit_price(id_col, seed).alias("unit_price"),
-        delivery_region(id_col, seed).alias("delivery_region"),
+        delivery_region(id_col, seed, region_weights).alias("delivery_region"),
         is_express(id_col, seed).alias("is_express"),
         with_missing(rating(id_col, seed), id_col, seed).alias("customer_rating"),
     )
@@ -133,6 +140,9 @@ def generate_orders(
     n_rows: int = C.GEN_ROWS,
     seed: int = C.GEN_SEED,
     num_partitions: int | None = None,
+    category_weights=None,
+    region_weights=None,
 ) -> DataFrame:
     """The synthetic order-line table with ``n_rows`` rows."""
-    return order_table(order_ids(spark, n_rows, num_partitions), "id", seed)
+    return order_table(order_ids(spark, n_rows, num_partitions), "id", seed,
+                       category_weights, region_weights)

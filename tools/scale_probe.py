@@ -1,6 +1,7 @@
 """Scale probe: generate N order lines as multi-file Parquet, time the job plans.
 
-Usage: python tools/scale_probe.py OUT_DIR N_ROWS [CPUS]
+Usage: python tools/scale_probe.py OUT_DIR N_ROWS [CPUS] [HOT_SHARE]
+HOT_SHARE (e.g. 0.6) puts that share of all rows into one category.
 OUT_DIR must be a fresh folder.  Prints one JSON line of timings.  The data is
 written once and then read by every plan, so the scan cost is real.  The
 reports of the base and single-pass plans are compared with each other and
@@ -28,11 +29,14 @@ from ledgerlens.sources.generate import generate_orders  # noqa: E402
 def main() -> None:
     out, n = sys.argv[1], int(sys.argv[2])
     cpus = int(sys.argv[3]) if len(sys.argv) > 3 else 8
+    hot = float(sys.argv[4]) if len(sys.argv) > 4 else None
+    weights = [hot] + [(1 - hot) / 4] * 4 if hot else None
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 4,
                           conf={"spark.driver.memory": "16g"})
     timings = {}
     t0 = time.perf_counter()
-    generate_orders(spark, n, num_partitions=cpus * 8).write.mode("overwrite").parquet(out)
+    generate_orders(spark, n, num_partitions=cpus * 8, category_weights=weights) \
+        .write.mode("overwrite").parquet(out)
     timings["generate_write"] = time.perf_counter() - t0
     df = spark.read.parquet(out)
 
@@ -69,7 +73,7 @@ def main() -> None:
             [tuple(r) for r in con.execute(
                 oracle.express_by_region_sql(summaries.C.EXPRESS_AMOUNT_THRESHOLD)).fetchall()])
     checks = {"single_pass_equals_base": single == base, "duckdb_equals_base": duck == base}
-    print(json.dumps({"rows": n, "cpus": cpus, **timings, **checks}))
+    print(json.dumps({"rows": n, "cpus": cpus, "hot_share": hot, **timings, **checks}))
     spark.stop()
 
 
