@@ -63,7 +63,7 @@ def q_profile_shape(spark, sf_dir):
 
 
 def q_profile_dtypes(spark, sf_dir):
-    return profile.profile_dtypes(spark, _lines(spark, sf_dir))
+    return profile.profile_columns(_lines(spark, sf_dir))
 
 
 def q_profile_null_counts(spark, sf_dir):
@@ -318,6 +318,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query; ``profile_dtypes`` (schema metadata) has none."""
+    """DuckDB SQL for every query."""
     return oracle.queries(EXPRESS_THRESHOLD, VISIBLE_SECS, FILL_RATING, HEAD_ROWS,
                           TOP_ROWS, list(STEPS), SEED)

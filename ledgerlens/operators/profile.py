@@ -52,6 +52,29 @@ def profile_null_counts(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(entries))
 
 
+def profile_columns(df: DataFrame) -> DataFrame:
+    """One row per column: position, name, Spark SQL type and non-missing values.
+
+    Like a pandas ``info()`` listing: the types come from the schema, the
+    counts from one aggregate over the data (null, and NaN in floating
+    columns, count as missing).
+    """
+    fields = df.schema.fields
+    counts = df.agg(*[F.count_if(~_missing(f)).alias(f"c{i}") for i, f in enumerate(fields)])
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(i + 1).alias("ordinal"),
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.col(f"c{i}").alias("non_null_count"),
+            )
+            for i, f in enumerate(fields)
+        ]
+    )
+    return counts.select(F.inline(entries))
+
+
 def profile_head(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
     """First ``n`` rows by ``order_by`` (a key is required: files have no row order).
 

@@ -171,15 +171,19 @@ def queries(express_threshold: float, visible_secs: float, fill_rating: float,
     rl = with_views(RUN_LOG)
     gen = with_views(IDS, generated_orders_view(seed))
     g = gen_columns(seed)
-    null_checks = []
-    for i, (c, floating) in enumerate([("order_id", False), ("order_date", False),
-                                       ("product_category", False), ("quantity", False),
-                                       ("unit_price", True), ("delivery_region", False),
-                                       ("is_express", False), ("customer_rating", True),
-                                       ("total_amount", True)], start=1):
+    null_checks, column_checks = [], []
+    # (column, Spark SQL type name, floating)
+    for i, (c, dtype, floating) in enumerate([
+            ("order_id", "string", False), ("order_date", "timestamp_ntz", False),
+            ("product_category", "string", False), ("quantity", "int", False),
+            ("unit_price", "double", True), ("delivery_region", "string", False),
+            ("is_express", "boolean", False), ("customer_rating", "double", True),
+            ("total_amount", "double", True)], start=1):
         cond = f"{c} IS NULL OR isnan({c})" if floating else f"{c} IS NULL"
         null_checks.append(f"SELECT {i} AS ordinal, '{c}' AS column_name, "
                            f"count(*) FILTER (WHERE {cond}) AS null_count FROM order_lines")
+        column_checks.append(f"SELECT {i} AS ordinal, '{c}' AS column_name, '{dtype}' AS data_type, "
+                             f"count(*) FILTER (WHERE NOT ({cond})) AS non_null_count FROM order_lines")
     pivot_cols = ",\n       ".join(
         f"coalesce(sum(secs) FILTER (WHERE step = '{s}'), 0.0) AS {s}" for s in steps)
     by_cat = "FROM {src} GROUP BY product_category"
@@ -208,6 +212,7 @@ FROM ids""",
         # profile
         "profile_shape": ol + "SELECT count(*) AS n_rows, CAST(9 AS INTEGER) AS n_cols FROM order_lines",
         "profile_null_counts": ol + "\nUNION ALL\n".join(null_checks),
+        "profile_dtypes": ol + "\nUNION ALL\n".join(column_checks),
         "profile_head": f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {head_rows}",
         # filters, imputation
         "filter_express": ol + "SELECT * FROM order_lines WHERE is_express",

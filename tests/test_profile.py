@@ -37,3 +37,10 @@ def test_head_is_ordered_top_k(spark):
     assert "TakeOrderedAndProject" in head._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         profile.profile_head(orders, 3, [])
+
+
+def test_profile_columns_types_and_counts(spark):
+    df = spark.createDataFrame([(1, None, "a"), (None, float("nan"), None), (3, 2.0, "c")],
+                               "a int, b double, c string")
+    got = [tuple(r) for r in profile.profile_columns(df).collect()]
+    assert got == [(1, "a", "int", 2), (2, "b", "double", 1), (3, "c", "string", 2)]
