@@ -50,15 +50,20 @@ class StepTimer:
         self.spark = spark
         self.steps: dict[str, float] = {}
 
+    def _describe(self, text: str | None) -> None:
+        try:
+            self.spark.sparkContext.setJobDescription(text)
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): timing only
+            pass
+
     def run(self, name: str, fn: Callable[[], object]) -> object:
-        sc = self.spark.sparkContext
-        sc.setJobDescription(name)
+        self._describe(name)
         start = time.perf_counter()
         try:
             return fn()
         finally:
             self.steps[name] = time.perf_counter() - start
-            sc.setJobDescription(None)
+            self._describe(None)
 
 
 def read_input(spark: SparkSession, path: str, fmt: str, infer: bool) -> DataFrame:

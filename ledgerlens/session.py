@@ -40,7 +40,10 @@ def build_session(
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        pass
     return spark
 
 
