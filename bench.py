@@ -4,7 +4,7 @@ Prints ONE JSON line: {"metric", "value", "unit", "queries": {...}, "sf", ...}.
 ``value`` is the median total of the order job's four steps on Parquet input
 (count, rating mean, category report, express report), the same steps the
 published run records time, run like ``ledgerlens.plans.app --plan base``.  Each query is warmed up once and then timed
-``$BENCH_RUNS`` times (default 3); the median is reported.
+``$BENCH_RUNS`` times (default 5); the median is reported.
 
 Only small results (report rows) reach the driver; full evaluation of the
 generator uses the ``noop`` sink.
@@ -31,7 +31,7 @@ from ledgerlens.sources import files, generate, tables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 THRESHOLD = C.EXPRESS_AMOUNT_THRESHOLD
 
 
