@@ -169,3 +169,17 @@ def test_inline_run_records_keep_step_order(spark, tmp_dir):
     back = files.read_run_records(spark, out)
     keys = {r.experiment_id: r.k for r in back.select("experiment_id", F.map_keys("steps").alias("k")).collect()}
     assert keys == {"a": ["z", "b", "y"], "b": []}
+
+
+def test_analysis_app_on_published_records(spark, records_dir, capsys):
+    from ledgerlens.plans import analysis
+    t = analysis.main(["--records", os.path.join(records_dir, "*.json")], spark=spark)
+    runs = [(r.experiment_id, r.label, r.shuffle, r.repartition) for r in t["runs"].collect()]
+    assert runs == [("1dn_base", "1DN Базовый", 4, None), ("1dn_opt", "1DN Оптимизир.", 8, 8),
+                    ("3dn_base", "3DN Базовый", 4, None), ("3dn_opt", "3DN Оптимизир.", 8, 8)]
+    assert t["step_table"].columns == ["run_id"] + STEP_NAMES
+    assert [tuple(r)[1:] for r in t["step_table"].collect()] == [tuple(p[5]) for p in PUBLISHED]
+    assert {r.pair: round(r.speedup, 2) for r in t["speedups"].collect()} == {
+        "1DN опт. vs базовый": 1.37, "3DN опт. vs базовый": 0.83, "3DN базовый vs 1DN базовый": 1.52}
+    assert t["labelled_steps"].count() == 16
+    assert "speedups" in capsys.readouterr().out
