@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import clean, filters, summaries
@@ -104,3 +105,25 @@ def test_money_sum_skips_nan_and_null(spark):
     assert df.agg(summaries.money_sum("total_amount").alias("s")).first().s == 3.75
     empty = spark.createDataFrame([(None,)], "total_amount double")
     assert empty.agg(summaries.money_sum("total_amount").alias("s")).first().s is None
+
+
+# FIXTURES.md section 3: rows, null ratings, mean, fill, express > 100, express > 30000.
+FIXTURE_FACTS = {
+    "/root/testdata/sf0.001": (6000, 284, 3.008048, 3.0, 1533, 1089),
+    "/root/testdata/sf0.01": (60000, 3036, 2.997374, 3.0, 14974, 10757),
+    "/root/testdata/sf0.1": (600000, 29782, 2.998484, 3.0, 150134, 108239),
+}
+
+
+@pytest.mark.parametrize("sf_dir", sorted(FIXTURE_FACTS))
+def test_order_line_facts_at_every_scale(spark, sf_dir):
+    ol = tables.order_lines(spark, sf_dir)
+    row = ol.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("customer_rating").isNull()).alias("nulls"),
+        F.round(F.avg("customer_rating"), 6).alias("mean"),
+    ).first()
+    fill = clean.mean_value(ol, "customer_rating").first().fill_value
+    x100 = filters.filter_express_amount(ol, 100.0).count()
+    x30k = filters.filter_express_amount(ol, 30000.0).count()
+    assert (row.n, row.nulls, row.mean, fill, x100, x30k) == FIXTURE_FACTS[sf_dir]
