@@ -37,6 +37,9 @@ SEED = C.GEN_SEED
 
 
 # --- order lines ---------------------------------------------------------------
+# ``order_lines`` maps every lineitem row to an order line (FIXTURES.md section 3).
+# Its modulo expressions derive attributes (express flag, region, missing
+# ratings); they never subset rows: every query reads the whole table.
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.order_lines(spark, sf_dir)
