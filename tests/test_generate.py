@@ -75,3 +75,23 @@ def test_default_partitioning_grows_with_rows(spark):
     assert small == spark.sparkContext.defaultParallelism
     big = order_ids(spark, ROWS_PER_PARTITION * 40).rdd.getNumPartitions()
     assert big == max(40, spark.sparkContext.defaultParallelism)
+
+
+def test_slots_of_one_digest_are_uncorrelated_uniforms(spark):
+    from ledgerlens.functions.random import hash_uniform
+    n = 200_000
+    df = spark.range(1, n + 1).select(
+        *[hash_uniform("id", "a", 7, k).alias(f"a{k}") for k in range(4)],
+        hash_uniform("id", "b", 7, 0).alias("b0"),
+    )
+    pairs = [("a0", "a1"), ("a0", "a2"), ("a1", "a3"), ("a2", "a3"), ("a0", "b0")]
+    row = df.agg(*[F.corr(x, y).alias(f"{x}_{y}") for x, y in pairs],
+                 *[F.avg(c).alias(f"m_{c}") for c in ("a0", "a1", "a2", "a3")],
+                 *[F.var_pop(c).alias(f"v_{c}") for c in ("a0", "a3")]).first()
+    bound = 4 / math.sqrt(n)  # about 4 standard errors of a correlation estimate
+    for x, y in pairs:
+        assert abs(row[f"{x}_{y}"]) < bound, (x, y, row[f"{x}_{y}"])
+    for c in ("a0", "a1", "a2", "a3"):
+        assert abs(row[f"m_{c}"] - 0.5) < 0.005
+    for c in ("a0", "a3"):
+        assert abs(row[f"v_{c}"] - 1 / 12) < 0.002
