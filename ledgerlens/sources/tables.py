@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens import constants as C
 from ledgerlens import schemas
@@ -78,29 +79,27 @@ def run_meta(
 def run_records(spark: SparkSession, records: Sequence[dict]) -> DataFrame:
     """Run records given as dicts (the job's own record shape), step order kept.
 
-    ``createDataFrame`` turns a dict into a map through an unordered hash map;
-    here the map is built from two arrays so step positions survive.
+    ``createDataFrame`` turns a dict into a map through an unordered hash map,
+    so the steps travel as two arrays and become a map inside Spark.
     """
-    def one(rec: dict) -> DataFrame:
-        steps = rec.get("steps") or {}
-        cols = []
-        for f in schemas.RUN_RECORD.fields:
-            if f.name == "steps":
-                cols.append(F.map_from_arrays(
-                    F.array(*[F.lit(k) for k in steps]).cast("array<string>"),
-                    F.array(*[F.lit(v) for v in steps.values()]).cast("array<double>"),
-                ).alias("steps"))
-            else:
-                cols.append(F.lit(rec.get(f.name)).cast(f.dataType).alias(f.name))
-        return spark.range(1).select(*cols)
-
-    frames = [one(r) for r in records]
-    if not frames:
-        return spark.createDataFrame([], schemas.RUN_RECORD)
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    fields = [f for f in schemas.RUN_RECORD.fields if f.name != "steps"]
+    transport = T.StructType(
+        fields + [T.StructField("step_names", T.ArrayType(T.StringType())),
+                  T.StructField("step_secs", T.ArrayType(T.DoubleType()))])
+    def value(f: T.StructField, v):
+        return float(v) if v is not None and isinstance(f.dataType, T.DoubleType) else v
+
+    rows = [
+        tuple(value(f, rec.get(f.name)) for f in fields)
+        + (list((rec.get("steps") or {}).keys()), [float(v) for v in (rec.get("steps") or {}).values()])
+        for rec in records
+    ]
+    df = spark.createDataFrame(rows, transport)
+    return df.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) if f.name != "steps"
+          else F.map_from_arrays("step_names", "step_secs").alias("steps")
+          for f in schemas.RUN_RECORD.fields]
+    )
 
 
 def speedup_pairs(spark: SparkSession, rows: Sequence[tuple] | None = None) -> DataFrame:

@@ -162,7 +162,7 @@ def test_offsets_of_raw_log_aggregate_first(spark):
 def test_inline_run_records_keep_step_order(spark, tmp_dir):
     recs = tables.run_records(spark, [
         {"experiment_id": "a", "total_time_sec": 1.0, "steps": {"z": 1.0, "b": 2.0, "y": 3.0}},
-        {"experiment_id": "b", "total_time_sec": 2.0, "steps": {}},
+        {"experiment_id": "b", "total_time_sec": 2, "steps": {}},
     ])
     out = os.path.join(tmp_dir, "recs")
     files.write_run_records(recs, out)
