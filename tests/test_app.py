@@ -49,3 +49,19 @@ def test_dataset_app_generates_profiles_and_feeds_the_job(spark, tmp_dir):
     assert sum(info["nulls"].values()) == info["nulls"]["customer_rating"]
     record = app.main(["--input", path, "--results-dir", os.path.join(tmp_dir, "r")], spark=spark)
     assert record["experiment_id"] == "1dn_base"
+
+
+def test_app_reads_typed_csv_and_parquet_alike(spark, tmp_dir):
+    lines = tables.order_lines(spark, SF001)
+    csv, pq = os.path.join(tmp_dir, "csv"), os.path.join(tmp_dir, "pq")
+    files.write_csv(lines, csv)
+    files.write_parquet(lines, pq)
+    outs = []
+    for name, extra in (("typed", ["--input", csv, "--no-infer"]),
+                        ("parquet", ["--input", pq, "--format", "parquet"])):
+        out = os.path.join(tmp_dir, f"out-{name}")
+        app.main(extra + ["--results-dir", os.path.join(tmp_dir, "r"), "--experiment-id", name,
+                          "--threshold", "30000", "--output", out], spark=spark)
+        outs.append(sorted(map(tuple, spark.read.parquet(os.path.join(out, "express_by_region")).collect())))
+    assert outs[0] == outs[1] and len(outs[0]) == 5
+    assert files.read_run_records(spark, os.path.join(tmp_dir, "r")).count() == 2
