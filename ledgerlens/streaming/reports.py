@@ -68,7 +68,10 @@ def start_order_reports(
     """Start the query; reports appear under ``output_dir/<report>``.
 
     ``available_now`` processes what is in the folder and stops (a catch-up
-    run); otherwise micro-batches run every ``processing_time``.
+    run); otherwise micro-batches run every ``processing_time``.  Pass a
+    stable ``checkpoint_location`` on shared storage to resume after a restart
+    with only the new files; without one, a fresh folder below the session's
+    checkpoint directory is used, so every start re-reads the whole folder.
     """
     stats = order_stats_stream(spark, source_dir, threshold, **source_options)
     writer = (
