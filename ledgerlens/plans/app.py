@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens import constants as C
 from ledgerlens.operators import clean, summaries
-from ledgerlens.plans.single_pass import order_stats, reports_from_stats
+from ledgerlens.plans.single_pass import fill_value, order_stats, reports_from_stats
 from ledgerlens.plans.tuned import TunedReports
 from ledgerlens.session import build_session, checkpoint_root
 from ledgerlens.sources import files, tables
@@ -72,6 +72,10 @@ def read_input(spark: SparkSession, path: str, fmt: str, infer: bool) -> DataFra
     return files.read_csv_inferred(spark, path) if infer else files.read_csv(spark, path)
 
 
+def _print_count(df: DataFrame) -> None:
+    print(f"rows: {summaries.row_count(df).first().row_count:,}")
+
+
 def _show(title: str, df: DataFrame, rows: int) -> None:
     print(f"== {title}")
     df.show(rows, truncate=False)
@@ -99,15 +103,21 @@ def run_job(
 
     if plan == "single-pass":
         checkpoint_root(spark)
-        stats = timer.run(READ, lambda: order_stats(df, threshold).checkpoint(eager=True))
-        count, summary, express = reports_from_stats(stats)
-        timer.run(IMPUTE, lambda: count.collect())
+
+        def read_stats():
+            stats = order_stats(df, threshold).checkpoint(eager=True)
+            print(f"rows: {reports_from_stats(stats)[0].first().row_count:,}")
+            return stats
+
+        stats = timer.run(READ, read_stats)
+        timer.run(IMPUTE, lambda: fill_value(stats).first())
+        _, summary, express = reports_from_stats(stats)
         reports["category_summary"] = summary
         reports["express_by_region"] = express
         timer.run(GROUP, lambda: _show("category summary", summary, show_rows))
         timer.run(FILTER, lambda: _show("express orders by region", express, show_rows))
     elif plan == "tuned":
-        timer.run(READ, lambda: summaries.row_count(df).collect())
+        timer.run(READ, lambda: _print_count(df))
         with TunedReports(df, threshold, repartition) as tuned:
             timer.run(IMPUTE, lambda: tuned.row_count.collect())  # fills the cache
             reports["category_summary"] = tuned.category_summary
@@ -117,7 +127,7 @@ def run_job(
             if output_dir:
                 _write_reports(reports, output_dir)
     elif plan == "base":
-        timer.run(READ, lambda: summaries.row_count(df).collect())
+        timer.run(READ, lambda: _print_count(df))
         fill = timer.run(IMPUTE, lambda: clean.mean_value(df, "customer_rating").first().fill_value)
         imputed = clean.fill_constant(df, {"customer_rating": fill}) if fill is not None else df
         reports["category_summary"] = summaries.category_summary(imputed)

@@ -49,7 +49,8 @@ def order_stats(
     )
 
 
-def _fill_value(stats: DataFrame, scale: int) -> DataFrame:
+def fill_value(stats: DataFrame, scale: int = C.IMPUTE_SCALE) -> DataFrame:
+    """One-row frame: the rounded mean rating, from the statistics table."""
     return stats.agg(
         F.round(F.try_divide(F.sum("rating_sum"), F.sum("n_rated")), scale).alias("fill_value")
     )
@@ -63,7 +64,7 @@ def reports_from_stats(
     avg_scale: int = AVG_SCALE,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(row count, category summary, express by region) from ``order_stats``."""
-    fill = _fill_value(stats, scale).scalar()
+    fill = fill_value(stats, scale).scalar()
     by_cat = stats.groupBy(category).agg(
         F.sum("n_rows").alias("n_rows"),
         F.sum("n_orders").alias("total_orders"),
