@@ -2,8 +2,11 @@
 
 Differences from a naive ``df.cache()`` of the raw input:
 
-* only the columns the reports read are persisted, after imputation, so the
-  cache is small and the scan keeps column pruning;
+* only the columns the reports read are persisted, so the cache is small and
+  the source scan keeps column pruning;
+* the source is read once, to fill the cache; the rating mean is then
+  computed from the cache (the columnar cache reads just that column) and the
+  fill is a projection over the cached rows;
 * the optional round-robin ``repartition(n)`` runs once, before the cache,
   not once per report;
 * ``close()`` unpersists the same handle that was persisted.
@@ -39,13 +42,14 @@ class TunedReports:
         repartition: int | None = None,
         storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
     ) -> None:
-        shared = impute_mean(df.select(*REPORT_COLUMNS), "customer_rating")
+        shared = df.select(*REPORT_COLUMNS)
         if repartition:
             shared = shared.repartition(repartition)
         self.shared = shared.persist(storage_level)
+        imputed = impute_mean(self.shared, "customer_rating")
         self.row_count = row_count(self.shared)
-        self.category_summary = category_summary(self.shared)
-        self.express_by_region = express_by_region(self.shared, threshold)
+        self.category_summary = category_summary(imputed)
+        self.express_by_region = express_by_region(imputed, threshold)
 
     def close(self) -> None:
         self.shared.unpersist()
