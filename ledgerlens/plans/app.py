@@ -98,18 +98,24 @@ def run_job(
     ram_start = driver_rss_mb()
     timer = StepTimer(spark)
     started = time.perf_counter()
-    df = read_input(spark, input_path, fmt, infer)
     reports: dict[str, DataFrame] = {}
+    holder: dict[str, DataFrame] = {}
+
+    def read_and_count() -> None:
+        # Schema inference (when asked for) is part of reading, as in the job.
+        holder["df"] = read_input(spark, input_path, fmt, infer)
+        _print_count(holder["df"])
 
     if plan == "single-pass":
         checkpoint_root(spark)
 
-        def read_stats():
-            stats = order_stats(df, threshold).checkpoint(eager=True)
-            print(f"rows: {reports_from_stats(stats)[0].first().row_count:,}")
-            return stats
+        def read_stats() -> None:
+            holder["df"] = read_input(spark, input_path, fmt, infer)
+            holder["stats"] = order_stats(holder["df"], threshold).checkpoint(eager=True)
+            print(f"rows: {reports_from_stats(holder['stats'])[0].first().row_count:,}")
 
-        stats = timer.run(READ, read_stats)
+        timer.run(READ, read_stats)
+        stats = holder["stats"]
         timer.run(IMPUTE, lambda: fill_value(stats).first())
         _, summary, express = reports_from_stats(stats)
         reports["category_summary"] = summary
@@ -117,8 +123,8 @@ def run_job(
         timer.run(GROUP, lambda: _show("category summary", summary, show_rows))
         timer.run(FILTER, lambda: _show("express orders by region", express, show_rows))
     elif plan == "tuned":
-        timer.run(READ, lambda: _print_count(df))
-        with TunedReports(df, threshold, repartition) as tuned:
+        timer.run(READ, read_and_count)
+        with TunedReports(holder["df"], threshold, repartition) as tuned:
             timer.run(IMPUTE, lambda: tuned.row_count.collect())  # fills the cache
             reports["category_summary"] = tuned.category_summary
             reports["express_by_region"] = tuned.express_by_region
@@ -127,7 +133,8 @@ def run_job(
             if output_dir:
                 _write_reports(reports, output_dir)
     elif plan == "base":
-        timer.run(READ, lambda: _print_count(df))
+        timer.run(READ, read_and_count)
+        df = holder["df"]
         fill = timer.run(IMPUTE, lambda: clean.mean_value(df, "customer_rating").first().fill_value)
         imputed = clean.fill_constant(df, {"customer_rating": fill}) if fill is not None else df
         reports["category_summary"] = summaries.category_summary(imputed)
