@@ -78,8 +78,13 @@ def profile_columns(df: DataFrame) -> DataFrame:
 def profile_head(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFrame:
     """First ``n`` rows by ``order_by`` (a key is required: files have no row order).
 
-    Plans as ``TakeOrderedAndProject``: a per-task top n, not a global sort.
+    The remaining sortable columns break ties, so a non-unique key still gives
+    the same rows on every run.  Plans as ``TakeOrderedAndProject``: a per-task
+    top n, not a global sort.
     """
     if not order_by:
         raise ValueError("profile_head needs an ordering key")
-    return df.orderBy(*order_by).limit(n)
+    named = {c for c in order_by if isinstance(c, str)}
+    ties = [F.col(f"`{f.name}`") for f in df.schema.fields
+            if f.name not in named and not isinstance(f.dataType, T.MapType)]
+    return df.orderBy(*order_by, *ties).limit(n)

@@ -44,3 +44,8 @@ def test_profile_columns_types_and_counts(spark):
                                "a int, b double, c string")
     got = [tuple(r) for r in profile.profile_columns(df).collect()]
     assert got == [(1, "a", "int", 2), (2, "b", "double", 1), (3, "c", "string", 2)]
+
+
+def test_head_breaks_ties_deterministically(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (0, "z")], "k int, v string")
+    assert [tuple(r) for r in profile.profile_head(df, 2, ["k"]).collect()] == [(0, "z"), (1, "a")]
