@@ -216,11 +216,11 @@ def q_runlog_roundtrip_json(spark, sf_dir):
 
 
 def q_runlog_enrich(spark, sf_dir):
-    return runlog.enrich(_log(spark, sf_dir), tables.run_meta(spark))
+    return runlog.enrich(_log(spark, sf_dir))
 
 
 def q_runlog_unknown_ids(spark, sf_dir):
-    return runlog.unknown_configs(_log(spark, sf_dir), tables.run_meta(spark))
+    return runlog.unknown_configs(_log(spark, sf_dir))
 
 
 def q_runlog_steps_long(spark, sf_dir):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerlens import constants as C
 from ledgerlens.functions.money import money_sum, to_cents
 from ledgerlens.functions.ordering import list_position
+from ledgerlens.sources.tables import run_meta
 
 
 # --- run records (nested) <-> long log ----------------------------------------
@@ -90,23 +91,34 @@ def with_custom_order(
     return df.withColumn(alias, list_position(key, list(order), unknown))
 
 
-def enrich(runs: DataFrame, meta: DataFrame, key: str = "config", meta_is_small: bool = True) -> DataFrame:
+def _lookup(runs: DataFrame, meta: DataFrame | None, broadcast_meta: bool | None) -> DataFrame:
+    """The lookup side: the built-in table (4 rows, broadcast) unless one is given.
+
+    A supplied lookup is broadcast only when the caller vouches for its size
+    (``broadcast_meta=True``); otherwise AQE picks the join from runtime sizes.
+    """
+    if meta is None:
+        return F.broadcast(run_meta(runs.sparkSession))  # 4 rows by construction
+    return F.broadcast(meta) if broadcast_meta else meta
+
+
+def enrich(
+    runs: DataFrame, meta: DataFrame | None = None, key: str = "config",
+    broadcast_meta: bool | None = None,
+) -> DataFrame:
     """Left join of the configuration lookup; unknown keys keep null labels.
 
-    ``meta_is_small`` marks a lookup whose size is bounded by construction
-    (the built-in table has four rows): it is broadcast, so the run log is not
-    shuffled.  For other lookups AQE chooses the join from runtime sizes.
+    The built-in lookup is broadcast, so the run log is not shuffled.
     """
-    side = F.broadcast(meta) if meta_is_small else meta
-    return runs.join(side, key, "left")
+    return runs.join(_lookup(runs, meta, broadcast_meta), key, "left")
 
 
 def unknown_configs(
-    runs: DataFrame, meta: DataFrame, key: str = "config", run: str = "run_id",
-    meta_is_small: bool = True,
+    runs: DataFrame, meta: DataFrame | None = None, key: str = "config", run: str = "run_id",
+    broadcast_meta: bool | None = None,
 ) -> DataFrame:
     """Runs whose configuration is missing from the lookup (anti join)."""
-    side = F.broadcast(meta) if meta_is_small else meta
+    side = _lookup(runs, meta, broadcast_meta)
     return runs.join(side, key, "left_anti").select(run, key).distinct()
 
 

@@ -23,7 +23,6 @@ from ledgerlens.sources import files, tables
 
 def analysis_tables(spark: SparkSession, records: DataFrame) -> dict[str, DataFrame]:
     """All analysis tables from a frame of run records (lazy)."""
-    meta = tables.run_meta(spark)
     runs = runlog.with_custom_order(
         records.select("experiment_id", F.col("experiment_id").alias("config"), "total_time_sec"),
         "config")
@@ -32,14 +31,14 @@ def analysis_tables(spark: SparkSession, records: DataFrame) -> dict[str, DataFr
     totals = records.select(F.col("experiment_id").alias("config"),
                             F.col("total_time_sec").alias("total_secs"))
     return {
-        "runs": runlog.enrich(runs, meta).orderBy("sort_key", "experiment_id"),
+        "runs": runlog.enrich(runs).orderBy("sort_key", "experiment_id"),
         "step_table": runlog.with_custom_order(runlog.step_pivot(long, steps), "run_id")
         .orderBy("sort_key", "run_id").drop("sort_key"),
         "stack_offsets": runlog.stack_offsets(long).orderBy("run_id", "step_pos"),
         "labelled_steps": runlog.visible_steps(long).orderBy("run_id", "step_pos"),
         "totals": runlog.record_summary(records).orderBy("experiment_id"),
         "speedups": runlog.speedups(totals, tables.speedup_pairs(spark)).orderBy("pair"),
-        "unknown_configs": runlog.unknown_configs(runs, meta, run="experiment_id"),
+        "unknown_configs": runlog.unknown_configs(runs, run="experiment_id"),
     }
 
 

@@ -83,9 +83,14 @@ def test_unknown_id_sorts_last_and_is_reported(spark):
     runs = spark.createDataFrame([("x", "new_cfg"), ("y", "1dn_opt")], "run_id string, config string")
     ordered = runlog.with_custom_order(runs).orderBy("sort_key").collect()
     assert [(r.run_id, r.sort_key) for r in ordered] == [("y", 2), ("x", 99)]
-    enriched = {r.run_id: r.label for r in runlog.enrich(runs, tables.run_meta(spark)).collect()}
+    enriched = {r.run_id: r.label for r in runlog.enrich(runs).collect()}
     assert enriched == {"x": None, "y": "1DN Оптимизир."}
-    assert [r.run_id for r in runlog.unknown_configs(runs, tables.run_meta(spark)).collect()] == ["x"]
+    assert [r.run_id for r in runlog.unknown_configs(runs).collect()] == ["x"]
+    # A supplied lookup works the same; it is broadcast only when vouched for.
+    meta = tables.run_meta(spark)
+    assert {r.run_id: r.label for r in runlog.enrich(runs, meta).collect()} == enriched
+    plan = runlog.enrich(runs, meta, broadcast_meta=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan.lower()
 
 
 def test_pivot_missing_step_is_zero(spark):
