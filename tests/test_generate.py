@@ -95,3 +95,10 @@ def test_slots_of_one_digest_are_uncorrelated_uniforms(spark):
         assert abs(row[f"m_{c}"] - 0.5) < 0.005
     for c in ("a0", "a3"):
         assert abs(row[f"v_{c}"] - 1 / 12) < 0.002
+
+
+def test_first_row_fixture(spark):
+    import datetime as dt
+    row = generate_orders(spark, 1, num_partitions=1).first()
+    assert tuple(row) == ("ORD-0000001", dt.datetime(2024, 4, 13, 14, 0), "Clothing", 9, 15.72,
+                          "Moscow", False, 4.3, 9 * 15.72)
