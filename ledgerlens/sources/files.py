@@ -86,6 +86,10 @@ def read_run_records(spark: SparkSession, path: str, multi_line: bool = True) ->
 def write_run_records(records: DataFrame, path: str) -> None:
     """One folder per experiment id, replaced when the id is written again.
 
+    A re-run replaces a record: of several records for one id, the one with
+    the latest ``timestamp`` is kept, so every folder holds one record (as the
+    one-object-per-file reader expects).  The ``groupBy`` that picks it (partial
+    aggregation, one shuffle) also clusters the rows by id for the write.
     Dynamic partition overwrite replaces only the ids present in ``records``;
     other runs' files stay.  Non-ASCII step names are written as UTF-8.  A
     missing ``timestamp`` is stamped with the write time.
@@ -94,9 +98,14 @@ def write_run_records(records: DataFrame, path: str) -> None:
         "timestamp",
         F.coalesce(F.col("timestamp"), F.date_format(F.current_timestamp(), TIMESTAMP_FORMAT)),
     )
+    others = [c for c in stamped.columns if c != "experiment_id"]
+    latest = (
+        stamped.groupBy("experiment_id")
+        .agg(F.max_by(F.struct(*others), F.col("timestamp")).alias("record"))
+        .select("experiment_id", "record.*")
+    )
     (
-        stamped.repartition("experiment_id")
-        .write.mode("overwrite")
+        latest.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("experiment_id")
         .json(path)

@@ -188,3 +188,15 @@ def test_analysis_app_on_published_records(spark, records_dir, capsys):
         "1DN опт. vs базовый": 1.37, "3DN опт. vs базовый": 0.83, "3DN базовый vs 1DN базовый": 1.52}
     assert t["labelled_steps"].count() == 16
     assert "speedups" in capsys.readouterr().out
+
+
+def test_latest_record_per_id_wins(spark, tmp_dir):
+    recs = tables.run_records(spark, [
+        {"experiment_id": "a", "total_time_sec": 1.0, "steps": {"s": 1.0}, "timestamp": "2026-01-01 10:00:00"},
+        {"experiment_id": "a", "total_time_sec": 2.0, "steps": {"s": 2.0}, "timestamp": "2026-01-02 10:00:00"},
+        {"experiment_id": "b", "total_time_sec": 3.0, "steps": {"s": 3.0}, "timestamp": "2026-01-01 09:00:00"},
+    ])
+    out = os.path.join(tmp_dir, "recs")
+    files.write_run_records(recs, out)
+    back = {r.experiment_id: r.total_time_sec for r in files.read_run_records(spark, out).collect()}
+    assert back == {"a": 2.0, "b": 3.0}
