@@ -131,6 +131,8 @@ def step_pivot(log: DataFrame, steps: Sequence[str], run: str = "run_id") -> Dat
     partial sums, for any number of runs.  ``steps`` fixes the columns (pass
     the steps of the first record to reproduce a chart's step list).
     """
+    if not steps:
+        return log.select(run).distinct()
     cols = [
         F.coalesce(F.sum(F.when(F.col("step") == F.lit(s), F.col("secs"))), F.lit(0.0)).alias(s)
         for s in steps

@@ -200,3 +200,9 @@ def test_latest_record_per_id_wins(spark, tmp_dir):
     files.write_run_records(recs, out)
     back = {r.experiment_id: r.total_time_sec for r in files.read_run_records(spark, out).collect()}
     assert back == {"a": 2.0, "b": 3.0}
+
+
+def test_pivot_without_steps_lists_runs(spark):
+    log = spark.createDataFrame([("r1", "c", "a", 1, 1.0), ("r1", "c", "b", 2, 2.0)],
+                                "run_id string, config string, step string, step_pos int, secs double")
+    assert [tuple(r) for r in runlog.step_pivot(log, []).collect()] == [("r1",)]
