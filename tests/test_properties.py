@@ -87,7 +87,7 @@ def check(count_df, summary_df, express_df, expected):
     assert got_x == express
 
 
-@settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "12")), deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "12")), deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(rows)
 def test_all_plans_match_brute_force(spark, data):
     df = spark.createDataFrame(data, SCHEMA)
@@ -120,7 +120,7 @@ def _log_rows(entries):
     return [(run, config[run], step, STEPS.index(step) + 1, secs) for (run, step), secs in entries.items()]
 
 
-@settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "12")), deadline=None,
+@settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "12")), deadline=None, derandomize=True,
           suppress_health_check=list(HealthCheck))
 @given(logs)
 def test_runlog_operators_match_brute_force(spark, entries):
