@@ -1,6 +1,6 @@
 """Column-level helpers; each returns a ``Column`` of Spark built-ins."""
 
-from ledgerlens.functions.money import money_sum, to_cents
+from ledgerlens.functions.money import exact_mean, money_sum, to_cents, to_units
 from ledgerlens.functions.ordering import list_position
 from ledgerlens.functions.random import (
     hash_uniform,
@@ -11,12 +11,14 @@ from ledgerlens.functions.random import (
 )
 
 __all__ = [
+    "exact_mean",
     "hash_uniform",
     "list_position",
     "lognormal",
     "money_sum",
     "standard_normal",
     "to_cents",
+    "to_units",
     "uniform_int",
     "weighted_choice",
 ]

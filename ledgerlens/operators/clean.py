@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import constants as C
+from ledgerlens.functions.money import exact_mean
 
 _FLOATING = (T.DoubleType, T.FloatType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -28,8 +29,12 @@ def missing_as_null(df: DataFrame, name: str) -> Column:
 
 
 def mean_value(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFrame:
-    """One-row frame: mean of the non-missing values rounded half-up to ``scale``."""
-    return df.agg(F.round(F.avg(missing_as_null(df, name)), scale).alias("fill_value"))
+    """One-row frame: mean of the non-missing values rounded half-up to ``scale``.
+
+    The mean is summed exactly (``exact_mean``), so the fill value is the same
+    for every partitioning, even when the mean lies on a rounding tie.
+    """
+    return df.agg(F.round(exact_mean(missing_as_null(df, name)), scale).alias("fill_value"))
 
 
 def impute_mean(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFrame:

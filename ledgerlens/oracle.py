@@ -26,7 +26,9 @@ ORDER_LINES = """order_lines AS (
   FROM lineitem)"""
 
 IMPUTED = """fill AS (
-  SELECT round(avg(CASE WHEN isnan(customer_rating) THEN NULL ELSE customer_rating END), 1) AS v
+  SELECT round(CAST(sum(CAST(round_even((CASE WHEN isnan(customer_rating) THEN NULL ELSE customer_rating END)
+                                        * 1000000, 0) AS BIGINT)) AS DOUBLE)
+               / count(CASE WHEN isnan(customer_rating) THEN NULL ELSE customer_rating END) / 1000000, 1) AS v
   FROM order_lines),
 imputed AS (
   SELECT * REPLACE (coalesce(CASE WHEN isnan(customer_rating) THEN NULL ELSE customer_rating END,

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import to_cents
+from ledgerlens.functions.money import MEAN_SCALE, to_cents, to_units
 from ledgerlens.operators.clean import missing_as_null
 from ledgerlens.operators.summaries import AVG_SCALE, ranked
 from ledgerlens.session import checkpoint_root
@@ -41,6 +41,7 @@ def order_stats(
         F.sum(cents).alias("cents"),
         F.count(rating).alias("n_rated"),
         F.sum(rating).alias("rating_sum"),
+        F.sum(to_units(rating, MEAN_SCALE)).alias("rating_units"),
         F.sum(F.col("quantity").cast("double")).alias("qty_sum"),
         F.count("quantity").alias("n_qty"),
         F.count_if(express).alias("x_rows"),
@@ -50,10 +51,13 @@ def order_stats(
 
 
 def fill_value(stats: DataFrame, scale: int = C.IMPUTE_SCALE) -> DataFrame:
-    """One-row frame: the rounded mean rating, from the statistics table."""
-    return stats.agg(
-        F.round(F.try_divide(F.sum("rating_sum"), F.sum("n_rated")), scale).alias("fill_value")
-    )
+    """One-row frame: the rounded mean rating, from the statistics table.
+
+    Same exact arithmetic as ``clean.mean_value`` (integer units summed), so
+    both plans impute the same value.
+    """
+    mean = F.try_divide(F.sum("rating_units").cast("double"), F.sum("n_rated")) / float(10**MEAN_SCALE)
+    return stats.agg(F.round(mean, scale).alias("fill_value"))
 
 
 def reports_from_stats(

@@ -41,7 +41,8 @@ def brute_force(data):
     present = [r[5] for r in data if not _missing(r[5])]
     fill = None
     if present:
-        mean = sum(present) / len(present)
+        # Exact mean: integer micro-units, then half-up on the decimal form.
+        mean = sum(round(v * 1_000_000) for v in present) / len(present) / 1_000_000
         fill = float(Decimal(repr(mean)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))
     cats = defaultdict(list)
     for r in data:
