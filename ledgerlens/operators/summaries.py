@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import money_sum
+from ledgerlens.functions.money import exact_mean, money_sum
 from ledgerlens.operators.filters import filter_express_amount
 
 AVG_SCALE = 6
 
 
 def rounded_avg(c: Column | str, scale: int = AVG_SCALE) -> Column:
-    return F.round(F.avg(c), scale)
+    """Mean rounded to ``scale`` decimals, summed exactly (``exact_mean``), so
+    every plan and partitioning gives the same digits, ties included."""
+    return F.round(exact_mean(c), scale)
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -52,6 +52,12 @@ def cents(expr: str) -> str:
     return f"CAST(round_even((CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END) * 100, 0) AS BIGINT)"
 
 
+def exact_avg(expr: str, scale: int = 6) -> str:
+    """Mean in exact integer micro-units, same arithmetic as ``functions.money.exact_mean``."""
+    units = f"CAST(round_even((CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END) * 1000000, 0) AS BIGINT)"
+    return f"round(CAST(sum({units}) AS DOUBLE) / count({units}) / 1000000, {scale})"
+
+
 def money(expr: str) -> str:
     """Exact cent sum, same arithmetic as ``functions.money.money_sum``."""
     return f"CAST(sum({cents(expr)}) AS DOUBLE) / 100"
@@ -65,8 +71,8 @@ def category_summary_sql(source: str = "imputed") -> str:
     return f"""SELECT product_category,
        count(order_id) AS total_orders,
        {money('total_amount')} AS revenue,
-       round(avg(customer_rating), 6) AS avg_rating,
-       round(avg(quantity), 6) AS avg_quantity
+       {exact_avg('customer_rating')} AS avg_rating,
+       {exact_avg('quantity')} AS avg_quantity
 FROM {source} GROUP BY product_category
 ORDER BY revenue DESC NULLS LAST, product_category"""
 
@@ -227,15 +233,15 @@ FROM ids""",
             f" {fill_rating!r}) AS customer_rating) FROM order_lines"),
         # aggregates
         "row_count": ol + "SELECT count(*) AS row_count FROM order_lines",
-        "mean_rating": ol + "SELECT round(avg(customer_rating), 6) AS mean_rating FROM order_lines",
+        "mean_rating": ol + f"SELECT {exact_avg('customer_rating')} AS mean_rating FROM order_lines",
         "count_rated_by_category": ol + (
             "SELECT product_category, count(customer_rating) AS rated_orders " + by_cat.format(src="order_lines")),
         "revenue_by_category": ol + (
             f"SELECT product_category, {money('total_amount')} AS revenue " + by_cat.format(src="order_lines")),
         "avg_rating_by_category": imp + (
-            "SELECT product_category, round(avg(customer_rating), 6) AS avg_rating " + by_cat.format(src="imputed")),
+            f"SELECT product_category, {exact_avg('customer_rating')} AS avg_rating " + by_cat.format(src="imputed")),
         "avg_quantity_by_category": ol + (
-            "SELECT product_category, round(avg(quantity), 6) AS avg_quantity " + by_cat.format(src="order_lines")),
+            f"SELECT product_category, {exact_avg('quantity')} AS avg_quantity " + by_cat.format(src="order_lines")),
         "category_summary": imp + category_summary_sql(),
         "express_by_region": ol + express_by_region_sql(express_threshold),
         # sort / limit

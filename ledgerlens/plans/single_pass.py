@@ -40,10 +40,9 @@ def order_stats(
         F.count("order_id").alias("n_orders"),
         F.sum(cents).alias("cents"),
         F.count(rating).alias("n_rated"),
-        F.sum(rating).alias("rating_sum"),
         F.sum(to_units(rating, MEAN_SCALE)).alias("rating_units"),
-        F.sum(F.col("quantity").cast("double")).alias("qty_sum"),
-        F.count("quantity").alias("n_qty"),
+        F.sum(to_units("quantity", MEAN_SCALE)).alias("qty_units"),
+        F.count(to_units("quantity", MEAN_SCALE)).alias("n_qty"),
         F.count_if(express).alias("x_rows"),
         F.count(F.when(express, F.col("order_id"))).alias("x_orders"),
         F.sum(F.when(express, cents)).alias("x_cents"),
@@ -74,19 +73,23 @@ def reports_from_stats(
         F.sum("n_orders").alias("total_orders"),
         F.sum("cents").alias("cents"),
         F.sum("n_rated").alias("n_rated"),
-        F.coalesce(F.sum("rating_sum"), F.lit(0.0)).alias("rating_sum"),
-        F.sum("qty_sum").alias("qty_sum"),
+        F.coalesce(F.sum("rating_units"), F.lit(0).cast("bigint")).alias("rating_units"),
+        F.sum("qty_units").alias("qty_units"),
         F.sum("n_qty").alias("n_qty"),
     )
+    # Same integers as averaging the imputed column in exact units.
+    unit = float(10**MEAN_SCALE)
     missing = F.col("n_rows") - F.col("n_rated")
-    rating_total = F.col("rating_sum") + F.coalesce(fill * missing, F.lit(0.0))
+    fill_units = F.rint(fill * unit).cast("bigint")
+    rating_units = F.col("rating_units") + F.coalesce(fill_units * missing, F.lit(0).cast("bigint"))
     rating_slots = F.col("n_rated") + F.when(fill.isNotNull(), missing).otherwise(F.lit(0))
     summary = by_cat.select(
         category,
         "total_orders",
         (F.col("cents") / 100.0).alias("revenue"),
-        F.round(F.try_divide(rating_total, rating_slots), avg_scale).alias("avg_rating"),
-        F.round(F.try_divide(F.col("qty_sum"), F.col("n_qty")), avg_scale).alias("avg_quantity"),
+        F.round(F.try_divide(rating_units.cast("double"), rating_slots) / unit, avg_scale).alias("avg_rating"),
+        F.round(F.try_divide(F.col("qty_units").cast("double"), F.col("n_qty")) / unit, avg_scale)
+        .alias("avg_quantity"),
     )
     express = (
         stats.groupBy(region)
