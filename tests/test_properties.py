@@ -165,3 +165,19 @@ def test_runlog_operators_match_brute_force(spark, entries):
         mine = sorted((STEPS.index(s), s, v) for (rr, s), v in entries.items() if rr == run)
         want += [(run, s, i + 1, v) for i, (_, s, v) in enumerate(mine)]
     assert got == sorted(want)
+
+
+# --- fill value: one answer for every partitioning ---------------------------------
+
+from ledgerlens.operators.clean import mean_value  # noqa: E402
+
+
+@settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "10")), deadline=None, derandomize=True,
+          suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(10, 50), min_size=1, max_size=40))
+def test_fill_is_exact_and_partition_invariant(spark, tenths):
+    values = [t / 10 for t in tenths]
+    df = spark.createDataFrame([(v,) for v in values], "r double")
+    fills = {mean_value(df.repartition(p), "r").first().fill_value for p in (1, 3, 7)}
+    exact = Decimal(sum(tenths)) / Decimal(10 * len(tenths))
+    assert fills == {float(exact.quantize(Decimal("0.1"), rounding=ROUND_HALF_UP))}
