@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import exact_mean
+from ledgerlens.functions.money import MEAN_SCALE, exact_mean
 
 _FLOATING = (T.DoubleType, T.FloatType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -34,7 +34,8 @@ def mean_value(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFra
     The mean is summed exactly (``exact_mean``), so the fill value is the same
     for every partitioning, even when the mean lies on a rounding tie.
     """
-    return df.agg(F.round(exact_mean(missing_as_null(df, name)), scale).alias("fill_value"))
+    units = 0 if isinstance(_data_type(df, name), _INTEGRAL) else MEAN_SCALE
+    return df.agg(F.round(exact_mean(missing_as_null(df, name), units), scale).alias("fill_value"))
 
 
 def impute_mean(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFrame:

@@ -11,18 +11,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import exact_mean, money_sum
+from ledgerlens.functions.money import MEAN_SCALE, exact_mean, money_sum
 from ledgerlens.operators.filters import filter_express_amount
 
 AVG_SCALE = 6
 
 
-def rounded_avg(c: Column | str, scale: int = AVG_SCALE) -> Column:
-    """Mean rounded to ``scale`` decimals, summed exactly (``exact_mean``), so
-    every plan and partitioning gives the same digits, ties included."""
-    return F.round(exact_mean(c), scale)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def unit_scale(df: DataFrame, name: str) -> int:
+    """Exact-sum units for a mean of ``name``: whole numbers for integer columns
+    (exact, and no overflow for any row count), 10^-6 for floating ones."""
+    dtype = df.select(name).schema.fields[0].dataType
+    return 0 if isinstance(dtype, _INTEGRAL) else MEAN_SCALE
+
+
+def rounded_avg(c: Column | str, scale: int = AVG_SCALE, units: int = MEAN_SCALE) -> Column:
+    """Mean rounded to ``scale`` decimals, summed exactly in 10^-units steps
+    (``exact_mean``), so every plan and partitioning gives the same digits."""
+    return F.round(exact_mean(c, units), scale)
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -32,7 +43,7 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def mean_of(df: DataFrame, name: str, alias: str, scale: int = AVG_SCALE) -> DataFrame:
     """Global null-skipping mean; null on empty input."""
-    return df.agg(rounded_avg(name, scale).alias(alias))
+    return df.agg(rounded_avg(name, scale, unit_scale(df, name)).alias(alias))
 
 
 def ranked(df: DataFrame, by: str, key: str) -> DataFrame:
@@ -53,8 +64,8 @@ def category_summary(
     out = df.groupBy(key).agg(
         F.count(order_id).alias("total_orders"),
         money_sum(amount).alias("revenue"),
-        rounded_avg(rating, avg_scale).alias("avg_rating"),
-        rounded_avg(quantity, avg_scale).alias("avg_quantity"),
+        rounded_avg(rating, avg_scale, unit_scale(df, rating)).alias("avg_rating"),
+        rounded_avg(quantity, avg_scale, unit_scale(df, quantity)).alias("avg_quantity"),
     )
     return ranked(out, "revenue", key)
 
@@ -86,7 +97,7 @@ def money_sum_by(df: DataFrame, key: str, amount: str, alias: str) -> DataFrame:
 
 
 def avg_by(df: DataFrame, key: str, name: str, alias: str, scale: int = AVG_SCALE) -> DataFrame:
-    return df.groupBy(key).agg(rounded_avg(name, scale).alias(alias))
+    return df.groupBy(key).agg(rounded_avg(name, scale, unit_scale(df, name)).alias(alias))
 
 
 def top_n(df: DataFrame, n: int = C.SHOW_ROWS) -> DataFrame:

@@ -52,10 +52,11 @@ def cents(expr: str) -> str:
     return f"CAST(round_even((CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END) * 100, 0) AS BIGINT)"
 
 
-def exact_avg(expr: str, scale: int = 6) -> str:
-    """Mean in exact integer micro-units, same arithmetic as ``functions.money.exact_mean``."""
-    units = f"CAST(round_even((CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END) * 1000000, 0) AS BIGINT)"
-    return f"round(CAST(sum({units}) AS DOUBLE) / count({units}) / 1000000, {scale})"
+def exact_avg(expr: str, scale: int = 6, unit: int = 1000000) -> str:
+    """Mean in exact integer units (10^-6 for floating, 1 for integer columns),
+    same arithmetic as ``functions.money.exact_mean``."""
+    units = f"CAST(round_even((CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END) * {unit}, 0) AS BIGINT)"
+    return f"round(CAST(sum({units}) AS DOUBLE) / count({units}) / {unit}, {scale})"
 
 
 def money(expr: str) -> str:
@@ -72,7 +73,7 @@ def category_summary_sql(source: str = "imputed") -> str:
        count(order_id) AS total_orders,
        {money('total_amount')} AS revenue,
        {exact_avg('customer_rating')} AS avg_rating,
-       {exact_avg('quantity')} AS avg_quantity
+       {exact_avg('quantity', unit=1)} AS avg_quantity
 FROM {source} GROUP BY product_category
 ORDER BY revenue DESC NULLS LAST, product_category"""
 
@@ -241,7 +242,7 @@ FROM ids""",
         "avg_rating_by_category": imp + (
             f"SELECT product_category, {exact_avg('customer_rating')} AS avg_rating " + by_cat.format(src="imputed")),
         "avg_quantity_by_category": ol + (
-            f"SELECT product_category, {exact_avg('quantity')} AS avg_quantity " + by_cat.format(src="order_lines")),
+            f"SELECT product_category, {exact_avg('quantity', unit=1)} AS avg_quantity " + by_cat.format(src="order_lines")),
         "category_summary": imp + category_summary_sql(),
         "express_by_region": ol + express_by_region_sql(express_threshold),
         # sort / limit

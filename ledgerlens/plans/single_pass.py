@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerlens import constants as C
 from ledgerlens.functions.money import MEAN_SCALE, to_cents, to_units
 from ledgerlens.operators.clean import missing_as_null
-from ledgerlens.operators.summaries import AVG_SCALE, ranked
+from ledgerlens.operators.summaries import AVG_SCALE, ranked, unit_scale
 from ledgerlens.session import checkpoint_root
 
 
@@ -33,6 +33,7 @@ def order_stats(
 ) -> DataFrame:
     """Per (category, region): everything both reports and the mean need."""
     rating = missing_as_null(df, "customer_rating")
+    q_units = unit_scale(df, "quantity")
     express = F.col("is_express") & (F.col("total_amount") > F.lit(threshold))
     cents = to_cents("total_amount")
     return df.groupBy(category, region).agg(
@@ -41,8 +42,9 @@ def order_stats(
         F.sum(cents).alias("cents"),
         F.count(rating).alias("n_rated"),
         F.sum(to_units(rating, MEAN_SCALE)).alias("rating_units"),
-        F.sum(to_units("quantity", MEAN_SCALE)).alias("qty_units"),
-        F.count(to_units("quantity", MEAN_SCALE)).alias("n_qty"),
+        F.sum(to_units("quantity", q_units)).alias("qty_units"),
+        F.count(to_units("quantity", q_units)).alias("n_qty"),
+        F.max(F.lit(float(10**q_units))).alias("qty_unit"),
         F.count_if(express).alias("x_rows"),
         F.count(F.when(express, F.col("order_id"))).alias("x_orders"),
         F.sum(F.when(express, cents)).alias("x_cents"),
@@ -76,6 +78,7 @@ def reports_from_stats(
         F.coalesce(F.sum("rating_units"), F.lit(0).cast("bigint")).alias("rating_units"),
         F.sum("qty_units").alias("qty_units"),
         F.sum("n_qty").alias("n_qty"),
+        F.max("qty_unit").alias("qty_unit"),
     )
     # Same integers as averaging the imputed column in exact units.
     unit = float(10**MEAN_SCALE)
@@ -88,7 +91,7 @@ def reports_from_stats(
         "total_orders",
         (F.col("cents") / 100.0).alias("revenue"),
         F.round(F.try_divide(rating_units.cast("double"), rating_slots) / unit, avg_scale).alias("avg_rating"),
-        F.round(F.try_divide(F.col("qty_units").cast("double"), F.col("n_qty")) / unit, avg_scale)
+        F.round(F.try_divide(F.col("qty_units").cast("double"), F.col("n_qty")) / F.col("qty_unit"), avg_scale)
         .alias("avg_quantity"),
     )
     express = (

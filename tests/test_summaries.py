@@ -127,3 +127,12 @@ def test_order_line_facts_at_every_scale(spark, sf_dir):
     x100 = filters.filter_express_amount(ol, 100.0).count()
     x30k = filters.filter_express_amount(ol, 30000.0).count()
     assert (row.n, row.nulls, row.mean, fill, x100, x30k) == FIXTURE_FACTS[sf_dir]
+
+
+def test_integer_means_use_whole_units_and_do_not_overflow(spark):
+    from ledgerlens.operators.summaries import unit_scale
+    df = spark.createDataFrame([("k", 10**15), ("k", 10**15 + 2)], "g string, v bigint")
+    assert unit_scale(df, "v") == 0
+    assert unit_scale(spark.createDataFrame([(1.5,)], "x double"), "x") == 6
+    assert summaries.avg_by(df, "g", "v", "m").first().m == float(10**15 + 1)
+    assert clean.mean_value(df, "v", 0).first().fill_value == float(10**15 + 1)
