@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import MEAN_SCALE, exact_mean
+from ledgerlens.functions.money import MEAN_SCALE, to_units
 
 _FLOATING = (T.DoubleType, T.FloatType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -31,11 +31,20 @@ def missing_as_null(df: DataFrame, name: str) -> Column:
 def mean_value(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFrame:
     """One-row frame: mean of the non-missing values rounded half-up to ``scale``.
 
-    The mean is summed exactly (``exact_mean``), so the fill value is the same
-    for every partitioning, even when the mean lies on a rounding tie.
+    The mean is summed exactly in integer units (``exact_mean``), so the fill
+    value is the same for every partitioning, ties included.  Each task keeps
+    its partial sum as a cheap ``bigint``; only the per-task partials (one row
+    per input partition) are merged as ``decimal(38,0)``, so the global sum
+    cannot overflow whatever the row count.
     """
-    units = 0 if isinstance(_data_type(df, name), _INTEGRAL) else MEAN_SCALE
-    return df.agg(F.round(exact_mean(missing_as_null(df, name), units), scale).alias("fill_value"))
+    integral = isinstance(_data_type(df, name), _INTEGRAL)
+    unit_digits = 0 if integral else MEAN_SCALE
+    units = to_units(missing_as_null(df, name), unit_digits)
+    partials = df.groupBy(F.spark_partition_id().alias("_part")).agg(
+        F.sum(units).alias("_units"), F.count(units).alias("_n"))
+    total = F.sum(F.col("_units").cast("decimal(38,0)")).cast("double")
+    mean = F.try_divide(total, F.sum("_n")) / float(10**unit_digits)
+    return partials.agg(F.round(mean, scale).alias("fill_value"))
 
 
 def impute_mean(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFrame:

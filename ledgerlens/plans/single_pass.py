@@ -57,7 +57,8 @@ def fill_value(stats: DataFrame, scale: int = C.IMPUTE_SCALE) -> DataFrame:
     Same exact arithmetic as ``clean.mean_value`` (integer units summed), so
     both plans impute the same value.
     """
-    mean = F.try_divide(F.sum("rating_units").cast("double"), F.sum("n_rated")) / float(10**MEAN_SCALE)
+    total = F.sum(F.col("rating_units").cast("decimal(38,0)")).cast("double")  # no overflow
+    mean = F.try_divide(total, F.sum("n_rated")) / float(10**MEAN_SCALE)
     return stats.agg(F.round(mean, scale).alias("fill_value"))
 
 
