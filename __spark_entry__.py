@@ -21,6 +21,14 @@ from ledgerlens.plans import single_pass_reports, tuned_report
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import files, generate, tables
 
+try:
+    import corpus_pipeline
+    from ledgerlens.llm import queries as corpus
+except ModuleNotFoundError as error:  # the corpus operators can be left out
+    if error.name not in ("corpus_pipeline", "ledgerlens.llm"):
+        raise
+    corpus = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # --- fixed values: test-data parameters ----------------------------------------
@@ -259,6 +267,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    named = _order_queries()
+    if corpus is not None:
+        named |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return named
+
+
+def _order_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # scans
         "scan_csv_typed": q_scan_csv_typed,
@@ -321,6 +336,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for every query."""
-    return oracle.queries(EXPRESS_THRESHOLD, VISIBLE_SECS, FILL_RATING, HEAD_ROWS,
-                          TOP_ROWS, list(STEPS), SEED)
+    """DuckDB SQL for every query that SQL can express."""
+    sql = oracle.queries(EXPRESS_THRESHOLD, VISIBLE_SECS, FILL_RATING, HEAD_ROWS,
+                         TOP_ROWS, list(STEPS), SEED)
+    if corpus is not None:
+        sql |= corpus.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
