@@ -1,24 +1,63 @@
-"""The corpus pipeline: the stages of ``STAGES`` applied to ``documents`` in turn."""
+"""The corpus pipeline: ``documents`` through five stages, each a written table.
+
+Every stage works on all that its predecessor kept and returns the columns of
+``documents``; the last returns packed pieces.  Rows without a doc_id pass the
+near-duplicate stage, which names documents by id.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import near_dup
+from ledgerlens.llm import mixing, near_dup, packing, pii, queries, toxicity
 from ledgerlens.llm.common import stored, table
 
+#: Shares of the tokens by domain.  The expected clean tokens stay as they are and no
+#: rate exceeds 1, so the stage thins the other domains and repeats nothing.
+MIX_WEIGHTS = {"clean": 0.97, "low": 0.02, "toxic": 0.01}
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more go."""
+    return toxicity.clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the smallest doc_id."""
-    verdicts = near_dup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(verdicts, "doc_id", "left_semi")
+    kept = near_dup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data give way to their kinds; n_chars follows."""
+    masked = pii.masked(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay at their fitted rates."""
+    labels = queries.labelled_domains(table(spark, sf_dir, "labels"))
+    rated = mixing.mix(docs, labels, MIX_WEIGHTS, anchor="clean", max_rate=1.0, carry=docs.columns)
+    return rated.where("copies > 0").select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 4096 ids along the space-filling curve."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
+    ("toxicity", reject_toxic),
     ("near_dedup", near_dedup),
+    ("personal_data", mask_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack),
 ]
 
+#: The stages are a trained network, set similarity and a fitted mixture: no SQL.
 ORACLE_SQL = None
 
 

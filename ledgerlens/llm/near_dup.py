@@ -253,8 +253,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     if late.limit(1).count():
         labels = components(links.union(late))
 
-    of_class = (nodes.join(labels, "node", "left").groupBy("print")
-                .agg(F.min(F.coalesce("label", "node")).alias("component")))
+    # written first, so that the join below holds no aggregate and a hot class can be split
+    of_class = stored(nodes.join(labels, "node", "left").select("print", F.coalesce("label", "node").alias("component")), "components")
     return (base.select("doc_id", "n_shingles", "print").join(of_class, "print", "left")
             .select("doc_id", "n_shingles",
                     F.coalesce("component", "doc_id").alias("component_id"),
