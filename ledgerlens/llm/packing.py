@@ -1,8 +1,10 @@
 """Packing along a space-filling curve.
 
-1. Tokenize (a map).  A text's words are tokenized once per distinct word of a
-   worker's cache: the vocabulary's pre-tokenizer never joins across white space,
-   so the ids of a text are those of its words in a row.
+1. Tokenize (a map).  The vocabulary's pre-tokenizer never joins across white space,
+   nor across the edges of runs of letters, digits and signs, and it lower-cases; so
+   the ids of a text are those of such pieces in a row, and each distinct piece in a
+   worker's cache is tokenized once.  Words for which that could fail (apostrophes,
+   possible special tokens, letters beyond Latin-1) are pieces as they stand.
 2. A document's ids are hashed with signs into a vector of ``DIMENSIONS``, normalised,
    projected to ``AXES`` dimensions and quantised; its place on the Hilbert
    curve through that grid is its key.
@@ -23,6 +25,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ END_ID = 2
 DIMENSIONS = 64
 AXES = 3
 BITS = 10
-CACHE_WORDS = 600_000
+CACHE_PIECES = 700_000
 CHUNK = 4 << 20
 
 # a fixed orthonormal projection of the hashed vectors
@@ -73,40 +76,99 @@ def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-class WordTokenizer:
-    """Token ids of whole texts through a cache of distinct words."""
+_KIND = np.full(256, 2, np.uint8)  # 0 letters and bytes of longer codes, 1 digits, 2 signs
+_KIND[65:91] = _KIND[97:123] = _KIND[128:] = 0
+_KIND[48:58] = 1
+_LATIN = np.zeros(256, bool)  # second bytes of the letters U+00C0 to U+00FF
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False  # the signs for times and divided by
+_WHOLE = np.zeros(256, bool)
+_WHOLE[[0x27, 0x3C]] = True  # ' opens contractions, < special tokens
+_WHOLE[128:] = True
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, whole, first): the pieces that are tokenized on their own, whether
+    each is an uncut word, and the index of each text's first piece."""
+    starts, ends, first = tk.words(data, offsets)
+    if not len(starts):
+        return starts, ends, np.zeros(0, bool), first
+    odd = _WHOLE[data]
+    lead = data == 0xC3
+    odd[lead] = False
+    odd[1:][lead[:-1] & _LATIN[data[1:]]] = False
+    total = np.concatenate([[0], np.cumsum(odd)])
+    whole_word = total[ends] > total[starts]
+    kind = _KIND[data]
+    cut = np.empty(len(data), bool)
+    cut[0] = True
+    cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 1)
+    cut &= ~tk.SPACE[data]
+    # no cuts inside whole words, and one at each word's start
+    depth = np.zeros(len(data) + 1, np.int8)
+    depth[starts[whole_word]] += 1
+    depth[ends[whole_word]] -= 1
+    cut &= np.cumsum(depth[:-1], dtype=np.int8) == 0
+    cut[starts] = True
+    at = np.flatnonzero(cut)
+    word_first = np.searchsorted(at, starts)
+    end = np.empty(len(at), np.int64)
+    end[:-1] = at[1:]
+    end[np.append(word_first[1:] - 1, len(at) - 1)] = ends
+    whole = np.zeros(len(at), bool)
+    whole[word_first[whole_word]] = True
+    return at, end, whole, np.append(word_first, len(at))[first]
+
+
+class PieceTokenizer:
+    """Token ids of whole texts through a cache of distinct pieces."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.model = self.tokenizer.model
         self.clear()
 
     def clear(self) -> None:
         self.slot: dict[int, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1, np.int64)
-
-    def _learn(self, new_hashes: list[int], new_words: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch(new_words, add_special_tokens=False)]
+        self.first = np.zeros(1 << 16, np.int64)
+        self.size = 0
+
+    def _learn(self, new_hashes: list[int], new_pieces: list[str]) -> None:
+        encoded: list[list[int]] = [[]] * len(new_pieces)
+        other = []
+        for i, piece in enumerate(new_pieces):
+            if piece.isascii() and piece.isalpha():  # one pre-token that only needs its case folded
+                encoded[i] = [t.id for t in self.model.tokenize(piece.lower())]
+            else:
+                other.append(i)
+        for i, e in zip(other, self.tokenizer.encode_batch_fast([new_pieces[i] for i in other], add_special_tokens=False)):
+            encoded[i] = e.ids
         lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        used, more = int(self.first[-1]), int(lengths.sum())
+        used, more, n = int(self.first[self.size]), int(lengths.sum()), len(encoded)
         if used + more > len(self.ids):
             self.ids = np.concatenate([self.ids[:used], np.zeros(used + 2 * more, np.uint32)])
-        self.ids[used:used + more] = np.fromiter((i for e in encoded for i in e), np.uint32, more)
-        base = len(self.first) - 1
-        self.first = np.concatenate([self.first, used + np.cumsum(lengths)])
-        self.slot.update(zip(new_hashes, range(base, base + len(new_hashes))))
+        if self.size + n + 1 > len(self.first):
+            self.first = np.concatenate([self.first[:self.size + 1], np.zeros(self.size + 2 * n, np.int64)])
+        self.ids[used:used + more] = np.fromiter(chain.from_iterable(encoded), np.uint32, more)
+        self.first[self.size + 1:self.size + 1 + n] = used + np.cumsum(lengths)
+        self.slot.update(zip(new_hashes, range(self.size, self.size + n)))
+        self.size += n
 
     def chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): the ids of all texts in a row, and where each text's begin."""
-        starts, ends, first_word = tk.words(data, offsets)
+        starts, ends, whole, first_piece = pieces(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        if len(self.slot) > CACHE_WORDS:
+        if self.size > CACHE_PIECES:
             self.clear()
-        distinct, at, back = np.unique(tk.hashes(data, starts, ends, fold=False), return_index=True, return_inverse=True)
+        keys = tk.hashes(data, starts, ends, fold=True)
+        if whole.any():  # special tokens are told by their case
+            keys[whole] = tk.mix(tk.hashes(data, starts[whole], ends[whole], fold=False) ^ np.uint64(1))
+        distinct, at, back = np.unique(keys, return_index=True, return_inverse=True)
         listed, slot = distinct.tolist(), self.slot
         new = [x for x, h in enumerate(listed) if h not in slot]
         if new:
@@ -114,10 +176,23 @@ class WordTokenizer:
             self._learn([listed[x] for x in new],
                         [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
         slots = np.fromiter((slot[h] for h in listed), np.int64, len(listed))[back]
-        lengths = self.first[slots + 1] - self.first[slots]
+        begin = self.first[slots]
+        lengths = self.first[slots + 1] - begin
         total = np.concatenate([[0], np.cumsum(lengths)])
-        place = np.repeat(self.first[slots] - total[:-1], lengths) + np.arange(total[-1])
-        return self.ids[place], total[first_word]
+        place = np.repeat(begin - total[:-1], lengths) + np.arange(total[-1])
+        return self.ids[place], total[first_piece]
+
+
+_tokenizers: dict[int, PieceTokenizer] = {}
+
+
+def piece_tokenizer(vocabulary: str) -> PieceTokenizer:
+    """This worker's tokenizer: a later task finds the pieces of earlier ones."""
+    key = hash(vocabulary)
+    if key not in _tokenizers:
+        _tokenizers.clear()
+        _tokenizers[key] = PieceTokenizer(vocabulary)
+    return _tokenizers[key]
 
 
 def _hashed_vectors(vocab_size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +202,7 @@ def _hashed_vectors(vocab_size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _tokenize_batches(vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(vocabulary)
+        words = piece_tokenizer(vocabulary)
         size = max(words.tokenizer.get_vocab_size(), end_id + 1)
         dimension, sign = _hashed_vectors(size)
         kind = np.uint16 if size <= 1 << 16 else np.uint32

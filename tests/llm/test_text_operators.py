@@ -378,7 +378,7 @@ def test_hilbert_neighbours_touch():
 
 
 def test_special_strings_and_marks_tokenize_as_whole_texts():
-    tokenizer = packing.WordTokenizer(open(VOCABULARY, encoding="utf-8").read())
+    tokenizer = packing.PieceTokenizer(open(VOCABULARY, encoding="utf-8").read())
     texts = ["a<|endoftext|>b it's don't 3rd été 가 x y", "́ a ́b", "A B\x1cC\x85D İstanbul ẞ"]
     data, offsets = textkit.buffers(pa.array(texts))
     ids, first = tokenizer.chunk(data, offsets)
