@@ -39,9 +39,7 @@ MAX_CONDITIONS = 4
 MIN_PRECISION = 0.9
 MIN_COVER = 5
 
-_SPACES = " \t\n\u000b\f\r"
-_SYMBOLS = "#*$%&|<>"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORD_CHARACTER = "[^\\x20\\x09-\\x0D]"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -49,57 +47,63 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _removed(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
-
-
 def _covered(positions: Column) -> Column:
     """Words in the union of the windows at the sorted positions."""
-    gaps = F.transform(positions, lambda p, j: F.least(
-        F.lit(WINDOW).cast("long"), F.coalesce(F.get(positions, j + 1) - p, F.lit(WINDOW).cast("long"))))
+    whole = F.lit(WINDOW).cast("long")
+    gaps = F.transform(positions, lambda p, j: F.least(whole, F.coalesce(F.get(positions, j + 1) - p, whole)))
     return F.aggregate(gaps, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
-def _repeat_words(codes: Column, low: Column) -> Column:
-    """From sorted codes (fingerprint in the high bits, position in ``low``)."""
-    def same(a: Column, b: Column) -> Column:
-        return F.coalesce(a.bitwiseXOR(b).bitwiseAND(F.bitwise_not(low)) == 0, F.lit(False))
-
-    found = F.filter(codes, lambda c, j: same(c, F.get(codes, j - 1)) | same(c, F.get(codes, j + 1)))
-    return _let(F.sort_array(F.transform(found, lambda c: c.bitwiseAND(low))), _covered)
-
-
-def _word_stats(words: Column) -> Column:
-    def of_hashes(h: Column) -> Column:
-        n = F.size(h)
-        low = F.pow(F.lit(2.0), F.ceil(F.log2(n + 1.0))).cast("long") - 1
-        codes = _let(low, lambda m: F.sort_array(F.transform(
-            F.sequence(F.lit(0), n - WINDOW),
-            lambda i: F.xxhash64(F.slice(h, i + 1, WINDOW)).bitwiseAND(F.bitwise_not(m)).bitwiseOR(i.cast("long")))))
-        repeats = F.when(n >= WINDOW, _let(codes, lambda c: _let(low, lambda m: _repeat_words(c, m)))).otherwise(F.lit(0).cast("long"))
-        return F.struct(n.cast("long").alias("n_words"), F.size(F.array_distinct(h)).cast("long").alias("n_distinct"),
-                        repeats.alias("n_repeat_words"))
-
-    return _let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
+def _paired(values: Column, apart: int) -> Column:
+    """The fingerprint of each value with the one ``apart`` places on."""
+    n = F.greatest(F.size(values) - apart, F.lit(0))
+    return F.zip_with(F.slice(values, 1, n), F.slice(values, apart + 1, n), lambda a, b: F.xxhash64(a, b))
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the statistics of each text."""
+    """doc_id and the statistics of each text.
+
+    Arrays that several expressions read are columns of their own, so that Spark
+    computes each once and sorts and compares them as primitive arrays.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, _SPACES, "")) > 0)
-    words = F.array_remove(F.split("text", "[\\x20\\x09-\\x0D]+"), "")
-    return rows.select(
+    rows = rows.select(
         "doc_id",
-        _word_stats(words).alias("w"),
-        F.length(F.translate("text", _SPACES, "")).cast("long").alias("word_chars"),
-        _removed(F.col("text"), _SYMBOLS).cast("long").alias("n_symbols"),
-        _let(lines, lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"),
-                                       F.size(x).cast("long").alias("all"))).alias("l"),
-        _removed(F.col("text"), _UPPER).cast("long").alias("n_upper"),
-        _removed(F.col("text"), "0123456789").cast("long").alias("n_digits"),
-    ).select("doc_id", "w.n_words", "word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"),
-             "w.n_repeat_words", "w.n_distinct", F.col("l.all").alias("n_lines"), "n_upper", "n_digits")
+        F.array_remove(F.split("text", "[\\x20\\x09-\\x0D]+"), "").alias("words"),
+        F.filter(F.split("text", "\n"), lambda x: x.rlike(_WORD_CHARACTER)).alias("lines"),
+        F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.regexp_count("text", F.lit("[A-Z]")).cast("long").alias("n_upper"),
+        F.regexp_count("text", F.lit("[0-9]")).cast("long").alias("n_digits"))
+    rows = rows.select(
+        "doc_id", "n_symbols", "n_upper", "n_digits",
+        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.size("lines").cast("long").alias("n_lines"))
+    carried = ["doc_id", "n_symbols", "n_upper", "n_digits", "word_chars", "n_dup_lines", "n_lines"]
+    # windows of 2, 4 and 8 words, each from two of half its length
+    n_words = F.size("hashes").cast("long").alias("n_words")
+    n_distinct = F.size(F.array_distinct("hashes")).cast("long").alias("n_distinct")
+    rows = rows.select(*carried, n_words, n_distinct, _paired(F.col("hashes"), 1).alias("windows"))
+    carried += ["n_words", "n_distinct"]
+    rows = rows.select(*carried, _paired(F.col("windows"), 2).alias("windows"))
+    rows = rows.select(*carried, _paired(F.col("windows"), 4).alias("windows"))
+    # codes: a fingerprint in the high bits, its position in the low ones
+    low = F.coalesce(F.pow(F.lit(2.0), F.ceil(F.log2(F.size("windows") + 1.0))).cast("long") - 1, F.lit(0).cast("long"))
+    rows = rows.select(*carried, "windows", low.alias("low"), F.bitwise_not(low).alias("high"))
+    codes = F.sort_array(F.transform("windows", lambda h, i: h.bitwiseAND(F.col("high")).bitwiseOR(i.cast("long"))))
+    rows = rows.select(*carried, "low", "high", codes.alias("codes"))
+
+    def same(a: Column, b: Column) -> Column:
+        return F.coalesce(a.bitwiseXOR(b).bitwiseAND(F.col("high")) == 0, F.lit(False))
+
+    found = F.filter("codes", lambda c, j: same(c, F.get(F.col("codes"), j - 1)) | same(c, F.get(F.col("codes"), j + 1)))
+    rows = rows.select(*carried, "low", found.alias("found"))
+    repeats = F.when(F.size("found") > 0, _let(
+        F.sort_array(F.transform("found", lambda c: c.bitwiseAND(F.col("low")))), _covered)).otherwise(F.lit(0).cast("long"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", repeats.alias("n_repeat_words"),
+                       "n_distinct", "n_lines", "n_upper", "n_digits")
 
 
 def features() -> dict[str, Column]:
