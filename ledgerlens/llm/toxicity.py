@@ -44,6 +44,7 @@ PER_CLASS = 1500
 TRAIN_CHARS = 12_000
 FOLDS = 5
 CHUNK = 2 << 20
+WORD_BLOCK = 8192
 BATCH = 4096
 MINIBATCH = 128
 EPOCH_WINDOWS = 6000
@@ -80,15 +81,32 @@ def _grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
             owners.append(word[ok])
     row, owner = np.concatenate(rows), np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    return row[order].astype(np.int64), np.searchsorted(owner[order], np.arange(len(size) + 1))
+    return row[order].astype(np.int32), np.searchsorted(owner[order], np.arange(len(size) + 1))
 
 
-def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[Words, np.ndarray]:
-    """The distinct lower-cased words of a chunk, and each word's number."""
-    h = tk.hashes(data, starts, ends, fold=True)
+def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, hashes, first) of all words, walked in small chunks."""
+    parts = [[], [], [], [np.zeros(1, np.int64)]]
+    total = 0
+    for i, j in tk.chunks(offsets):
+        part = data[offsets[i]:offsets[j]]
+        starts, ends, first = tk.words(part, offsets[i:j + 1] - offsets[i])
+        for kept, new in zip(parts, (starts + offsets[i], ends + offsets[i], tk.hashes(part, starts, ends, fold=True), first[1:] + total)):
+            kept.append(new)
+        total += len(starts)
+    return tuple(np.concatenate(kept) if kept else np.zeros(0, np.int64) for kept in parts)
+
+
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> tuple[Words, np.ndarray]:
+    """The distinct lower-cased words, and each word's number."""
     distinct, at, back = np.unique(h, return_index=True, return_inverse=True)
-    gram, first = _grams(data, starts[at], ends[at])
-    return Words((distinct % np.uint64(WORD_ROWS)).astype(np.int64), gram, first), back
+    grams, firsts, total = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+    for i in range(0, len(at), WORD_BLOCK):
+        gram, first = _grams(data, starts[at[i:i + WORD_BLOCK]], ends[at[i:i + WORD_BLOCK]])
+        grams.append(gram)
+        firsts.append(first[1:] + total)
+        total += len(gram)
+    return Words((distinct % np.uint64(WORD_ROWS)).astype(np.int64), np.concatenate(grams), np.concatenate(firsts)), back
 
 
 def windows(n_words: int) -> np.ndarray:
@@ -106,10 +124,10 @@ def window_index(back: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
         starts.append(w + first[d])
         owners.append(np.full(len(w), d))
         limits.append(np.full(len(w), first[d + 1]))
-    at = np.concatenate(starts)[:, None] + np.arange(WINDOW)
+    at = np.concatenate(starts).astype(np.int32)[:, None] + np.arange(WINDOW, dtype=np.int32)
     inside = at < np.concatenate(limits)[:, None]
     index = np.where(inside, back[np.minimum(at, max(0, len(back) - 1))] if len(back) else 0, -1)
-    return index, np.concatenate(owners)
+    return index.astype(np.int32), np.concatenate(owners)
 
 
 # --- the network -----------------------------------------------------------------------
@@ -137,12 +155,14 @@ class Network:
 
     def inputs(self, words: Words, keep_word: np.ndarray | None = None) -> np.ndarray:
         """One row per distinct word, and a last row of zeros for padding."""
-        total = np.add.reduceat(self.p["char"][words.gram], words.first[:-1], axis=0)
         x = np.zeros((len(words.word) + 1, WORD_SIZE + CHAR_SIZE), np.float32)
         x[:-1, :WORD_SIZE] = self.p["word"][words.word]
         if keep_word is not None:
             x[:-1, :WORD_SIZE] *= keep_word[:, None]
-        x[:-1, WORD_SIZE:] = total / np.diff(words.first)[:, None]
+        for i in range(0, len(words.word), WORD_BLOCK):
+            first = words.first[i:i + WORD_BLOCK + 1]
+            total = np.add.reduceat(self.p["char"][words.gram[first[0]:first[-1]]], first[:-1] - first[0], axis=0)
+            x[i:i + len(first) - 1, WORD_SIZE:] = total / np.diff(first)[:, None]
         return x
 
     def forward(self, x: np.ndarray, index: np.ndarray, keep: bool = False):
@@ -302,8 +322,8 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
     if len(set(labels)) < 2:
         return Model(None, np.zeros(4), share)
     data, offsets = tk.buffers(pa.array(texts, pa.large_string()))
-    starts, ends, first = tk.words(data, offsets)
-    words, back = distinct_words(data, starts, ends)
+    starts, ends, h, first = split(data, offsets)
+    words, back = distinct_words(data, starts, ends, h)
     index, owner = window_index(back, first)
     rng = np.random.default_rng(seed)
     held = rng.random(len(y)) < 0.25
@@ -313,7 +333,7 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
     net = Network(seed)
     adam = Adam(net.p, 0.01)
     window_label = y[owner]
-    for epoch in range(9):
+    for epoch in range(8):
         draw = rng.random(len(index))
         if epoch >= 3:  # by score: the highest of each text, and of texts of label 0 one more at random
             draw = -_logits(net, words, index)
@@ -324,7 +344,7 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
         take = fit & (rank < (4 if epoch < 3 else np.where(window_label > 0, 1, 2)))
         if epoch >= 3:
             take |= fit & (window_label == 0) & (rng.random(len(index)) < 0.08)
-        if epoch == 6:
+        if epoch == 5:
             adam.rate = 0.003
         for _ in range(-(-EPOCH_WINDOWS // max(1, int(take.sum())))):  # few texts: the same windows more often
             _train_windows(net, adam, words, index[take], window_label[take], rng)
@@ -338,11 +358,11 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
 # --- the jobs ----------------------------------------------------------------------------
 
 def _score_chunk(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    starts, ends, first = tk.words(data, offsets)
+    starts, ends, h, first = split(data, offsets)
     n = len(offsets) - 1
     if model.network is None or not len(starts):
         return model.score(np.full((n, 3), np.nan))
-    words, back = distinct_words(data, starts, ends)
+    words, back = distinct_words(data, starts, ends, h)
     index, owner = window_index(back, first)
     return model.score(_text_features(_logits(model.network, words, index), owner, n))
 
