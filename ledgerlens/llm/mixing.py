@@ -94,17 +94,19 @@ def train(texts: list[str], domains_of: list[str], domains: list[str]) -> Classi
     number = {d: i for i, d in enumerate(domains)}
     y = np.array([number[d] for d in domains_of], int)
     data, offsets = tk.buffers(pa.array(texts, pa.large_string()))
-    starts, ends, first = tk.words(data, offsets)
-    row = (_rows(data, starts, ends) % np.uint64(ROWS)).astype(np.int64)
-    owner = np.repeat(np.arange(len(y)), np.diff(first))
     half = np.arange(len(y)) % 2 == 0  # word scores from one half, the layer from the other
     counts = np.full((ROWS, k), 0.5)
-    np.add.at(counts, (row[half[owner]], y[owner][half[owner]]), 1.0)
+    parts = [(i, j, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in tk.chunks(offsets)]
+    for i, j, part, at in parts:
+        starts, ends, first = tk.words(part, at)
+        label = np.repeat(np.where(half[i:j], y[i:j], -1), np.diff(first))
+        rows = (_rows(part, starts, ends) % np.uint64(ROWS)).astype(np.int64)[label >= 0]
+        counts += np.bincount(rows * k + label[label >= 0], minlength=ROWS * k).reshape(ROWS, k)
     words = np.log(counts / counts.sum(axis=0))
     words -= words.mean(axis=1, keepdims=True)
     if len(y) == 0:
         return Classifier(domains, words * 0, np.zeros(SHAPES + k), np.ones(SHAPES + k), np.zeros((SHAPES + k + 1, k)))
-    _, x = _features(data, offsets, words)
+    x = np.concatenate([_features(part, at, words)[1] for _, _, part, at in parts])
     use = ~half if len(set(y[~half])) == len(set(y)) else np.ones(len(y), bool)
     mean, scale = x[use].mean(axis=0), x[use].std(axis=0) + 1e-6
     design = np.column_stack([(x[use] - mean) / scale, np.ones(use.sum())])
