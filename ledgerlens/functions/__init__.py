@@ -1,6 +1,6 @@
 """Column-level helpers; each returns a ``Column`` of Spark built-ins."""
 
-from ledgerlens.functions.money import exact_mean, money_sum, to_cents, to_units
+from ledgerlens.functions.money import exact_mean, money_sum, round_half_even
 from ledgerlens.functions.ordering import list_position
 from ledgerlens.functions.random import (
     hash_uniform,
@@ -16,9 +16,8 @@ __all__ = [
     "list_position",
     "lognormal",
     "money_sum",
+    "round_half_even",
     "standard_normal",
-    "to_cents",
-    "to_units",
     "uniform_int",
     "weighted_choice",
 ]

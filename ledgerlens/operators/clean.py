@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import MEAN_SCALE, to_units
+from ledgerlens.functions.money import MEAN_SCALE, exact_mean, round_half_even
 
 _FLOATING = (T.DoubleType, T.FloatType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -29,22 +29,15 @@ def missing_as_null(df: DataFrame, name: str) -> Column:
 
 
 def mean_value(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFrame:
-    """One-row frame: mean of the non-missing values rounded half-up to ``scale``.
+    """One-row frame: mean of the non-missing values, rounded to ``scale`` decimals
+    half-even on the binary value.
 
-    The mean is summed exactly in integer units (``exact_mean``), so the fill
-    value is the same for every partitioning, ties included.  Each task keeps
-    its partial sum as a cheap ``bigint``; only the per-task partials (one row
-    per input partition) are merged as ``decimal(38,0)``, so the global sum
-    cannot overflow whatever the row count.
+    One global aggregate: partial sums per task, one tiny merge.  The sums neither
+    overflow nor depend on the partitioning (``functions.money``).
     """
-    integral = isinstance(_data_type(df, name), _INTEGRAL)
-    unit_digits = 0 if integral else MEAN_SCALE
-    units = to_units(missing_as_null(df, name), unit_digits)
-    partials = df.groupBy(F.spark_partition_id().alias("_part")).agg(
-        F.sum(units).alias("_units"), F.count(units).alias("_n"))
-    total = F.sum(F.col("_units").cast("decimal(38,0)")).cast("double")
-    mean = F.try_divide(total, F.sum("_n")) / float(10**unit_digits)
-    return partials.agg(F.round(mean, scale).alias("fill_value"))
+    units = 0 if isinstance(_data_type(df, name), _INTEGRAL) else MEAN_SCALE
+    mean = df.agg(exact_mean(missing_as_null(df, name), units).alias("mean"))
+    return mean.select(round_half_even(F.col("mean"), scale).alias("fill_value"))
 
 
 def impute_mean(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFrame:
@@ -53,12 +46,22 @@ def impute_mean(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFr
     The mean is a scalar subquery: Spark runs the one-row aggregate once
     (partial aggregates per task, one tiny final merge) and feeds the value into
     the projection, so the main scan stays one codegen'd stage with no join and
-    nothing passes through Python.  Integer columns become double, so a
-    non-integral mean is not truncated.  With no values the column stays null.
+    nothing passes through Python.  With no values the column stays null.
+
+    Present values keep their digits: a decimal column becomes wide enough for the
+    fill's decimals, and so does a bigint column (as a decimal, since a double would
+    round values past 2^53).  Smaller integers and floats become double.
     """
     fill = mean_value(df, name, scale).scalar()
-    value = missing_as_null(df, name).cast("double")
-    return df.withColumn(name, F.coalesce(value, fill))
+    value, kind = missing_as_null(df, name), _data_type(df, name)
+    if isinstance(kind, T.LongType):
+        kind = T.DecimalType(19, 0)
+    if isinstance(kind, T.DecimalType):
+        digits = min(max(scale, kind.scale, 0), 38 - (kind.precision - kind.scale))
+        target = T.DecimalType(kind.precision - kind.scale + digits, digits)
+    else:
+        target = T.DoubleType()
+    return df.withColumn(name, F.coalesce(value.cast(target), fill.cast(target)))
 
 
 def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

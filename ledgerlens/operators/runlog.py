@@ -4,8 +4,9 @@ Works on a *long* run log, one row per (run, step):
 ``run_id, config, step, step_pos, secs``.  ``config`` keys the configuration
 lookup; for the job's own run records run_id, config and experiment_id agree.
 All operators are grouped aggregates, windows or joins, so they work for any
-number of runs.  A run's group never holds more than one row per step, so no
-group grows with the raw data.
+number of runs.  Where a run's rows are collected or ordered, repeated (run, step)
+rows are summed first, so that its group holds one row per step and no group grows
+with the raw data.
 """
 
 from __future__ import annotations
@@ -16,21 +17,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import money_sum, to_cents
+from ledgerlens.functions.money import money_sum, parts, total
 from ledgerlens.functions.ordering import list_position
 from ledgerlens.sources.tables import run_meta
 
 
 # --- run records (nested) <-> long log ----------------------------------------
 
-def records_from_log(log: DataFrame, run: str = "run_id", pre_aggregated: bool = True) -> DataFrame:
+def records_from_log(log: DataFrame, run: str = "run_id", pre_aggregated: bool = False) -> DataFrame:
     """One nested record per run: ``steps`` map in step order and the total.
 
-    Each run's collected list must be bounded by the number of step names,
-    i.e. one row per (run, step), as ``sources.tables.run_log`` produces.
-    With ``pre_aggregated=False`` repeated (run, step) rows are first summed
-    exactly (partial aggregation before the shuffle, so a run holding a large
-    share of a raw log is reduced inside each task).
+    Repeated (run, step) rows are first summed (partial aggregation before the
+    shuffle, so a run holding a large share of a raw log is reduced inside each
+    task).  ``pre_aggregated=True`` skips that for a log that is known to hold one
+    row per (run, step), as ``sources.tables.run_log`` produces.
     """
     if not pre_aggregated:
         log = aggregate_steps(log, run)
@@ -70,13 +70,14 @@ def steps_long(records: DataFrame) -> DataFrame:
 
 
 def record_summary(records: DataFrame) -> DataFrame:
-    """Per record: total seconds (2 dp) and RAM growth rounded after subtracting (1 dp)."""
+    """Per record: total seconds (2 dp) and RAM growth: the stored one, which was taken
+    before the readings were rounded, else their difference (1 dp)."""
     return records.select(
         "experiment_id",
         F.round("total_time_sec", 2).alias("total_time_sec"),
         F.round("ram_start_mb", 1).alias("ram_start_mb"),
         F.round("ram_end_mb", 1).alias("ram_end_mb"),
-        F.round(F.col("ram_end_mb") - F.col("ram_start_mb"), 1).alias("ram_delta_mb"),
+        F.coalesce(F.col("ram_delta_mb"), F.round(F.col("ram_end_mb") - F.col("ram_start_mb"), 1)).alias("ram_delta_mb"),
         F.size("steps").alias("n_steps"),
     )
 
@@ -91,83 +92,93 @@ def with_custom_order(
     return df.withColumn(alias, list_position(key, list(order), unknown))
 
 
-def _lookup(runs: DataFrame, meta: DataFrame | None, broadcast_meta: bool | None) -> DataFrame:
-    """The lookup side: the built-in table (4 rows, broadcast) unless one is given.
-
-    A supplied lookup is broadcast only when the caller vouches for its size
-    (``broadcast_meta=True``); otherwise AQE picks the join from runtime sizes.
-    """
-    if meta is None:
-        return F.broadcast(run_meta(runs.sparkSession))  # 4 rows by construction
-    return F.broadcast(meta) if broadcast_meta else meta
+def _lookup(runs: DataFrame, meta: DataFrame | None) -> DataFrame:
+    """The lookup side: the built-in table (4 rows, broadcast) unless one is given;
+    for that AQE picks the join from its size."""
+    return F.broadcast(run_meta(runs.sparkSession)) if meta is None else meta
 
 
 def enrich(
-    runs: DataFrame, meta: DataFrame | None = None, key: str = "config",
-    broadcast_meta: bool | None = None,
+    runs: DataFrame, meta: DataFrame | None = None, key: str = "config", strict: bool = False,
 ) -> DataFrame:
     """Left join of the configuration lookup; unknown keys keep null labels.
 
-    The built-in lookup is broadcast, so the run log is not shuffled.
+    With ``strict`` an unknown key raises ``LookupError`` (this runs one job, which
+    stops at the first few unknown keys).
     """
-    return runs.join(_lookup(runs, meta, broadcast_meta), key, "left")
+    side = _lookup(runs, meta)
+    if strict:
+        unknown = [r[0] for r in runs.join(side, key, "left_anti").select(key).limit(5).collect()]
+        if unknown:
+            raise LookupError(f"not in the lookup: {unknown}")
+    return runs.join(side, key, "left")
 
 
 def unknown_configs(
     runs: DataFrame, meta: DataFrame | None = None, key: str = "config", run: str = "run_id",
-    broadcast_meta: bool | None = None,
 ) -> DataFrame:
     """Runs whose configuration is missing from the lookup (anti join)."""
-    side = _lookup(runs, meta, broadcast_meta)
-    return runs.join(side, key, "left_anti").select(run, key).distinct()
+    return runs.join(_lookup(runs, meta), key, "left_anti").select(run, key).distinct()
 
 
 # --- step tables ------------------------------------------------------------------
 
-def step_pivot(log: DataFrame, steps: Sequence[str], run: str = "run_id") -> DataFrame:
+def all_steps(log: DataFrame) -> list[str]:
+    """The distinct step names, by their first position and then by name.
+
+    A pivot's columns must be known before the query runs, so the names (one row per
+    step after partial aggregation) pass through the driver.
+    """
+    rows = log.where(F.col("step").isNotNull()).groupBy("step").agg(F.min("step_pos").alias("first")).collect()
+    return [r.step for r in sorted(rows, key=lambda r: (r.first is None, r.first, r.step))]
+
+
+def step_pivot(log: DataFrame, steps: Sequence[str] | None = None, run: str = "run_id", scale: int = 2) -> DataFrame:
     """Run x step matrix of seconds; a missing step is 0.
 
     Written as one conditional aggregate per step: one shuffle with map-side
-    partial sums, for any number of runs.  ``steps`` fixes the columns (pass
-    the steps of the first record to reproduce a chart's step list).
+    partial sums, for any number of runs.  The columns are all distinct steps;
+    ``steps`` fixes others (those of the first record reproduce a chart's step list).
     """
+    steps = all_steps(log) if steps is None else steps
     if not steps:
         return log.select(run).distinct()
     cols = [
-        F.coalesce(F.sum(F.when(F.col("step") == F.lit(s), F.col("secs"))), F.lit(0.0)).alias(s)
+        F.coalesce(money_sum(F.when(F.col("step") == F.lit(s), F.col("secs")), scale), F.lit(0.0)).alias(s)
         for s in steps
     ]
     return log.groupBy(run).agg(*cols)
 
 
-def aggregate_steps(log: DataFrame, run: str = "run_id", key: str = "config") -> DataFrame:
-    """One row per (run, step): exact sum of repeated rows, earliest position.
+def aggregate_steps(log: DataFrame, run: str = "run_id", key: str = "config", scale: int = 2) -> DataFrame:
+    """One row per (run, step): sum of repeated rows, earliest position.
 
     Partial aggregation runs before the shuffle, so even a run that holds a
     large share of a raw log leaves each task as one row per step.
     """
     return log.groupBy(run, key, "step").agg(
-        F.min("step_pos").alias("step_pos"), money_sum("secs").alias("secs"))
+        F.min("step_pos").alias("step_pos"), money_sum("secs", scale).alias("secs"))
 
 
 def stack_offsets(
-    log: DataFrame, run: str = "run_id", pos: str = "step_pos", pre_aggregated: bool = True,
+    log: DataFrame, run: str = "run_id", pos: str = "step_pos", pre_aggregated: bool = False,
+    scale: int = 2,
 ) -> DataFrame:
-    """Adds ``offset``: the exact sum of the run's earlier steps (0 for the first).
+    """Adds ``offset``: the sum of the run's earlier steps (0 for the first).
 
-    The window partitions by run, so the input must hold one row per
-    (run, step); pass ``pre_aggregated=False`` for a raw log to reduce it
-    with ``aggregate_steps`` first.
+    The window partitions by run, so repeated (run, step) rows are first summed with
+    ``aggregate_steps``; ``pre_aggregated=True`` skips that for a log that is known
+    to hold one row per (run, step).
     """
     if not pre_aggregated:
-        log = aggregate_steps(log, run)
+        log = aggregate_steps(log, run, scale=scale)
     w = (
         Window.partitionBy(run)
         .orderBy(F.col(pos), F.col("step"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    earlier = F.coalesce(F.sum(to_cents("secs")).over(w), F.lit(0))
-    return log.withColumn("offset", earlier / 100.0)
+    earlier = total(parts("secs", scale).map(lambda c: F.sum(c).over(w)), scale)
+    return log.withColumn("offset", F.coalesce(earlier, F.lit(0.0)))
 
 
 def visible_steps(log: DataFrame, min_secs: float = C.STEP_LABEL_MIN_SECS) -> DataFrame:
@@ -177,16 +188,16 @@ def visible_steps(log: DataFrame, min_secs: float = C.STEP_LABEL_MIN_SECS) -> Da
 
 # --- totals and speedups ------------------------------------------------------------
 
-def run_totals(log: DataFrame, run: str = "run_id", key: str = "config") -> DataFrame:
-    """Per run: exact total seconds and number of steps."""
+def run_totals(log: DataFrame, run: str = "run_id", key: str = "config", scale: int = 2) -> DataFrame:
+    """Per run: total seconds and number of steps."""
     return log.groupBy(run, key).agg(
-        money_sum("secs").alias("total_time_sec"), F.count(F.lit(1)).alias("n_steps")
+        money_sum("secs", scale).alias("total_time_sec"), F.count(F.lit(1)).alias("n_steps")
     )
 
 
-def config_totals(log: DataFrame, key: str = "config") -> DataFrame:
-    """Per configuration: exact total seconds over all its runs and steps."""
-    return log.groupBy(key).agg(money_sum("secs").alias("total_secs"))
+def config_totals(log: DataFrame, key: str = "config", scale: int = 2) -> DataFrame:
+    """Per configuration: total seconds over all its runs and steps."""
+    return log.groupBy(key).agg(money_sum("secs", scale).alias("total_secs"))
 
 
 def speedups(

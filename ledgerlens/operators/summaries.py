@@ -3,8 +3,9 @@
 Each summary is one ``groupBy().agg()``: Spark computes partial aggregates
 inside the scan stage, shuffles one small row per group and task, and merges.
 Group keys with a third of all rows cost nothing extra, because only partial
-aggregates cross the shuffle.  Money is summed exactly in cents; averages are
-rounded to ``avg_scale`` decimals so results do not depend on summation order.
+aggregates cross the shuffle.  Sums neither overflow nor depend on the order of
+the rows (``functions.money``); averages are rounded to ``avg_scale`` decimals.
+``scale`` is the number of decimals that amounts are summed at exactly.
 """
 
 from __future__ import annotations
@@ -24,8 +25,7 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def unit_scale(df: DataFrame, name: str) -> int:
-    """Exact-sum units for a mean of ``name``: whole numbers for integer columns
-    (exact, and no overflow for any row count), 10^-6 for floating ones."""
+    """Units of a mean of ``name``: whole numbers for integer columns, else 10^-6."""
     dtype = df.select(name).schema.fields[0].dataType
     return 0 if isinstance(dtype, _INTEGRAL) else MEAN_SCALE
 
@@ -59,11 +59,12 @@ def category_summary(
     rating: str = "customer_rating",
     quantity: str = "quantity",
     avg_scale: int = AVG_SCALE,
+    scale: int = 2,
 ) -> DataFrame:
     """Orders, revenue, mean rating and mean quantity per category, by revenue."""
     out = df.groupBy(key).agg(
         F.count(order_id).alias("total_orders"),
-        money_sum(amount).alias("revenue"),
+        money_sum(amount, scale).alias("revenue"),
         rounded_avg(rating, avg_scale, unit_scale(df, rating)).alias("avg_rating"),
         rounded_avg(quantity, avg_scale, unit_scale(df, quantity)).alias("avg_quantity"),
     )
@@ -77,12 +78,13 @@ def express_by_region(
     order_id: str = "order_id",
     flag: str = "is_express",
     amount: str = "total_amount",
+    scale: int = 2,
 ) -> DataFrame:
     """Express orders above ``threshold``: count and revenue per region, by revenue."""
     out = (
         filter_express_amount(df, threshold, flag, amount)
         .groupBy(key)
-        .agg(F.count(order_id).alias("express_orders"), money_sum(amount).alias("express_revenue"))
+        .agg(F.count(order_id).alias("express_orders"), money_sum(amount, scale).alias("express_revenue"))
     )
     return ranked(out, "express_revenue", key)
 
@@ -92,8 +94,8 @@ def count_non_null_by(df: DataFrame, key: str, name: str, alias: str) -> DataFra
     return df.groupBy(key).agg(F.count(name).alias(alias))
 
 
-def money_sum_by(df: DataFrame, key: str, amount: str, alias: str) -> DataFrame:
-    return df.groupBy(key).agg(money_sum(amount).alias(alias))
+def money_sum_by(df: DataFrame, key: str, amount: str, alias: str, scale: int = 2) -> DataFrame:
+    return df.groupBy(key).agg(money_sum(amount, scale).alias(alias))
 
 
 def avg_by(df: DataFrame, key: str, name: str, alias: str, scale: int = AVG_SCALE) -> DataFrame:

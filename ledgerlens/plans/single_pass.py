@@ -2,7 +2,7 @@
 
 The base job reads its input three times: the rating mean, the category
 report and the express report.  Everything the reports need is decomposable:
-counts, exact cent sums, rating sums.  So one ``groupBy(category, region)``
+counts and the parts of the sums (``functions.money``).  So one ``groupBy(category, region)``
 collects per-group statistics, with partial aggregation inside the scan stage.
 The mean, the imputed average rating and both reports are then derived from
 that statistics table, whose size is bounded by the number of
@@ -15,11 +15,11 @@ rounded global mean; with no rating at all the fill and the average stay null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import MEAN_SCALE, to_cents, to_units
+from ledgerlens.functions.money import MEAN_SCALE, Parts, parts, round_half_even, stored_parts, total
 from ledgerlens.operators.clean import missing_as_null
 from ledgerlens.operators.summaries import AVG_SCALE, ranked, unit_scale
 from ledgerlens.session import checkpoint_root
@@ -30,36 +30,33 @@ def order_stats(
     threshold: float = C.EXPRESS_AMOUNT_THRESHOLD,
     category: str = "product_category",
     region: str = "delivery_region",
+    scale: int = 2,
 ) -> DataFrame:
     """Per (category, region): everything both reports and the mean need."""
     rating = missing_as_null(df, "customer_rating")
-    q_units = unit_scale(df, "quantity")
     express = F.col("is_express") & (F.col("total_amount") > F.lit(threshold))
-    cents = to_cents("total_amount")
+    amount = parts("total_amount", scale)
+    quantity = parts("quantity", unit_scale(df, "quantity"))
     return df.groupBy(category, region).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("order_id").alias("n_orders"),
-        F.sum(cents).alias("cents"),
+        *amount.map(F.sum).columns("amount"),
         F.count(rating).alias("n_rated"),
-        F.sum(to_units(rating, MEAN_SCALE)).alias("rating_units"),
-        F.sum(to_units("quantity", q_units)).alias("qty_units"),
-        F.count(to_units("quantity", q_units)).alias("n_qty"),
-        F.max(F.lit(float(10**q_units))).alias("qty_unit"),
+        *parts(rating, MEAN_SCALE).map(F.sum).columns("rating"),
+        *quantity.map(F.sum).columns("qty"),
+        F.count(quantity.rest).alias("n_qty"),
+        F.max(F.lit(unit_scale(df, "quantity"))).alias("qty_scale"),
         F.count_if(express).alias("x_rows"),
         F.count(F.when(express, F.col("order_id"))).alias("x_orders"),
-        F.sum(F.when(express, cents)).alias("x_cents"),
+        *amount.map(lambda c: F.sum(F.when(express, c))).columns("express"),
     )
 
 
 def fill_value(stats: DataFrame, scale: int = C.IMPUTE_SCALE) -> DataFrame:
-    """One-row frame: the rounded mean rating, from the statistics table.
-
-    Same exact arithmetic as ``clean.mean_value`` (integer units summed), so
-    both plans impute the same value.
-    """
-    total = F.sum(F.col("rating_units").cast("decimal(38,0)")).cast("double")  # no overflow
-    mean = F.try_divide(total, F.sum("n_rated")) / float(10**MEAN_SCALE)
-    return stats.agg(F.round(mean, scale).alias("fill_value"))
+    """One-row frame: the rounded mean rating, from the statistics table; the same
+    arithmetic as ``clean.mean_value``, so both plans impute the same value."""
+    mean = total(stored_parts("rating").map(F.sum), MEAN_SCALE, F.sum("n_rated"))
+    return stats.agg(mean.alias("mean")).select(round_half_even(F.col("mean"), scale).alias("fill_value"))
 
 
 def reports_from_stats(
@@ -68,39 +65,47 @@ def reports_from_stats(
     region: str = "delivery_region",
     scale: int = C.IMPUTE_SCALE,
     avg_scale: int = AVG_SCALE,
+    amount_scale: int = 2,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(row count, category summary, express by region) from ``order_stats``."""
     fill = fill_value(stats, scale).scalar()
     by_cat = stats.groupBy(category).agg(
         F.sum("n_rows").alias("n_rows"),
         F.sum("n_orders").alias("total_orders"),
-        F.sum("cents").alias("cents"),
         F.sum("n_rated").alias("n_rated"),
-        F.coalesce(F.sum("rating_units"), F.lit(0).cast("bigint")).alias("rating_units"),
-        F.sum("qty_units").alias("qty_units"),
         F.sum("n_qty").alias("n_qty"),
-        F.max("qty_unit").alias("qty_unit"),
+        F.max("qty_scale").alias("qty_scale"),
+        *(c for name in ("amount", "rating", "qty") for c in stored_parts(name).map(F.sum).columns(name)),
     )
-    # Same integers as averaging the imputed column in exact units.
-    unit = float(10**MEAN_SCALE)
-    missing = F.col("n_rows") - F.col("n_rated")
-    fill_units = F.rint(fill * unit).cast("bigint")
-    rating_units = F.col("rating_units") + F.coalesce(fill_units * missing, F.lit(0).cast("bigint"))
-    rating_slots = F.col("n_rated") + F.when(fill.isNotNull(), missing).otherwise(F.lit(0))
+    # The imputed rows add the parts of the fill, once for each missing rating.  Values
+    # that several expressions read are columns first, so the plan holds each once.
+    by_cat = by_cat.withColumn("fill", fill).withColumn("missing", F.col("n_rows") - F.col("n_rated"))
+    by_cat = by_cat.select("*", *parts("fill", MEAN_SCALE).columns("fill"))
+    present, added = stored_parts("rating"), stored_parts("fill")
+
+    def joined(have: Column, more: Column) -> Column:
+        filled = more * F.col("missing")
+        return F.coalesce(have + filled, have, filled)
+
+    imputed = Parts(joined(present.high, added.high), joined(present.middle, added.middle),
+                    joined(present.low, added.low), joined(present.rest, added.rest))
+    slots = F.col("n_rated") + F.when(F.col("fill").isNotNull(), F.col("missing")).otherwise(F.lit(0))
+    by_cat = by_cat.select("*", *imputed.columns("imputed"), slots.alias("slots"))
+    quantity = F.when(F.col("qty_scale") == 0, total(stored_parts("qty"), 0, F.col("n_qty"))).otherwise(
+        total(stored_parts("qty"), MEAN_SCALE, F.col("n_qty")))
     summary = by_cat.select(
         category,
         "total_orders",
-        (F.col("cents") / 100.0).alias("revenue"),
-        F.round(F.try_divide(rating_units.cast("double"), rating_slots) / unit, avg_scale).alias("avg_rating"),
-        F.round(F.try_divide(F.col("qty_units").cast("double"), F.col("n_qty")) / F.col("qty_unit"), avg_scale)
-        .alias("avg_quantity"),
+        total(stored_parts("amount"), amount_scale).alias("revenue"),
+        F.round(total(stored_parts("imputed"), MEAN_SCALE, F.col("slots")), avg_scale).alias("avg_rating"),
+        F.round(quantity, avg_scale).alias("avg_quantity"),
     )
     express = (
         stats.groupBy(region)
         .agg(
             F.sum("x_rows").alias("x_rows"),
             F.sum("x_orders").alias("express_orders"),
-            (F.sum("x_cents") / 100.0).alias("express_revenue"),
+            total(stored_parts("express").map(F.sum), amount_scale).alias("express_revenue"),
         )
         .filter(F.col("x_rows") > 0)
         .drop("x_rows")
@@ -119,6 +124,7 @@ def single_pass_reports(
     With ``materialize`` the statistics table is checkpointed to the shared
     checkpoint folder (reliable, lineage cut) so the three reports read it
     instead of re-running the scan; it holds one row per (category, region).
+    Without it every report scans the input once more.
     """
     stats = order_stats(df, threshold)
     if materialize:

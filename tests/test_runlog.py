@@ -61,10 +61,10 @@ def test_speedup_zero_or_missing_denominator_is_null(spark):
     assert got == {"p1": None, "p2": None}
 
 
-def test_record_summary_rounds_after_subtracting(spark, records_dir):
+def test_record_summary_gives_the_published_growth(spark, records_dir):
     got = {r.experiment_id: (r.ram_delta_mb, r.n_steps)
            for r in runlog.record_summary(_records(spark, records_dir)).collect()}
-    assert got["1dn_base"] == (0.2, 4)  # 27.0 - 26.8, not the stored 0.1
+    assert got["1dn_base"] == (0.1, 4)  # as stored: taken before 26.8 and 27.0 were rounded
     assert got["3dn_base"] == (0.2, 4)
 
 
@@ -86,11 +86,13 @@ def test_unknown_id_sorts_last_and_is_reported(spark):
     enriched = {r.run_id: r.label for r in runlog.enrich(runs).collect()}
     assert enriched == {"x": None, "y": "1DN Оптимизир."}
     assert [r.run_id for r in runlog.unknown_configs(runs).collect()] == ["x"]
-    # A supplied lookup works the same; it is broadcast only when vouched for.
+    # A supplied lookup works the same, without a forced broadcast.
     meta = tables.run_meta(spark)
     assert {r.run_id: r.label for r in runlog.enrich(runs, meta).collect()} == enriched
-    plan = runlog.enrich(runs, meta, broadcast_meta=True)._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan.lower()
+    assert "strategy=broadcast" not in runlog.enrich(runs, meta)._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(LookupError, match="new_cfg"):
+        runlog.enrich(runs, strict=True)
+    assert runlog.enrich(runs.where("run_id = 'y'"), strict=True).count() == 1
 
 
 def test_pivot_missing_step_is_zero(spark):
@@ -125,12 +127,12 @@ def test_records_roundtrip_and_dynamic_overwrite(spark, tmp_dir):
     recs = runlog.records_from_log(log)
     out = os.path.join(tmp_dir, "records")
     files.write_run_records(recs, out)
-    back = files.read_run_records(spark, out, multi_line=True)
+    back = files.read_run_records(spark, out, multi_line=False)
     assert back.count() == 150
     assert back.filter(F.col("timestamp").isNull()).count() == 0
     # Re-writing one id replaces only that id.
     files.write_run_records(recs.filter("experiment_id = 'U0'").withColumn("total_time_sec", F.lit(1.0)), out)
-    back = files.read_run_records(spark, out, multi_line=True)
+    back = files.read_run_records(spark, out, multi_line=False)
     assert back.count() == 150
     assert back.filter("experiment_id = 'U0'").first().total_time_sec == 1.0
 
@@ -171,7 +173,7 @@ def test_inline_run_records_keep_step_order(spark, tmp_dir):
     ])
     out = os.path.join(tmp_dir, "recs")
     files.write_run_records(recs, out)
-    back = files.read_run_records(spark, out)
+    back = files.read_run_records(spark, out, multi_line=False)
     keys = {r.experiment_id: r.k for r in back.select("experiment_id", F.map_keys("steps").alias("k")).collect()}
     assert keys == {"a": ["z", "b", "y"], "b": []}
 
@@ -198,10 +200,41 @@ def test_latest_record_per_id_wins(spark, tmp_dir):
     ])
     out = os.path.join(tmp_dir, "recs")
     files.write_run_records(recs, out)
-    back = {r.experiment_id: r.total_time_sec for r in files.read_run_records(spark, out).collect()}
+    back = {r.experiment_id: r.total_time_sec for r in files.read_run_records(spark, out, multi_line=False).collect()}
     assert back == {"a": 2.0, "b": 3.0}
 
 
+def test_equal_timestamps_keep_the_longest_record(spark, tmp_dir):
+    rows = [{"experiment_id": "a", "total_time_sec": t, "steps": {"s": t}, "timestamp": "2026-01-01 10:00:00"} for t in (1.0, 3.0, 2.0)]
+    for order in (rows, rows[::-1]):
+        out = os.path.join(tmp_dir, f"recs{order[0]['total_time_sec']}")
+        files.write_run_records(tables.run_records(spark, order).repartition(3), out)
+        assert [r.total_time_sec for r in files.read_run_records(spark, out, multi_line=False).collect()] == [3.0]
+
+
+def test_merge_keeps_the_other_records_of_a_bucket(spark, tmp_dir):
+    def records(ids, secs):
+        return tables.run_records(spark, [{"experiment_id": i, "total_time_sec": secs, "steps": {"чтение": secs}} for i in ids])
+    files.write_run_records(records([f"r{i}" for i in range(40)], 1.0), tmp_dir + "/x", buckets=3)
+    files.write_run_records(records(["r3", "new"], 2.0), tmp_dir + "/x", buckets=3)
+    got = {r.experiment_id: (r.total_time_sec, r.steps) for r in files.read_run_records(spark, tmp_dir + "/x", multi_line=False).collect()}
+    assert len(got) == 41 and got["r3"] == (2.0, {"чтение": 2.0}) and got["new"][0] == 2.0 and got["r4"][0] == 1.0
+
+
+def test_the_stored_ram_delta_comes_first(spark):
+    records = tables.run_records(spark, [
+        {"experiment_id": "1dn_base", "ram_start_mb": 26.8, "ram_end_mb": 27.0, "ram_delta_mb": 0.1, "steps": {}},
+        {"experiment_id": "3dn_base", "ram_start_mb": 27.0, "ram_end_mb": 27.2, "ram_delta_mb": 0.2, "steps": {}},
+        {"experiment_id": "old", "ram_start_mb": 26.8, "ram_end_mb": 27.0, "steps": {}}])
+    assert {r.experiment_id: r.ram_delta_mb for r in runlog.record_summary(records).collect()} == {"1dn_base": 0.1, "3dn_base": 0.2, "old": 0.2}
+
+
+def test_default_pivot_has_all_steps_by_first_position(spark):
+    log = spark.createDataFrame([("r1", "c", "b", 1, 1.0), ("r2", "c", "late", 7, 2.0), ("r2", "c", "a", 1, 2.0)],
+                                "run_id string, config string, step string, step_pos int, secs double")
+    assert runlog.step_pivot(log).columns == ["run_id", "a", "b", "late"]
+
+
 def test_pivot_without_steps_lists_runs(spark):
     log = spark.createDataFrame([("r1", "c", "a", 1, 1.0), ("r1", "c", "b", 2, 2.0)],
                                 "run_id string, config string, step string, step_pos int, secs double")
