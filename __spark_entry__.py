@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
-from ledgerlens import oracle
 from ledgerlens.operators import clean, filters, profile, runlog, summaries
 from ledgerlens.plans import single_pass_reports, tuned_report
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import files, generate, tables
+from tools import oracle_sql as order_sql
 
 try:
     import corpus_pipeline
@@ -149,11 +149,11 @@ def q_result_roundtrip_parquet(spark, sf_dir):
 
 
 def q_tuned_category_summary(spark, sf_dir):
-    return tuned_report(_lines(spark, sf_dir), "category_summary", EXPRESS_THRESHOLD, repartition=8)
+    return tuned_report(_lines(spark, sf_dir), "category_summary", EXPRESS_THRESHOLD)
 
 
 def q_tuned_express_by_region(spark, sf_dir):
-    return tuned_report(_lines(spark, sf_dir), "express_by_region", EXPRESS_THRESHOLD, repartition=8)
+    return tuned_report(_lines(spark, sf_dir), "express_by_region", EXPRESS_THRESHOLD)
 
 
 def q_single_pass_category_summary(spark, sf_dir):
@@ -211,15 +211,15 @@ def _log(spark, sf_dir):
 
 def q_runlog_scan_json(spark, sf_dir):
     path = scratch_path(spark, "run-records")
-    files.write_run_records(runlog.records_from_log(_log(spark, sf_dir)), path)
-    records = files.read_run_records(spark, path, multi_line=True)
+    files.write_run_records(runlog.records_from_log(_log(spark, sf_dir), pre_aggregated=True), path)
+    records = files.read_run_records(spark, path, multi_line=False)
     return records.select(
         "experiment_id", "total_time_sec", F.size("steps").alias("n_steps"))
 
 
 def q_runlog_roundtrip_json(spark, sf_dir):
     path = scratch_path(spark, "run-records")
-    files.write_run_records(runlog.records_from_log(_log(spark, sf_dir)), path)
+    files.write_run_records(runlog.records_from_log(_log(spark, sf_dir), pre_aggregated=True), path)
     return runlog.steps_long(files.read_run_records(spark, path, multi_line=False))
 
 
@@ -232,15 +232,15 @@ def q_runlog_unknown_ids(spark, sf_dir):
 
 
 def q_runlog_steps_long(spark, sf_dir):
-    return runlog.steps_long(runlog.records_from_log(_log(spark, sf_dir)))
+    return runlog.steps_long(runlog.records_from_log(_log(spark, sf_dir), pre_aggregated=True))
 
 
 def q_runlog_step_pivot(spark, sf_dir):
-    return runlog.step_pivot(_log(spark, sf_dir), STEPS)
+    return runlog.step_pivot(_log(spark, sf_dir))
 
 
 def q_runlog_stack_offsets(spark, sf_dir):
-    return runlog.stack_offsets(_log(spark, sf_dir))
+    return runlog.stack_offsets(_log(spark, sf_dir), pre_aggregated=True)
 
 
 def q_runlog_visible_steps(spark, sf_dir):
@@ -337,8 +337,8 @@ def _order_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every query that SQL can express."""
-    sql = oracle.queries(EXPRESS_THRESHOLD, VISIBLE_SECS, FILL_RATING, HEAD_ROWS,
-                         TOP_ROWS, list(STEPS), SEED)
+    sql = order_sql.queries(EXPRESS_THRESHOLD, VISIBLE_SECS, FILL_RATING, HEAD_ROWS,
+                            TOP_ROWS, list(STEPS), SEED)
     if corpus is not None:
         sql |= corpus.ORACLE_SQL
         if corpus_pipeline.ORACLE_SQL:

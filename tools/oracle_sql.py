@@ -1,16 +1,48 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
-The same fixture views as ``ledgerlens.sources.tables`` are spelled here as
-CTEs over the raw test tables; every query then restates the operator in SQL.
+Independent of the library: it imports nothing from it, writes its parameters out,
+sums plain decimals and rounds only final results.
 """
 
 from __future__ import annotations
 
 import math
+from types import SimpleNamespace
+
+# --- fixed values: the parameters of the registered queries, written out -----------------
+C = SimpleNamespace(
+    GEN_BASE_DATE="2024-01-01 00:00:00", GEN_DAYS=365, GEN_HOURS=24,
+    GEN_CATEGORIES=["Electronics", "Clothing", "Home_Goods", "Books", "Sports"],
+    GEN_REGIONS=["Moscow", "SPb", "Kazan", "Novosibirsk", "Remote"],
+    GEN_QUANTITY_LOW=1, GEN_QUANTITY_HIGH=15,
+    GEN_PRICE_MU=3.2, GEN_PRICE_SIGMA=0.9, GEN_PRICE_SCALE=2, GEN_EXPRESS_P=0.25,
+    GEN_RATING_MU=4.1, GEN_RATING_SIGMA=1.0, GEN_RATING_MIN=1.0, GEN_RATING_MAX=5.0, GEN_RATING_SCALE=1, GEN_RATING_NULL_P=0.05,
+    RUN_ORDER=["1dn_base", "1dn_opt", "3dn_base", "3dn_opt"], RUN_UNKNOWN_POS=99,
+    RUN_META_ROWS=[("1dn_base", "1DN Базовый", 4, None), ("1dn_opt", "1DN Оптимизир.", 8, 8),
+                   ("3dn_base", "3DN Базовый", 4, None), ("3dn_opt", "3DN Оптимизир.", 8, 8)],
+    SPEEDUP_PAIRS=[("1DN опт. vs базовый", "1dn_base", "1dn_opt"), ("3DN опт. vs базовый", "3dn_base", "3dn_opt"),
+                   ("3DN базовый vs 1DN базовый", "1dn_base", "3dn_base")],
+)
+#: Upper bounds of the first four of five values.
+CATEGORY_BOUNDS = [0.2, 0.45, 0.65, 0.8]
+REGION_BOUNDS = [0.3, 0.5, 0.65, 0.8]
+#: The digest salt of each variate, and which 8 hex digits of it.
+VARIATES = {"day": ("a", 0), "hour": ("a", 1), "cat": ("a", 2), "qty": ("a", 3), "p1": ("b", 0), "p2": ("b", 1),
+            "reg": ("b", 2), "ex": ("b", 3), "r1": ("c", 0), "r2": ("c", 1), "nul": ("c", 2)}
+
+
+def present(expr: str) -> str:
+    """The value as a plain decimal, NaN as missing."""
+    return f"CAST(CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END AS DECIMAL(38,6))"
+
+
+def mean(expr: str, scale: int = 6) -> str:
+    return f"round(avg({present(expr)}), {scale})"
+
+
+def money(expr: str) -> str:
+    return f"round(CAST(sum({present(expr)}) AS DOUBLE), 2)"
 
-from ledgerlens import constants as C
-from ledgerlens.functions.random import cumulative
-from ledgerlens.sources.generate import VARIATES
 
 ORDER_LINES = """order_lines AS (
   SELECT printf('ORD-%07d', l_orderkey) AS order_id,
@@ -25,45 +57,23 @@ ORDER_LINES = """order_lines AS (
          l_extendedprice AS total_amount
   FROM lineitem)"""
 
-IMPUTED = """fill AS (
-  SELECT round(CAST(sum(CAST(round_even((CASE WHEN isnan(customer_rating) THEN NULL ELSE customer_rating END)
-                                        * 1000000, 0) AS BIGINT)) AS DOUBLE)
-               / count(CASE WHEN isnan(customer_rating) THEN NULL ELSE customer_rating END) / 1000000, 1) AS v
-  FROM order_lines),
+IMPUTED = f"""fill AS (SELECT {mean('customer_rating', 1)} AS v FROM order_lines),
 imputed AS (
   SELECT * REPLACE (coalesce(CASE WHEN isnan(customer_rating) THEN NULL ELSE customer_rating END,
                              (SELECT v FROM fill)) AS customer_rating)
   FROM order_lines)"""
 
-RUN_LOG = """run_log AS (
+RUN_LOG = f"""run_log AS (
   SELECT 'U' || CAST(user_id AS VARCHAR) AS run_id,
          CASE user_id % 5 WHEN 0 THEN '1dn_base' WHEN 1 THEN '1dn_opt'
               WHEN 2 THEN '3dn_base' WHEN 3 THEN '3dn_opt' ELSE 'zzz' END AS config,
          event_type AS step,
          CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3
               WHEN 'purchase' THEN 4 WHEN 'error' THEN 5 ELSE 99 END AS INTEGER) AS step_pos,
-         CAST(sum(CAST(round_even((CASE WHEN isnan(value) THEN NULL ELSE value END) * 100, 0)
-              AS BIGINT)) AS DOUBLE) / 100 AS secs
+         {money('value')} AS secs
   FROM events GROUP BY user_id, event_type)"""
 
 
-def cents(expr: str) -> str:
-    """Whole cents, NaN as missing: same arithmetic as ``functions.money.to_cents``."""
-    return f"CAST(round_even((CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END) * 100, 0) AS BIGINT)"
-
-
-def exact_avg(expr: str, scale: int = 6, unit: int = 1000000) -> str:
-    """Mean in exact integer units (10^-6 for floating, 1 for integer columns),
-    same arithmetic as ``functions.money.exact_mean``."""
-    units = f"CAST(round_even((CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END) * {unit}, 0) AS BIGINT)"
-    return f"round(CAST(sum({units}) AS DOUBLE) / count({units}) / {unit}, {scale})"
-
-
-def money(expr: str) -> str:
-    """Exact cent sum, same arithmetic as ``functions.money.money_sum``."""
-    return f"CAST(sum({cents(expr)}) AS DOUBLE) / 100"
-
-
 def with_views(*views: str) -> str:
     return "WITH " + ",\n".join(views) + "\n"
 
@@ -72,8 +82,8 @@ def category_summary_sql(source: str = "imputed") -> str:
     return f"""SELECT product_category,
        count(order_id) AS total_orders,
        {money('total_amount')} AS revenue,
-       {exact_avg('customer_rating')} AS avg_rating,
-       {exact_avg('quantity', unit=1)} AS avg_quantity
+       {mean('customer_rating')} AS avg_rating,
+       {mean('quantity')} AS avg_quantity
 FROM {source} GROUP BY product_category
 ORDER BY revenue DESC NULLS LAST, product_category"""
 
@@ -103,10 +113,9 @@ def normal(s1: str, s2: str, seed: int) -> str:
     return f"(sqrt(-2.0 * ln({uniform(s1, seed)})) * cos({TWO_PI} * {uniform(s2, seed)}))"
 
 
-def weighted(salt: str, values, weights, seed: int) -> str:
-    bounds = cumulative(weights)
+def weighted(salt: str, values, bounds, seed: int) -> str:
     u = uniform(salt, seed)
-    parts = [f"WHEN {u} < {b!r} THEN '{v}'" for v, b in zip(values[:-1], bounds[:-1])]
+    parts = [f"WHEN {u} < {b!r} THEN '{v}'" for v, b in zip(values[:-1], bounds)]
     return "CASE " + " ".join(parts) + f" ELSE '{values[-1]}' END"
 
 
@@ -120,11 +129,11 @@ def gen_columns(seed: int) -> dict[str, str]:
     return {
         "order_id": "printf('ORD-%07d', id)",
         "order_date": f"(TIMESTAMP '{C.GEN_BASE_DATE}' + to_days({days}) + to_hours({hours}))",
-        "product_category": weighted("cat", C.GEN_CATEGORIES, C.GEN_CATEGORY_WEIGHTS, seed),
+        "product_category": weighted("cat", C.GEN_CATEGORIES, CATEGORY_BOUNDS, seed),
         "quantity": f"CAST({C.GEN_QUANTITY_LOW} + floor({uniform('qty', seed)} * {span!r}) AS INTEGER)",
         "unit_price": (f"round(exp({C.GEN_PRICE_MU!r} + {C.GEN_PRICE_SIGMA!r} * "
                        f"{normal('p1', 'p2', seed)}), {C.GEN_PRICE_SCALE})"),
-        "delivery_region": weighted("reg", C.GEN_REGIONS, C.GEN_REGION_WEIGHTS, seed),
+        "delivery_region": weighted("reg", C.GEN_REGIONS, REGION_BOUNDS, seed),
         "is_express": f"({uniform('ex', seed)} < {C.GEN_EXPRESS_P!r})",
         "rating": rating,
         "customer_rating": f"CASE WHEN {uniform('nul', seed)} >= {C.GEN_RATING_NULL_P!r} THEN {rating} END",
@@ -234,15 +243,15 @@ FROM ids""",
             f" {fill_rating!r}) AS customer_rating) FROM order_lines"),
         # aggregates
         "row_count": ol + "SELECT count(*) AS row_count FROM order_lines",
-        "mean_rating": ol + f"SELECT {exact_avg('customer_rating')} AS mean_rating FROM order_lines",
+        "mean_rating": ol + f"SELECT {mean('customer_rating')} AS mean_rating FROM order_lines",
         "count_rated_by_category": ol + (
             "SELECT product_category, count(customer_rating) AS rated_orders " + by_cat.format(src="order_lines")),
         "revenue_by_category": ol + (
             f"SELECT product_category, {money('total_amount')} AS revenue " + by_cat.format(src="order_lines")),
         "avg_rating_by_category": imp + (
-            f"SELECT product_category, {exact_avg('customer_rating')} AS avg_rating " + by_cat.format(src="imputed")),
+            f"SELECT product_category, {mean('customer_rating')} AS avg_rating " + by_cat.format(src="imputed")),
         "avg_quantity_by_category": ol + (
-            f"SELECT product_category, {exact_avg('quantity', unit=1)} AS avg_quantity " + by_cat.format(src="order_lines")),
+            f"SELECT product_category, {mean('quantity')} AS avg_quantity " + by_cat.format(src="order_lines")),
         "category_summary": imp + category_summary_sql(),
         "express_by_region": ol + express_by_region_sql(express_threshold),
         # sort / limit
@@ -256,9 +265,9 @@ FROM run_log r LEFT JOIN meta m ON r.config = m.config""",
 WHERE config NOT IN (SELECT config FROM meta)""",
         "runlog_steps_long": rl + STEPS_LONG,
         "runlog_step_pivot": rl + f"SELECT run_id,\n       {pivot_cols}\nFROM run_log GROUP BY run_id",
-        "runlog_stack_offsets": rl + f"""SELECT *, CAST(coalesce(sum({cents('secs')}) OVER (
+        "runlog_stack_offsets": rl + f"""SELECT *, round(CAST(coalesce(sum({present('secs')}) OVER (
     PARTITION BY run_id ORDER BY step_pos, step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-    AS DOUBLE) / 100 AS "offset"
+    AS DOUBLE), 2) AS "offset"
 FROM run_log""",
         "runlog_visible_steps": rl + f"SELECT * FROM run_log WHERE secs > {visible_secs!r}",
         "runlog_totals": with_views(RUN_LOG, RUN_TOTALS) + "SELECT * FROM run_totals",

@@ -23,7 +23,7 @@ def main() -> None:
     runs = (("warm-up", "base", []), ("1dn_base", "base", []),
             ("1dn_opt", "tuned", ["--repartition", "8"]), ("single_pass", "single-pass", []))
     records = [app.main(["--input", f"{d}/orders.csv", "--results-dir", f"{d}/results",
-                         "--experiment-id", exp, "--plan", plan, "--show", "0"] + extra, spark=spark)
+                         "--experiment-id", exp, "--plan", plan, "--infer", "--show", "20"] + extra, spark=spark)
                for exp, plan, extra in runs]
     for r in records[1:]:
         print("RECORD", r["experiment_id"], r["total_time_sec"], r["steps"])
