@@ -26,7 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from ledgerlens import constants as C  # noqa: E402
 from ledgerlens.operators import clean, runlog, summaries  # noqa: E402
 from ledgerlens.plans import TunedReports, single_pass_reports  # noqa: E402
-from ledgerlens.session import build_session, scratch_path  # noqa: E402
+from ledgerlens.session import build_session, remove_scratch, scratch_path  # noqa: E402
 from ledgerlens.sources import files, generate, tables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -88,7 +88,7 @@ def main() -> None:
             report.collect()
 
     def tuned_job():
-        with TunedReports(lines, THRESHOLD, repartition=CPUS) as t:
+        with TunedReports(lines, THRESHOLD) as t:
             t.row_count.collect()
             t.category_summary.collect()
             t.express_by_region.collect()
@@ -102,8 +102,14 @@ def main() -> None:
     def runlog_job():
         log = tables.run_log(spark, SF_DIR)
         runlog.speedups(runlog.config_totals(log), tables.speedup_pairs(spark)).collect()
-        runlog.step_pivot(log, tables.EVENT_STEP_ORDER).collect()
-        runlog.stack_offsets(log).collect()
+        runlog.step_pivot(log).collect()
+        runlog.stack_offsets(log, pre_aggregated=True).collect()
+
+    def record_sink(read) -> None:
+        path = scratch_path(spark, "bench-run-records")
+        files.write_run_records(runlog.records_from_log(tables.run_log(spark, SF_DIR), pre_aggregated=True), path)
+        read(files.read_run_records(spark, path, multi_line=False)).collect()
+        remove_scratch(spark, path)
 
     queries = dict(job_steps(lines))
     queries.update({
@@ -112,6 +118,8 @@ def main() -> None:
         "tuned_job": tuned_job,
         "generate_orders": generate_job,
         "runlog_analytics": runlog_job,
+        "runlog_scan_json": lambda: record_sink(lambda r: r.select("experiment_id", "total_time_sec", F.size("steps"))),
+        "runlog_roundtrip_json": lambda: record_sink(runlog.steps_long),
     })
 
     samples: dict[str, list[float]] = {k: [] for k in queries}
@@ -139,7 +147,7 @@ def main() -> None:
         {"experiment_id": k, "total_time_sec": v, "steps": st} for k, (v, st) in variants.items()])
     rec_dir = scratch_path(spark, "bench-run-records")
     files.write_run_records(records, rec_dir)
-    back = files.read_run_records(spark, rec_dir)
+    back = files.read_run_records(spark, rec_dir, multi_line=False)
     totals = back.select(F.col("experiment_id").alias("config"), F.col("total_time_sec").alias("total_secs"))
     pairs = tables.speedup_pairs(spark, [
         ("tuned_vs_base", "base", "tuned"),
@@ -147,6 +155,8 @@ def main() -> None:
         ("parquet_vs_csv", "csv", "base"),
     ])
     speedups = {r.pair: round(r.speedup, 3) for r in runlog.speedups(totals, pairs).collect()}
+    for path in (csv_dir, rec_dir):
+        remove_scratch(spark, path)
     out = {
         "metric": "order_job_total_sec",
         "value": total,

@@ -7,9 +7,11 @@ Steps, each a Spark job with a job description: read (scan + count), impute
 (rating mean), group (category report), filter (express report).  Both reports
 are printed; ``--output`` also stores them as Parquet.  The run record (total
 and per-step seconds, Python driver memory) is written with
-``files.write_run_records``: one folder per experiment id, replaced when the id
-runs again.  ``--plan`` picks the base plan, the tuned plan (persisted,
-optionally repartitioned input) or the single-pass plan.
+``files.write_job_record``: one folder per experiment id, replaced when the id
+runs again.  ``--plan`` picks the single-pass plan (one scan, the default), the base
+plan or the tuned plan (persisted, optionally repartitioned input).  A CSV is read
+with the order-line schema unless ``--infer`` asks for one more pass.  With
+``--output`` the reports are written first and printed from what was written.
 """
 
 from __future__ import annotations
@@ -30,17 +32,15 @@ from ledgerlens.session import build_session, checkpoint_root
 from ledgerlens.sources import files, tables
 
 READ, IMPUTE, GROUP, FILTER = C.RUN_STEP_NAMES
+#: (measure, key) that each report is ranked by.
+RANKED = {"category_summary": ("revenue", "product_category"), "express_by_region": ("express_revenue", "delivery_region")}
 
 
 def driver_rss_mb() -> float:
     """Resident memory of this Python process in MB (the job's RAM reading)."""
-    try:
-        import psutil  # optional
-        return psutil.Process(os.getpid()).memory_info().rss / 1024 / 1024
-    except ImportError:
-        with open("/proc/self/statm") as fh:
-            pages = int(fh.read().split()[1])
-        return pages * os.sysconf("SC_PAGE_SIZE") / 1024 / 1024
+    with open("/proc/self/statm") as statm:
+        resident = int(statm.read().split()[1])
+    return resident * os.sysconf("SC_PAGE_SIZE") / 2**20
 
 
 class StepTimer:
@@ -86,9 +86,9 @@ def run_job(
     input_path: str,
     experiment_id: str,
     results_dir: str,
-    plan: str = "base",
+    plan: str = "single-pass",
     fmt: str = "csv",
-    infer: bool = True,
+    infer: bool = False,
     threshold: float = C.EXPRESS_AMOUNT_THRESHOLD,
     repartition: int | None = None,
     show_rows: int = C.SHOW_ROWS,
@@ -98,9 +98,15 @@ def run_job(
     ram_start = driver_rss_mb()
     timer = StepTimer(spark)
     started = time.perf_counter()
-    reports: dict[str, DataFrame] = {}
     holder: dict[str, DataFrame] = {}
 
+    def report(name: str, df: DataFrame) -> None:
+        if output_dir:
+            path = f"{output_dir.rstrip('/')}/{name}"
+            files.write_parquet(df, path)
+            df = summaries.ranked(files.read_parquet(spark, path), *RANKED[name])
+        _show(name.replace("_", " "), df, show_rows)
+
     def read_and_count() -> None:
         # Schema inference (when asked for) is part of reading, as in the job.
         holder["df"] = read_input(spark, input_path, fmt, infer)
@@ -118,37 +124,25 @@ def run_job(
         stats = holder["stats"]
         timer.run(IMPUTE, lambda: fill_value(stats).first())
         _, summary, express = reports_from_stats(stats)
-        reports["category_summary"] = summary
-        reports["express_by_region"] = express
-        timer.run(GROUP, lambda: _show("category summary", summary, show_rows))
-        timer.run(FILTER, lambda: _show("express orders by region", express, show_rows))
-        total = time.perf_counter() - started
+        timer.run(GROUP, lambda: report("category_summary", summary))
+        timer.run(FILTER, lambda: report("express_by_region", express))
     elif plan == "tuned":
         timer.run(READ, read_and_count)
         with TunedReports(holder["df"], threshold, repartition) as tuned:
             timer.run(IMPUTE, lambda: tuned.row_count.collect())  # fills the cache
-            reports["category_summary"] = tuned.category_summary
-            reports["express_by_region"] = tuned.express_by_region
-            timer.run(GROUP, lambda: _show("category summary", tuned.category_summary, show_rows))
-            timer.run(FILTER, lambda: _show("express orders by region", tuned.express_by_region, show_rows))
-            total = time.perf_counter() - started
-            if output_dir:
-                _write_reports(reports, output_dir)
+            timer.run(GROUP, lambda: report("category_summary", tuned.category_summary))
+            timer.run(FILTER, lambda: report("express_by_region", tuned.express_by_region))
     elif plan == "base":
         timer.run(READ, read_and_count)
         df = holder["df"]
         fill = timer.run(IMPUTE, lambda: clean.mean_value(df, "customer_rating").first().fill_value)
         imputed = clean.fill_constant(df, {"customer_rating": fill}) if fill is not None else df
-        reports["category_summary"] = summaries.category_summary(imputed)
-        reports["express_by_region"] = summaries.express_by_region(imputed, threshold)
-        timer.run(GROUP, lambda: _show("category summary", reports["category_summary"], show_rows))
-        timer.run(FILTER, lambda: _show("express orders by region", reports["express_by_region"], show_rows))
-        total = time.perf_counter() - started
+        timer.run(GROUP, lambda: report("category_summary", summaries.category_summary(imputed)))
+        timer.run(FILTER, lambda: report("express_by_region", summaries.express_by_region(imputed, threshold)))
     else:
         raise ValueError(f"unknown plan {plan!r}")
 
-    if output_dir and plan != "tuned":
-        _write_reports(reports, output_dir)  # not part of the timed job
+    total = time.perf_counter() - started
     ram_end = driver_rss_mb()
     record = {
         "experiment_id": experiment_id,
@@ -159,23 +153,18 @@ def run_job(
         "steps": {k: round(v, 2) for k, v in timer.steps.items()},
         "timestamp": dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"),
     }
-    files.write_run_records(tables.run_records(spark, [record]), results_dir)
+    files.write_job_record(tables.run_records(spark, [record]), results_dir)
     return record
 
 
-def _write_reports(reports: dict[str, DataFrame], output_dir: str) -> None:
-    for name, df in reports.items():
-        files.write_parquet(df, f"{output_dir.rstrip('/')}/{name}")
-
-
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description=__doc__.split("\n")[0])
     p.add_argument("--input", required=True, help="order-line CSV (header row) or Parquet path/URI")
     p.add_argument("--results-dir", required=True, help="folder of run records (shared storage)")
     p.add_argument("--experiment-id", default=os.environ.get("EXPERIMENT_ID", "1dn_base"))
-    p.add_argument("--plan", choices=["base", "tuned", "single-pass"], default="base")
+    p.add_argument("--plan", choices=["single-pass", "base", "tuned"], default="single-pass")
     p.add_argument("--format", choices=["csv", "parquet"], default="csv")
-    p.add_argument("--no-infer", action="store_true", help="read CSV with the order-line schema")
+    p.add_argument("--infer", action="store_true", help="infer the CSV's column types (one more pass)")
     p.add_argument("--threshold", type=float, default=C.EXPRESS_AMOUNT_THRESHOLD)
     p.add_argument("--repartition", type=int, default=None, help="tuned plan: round-robin partitions")
     p.add_argument("--shuffle-partitions", type=int, default=None)
@@ -193,7 +182,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     try:
         record = run_job(
             spark, args.input, args.experiment_id, args.results_dir, plan=args.plan,
-            fmt=args.format, infer=not args.no_infer, threshold=args.threshold,
+            fmt=args.format, infer=args.infer, threshold=args.threshold,
             repartition=args.repartition, show_rows=args.show, output_dir=args.output,
         )
         print(f"run record: {record}")

@@ -34,17 +34,6 @@ RUN_RECORD = T.StructType(
     ]
 )
 
-# Long run log: one row per (run, step).
-RUN_STEPS = T.StructType(
-    [
-        T.StructField("run_id", T.StringType(), True),
-        T.StructField("config", T.StringType(), True),
-        T.StructField("step", T.StringType(), True),
-        T.StructField("step_pos", T.IntegerType(), True),
-        T.StructField("secs", T.DoubleType(), True),
-    ]
-)
-
 # Run configuration lookup.
 RUN_META = T.StructType(
     [

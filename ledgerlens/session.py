@@ -87,3 +87,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/ledgerlens/{kind}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that ``scratch_path`` named, once nothing reads it any more."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/ledgerlens/"
+    if not path.startswith(root) or len(path) <= len(root):
+        raise ValueError(f"not a scratch folder: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

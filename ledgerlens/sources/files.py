@@ -6,27 +6,57 @@ writes a directory of part files in parallel, one or more per task.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schemas
+from ledgerlens.session import remove_scratch, scratch_path
 
 # --- fixed values: text formats ----------------------------------------------
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType = schemas.ORDER_LINES
+    spark: SparkSession, path: str, schema: T.StructType = schemas.ORDER_LINES, mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Header-row CSV with an explicit schema; an empty field is null."""
-    return (
-        spark.read.schema(schema)
+    """Header-row CSV with an explicit schema, bound by the header's names; an empty
+    field is null.
+
+    The first header line gives the order of the columns; columns that ``schema``
+    does not name are skipped, and one that it names and the file lacks raises
+    ``ValueError``.  A file of the folder with another header raises when it is read.
+    ``mode`` says what a malformed row does: ``FAILFAST`` raises, ``PERMISSIVE`` nulls
+    its bad fields, ``DROPMALFORMED`` drops it; ``malformed_rows`` counts them.
+    """
+    return _csv(spark, path, schema, mode).select(*schema.names)
+
+
+def malformed_rows(spark: SparkSession, path: str, schema: T.StructType = schemas.ORDER_LINES) -> DataFrame:
+    """One-row frame: rows of the file that do not parse under ``schema``."""
+    rows = _csv(spark, path, schema, "PERMISSIVE", "_malformed")
+    # every field takes part, so that no column is pruned from the parser
+    return rows.agg(F.count(F.when(F.col("_malformed").isNotNull(), F.struct(*rows.columns))).alias("malformed_rows"))
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType, mode: str, corrupt: str | None = None) -> DataFrame:
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [name for name in schema.names if name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(header)}")
+    bound = T.StructType([schema[name] if name in schema.names else T.StructField(name, T.StringType()) for name in header])
+    if corrupt:
+        bound = bound.add(corrupt, T.StringType())
+    reader = (
+        spark.read.schema(bound)
         .option("header", True)
+        .option("enforceSchema", bool(corrupt))
+        .option("mode", mode)
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .option("timestampFormat", TIMESTAMP_FORMAT)
-        .csv(path)
     )
+    return (reader.option("columnNameOfCorruptRecord", corrupt) if corrupt else reader).csv(path)
 
 
 def read_csv_inferred(
@@ -80,38 +110,78 @@ def read_run_records(spark: SparkSession, path: str, multi_line: bool = True) ->
     ``multi_line=False`` for JSON-lines files such as ``write_run_records``
     output.  Files under ``experiment_id=...`` folders get the id from the path.
     """
-    return spark.read.schema(schemas.RUN_RECORD).option("multiLine", multi_line).json(path)
+    records = spark.read.schema(schemas.RUN_RECORD).option("multiLine", multi_line).json(path)
+    return records.select(*schemas.RUN_RECORD.names)
 
 
-def write_run_records(records: DataFrame, path: str) -> None:
-    """One folder per experiment id, replaced when the id is written again.
-
-    A re-run replaces a record: of several records for one id, the one with
-    the latest ``timestamp`` is kept, so every folder holds one record (as the
-    one-object-per-file reader expects).  The ``groupBy`` that picks it (partial
-    aggregation, one shuffle) also clusters the rows by id for the write.
-    Dynamic partition overwrite replaces only the ids present in ``records``;
-    other runs' files stay.  Non-ASCII step names are written as UTF-8.  A
-    missing ``timestamp`` is stamped with the write time.
-    """
+def _latest(records: DataFrame) -> DataFrame:
+    """One record per id: the latest, of equal timestamps the longest, then the
+    largest of the other fields, so that the choice is never arbitrary.  A missing
+    timestamp is stamped with the present time."""
     stamped = records.withColumn(
         "timestamp",
         F.coalesce(F.col("timestamp"), F.date_format(F.current_timestamp(), TIMESTAMP_FORMAT)),
     )
     others = [c for c in stamped.columns if c != "experiment_id"]
-    latest = (
+    rank = F.struct("timestamp", "total_time_sec", "ram_start_mb", "ram_end_mb", "ram_delta_mb", F.to_json("steps"))
+    return (
         stamped.groupBy("experiment_id")
-        .agg(F.max_by(F.struct(*others), F.col("timestamp")).alias("record"))
+        .agg(F.max_by(F.struct(*others), rank).alias("record"))
         .select("experiment_id", "record.*")
     )
+
+
+def write_job_record(records: DataFrame, path: str) -> None:
+    """The job's own record: one folder per experiment id, replaced when the id runs
+    again.  For a handful of ids; ``write_run_records`` takes any number."""
     (
-        latest.write.mode("overwrite")
+        _latest(records).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("experiment_id")
         .json(path)
     )
 
 
+RECORD_BUCKETS = 64
+
+
+def write_run_records(records: DataFrame, path: str, buckets: int = RECORD_BUCKETS) -> None:
+    """Run records as JSON lines in ``buckets`` folders by a hash of the id; a record
+    is replaced when its id is written again.
+
+    Of several records for one id the latest is kept.  Only the buckets that
+    ``records`` touches are rewritten: their other records are read, merged (a written
+    table, so that nothing is overwritten while it is read) and put back by dynamic
+    partition overwrite.  The folders do not grow with the ids; ``buckets`` must stay
+    the same for a path.  Non-ASCII step names are written as UTF-8.
+    """
+    spark = records.sparkSession
+    merged_path = scratch_path(spark, "run-records")
+    bucket = F.pmod(F.xxhash64("experiment_id"), F.lit(buckets)).cast("int")
+    new = _latest(records.select(*schemas.RUN_RECORD.names)).withColumn("bucket", bucket)
+    layout = T.StructType([*schemas.RUN_RECORD.fields, T.StructField("bucket", T.IntegerType())])
+    new.write.parquet(merged_path)
+    new = spark.read.schema(layout).parquet(merged_path)
+    try:
+        old = spark.read.schema(layout).json(path).select(*layout.names)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = None
+    if old is not None:
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+        kept = old.where(F.col("bucket").isin(touched)).join(new.select("experiment_id"), "experiment_id", "left_anti")
+        kept.select(*layout.names).write.mode("append").parquet(merged_path)
+        new = spark.read.schema(layout).parquet(merged_path)
+    (
+        new.repartition("bucket").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket")
+        .json(path)
+    )
+    remove_scratch(spark, merged_path)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 

@@ -19,7 +19,7 @@ def spark():
     ckpt = tempfile.mkdtemp(prefix="ledgerlens-test-ckpt-")
     session = build_session(
         "local[*]", app_name="ledgerlens-tests", shuffle_partitions=8,
-        conf={"spark.checkpoint.dir": ckpt},
+        conf={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g", "spark.sql.ui.retainedExecutions": "20"},
     )
     session.sparkContext.setCheckpointDir(ckpt)
     yield session

@@ -2,6 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from ledgerlens import constants as C
 from ledgerlens.plans import analysis, app
 from ledgerlens.sources import files, tables
 
@@ -19,9 +20,9 @@ def test_job_plans_write_records_and_analysis_reads_them(spark, tmp_dir, capsys)
         if plan == "tuned":
             args += ["--repartition", "4"]
         record = app.main(args, spark=spark)
-        assert list(record["steps"]) == ["чтение", "пропуски", "группировка", "фильтрация"]
+        assert list(record["steps"]) == C.RUN_STEP_NAMES
     printed = capsys.readouterr().out
-    assert "category summary" in printed and "express orders by region" in printed
+    assert "category summary" in printed and "express by region" in printed
 
     # Every plan wrote the same reports.
     summaries = [sorted(map(tuple, spark.read.parquet(os.path.join(out, e, "category_summary")).collect()))
@@ -35,7 +36,7 @@ def test_job_plans_write_records_and_analysis_reads_them(spark, tmp_dir, capsys)
 
     t = analysis.main(["--records", results], spark=spark)
     assert [r.experiment_id for r in t["runs"].collect()] == ["1dn_base", "1dn_opt", "3dn_base", "3dn_opt"]
-    assert t["step_table"].columns == ["run_id", "чтение", "пропуски", "группировка", "фильтрация"]
+    assert t["step_table"].columns == ["run_id", *C.RUN_STEP_NAMES]
     assert t["speedups"].filter(F.col("speedup").isNull()).count() == 0
     assert t["unknown_configs"].count() == 0
 
@@ -57,11 +58,25 @@ def test_app_reads_typed_csv_and_parquet_alike(spark, tmp_dir):
     files.write_csv(lines, csv)
     files.write_parquet(lines, pq)
     outs = []
-    for name, extra in (("typed", ["--input", csv, "--no-infer"]),
+    for name, extra in (("typed", ["--input", csv]), ("inferred", ["--input", csv, "--infer"]),
                         ("parquet", ["--input", pq, "--format", "parquet"])):
         out = os.path.join(tmp_dir, f"out-{name}")
         app.main(extra + ["--results-dir", os.path.join(tmp_dir, "r"), "--experiment-id", name,
                           "--threshold", "30000", "--output", out], spark=spark)
         outs.append(sorted(map(tuple, spark.read.parquet(os.path.join(out, "express_by_region")).collect())))
-    assert outs[0] == outs[1] and len(outs[0]) == 5
-    assert files.read_run_records(spark, os.path.join(tmp_dir, "r")).count() == 2
+    assert outs[0] == outs[1] == outs[2] and len(outs[0]) == 5
+    assert files.read_run_records(spark, os.path.join(tmp_dir, "r")).count() == 3
+
+
+def test_step_table_has_the_steps_of_every_record(spark, tmp_dir):
+    records = tables.run_records(spark, [
+        {"experiment_id": "1dn_base", "total_time_sec": 1.0, "steps": {}},
+        {"experiment_id": "1dn_opt", "total_time_sec": 2.0, "steps": {"a": 1.0}},
+        {"experiment_id": "3dn_base", "total_time_sec": 3.0, "steps": {"a": 1.0, "b": 2.0}}])
+    t = analysis.analysis_tables(spark, records)
+    assert t["step_table"].columns == ["run_id", "a", "b"]
+    files.write_run_records(records, os.path.join(tmp_dir, "records"))
+    out = os.path.join(tmp_dir, "tables")
+    t = analysis.main(["--records", os.path.join(tmp_dir, "records"), "--json-lines", "--output", out, "--show", "2"], spark=spark)
+    assert sorted(os.listdir(out)) == sorted(t)
+    assert spark.read.parquet(os.path.join(out, "totals")).count() == 3

@@ -1,6 +1,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from ledgerlens import schemas
 from ledgerlens.sources import files, tables
 
@@ -48,3 +50,32 @@ def test_parquet_round_trip(spark, tmp_dir):
     path = os.path.join(tmp_dir, "log")
     files.write_parquet(df, path)
     assert sorted(map(tuple, files.read_parquet(spark, path).collect())) == sorted(map(tuple, df.collect()))
+
+
+HEADER = "total_amount,order_id,is_express,delivery_region,quantity,extra,product_category,unit_price,order_date,customer_rating"
+
+
+def test_columns_are_bound_by_header_name(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "o.csv")
+    with open(path, "w") as fh:
+        fh.write(HEADER + "\n30.0,A,True,R1,2,x,Books,15.0,2024-01-01 00:00:00,4.0\n")
+    df = files.read_csv(spark, path)
+    assert df.schema == schemas.ORDER_LINES
+    row = df.first()
+    assert (row.order_id, row.total_amount, row.is_express, row.delivery_region, row.customer_rating) == ("A", 30.0, True, "R1", 4.0)
+    with open(path, "w") as fh:
+        fh.write("order_id\nA\n")
+    with pytest.raises(ValueError, match="customer_rating"):
+        files.read_csv(spark, path)
+
+
+def test_malformed_rows_are_refused_or_counted(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "o.csv")
+    with open(path, "w") as fh:
+        fh.write(HEADER + "\n30.0,A,True,R1,2,x,Books,15.0,2024-01-01 00:00:00,4.0\n")
+        fh.write("thirty,B,True,R1,2,x,Books,15.0,2024-01-01 00:00:00,4.0\n")
+    with pytest.raises(Exception, match="MALFORMED|thirty"):
+        files.read_csv(spark, path).collect()
+    assert [r.total_amount for r in files.read_csv(spark, path, mode="PERMISSIVE").orderBy("order_id").collect()] == [30.0, None]
+    assert files.read_csv(spark, path, mode="DROPMALFORMED").collect()[0].order_id == "A"
+    assert files.malformed_rows(spark, path).first().malformed_rows == 1

@@ -1,4 +1,6 @@
-from ledgerlens.session import checkpoint_root, default_parallelism, scratch_path
+import pytest
+
+from ledgerlens.session import checkpoint_root, default_parallelism, remove_scratch, scratch_path
 
 
 def test_scratch_paths_are_fresh_and_below_the_checkpoint_dir(spark):
@@ -18,3 +20,13 @@ def test_checkpoint_root_is_read_not_replaced(spark):
 
 def test_default_parallelism(spark):
     assert default_parallelism(spark) == spark.sparkContext.defaultParallelism
+
+
+def test_scratch_folders_can_be_removed_and_nothing_else(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    remove_scratch(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        remove_scratch(spark, checkpoint_root(spark))
