@@ -2,13 +2,14 @@
 
 Differences from a naive ``df.cache()`` of the raw input:
 
-* only the columns the reports read are persisted, so the cache is small and
-  the source scan keeps column pruning;
+* only the columns that the asked reports read are persisted, so the cache is small
+  and the source scan keeps column pruning;
 * the source is read once, to fill the cache; the rating mean is then
   computed from the cache (the columnar cache reads just that column) and the
   fill is a projection over the cached rows;
-* the optional round-robin ``repartition(n)`` runs once, before the cache,
-  not once per report;
+* a single report shares nothing, so it is not cached;
+* there is no repartition by default.  ``repartition`` deals the rows out once,
+  before the cache; ``repartition_for`` sizes it from the input's bytes;
 * ``close()`` unpersists the same handle that was persisted.
 
 Use it when several reports share an expensive input (CSV, remote storage).
@@ -18,6 +19,8 @@ For columnar sources a re-scan is usually cheaper than filling a cache; see
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
@@ -26,14 +29,22 @@ from ledgerlens.operators.clean import impute_mean
 from ledgerlens.operators.summaries import category_summary, express_by_region, row_count
 from ledgerlens.session import checkpoint_root
 
-REPORT_COLUMNS = (
-    "order_id", "product_category", "quantity", "delivery_region",
-    "is_express", "customer_rating", "total_amount",
-)
+REPORT_COLUMNS = {
+    "row_count": (),
+    "category_summary": ("order_id", "product_category", "quantity", "customer_rating", "total_amount"),
+    "express_by_region": ("order_id", "delivery_region", "is_express", "total_amount"),
+}
+PARTITION_BYTES = 128 << 20
+
+
+def repartition_for(df: DataFrame, partition_bytes: int = PARTITION_BYTES) -> int:
+    """A partition count for ``TunedReports``: the input's estimated bytes over ``partition_bytes``."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, -(-size // partition_bytes))
 
 
 class TunedReports:
-    """Context manager holding the persisted, pruned and imputed input."""
+    """Context manager holding the pruned input, persisted if several reports share it."""
 
     def __init__(
         self,
@@ -41,15 +52,19 @@ class TunedReports:
         threshold: float = C.EXPRESS_AMOUNT_THRESHOLD,
         repartition: int | None = None,
         storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+        reports: Sequence[str] = tuple(REPORT_COLUMNS),
     ) -> None:
-        shared = df.select(*REPORT_COLUMNS)
+        needed = {c for name in reports for c in REPORT_COLUMNS[name]}
+        shared = df.select(*(c for c in df.columns if c in needed))
         if repartition:
             shared = shared.repartition(repartition)
-        self.shared = shared.persist(storage_level)
-        imputed = impute_mean(self.shared, "customer_rating")
-        self.row_count = row_count(self.shared)
-        self.category_summary = category_summary(imputed)
-        self.express_by_region = express_by_region(imputed, threshold)
+        self.shared = shared.persist(storage_level) if len(reports) > 1 else shared
+        if "row_count" in reports:
+            self.row_count = row_count(self.shared)
+        if "category_summary" in reports:
+            self.category_summary = category_summary(impute_mean(self.shared, "customer_rating"))
+        if "express_by_region" in reports:  # reads no rating, so nothing is imputed
+            self.express_by_region = express_by_region(self.shared, threshold)
 
     def close(self) -> None:
         self.shared.unpersist()
@@ -73,7 +88,7 @@ def tuned_reports(
     survive executor loss.
     """
     checkpoint_root(df.sparkSession)
-    with TunedReports(df, threshold, repartition) as t:
+    with TunedReports(df, threshold, repartition, reports=("category_summary", "express_by_region")) as t:
         summary = t.category_summary.checkpoint(eager=True)
         express = t.express_by_region.checkpoint(eager=True)
     return summary, express
@@ -85,8 +100,6 @@ def tuned_report(
     threshold: float = C.EXPRESS_AMOUNT_THRESHOLD,
     repartition: int | None = None,
 ) -> DataFrame:
-    """One report (``row_count``, ``category_summary`` or ``express_by_region``)
-    through the tuned plan, checkpointed before the cache is released."""
-    checkpoint_root(df.sparkSession)
-    with TunedReports(df, threshold, repartition) as t:
-        return getattr(t, name).checkpoint(eager=True)
+    """One report (``row_count``, ``category_summary`` or ``express_by_region``) through
+    the tuned plan; it shares its input with no other, so it stays lazy and uncached."""
+    return getattr(TunedReports(df, threshold, repartition, reports=(name,)), name)
