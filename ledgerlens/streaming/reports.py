@@ -7,14 +7,16 @@ state: each micro-batch reads only the new files and merges their partial
 aggregates into the state store.  The state holds one row per
 (category, region), whatever the input size.  After each micro-batch the
 complete statistics table is turned into the reports (mean, imputed average
-rating, both summaries) and written to the output folder, replacing the
-previous version.  The streaming checkpoint makes progress and state survive
-driver or executor loss.
+rating, both summaries) and written to a folder of its epoch; a marker written
+last makes that epoch the one ``latest_report`` reads, so that readers see whole
+epochs only, also after a failure between the writes.  The streaming checkpoint
+makes progress and state survive driver or executor loss.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -49,12 +51,20 @@ def _publish(output_dir: str):
             count, summary, express = reports_from_stats(stats)
             for name, report in (("row_count", count), ("category_summary", summary),
                                  ("express_by_region", express)):
-                report.write.mode("overwrite").parquet(f"{output_dir}/{name}")
+                report.write.mode("overwrite").parquet(f"{output_dir}/epoch-{epoch_id}/{name}")
+            marker = batch.sparkSession.createDataFrame([(epoch_id,)], "epoch long")
+            marker.write.mode("append").parquet(f"{output_dir}/complete")
         finally:
             stats.unpersist()
     return write
 
 
+def latest_report(spark: SparkSession, output_dir: str, name: str) -> DataFrame:
+    """``row_count``, ``category_summary`` or ``express_by_region`` of the last whole epoch."""
+    epoch = spark.read.parquet(f"{output_dir}/complete").agg(F.max("epoch").alias("epoch")).first().epoch
+    return spark.read.parquet(f"{output_dir}/epoch-{epoch}/{name}")
+
+
 def start_order_reports(
     spark: SparkSession,
     source_dir: str,
@@ -65,7 +75,7 @@ def start_order_reports(
     processing_time: str | None = None,
     **source_options,
 ) -> StreamingQuery:
-    """Start the query; reports appear under ``output_dir/<report>``.
+    """Start the query; ``latest_report(spark, output_dir, name)`` reads its reports.
 
     ``available_now`` processes what is in the folder and stops (a catch-up
     run); otherwise micro-batches run every ``processing_time``.  Pass a

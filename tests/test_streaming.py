@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.plans import base_reports
 from ledgerlens.sources import tables
-from ledgerlens.streaming import start_order_reports
+from ledgerlens.streaming import latest_report, start_order_reports
 
 from .conftest import SF001
 
@@ -25,11 +25,11 @@ def test_stream_reports_equal_batch_reports_after_each_arrival(spark, tmp_dir):
         q = start_order_reports(spark, landing, out, 30000.0, checkpoint_location=ckpt, available_now=True)
         q.awaitTermination(120)
         expected = base_reports(seen, 30000.0)
-        assert _rows(spark.read.parquet(f"{out}/category_summary").orderBy(
+        assert _rows(latest_report(spark, out, "category_summary").orderBy(
             F.col("revenue").desc(), "product_category")) == _rows(expected.category_summary)
-        assert _rows(spark.read.parquet(f"{out}/express_by_region").orderBy(
+        assert _rows(latest_report(spark, out, "express_by_region").orderBy(
             F.col("express_revenue").desc(), "delivery_region")) == _rows(expected.express_by_region)
-        assert spark.read.parquet(f"{out}/row_count").first().row_count == expected.row_count.first().row_count
+        assert latest_report(spark, out, "row_count").first().row_count == expected.row_count.first().row_count
     assert seen.count() == lines.count()
 
 
@@ -42,5 +42,12 @@ def test_stream_over_csv_landing_folder(spark, tmp_dir):
                             checkpoint_location=os.path.join(tmp_dir, "csv-ckpt"))
     q.awaitTermination(120)
     expected = base_reports(lines, 30000.0)
-    assert _rows(spark.read.parquet(f"{out}/category_summary").orderBy(
+    assert _rows(latest_report(spark, out, "category_summary").orderBy(
         F.col("revenue").desc(), "product_category")) == _rows(expected.category_summary)
+
+
+def test_an_epoch_without_its_marker_is_not_read(spark, tmp_dir):
+    spark.createDataFrame([(3,)], "row_count long").write.parquet(f"{tmp_dir}/epoch-0/row_count")
+    spark.createDataFrame([(0,)], "epoch long").write.parquet(f"{tmp_dir}/complete")
+    spark.createDataFrame([(9,)], "row_count long").write.parquet(f"{tmp_dir}/epoch-1/row_count")  # cut off here
+    assert latest_report(spark, tmp_dir, "row_count").first().row_count == 3
