@@ -250,11 +250,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     open_bands = stored(labelled.join(mixed, "key"), "open")
     rest = stored(cross_component_pairs(open_bands, texts, k, percent).distinct().join(star, ["a", "b"], "left_anti"), "pairs")
     late = stored(confirm(rest, texts, k, percent), "confirmed")
-    if late.limit(1).count():
-        labels = components(links.union(late))
-
     # written first, so that the join below holds no aggregate and a hot class can be split
     of_class = stored(nodes.join(labels, "node", "left").select("print", F.coalesce("label", "node").alias("component")), "components")
+    if late.limit(1).count():  # they join whole components: close them over the labels alone
+        at_a, at_b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab")
+        between = late.join(at_a, "a", "left").join(at_b, "b", "left").select(
+            F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+        joined = components(between).select(F.col("node").alias("component"), F.col("label").alias("whole"))
+        of_class = stored(of_class.join(joined, "component", "left").select(
+            "print", F.coalesce("whole", "component").alias("component")), "components")
     return (base.select("doc_id", "n_shingles", "print").join(of_class, "print", "left")
             .select("doc_id", "n_shingles",
                     F.coalesce("component", "doc_id").alias("component_id"),
