@@ -42,8 +42,9 @@ _JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+){2,4}"
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 _BASE64_RUN = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
 _HEX_RUN = re.compile(r"[0-9A-Fa-f]{64,}")
-_ASSIGN_HINT = re.compile(rb"passwor?d|secret|token|api_?key")
-_OTHER_HINT = re.compile(rb"AKIA|-----BEGIN |eyJ")
+# the words of the base pattern; a hint leaves the byte that the next one may begin with
+_ASSIGN_HINT = re.compile(rb"password|passwd|secre(?=t)|token|api_?key")
+_OTHER_HINT = re.compile(rb"AKI(?=A)|-----BEGIN |eyJ")
 
 _HEX_BYTE = np.zeros(256, bool)
 _HEX_BYTE[list(b"0123456789abcdef")] = True
