@@ -5,18 +5,19 @@ node, so a tree's *skeleton* has few nodes whatever the page's length.
 
 1. Statistics (map, partial aggregation): for every (host, skeleton, node) the pages,
    characters, link characters and whether its text is one constant.
-2. Induction (one small group per host): the host's skeletons, most frequent first,
-   are aligned by simple tree matching and merged into a wrapper tree.  A wrapper
-   node whose text never varies over ``CONSTANT_PAGES`` pages or more is template; so
+2. Induction: all skeletons of a host are aligned by simple tree matching and merged
+   into a wrapper tree, ``FAN`` at a time: skeletons dealt by hash to partial wrappers,
+   most frequent first, then partial wrappers to larger ones until one is left, so no
+   task sees more of a host, however many skeletons it has.  A wrapper node with own
+   text that never varies over ``CONSTANT_PAGES`` pages or more is template; so
    are slots that are mostly links and subtrees whose element or class names a
    boilerplate role.  The others are content slots.  Where slots lie in an
    article or main element, only those below it are content.
 3. Extraction (map): each page is aligned with its host's wrapper, once per
    skeleton, and the blocks in content slots are joined in page order.
 
-At most ``SKELETONS`` skeletons of a host shape its wrapper (the bounded fit); every
-page, of any skeleton, is aligned with it, and statistics cover all pages.  An
-unaligned node takes its role from its names and its parent.
+Every page, of any skeleton, shapes its host's wrapper and is aligned with it.  A node
+that stays unaligned takes its role from its names and those of its ancestors.
 
 White space in a block is one space.  A null or empty html, or one without content,
 gives the empty text; a null or odd url belongs to the host ''.
@@ -34,12 +35,12 @@ from html import unescape
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import stored
 
-SKELETONS = 48
+FAN = 64
 CONSTANT_PAGES = 4
 LINK_SHARE = 0.6
 
@@ -200,7 +201,7 @@ class Shape:
     """A skeleton's node, or a wrapper's: label, flags and children."""
     label: str
     children: list[Shape] = field(default_factory=list)
-    content: bool | None = None
+    template: bool = False
     stats: dict = field(default_factory=dict)
 
 
@@ -233,7 +234,7 @@ def match(a: Shape, b: Shape, memo: dict) -> tuple[int, list[tuple[int, int]]]:
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n):
         for j in range(m):
-            w = match(a.children[i], b.children[j], memo)[0]
+            w = match(a.children[i], b.children[j], memo)[0] if a.children[i].label == b.children[j].label else 0
             best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + w if w else 0)
     pairs, i, j = [], n, m
     while i and j:
@@ -284,73 +285,98 @@ def _main(label: str) -> bool:
     return (tag in MAIN_TAGS or "main" in names) and not _boilerplate(label, True)
 
 
-def classify(wrapper: Shape) -> None:
-    """Marks every wrapper node as content or not."""
-    regions = any(_main(s.label) for s in shapes(wrapper))
+def name_roles(root: Shape) -> list[tuple[bool, bool]]:
+    """For each node in preorder, as names tell: whether it may be content, and
+    whether it lies in an article or main element."""
+    roles = []
 
     def walk(node: Shape, allowed: bool, inside: bool) -> None:
         allowed = allowed and not _boilerplate(node.label, inside)
         inside = inside or (allowed and _main(node.label))
-        s = node.stats
-        constant = s.get("pages", 0) >= CONSTANT_PAGES and s.get("low") == s.get("high")
-        linked = s.get("links", 0) > LINK_SHARE * max(1, s.get("chars", 0))
-        node.content = allowed and (inside or not regions) and not linked and not (constant and not inside)
+        roles.append((allowed, inside))
         for child in node.children:
             walk(child, allowed, inside)
 
-    walk(wrapper, True, False)
+    walk(root, True, False)
+    return roles
+
+
+def classify(wrapper: Shape) -> None:
+    """Marks the wrapper nodes whose own text is template."""
+    for node, (_, inside) in zip(shapes(wrapper), name_roles(wrapper)):
+        s = node.stats
+        constant = s.get("pages", 0) >= CONSTANT_PAGES and s.get("chars", 0) > 0 and s.get("low") == s.get("high")
+        linked = s.get("links", 0) > LINK_SHARE * max(1, s.get("chars", 0))
+        node.template = linked or (constant and not inside)
+
+
+def fold(trees: list[Shape]) -> Shape:
+    """The trees merged in the given order."""
+    wrapper = trees[0]
+    for tree in trees[1:]:
+        merge(wrapper, tree, {})
+    return wrapper
+
+
+def with_stats(skeleton: str, stats: list[dict]) -> Shape:
+    page = shape_of(skeleton)
+    for node, s in zip(shapes(page), stats):
+        node.stats = dict(s)
+    return page
 
 
 def induce(skeletons: list[tuple[str, list[dict]]]) -> Shape:
     """The wrapper of (skeleton, statistics by node) pairs, most frequent first."""
-    wrapper = None
-    for skeleton, stats in skeletons:
-        page = shape_of(skeleton)
-        for node, s in zip(shapes(page), stats):
-            node.stats = dict(s)
-        if wrapper is None:
-            wrapper = page
-        else:
-            merge(wrapper, page, {})
+    wrapper = fold([with_stats(*s) for s in skeletons])
     classify(wrapper)
     return wrapper
 
 
+STATS = ("pages", "chars", "links", "low", "high")
+
+
+def tree_to_json(tree: Shape) -> str:
+    def plain(s: Shape) -> list:
+        return [s.label, [s.stats[k] for k in STATS], [plain(c) for c in s.children]]
+    return json.dumps(plain(tree), separators=(",", ":"))
+
+
+def tree_from_json(text: str) -> Shape:
+    def built(x: list) -> Shape:
+        return Shape(x[0], [built(c) for c in x[2]], stats=dict(zip(STATS, x[1])))
+    return built(json.loads(text))
+
+
 def to_json(wrapper: Shape) -> str:
+    regions = any(inside for _, inside in name_roles(wrapper))
+
     def plain(s: Shape) -> list:
-        return [s.label, int(bool(s.content)), [plain(c) for c in s.children]]
-    return json.dumps(plain(wrapper), separators=(",", ":"))
+        return [s.label, int(s.template), [plain(c) for c in s.children]]
+    return json.dumps([int(regions), plain(wrapper)], separators=(",", ":"))
 
 
 @lru_cache(maxsize=512)
-def from_json(text: str) -> Shape:
+def from_json(text: str) -> tuple[bool, Shape]:
     def built(x: list) -> Shape:
         return Shape(x[0], [built(c) for c in x[2]], bool(x[1]))
-    return built(json.loads(text))
+    regions, root = json.loads(text)
+    return bool(regions), built(root)
 
 
 @lru_cache(maxsize=8192)
 def content_nodes(skeleton: str, wrapper_json: str) -> tuple[bool, ...]:
     """For each node of a skeleton in preorder, whether it is in a content slot."""
-    wrapper, page, memo = from_json(wrapper_json), shape_of(skeleton), {}
+    (regions, wrapper), page, memo = from_json(wrapper_json), shape_of(skeleton), {}
 
-    def inherit(node: Shape, allowed: bool) -> None:
-        node.content = (allowed or _main(node.label)) and not _boilerplate(node.label, allowed)
-        for child in node.children:
-            inherit(child, node.content)
-
-    def walk(w: Shape, p: Shape) -> None:
-        p.content = w.content
-        mapped = dict((b, a) for a, b in match(w, p, memo)[1])
-        for j, child in enumerate(p.children):
-            if j in mapped:
-                walk(w.children[mapped[j]], child)
-            else:
-                inherit(child, bool(p.content))
+    def align(w: Shape, p: Shape) -> None:
+        p.template = w.template
+        for a, b in match(w, p, memo)[1]:
+            align(w.children[a], p.children[b])
 
     if wrapper.label == page.label:
-        walk(wrapper, page)
-    return tuple(bool(s.content) for s in shapes(page))
+        align(wrapper, page)
+    return tuple(allowed and (inside or not regions) and not node.template
+                 for node, (allowed, inside) in zip(shapes(page), name_roles(page)))
 
 
 def page_text(html: str, wrapper_json: str) -> str:
@@ -379,11 +405,34 @@ def _stat_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ["host", "form", "node", "skeleton", "digest", "chars", "links"])
 
 
-def _induce_host(rows: pd.DataFrame) -> pd.DataFrame:
+def _fold_forms(rows: pd.DataFrame) -> pd.DataFrame:
+    """The partial wrapper of the skeletons of one slot."""
     found = []
-    for _, part in rows.sort_values(["place", "node"]).groupby("place", sort=True):
-        found.append((part["skeleton"].iloc[0], part[["pages", "chars", "links", "low", "high"]].to_dict("records")))
-    return pd.DataFrame({"host": [rows["host"].iloc[0]], "wrapper": [to_json(induce(found))]})
+    for form, part in rows.sort_values(["form", "node"]).groupby("form", sort=True):
+        found.append((-int(part["pages"].iloc[0]), form, with_stats(part["skeleton"].iloc[0], part[list(STATS)].to_dict("records"))))
+    found.sort(key=lambda f: f[:2])
+    return _partial(rows, -sum(f[0] for f in found), [f[2] for f in found])
+
+
+def _fold_trees(rows: pd.DataFrame) -> pd.DataFrame:
+    """The partial wrapper of the partial wrappers of one slot."""
+    ordered = rows.sort_values(["pages", "part"], ascending=[False, True])
+    return _partial(rows, int(rows["pages"].sum()), [tree_from_json(t) for t in ordered["tree"]])
+
+
+def _partial(rows: pd.DataFrame, pages: int, trees: list[Shape]) -> pd.DataFrame:
+    return pd.DataFrame({"host": [rows["host"].iloc[0]], "slots": [rows["slots"].iloc[0]], "part": [rows["slot"].iloc[0]],
+                         "pages": [pages], "tree": [tree_to_json(fold(trees))]})
+
+
+def _wrapper_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for text in batch.column("tree").to_pylist():
+            wrapper = tree_from_json(text)
+            classify(wrapper)
+            found.append(to_json(wrapper))
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(found, pa.string())], ["host", "wrapper"])
 
 
 def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,9 +457,16 @@ def wrappers(pages: DataFrame) -> DataFrame:
     stats = stored(stats.groupBy("host", "form", "node").agg(
         F.count("*").alias("pages"), F.max("skeleton").alias("skeleton"), F.sum("chars").alias("chars"),
         F.sum("links").alias("links"), F.min("digest").alias("low"), F.max("digest").alias("high")), "wrapper-stats")
-    order = Window.partitionBy("host").orderBy(F.desc("pages"), "form")
-    top = stats.where("node = 0").select("host", "form", F.row_number().over(order).alias("place")).where(F.col("place") <= SKELETONS)
-    return stored(stats.join(top, ["host", "form"]).groupBy("host").applyInPandas(_induce_host, "host string, wrapper string"), "wrappers")
+    # one key column: after a join by host, a grouping by host and slot would still meet in one task
+    key = F.concat_ws("\0", "slot", "host")
+    slots = stats.where("node = 0").groupBy("host").agg(F.ceil(F.count("*") / FAN).cast("int").alias("slots"))
+    forms = stats.join(slots, "host").withColumn("slot", F.pmod(F.xxhash64("form"), F.col("slots")).cast("int"))
+    schema = "host string, slots int, part int, pages long, tree string"
+    parts = stored(forms.withColumn("key", key).groupBy("key").applyInPandas(_fold_forms, schema), "wrapper-parts")
+    while parts.where("slots > 1").limit(1).count():
+        parts = parts.withColumn("slots", F.ceil(F.col("slots") / FAN).cast("int")).withColumn("slot", F.expr(f"part div {FAN}").cast("int"))
+        parts = stored(parts.withColumn("key", key).groupBy("key").applyInPandas(_fold_trees, schema), "wrapper-parts")
+    return stored(parts.select("host", "tree").mapInArrow(_wrapper_batches, "host string, wrapper string"), "wrappers")
 
 
 def extract(pages: DataFrame) -> DataFrame:

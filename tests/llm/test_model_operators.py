@@ -223,6 +223,28 @@ def test_odd_pages(spark):
     assert html_text.extract(pages_of(spark, rows).limit(0)).count() == 0
 
 
+def test_every_skeleton_shapes_the_wrapper(spark):
+    """Nearly every page has its own block order; rare and long ones keep their text."""
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for i in range(150):
+        kinds = rng.choice(["p", "ul", "table", "blockquote"], 2 + i % 14)
+        body, texts = "", []
+        for j, kind in enumerate(kinds):
+            texts.append(f"{kind} {j} of {i}")
+            body += {"p": "<p>{}</p>", "ul": "<ul><li>{}</li></ul>", "table": "<table><tr><td>{}</td></tr></table>",
+                     "blockquote": "<blockquote><p>{}</p></blockquote>"}[kind].format(texts[-1])
+        rows.append((i, "http://e.example.com/x", f"<body><div class=top><p>Welcome</p></div><div class=txt>{body}</div></body>"))
+        want[i] = "\n\n".join(texts)
+    fan, html_text.FAN = html_text.FAN, 8  # three levels of partial wrappers
+    try:
+        got = {r.page_id: r.text for r in html_text.extract(pages_of(spark, rows)).collect()}
+    finally:
+        html_text.FAN = fan
+    assert got == want
+    assert {r.page_id: r.text for r in html_text.extract(pages_of(spark, rows)).collect()} == want
+
+
 def test_simple_tree_matching_is_the_largest_mapping():
     a = html_text.shape_of("(r(x(p)(q))(y)(x(p)))")
     b = html_text.shape_of("(r(y)(x(p)(z)(q)))")
