@@ -11,10 +11,13 @@ node, so a tree's *skeleton* has few nodes whatever the page's length.
    task sees more of a host, however many skeletons it has.  A wrapper node with own
    text that never varies over ``CONSTANT_PAGES`` pages or more is template; so
    are slots that are mostly links and subtrees whose element or class names a
-   boilerplate role.  The others are content slots.  Where slots lie in an
-   article or main element, only those below it are content.
+   boilerplate role.  The others are content slots.  Constancy holds within article and
+   main elements as well as outside; where nothing there varies from page to page,
+   the pages are copies of one, and their text is kept.
 3. Extraction (map): each page is aligned with its host's wrapper, once per
-   skeleton, and the blocks in content slots are joined in page order.
+   skeleton, and the blocks in content slots are joined in page order.  In a page
+   with an article or main element, only those below it are content; other pages of
+   the host are not touched by that.
 
 Every page, of any skeleton, shapes its host's wrapper and is aligned with it.  A node
 that stays unaligned takes its role from its names and those of its ancestors.
@@ -303,11 +306,13 @@ def name_roles(root: Shape) -> list[tuple[bool, bool]]:
 
 def classify(wrapper: Shape) -> None:
     """Marks the wrapper nodes whose own text is template."""
-    for node, (_, inside) in zip(shapes(wrapper), name_roles(wrapper)):
+    nodes = list(zip(shapes(wrapper), name_roles(wrapper)))
+    varied = {role for node, role in nodes if node.stats.get("low") != node.stats.get("high")}
+    for node, role in nodes:
         s = node.stats
         constant = s.get("pages", 0) >= CONSTANT_PAGES and s.get("chars", 0) > 0 and s.get("low") == s.get("high")
         linked = s.get("links", 0) > LINK_SHARE * max(1, s.get("chars", 0))
-        node.template = linked or (constant and not inside)
+        node.template = linked or (constant and role in varied)
 
 
 def fold(trees: list[Shape]) -> Shape:
@@ -348,25 +353,22 @@ def tree_from_json(text: str) -> Shape:
 
 
 def to_json(wrapper: Shape) -> str:
-    regions = any(inside for _, inside in name_roles(wrapper))
-
     def plain(s: Shape) -> list:
         return [s.label, int(s.template), [plain(c) for c in s.children]]
-    return json.dumps([int(regions), plain(wrapper)], separators=(",", ":"))
+    return json.dumps(plain(wrapper), separators=(",", ":"))
 
 
 @lru_cache(maxsize=512)
-def from_json(text: str) -> tuple[bool, Shape]:
+def from_json(text: str) -> Shape:
     def built(x: list) -> Shape:
         return Shape(x[0], [built(c) for c in x[2]], bool(x[1]))
-    regions, root = json.loads(text)
-    return bool(regions), built(root)
+    return built(json.loads(text))
 
 
 @lru_cache(maxsize=8192)
 def content_nodes(skeleton: str, wrapper_json: str) -> tuple[bool, ...]:
     """For each node of a skeleton in preorder, whether it is in a content slot."""
-    (regions, wrapper), page, memo = from_json(wrapper_json), shape_of(skeleton), {}
+    wrapper, page, memo = from_json(wrapper_json), shape_of(skeleton), {}
 
     def align(w: Shape, p: Shape) -> None:
         p.template = w.template
@@ -375,8 +377,9 @@ def content_nodes(skeleton: str, wrapper_json: str) -> tuple[bool, ...]:
 
     if wrapper.label == page.label:
         align(wrapper, page)
-    return tuple(allowed and (inside or not regions) and not node.template
-                 for node, (allowed, inside) in zip(shapes(page), name_roles(page)))
+    roles = name_roles(page)
+    regions = any(inside for _, inside in roles)
+    return tuple(allowed and (inside or not regions) and not node.template for node, (allowed, inside) in zip(shapes(page), roles))
 
 
 def page_text(html: str, wrapper_json: str) -> str:

@@ -245,6 +245,20 @@ def test_every_skeleton_shapes_the_wrapper(spark):
     assert {r.page_id: r.text for r in html_text.extract(pages_of(spark, rows)).collect()} == want
 
 
+def test_article_regions_hold_page_by_page(spark):
+    """Two layouts on one host, and a notice that is constant inside the articles."""
+    article = "<body><div class=top><p>Menu {i}</p></div><article><div class=box>Read our terms</div><p>Story {i}</p></article></body>"
+    post = "<body><div class=post><p>Post {i}</p><table><tr><td>cell {i}</td></tr></table></div></body>"
+    rows = [(i, url, (post if i % 3 else article).format(i=i)) for i in range(12) for url in (None, "http://f.example.com/x")]
+    got = {(r.page_id, r.text) for r in html_text.extract(pages_of(spark, rows)).collect()}
+    assert got == {(i, f"Post {i}\n\ncell {i}" if i % 3 else f"Story {i}") for i in range(12)}
+
+
+def test_copies_of_one_article_keep_their_text(spark):
+    rows = [(i, "http://g.example.com/x", f"<body><nav>m {i}</nav><article><h1>Head</h1><p>Same story</p></article></body>") for i in range(6)]
+    assert {r.text for r in html_text.extract(pages_of(spark, rows)).collect()} == {"Head\n\nSame story"}
+
+
 def test_simple_tree_matching_is_the_largest_mapping():
     a = html_text.shape_of("(r(x(p)(q))(y)(x(p)))")
     b = html_text.shape_of("(r(y)(x(p)(z)(q)))")
