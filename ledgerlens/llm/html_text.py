@@ -19,6 +19,10 @@ node, so a tree's *skeleton* has few nodes whatever the page's length.
    with an article or main element, only those below it are content; other pages of
    the host are not touched by that.
 
+Class words say less than elements do.  They reject no html, body or main element,
+and where a page would have no article or main element left, they do not reject what
+holds one.
+
 Every page, of any skeleton, shapes its host's wrapper and is aligned with it.  A node
 that stays unaligned takes its role from its names and those of its ancestors.
 
@@ -59,7 +63,9 @@ BLOCKS_IN_P = frozenset(
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                 "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table article section div body main".split())
-BOILERPLATE_TAGS = frozenset("head nav footer aside form button menu dialog".split())
+BOILERPLATE_TAGS = frozenset("head nav footer aside button menu dialog".split())
+NEVER_BY_NAME = frozenset(("html", "body", "main"))
+STATE_WORDS = frozenset("no not has have with without".split())  # "has-sidebar" is no sidebar
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "copyright disqus dialog footer form header login masthead menu modal nav navbar navigation newsletter notice notices "
@@ -68,7 +74,7 @@ BOILERPLATE_NAMES = frozenset(
 MAIN_TAGS = frozenset(("article", "main"))
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""\"[^\"]*\"|'[^']*'|([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -79,12 +85,24 @@ class Node:
     texts: list[tuple[int, str, int]] = field(default_factory=list)  # (order, text, characters in links)
 
 
-def _label(tag: str, attributes: str) -> str:
+def _names(value: str) -> set[str]:
+    """The words of class names, ids or roles; "hidden" only as a whole name."""
     names = set()
+    for token in value.lower().strip("\"'").split():
+        words = _NAME.findall(token)
+        if len(words) > 1 and words[0] in STATE_WORDS:
+            continue
+        names.update(w for w in words if w != "hidden" or token in ("hidden", "visually-hidden"))
+    return names
+
+
+def _label(tag: str, attributes: str) -> str:
+    found: dict[str, str] = {}
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
-            names.update(("hidden",) if key.lower() == "hidden" else _NAME.findall(value.lower()))
-    return ".".join([tag, *sorted(names)])
+            found.setdefault(key.lower(), value)
+    names = set().union(*(_names(found.get(key, "")) for key in ("class", "id", "role")))
+    return ".".join([tag, *sorted(names | ({"!hidden"} if "hidden" in found else set()))])
 
 
 def parse(html: str) -> Node:
@@ -276,37 +294,58 @@ def merge(wrapper: Shape, page: Shape, memo: dict) -> None:
     wrapper.children = out
 
 
-def _boilerplate(label: str, inside_main: bool) -> bool:
+def _rejected(label: str, inside_main: bool) -> str:
+    """How a label rejects what is below it: by "element", by "name" or not ("")."""
     tag, *names = label.split(".")
-    if not inside_main and (tag == "header" or {"header", "masthead"} & set(names)):
-        return True  # a header inside the article holds its headline
-    return tag in BOILERPLATE_TAGS or "hidden" in names or bool((BOILERPLATE_NAMES - {"header", "masthead"}) & set(names))
+    if tag in BOILERPLATE_TAGS or "!hidden" in names or (tag == "header" and not inside_main):
+        return "element"  # a header inside the article holds its headline
+    if tag in NEVER_BY_NAME:
+        return ""
+    words = BOILERPLATE_NAMES - {"header", "masthead"} if inside_main else BOILERPLATE_NAMES
+    return "name" if tag == "form" or "hidden" in names or words & set(names) else ""
 
 
 def _main(label: str) -> bool:
     tag, *names = label.split(".")
-    return (tag in MAIN_TAGS or "main" in names) and not _boilerplate(label, True)
+    return (tag in MAIN_TAGS or "main" in names) and not _rejected(label, True)
 
 
-def name_roles(root: Shape) -> list[tuple[bool, bool]]:
-    """For each node in preorder, as names tell: whether it may be content, and
-    whether it lies in an article or main element."""
-    roles = []
+def _holds_main(node: Shape) -> bool:
+    return any(_rejected(c.label, False) != "element" and (_main(c.label) or _holds_main(c)) for c in node.children)
+
 
-    def walk(node: Shape, allowed: bool, inside: bool) -> None:
-        allowed = allowed and not _boilerplate(node.label, inside)
+def name_roles(root: Shape) -> tuple[list[tuple[bool, bool]], bool]:
+    """For each node in preorder, as names tell: whether it may be content, and
+    whether it lies in an article or main element; and whether only such nodes are
+    content.  An article reached through a layout word does not shut out the rest."""
+    passed: set[int] = set()
+
+    def walk(node: Shape, allowed: bool, inside: bool, through: bool) -> None:
+        if allowed:
+            how = _rejected(node.label, inside)
+            through = through or id(node) in passed
+            if how == "name" and not inside and id(node) not in passed:
+                stopped.append(node)
+            allowed = not how or (how == "name" and id(node) in passed)
         inside = inside or (allowed and _main(node.label))
-        roles.append((allowed, inside))
+        roles.append((allowed and (inside or not through), inside))
         for child in node.children:
-            walk(child, allowed, inside)
+            walk(child, allowed, inside, through)
 
-    walk(root, True, False)
-    return roles
+    while True:
+        roles: list[tuple[bool, bool]] = []
+        stopped: list[Shape] = []
+        walk(root, True, False, False)
+        found = any(inside for _, inside in roles)
+        layout = {id(node) for node in stopped if _holds_main(node)}
+        if found or not layout:
+            return roles, found and not passed
+        passed |= layout
 
 
 def classify(wrapper: Shape) -> None:
     """Marks the wrapper nodes whose own text is template."""
-    nodes = list(zip(shapes(wrapper), name_roles(wrapper)))
+    nodes = list(zip(shapes(wrapper), name_roles(wrapper)[0]))
     varied = {role for node, role in nodes if node.stats.get("low") != node.stats.get("high")}
     for node, role in nodes:
         s = node.stats
@@ -377,8 +416,7 @@ def content_nodes(skeleton: str, wrapper_json: str) -> tuple[bool, ...]:
 
     if wrapper.label == page.label:
         align(wrapper, page)
-    roles = name_roles(page)
-    regions = any(inside for _, inside in roles)
+    roles, regions = name_roles(page)
     return tuple(allowed and (inside or not regions) and not node.template for node, (allowed, inside) in zip(shapes(page), roles))
 
 

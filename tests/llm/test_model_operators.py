@@ -259,6 +259,33 @@ def test_copies_of_one_article_keep_their_text(spark):
     assert {r.text for r in html_text.extract(pages_of(spark, rows)).collect()} == {"Head\n\nSame story"}
 
 
+def test_only_real_attributes_name_a_role():
+    label = html_text._label
+    assert label("div", ' style="overflow: hidden" title="a hidden gem" data-class="nav"') == "div"
+    assert label("div", " CLASS='nav top' class=x id=main-box hidden") == "div.!hidden.box.main.nav.top"
+    assert label("p", ' title = "x class=nav" hidden=""') == "p.!hidden"
+    assert label("div", ' class="overflow-hidden has-sidebar no-nav a"') == "div.a.overflow"
+
+
+@pytest.mark.parametrize("opening", [
+    '<body class="no-sidebar">', '<body class="fixed-header">', '<body><div class="layout has-sidebar">', '<body><div class="header-top wrap">',
+    '<body><div class="sidebar-left"><div class="nav-open">', '<body><form id=all>', '<body style="overflow: hidden"><div title="a hidden gem">'])
+@pytest.mark.parametrize("element", ["article", "main"])
+def test_layout_words_do_not_reject_an_article(opening, element):
+    page = (f"{opening}<nav>menu</nav><div class=sidebar><article>teaser {{i}}</article></div>"
+            f"<{element}><p title='a hidden gem'>Story {{i}}</p><div hidden>x {{i}}</div></{element}>")
+    form = [html_text.parse(page.format(i=i)) for i in range(5)]
+    wrapper = html_text.to_json(html_text.induce([(html_text.collapse(form[0]), [
+        {"pages": 5, "chars": 5, "links": 0, "low": "a", "high": "b"} for _ in html_text.preorder(form[0])])]))
+    assert html_text.page_text(page.format(i=3), wrapper) == "Story 3"
+
+
+def test_an_article_in_a_sidebar_does_not_shut_out_the_post(spark):
+    rows = [(i, "http://h.example.com/x", f"<body><div class=sidebar><article>teaser {i}</article></div><div class=post><p>Post {i}</p></div></body>")
+            for i in range(6)]
+    assert all(f"Post {r.page_id}" in r.text for r in html_text.extract(pages_of(spark, rows)).collect())
+
+
 def test_simple_tree_matching_is_the_largest_mapping():
     a = html_text.shape_of("(r(x(p)(q))(y)(x(p)))")
     b = html_text.shape_of("(r(y)(x(p)(z)(q)))")
