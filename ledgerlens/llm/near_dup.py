@@ -154,15 +154,17 @@ def components(links: DataFrame) -> DataFrame:
 def _sketch_batches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, sketch, lowest = [], [], []
+            size, keys, sketch, lowest = [], [], [], []
             for s in _sets(batch.column("text"), k):
                 size.append(len(s))
                 low, high = signature(s)
+                keys.append(band_keys(low, high).tobytes())
                 sketch.append((np.stack([low, high], axis=-1) >> np.uint64(48)).astype(np.uint16).tobytes())
                 lowest.append(np.sort(s >> np.uint64(32))[:SKETCH].astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(sketch, pa.binary()), pa.array(lowest, pa.binary())],
-                ["node", "size", "sketch", "lowest"])
+                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketch, pa.binary()),
+                 pa.array(lowest, pa.binary())],
+                ["node", "size", "keys", "sketch", "lowest"])
     return run
 
 
@@ -179,12 +181,15 @@ def _may_link(a: np.ndarray, size_a: int, b: np.ndarray, size_b: int, percent: i
 
 def _block_links(percent: int):
     """All pairs of one block pair of one band: those of different components whose
-    first shared band is this one and whose samples allow the threshold."""
+    first shared band is this one and whose samples allow the threshold.  Bands are
+    compared by their full keys: the cut signature values of long texts, crowded at
+    both ends, agree by chance and serve the similarity bound alone."""
     slack = percent / 100 - 6 * np.sqrt(percent / 100 * (1 - percent / 100) / (2 * PERMUTATIONS))
 
     def run(table: pa.Table) -> pa.Table:
         node, label, size, side, band = (table.column(c).to_numpy() for c in ("node", "label", "size", "side", "band"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(node), 2 * PERMUTATIONS)
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.int64).reshape(len(node), BANDS)
         lowest = [np.frombuffer(x, np.uint32) for x in table.column("lowest").to_pylist()]
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         position, left, right = int(band[0]), np.flatnonzero(side == i), np.flatnonzero(side == j)
@@ -194,9 +199,9 @@ def _block_links(percent: int):
             v = v[(label[v] != label[u]) & (100 * np.minimum(size[v], size[u]) >= percent * np.maximum(size[v], size[u]))]
             if not len(v):
                 continue
-            same = sketch[v] == sketch[u]
-            first = same.reshape(len(v), BANDS, 2 * PER_BAND).all(axis=2).argmax(axis=1)
-            for w in v[(first == position) & (same.mean(axis=1) >= slack)]:
+            shared = keys[v] == keys[u]
+            v = v[shared[:, position] & (shared.argmax(axis=1) == position)]
+            for w in v[(sketch[v] == sketch[u]).mean(axis=1) >= slack]:
                 if _may_link(lowest[u], size[u], lowest[w], size[w], percent):
                     found_a.append(min(node[u], node[w]))
                     found_b.append(max(node[u], node[w]))
@@ -212,8 +217,8 @@ def cross_component_pairs(open_bands: DataFrame, texts: DataFrame, k: int, perce
     and only pairs that pass the samples leave it."""
     nodes = open_bands.select(F.col("node").alias("doc_id")).distinct()
     sketches = texts.join(nodes, "doc_id", "left_semi").mapInArrow(
-        _sketch_batches(k), "node long, size long, sketch binary, lowest binary")
-    sketches = stored(sketches.dropDuplicates(["node", "sketch"]), "sketches")
+        _sketch_batches(k), "node long, size long, keys binary, sketch binary, lowest binary")
+    sketches = stored(sketches.dropDuplicates(["node", "size", "keys", "lowest"]), "sketches")
     rows = open_bands.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("key", "band", "node", "label", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))

@@ -128,6 +128,27 @@ def test_blocks_meet_every_pair_once(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 1, 80)
 
 
+def test_exact_rest_keeps_pairs_of_long_texts(spark):
+    """Pairs of 50,000 words at similarity 0.82, whose extremes crowd at both ends."""
+    rng = np.random.default_rng(11)
+    texts, bands, want = [], [], set()
+    for d in range(12):
+        a = [f"w{d}_{i}" for i in range(50_000)]
+        b = a[:]
+        for i in rng.choice(50_000, 4_900, replace=False).tolist():
+            b[i] = f"v{d}_{i}"
+        pair = [" ".join(a), " ".join(b)]
+        keys = [near_dup.band_keys(*near_dup.signature(s)) for s in near_dup._sets(pa.array(pair), 1)]
+        shared = np.flatnonzero(keys[0] == keys[1]).tolist()
+        texts += [(2 * d, pair[0]), (2 * d + 1, pair[1])]
+        bands += [(int(keys[0][x]), x, node, node, 1) for x in shared for node in (2 * d, 2 * d + 1)]
+        if shared:
+            want.add((2 * d, 2 * d + 1))
+    open_bands = spark.createDataFrame(bands, "key long, band int, node long, label long, blocks int")
+    got = near_dup.cross_component_pairs(open_bands, spark.createDataFrame(texts, "doc_id long, text string"), 1, 80).collect()
+    assert len(want) == 12 and sorted((r.a, r.b) for r in got) == sorted(want)
+
+
 # --- quality ---------------------------------------------------------------------------
 
 def brute_quality(text):
