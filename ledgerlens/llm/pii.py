@@ -6,12 +6,14 @@ tokens with a digit or an ``@``; the labels are the four kinds and *other*.
 
 * Each node has a potential from the token's shape (lengths, signs, separators).
 * Neighbouring tokens share a chain potential.
-* A token and the previous token of the same text, or with the same last seven
-  digits, share a skip potential, however distant they are.  Linking each
-  occurrence to the one before keeps the edges linear in the occurrences.
-
-Loopy max-free sum-product message passing then spreads labels over each
-document, so that a repeat of a confirmed entity is labelled like it although it
+* Tokens with the same last seven digits, or shorter ones of the same text, share a
+  skip potential, however distant they are.  Where some of them lie in base spans, the
+  others are linked to one hub with those labels, so every repeat is as near to the
+  evidence as the first; else each is linked to the one before.  Edges are linear in
+  the occurrences.
+
+Loopy max-free sum-product message passing, until the messages settle, then spreads
+labels over each document, so that a repeat of a confirmed entity is labelled like it although it
 fails the pattern.  A node outside the base spans is reported where its kind is
 likelier than ``REPORT``; neighbours of one kind are joined.
 
@@ -42,7 +44,8 @@ OTHER = len(KINDS)
 SAMPLE = 2000
 SAMPLE_CHARS = 20_000
 REPORT = 0.9
-ROUNDS = 8
+ROUNDS = 200  # at most; messages settle earlier
+SETTLED = 1e-7
 
 _MAIL_RIGHT = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _MAIL_LEFT = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -110,7 +113,8 @@ class Field:
     feature: np.ndarray  # nodes x features
     label: np.ndarray    # of the base spans; OTHER outside
     chain: np.ndarray    # edges x 2
-    skip: np.ndarray     # edges x 2
+    skip: np.ndarray     # edges x 2, each occurrence and the one before
+    repeats: list[list[int]]  # the occurrences of every repeated key
 
 
 def _shape(token: str) -> list[float]:
@@ -130,7 +134,7 @@ def field_of(text: str, base: list[tuple[int, str, int]]) -> Field | None:
     label = np.full(len(tokens), OTHER)
     for s, kind, e in base:
         label[(start < e) & (end > s)] = KINDS.index(kind)
-    chain, skip, last = [], [], {}
+    chain, skip, last, repeats = [], [], {}, {}
     for i, (s, e) in enumerate(tokens):
         if i and s - tokens[i - 1][1] == 1:
             chain.append((i - 1, i))
@@ -140,8 +144,10 @@ def field_of(text: str, base: list[tuple[int, str, int]]) -> Field | None:
         for p in dict.fromkeys(last[k] for k in keys if k in last):
             skip.append((p, i))
         last.update((k, i) for k in keys)
+        repeats.setdefault(keys[-1], []).append(i)  # equal texts have equal tails
     return Field(start, end, np.array([_shape(text[s:e]) for s, e in tokens]), label,
-                 np.array(chain, int).reshape(-1, 2), np.array(skip, int).reshape(-1, 2))
+                 np.array(chain, int).reshape(-1, 2), np.array(skip, int).reshape(-1, 2),
+                 [r for r in repeats.values() if len(r) > 1])
 
 
 @dataclass
@@ -184,9 +190,19 @@ def marginals(field: Field, model: Model) -> np.ndarray:
     unary -= unary.max(axis=1, keepdims=True)
     known = field.label != OTHER
     unary[known] = np.where(np.eye(k, dtype=bool)[field.label[known]], 0.0, -30.0)
-    edges = np.concatenate([field.chain, field.skip])
+    skip, hubs = [], []
+    for members in field.repeats:
+        labels = field.label[members]
+        labels = labels[labels != OTHER]
+        if len(members) == 2 or not len(labels):
+            skip += zip(members, members[1:])
+            continue
+        skip += [(i, n + len(hubs)) for i in members if not known[i]]
+        hubs.append(np.where(np.isin(np.arange(k), labels), 0.0, -30.0))
+    unary = np.concatenate([unary, np.array(hubs).reshape(-1, k)])
+    edges = np.concatenate([field.chain, np.array(skip, int).reshape(-1, 2)])
     if len(edges):
-        potential = np.concatenate([np.repeat(model.chain[None], len(field.chain), 0), np.repeat(model.skip[None], len(field.skip), 0)])
+        potential = np.concatenate([np.repeat(model.chain[None], len(field.chain), 0), np.repeat(model.skip[None], len(skip), 0)])
         source, target = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
         potential = np.concatenate([potential, potential.transpose(0, 2, 1)])
         reverse = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
@@ -197,8 +213,12 @@ def marginals(field: Field, model: Model) -> np.ndarray:
             out = (belief[source] - message[reverse])[:, :, None] + potential
             top = out.max(axis=1, keepdims=True)
             new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
-            message = 0.5 * message + 0.5 * (new - new.max(axis=1, keepdims=True))
+            step = 0.5 * (new - new.max(axis=1, keepdims=True) - message)
+            message += step
+            if np.abs(step).max() < SETTLED:
+                break
         np.add.at(unary, target, message)
+    unary = unary[:n]
     p = np.exp(unary - unary.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
 

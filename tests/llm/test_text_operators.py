@@ -315,6 +315,17 @@ def test_repeats_of_an_entity_take_its_label():
     assert pii.mask(text, model).count("<PHONE>") == 2
 
 
+def test_all_of_thirty_repeats_take_the_label():
+    """The short form looks like a reference number, so only its link to the entity tells."""
+    texts = [f"call +1 ({a}) 555-{b} or mail u{a}@m.example.com from 10.0.{a % 250}.7 in {b} days ref 444-{3000 + 7 * (a - 200)}"
+             for a, b in zip(range(200, 400), range(1000, 1200))]
+    model = pii.train(texts)
+    text = "call +1 (227) 555-6828 now " + "or ring 555-6828 again, in 2024 for 17 days " * 30
+    added = pii.field_spans(text, pii.base_spans(text), model)
+    assert [(k, text[s:e]) for s, k, e in added if "555" in text[s:e]] == [("phone", "555-6828")] * 30
+    assert "555-6828" not in pii.mask(text, model)
+
+
 def test_message_passing_equals_enumeration_on_a_tree():
     rng = np.random.default_rng(1)
     k = len(pii.LABELS)
