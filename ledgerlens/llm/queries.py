@@ -8,7 +8,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import ann, html_text, mixing, near_dup, packing, pii, quality, secrets, token_counts, toxicity
+from ledgerlens.llm import (
+    ann, collocations, decontamination, html_text, mixing, near_dup, packing, pii, quality, secrets, token_counts,
+    toxicity, whitening,
+)
 from ledgerlens.llm.common import table
 
 #: Shares of the tokens by domain of the labelled table.
@@ -63,9 +66,27 @@ def op10_personal_data(spark, sf_dir):
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_benchmark_decontamination(spark, sf_dir):
+    found = decontamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.digest(found)
+
+
+def op13_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_source_mixing, op3_minhash_near_dedup, op4_nearest_neighbours, op5_curve_packing,
-    op6_toxicity, op7_secret_scan, op8_html_text, op9_token_counts, op10_personal_data)}
-
-#: None of these can be stated in SQL; tests/llm holds each against brute force.
-ORACLE_SQL: dict[str, str] = {}
+    op6_toxicity, op7_secret_scan, op8_html_text, op9_token_counts, op10_personal_data, op11_embedding_whitening,
+    op12_benchmark_decontamination, op13_phrase_collocations)}
+
+#: SQL states two of these; tests/llm holds the others against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op12_benchmark_decontamination": decontamination.ORACLE_SQL,
+    "op13_phrase_collocations": collocations.ORACLE_SQL,
+}
