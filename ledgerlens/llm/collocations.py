@@ -67,7 +67,8 @@ class _Shard:
 
     def __init__(self, lang: str) -> None:
         name = np.frombuffer(lang.encode(), np.uint8)
-        self.lang, self.salt = lang, tk.hashes(name, np.array([0]), np.array([len(name)]), fold=False)[0]
+        # mixed once more, so that a language's salt is no word's fingerprint
+        self.lang, self.salt = lang, tk.mix(~tk.hashes(name, np.array([0]), np.array([len(name)]), fold=False))[0]
         self.clear()
 
     def clear(self, context: list | None = None) -> None:
