@@ -42,13 +42,15 @@ from ledgerlens.llm.common import stored
 
 LEAST = 30
 DEPTH = 4
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 21
 FILTER_BITS = 1 << 29
 BITS_EACH = 16
 CONTAINED = (100, 80)
 TOP = 2000
 #: Rows that one task ranks before the last step.
 RANKED = 100_000
+#: Rows of a record batch.
+BATCH = 1 << 16
 
 _U = np.uint64
 
@@ -223,37 +225,40 @@ class Index:
     def __init__(self, text: np.ndarray, size: int, depth: int) -> None:
         rank, reach, span = text.astype(np.int64), 1, size + 1
         while reach < depth:  # ranks by twice as many ids
-            key = rank * span + np.append(rank[reach:], np.zeros(reach, np.int64))
+            key = rank * span
+            key[:-reach] += rank[reach:]
             reach *= 2
-            if reach < depth:
-                _, rank = np.unique(key, return_inverse=True)
-                span = int(rank.max(initial=0)) + 1
-            else:
-                rank = key
-        rows = np.argsort(rank)
-        row = np.empty(len(rows), np.int64)
-        row[rows] = np.arange(len(rows))
+            rank = np.unique(key, return_inverse=True)[1] if reach < depth else key
+            span = int(rank.max(initial=0)) + 1
+        rows = np.argsort(rank).astype(np.int32)
+        del rank, key
+        row = np.empty_like(rows)
+        row[rows] = np.arange(len(rows), dtype=np.int32)
+        rows -= 1
         self.size = size
-        self.bwt = text[rows - 1]
-        self.step = row[rows - 1]
+        self.bwt = text[rows]
+        self.step = row[rows]
         self.first = np.append(0, np.cumsum(np.bincount(text, minlength=size + 1)))
 
     def extended(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
         """Every id that precedes each interval: (interval, id, low, high of the longer
         phrase, number of rows of the interval with smaller ids or gaps)."""
         size = high - low
-        own = np.repeat(np.arange(len(low)), size)
-        rows = np.arange(len(own)) + np.repeat(low - (np.cumsum(size) - size), size)
-        key = own * (self.size + 1) + self.bwt[rows]
+        rows = np.repeat((low - (np.cumsum(size) - size)).astype(np.int32), size)
+        rows += np.arange(len(rows), dtype=np.int32)
+        key = np.repeat(np.arange(len(low)) * (self.size + 1), size)
+        key += self.bwt[rows]
         order = np.argsort(key)
         key = key[order]
+        rows = rows[order]
+        del order
         first = np.flatnonzero(np.diff(key, prepend=-1))
         if not len(first):
             none = np.zeros(0, np.int64)
             return none, none, none, none, none
         count = np.diff(first, append=len(key))
         own, ids = np.divmod(key[first], self.size + 1)
-        begin = np.minimum.reduceat(self.step[rows[order]], first)
+        begin = np.minimum.reduceat(self.step[rows], first).astype(np.int64)
         before = first - np.append(0, np.cumsum(size))[own]
         word = ids > 0
         return own[word], ids[word], begin[word], (begin + count)[word], before[word]
@@ -292,7 +297,7 @@ class Phrases:
 
 def _compact(text: np.ndarray) -> np.ndarray:
     """One gap between pieces, one at each end; pieces as they are."""
-    text = np.concatenate([[0], text, [0]])
+    text = np.concatenate([[0], text, [0]]).astype(np.int32)
     keep = text > 0
     keep[1:] |= text[:-1] > 0
     keep[0] = True
@@ -303,7 +308,7 @@ def _dense(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text over the ids that occur, those ids; 0 stays 0)."""
     used = np.bincount(text) > 0
     used[0] = True
-    return (np.cumsum(used) - 1)[text], np.flatnonzero(used)
+    return (np.cumsum(used, dtype=np.int32) - 1)[text], np.flatnonzero(used)
 
 
 # --- filters of frequent words and pairs ----------------------------------------------
@@ -356,14 +361,17 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]
     hashes = batch.column("hashes")
     for i in range(len(batch)):
         own = hashes[i].values.to_numpy(zero_copy_only=False).view(_U)
-        text = np.frombuffer(batch.column("ids")[i].as_buffer(), "<i4").astype(np.int64)
+        text = np.frombuffer(batch.column("ids")[i].as_buffer(), "<i4")
         yield text, np.append(_U(0), own), batch.column("context")[i].as_py()
 
 
-def _rows(hashes: np.ndarray, words: np.ndarray, counts: np.ndarray, width: int) -> pa.RecordBatch:
-    columns = [pa.array(hashes[words[:, i]].view(np.int64)) if i < words.shape[1] else pa.nulls(len(words), pa.int64())
-               for i in range(width)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=[*(f"h{i}" for i in range(width)), "n"])
+def _rows(hashes: np.ndarray, words: np.ndarray, counts: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    names = [*(f"h{i}" for i in range(width)), "n"]
+    for at in range(0, len(words), BATCH):
+        part = words[at:at + BATCH]
+        columns = [pa.array(hashes[part[:, i]].view(np.int64)) if i < part.shape[1] else pa.nulls(len(part), pa.int64())
+                   for i in range(width)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[at:at + BATCH], pa.int64())], names=names)
 
 
 def _context(text: np.ndarray, context: int, length: int) -> np.ndarray:
@@ -380,13 +388,13 @@ def _pairs(words_filter):
             for text, hashes, context in _read(batch):
                 known = words_filter.value.has(hashes)
                 known[0] = False
-                text = np.where(known[text], text, 0)
+                text = text * known[text]
                 back = _context(text, context, 2)
                 if len(back):
-                    yield _rows(hashes, back, np.full(len(back), -1), 2)
+                    yield from _rows(hashes, back, np.full(len(back), -1), 2)
                 text, used = _dense(_compact(text))
                 found = Phrases(Index(text, len(used) - 1, 2), None).left()
-                yield _rows(hashes[used], found.words, found.counts, 2)
+                yield from _rows(hashes[used], found.words, found.counts, 2)
     return run
 
 
@@ -400,16 +408,16 @@ def _longer(pairs_filter):
                 head = [text[1 + i:1 + i + length] for length in (3, 4) for i in range(context - length + 1)
                         if good[2 + i:1 + i + length].all()]
                 for x in head:
-                    yield _rows(hashes, x[None, :], np.array([-1]), DEPTH)
+                    yield from _rows(hashes, x[None, :], np.array([-1]), DEPTH)
                 keep = good[:-1] | good[1:]  # words of some frequent pair
-                text = np.where(keep, text, 0)
+                text = text * keep
                 text = np.insert(text, np.flatnonzero(~good[:-1]), 0)  # a gap before a word that follows in no pair
                 text, used = _dense(_compact(text))
                 size = len(used) - 1
                 found = Phrases(Index(text, size, DEPTH), Index(text[::-1], size, DEPTH)).left()
                 for step in (Phrases.right, Phrases.left):
                     found = step(found)
-                    yield _rows(hashes[used], found.words, found.counts, DEPTH)
+                    yield from _rows(hashes[used], found.words, found.counts, DEPTH)
     return run
 
 
