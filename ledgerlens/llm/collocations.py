@@ -3,8 +3,8 @@
 Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and line ends, and pieces
 into words at spaces and tabs.  Counts are exact and per language.
 
-1. ``shards``: one map pass turns each partition's texts into shards of at most about
-   ``SHARD_WORDS`` words of one language: ids of the shard's own vocabulary, 0 between
+1. ``shards``: one map pass turns each partition's texts into shards of about
+   ``SHARD_WORDS`` words of one language at most (open ones twice that together): ids of the shard's own vocabulary, 0 between
    pieces, and the vocabulary with counts.  They are written once; all later passes
    read them and not the texts.  A piece that goes on in the next shard hands over its
    last three words, whose own phrases the next shard counts back.
@@ -42,14 +42,15 @@ from ledgerlens.llm.common import stored
 
 LEAST = 30
 DEPTH = 4
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 FILTER_BITS = 1 << 29
 BITS_EACH = 16
 CONTAINED = (100, 80)
 TOP = 2000
 #: Rows that one task ranks before the last step.
 RANKED = 100_000
-#: Rows of a record batch.
+#: Bytes of text that are cut into words at once (a longer text by itself), and rows of a record batch.
+READ_BYTES = 4 << 20
 BATCH = 1 << 16
 
 _U = np.uint64
@@ -173,22 +174,24 @@ def _shard_batches(shard_words: int):
         open_shards: dict[str, _Shard] = {}
 
         def room(current: _Shard | None) -> Iterator[dict]:
-            """Closes the largest shards while all together hold too many words."""
-            while sum(s.size for s in open_shards.values()) >= shard_words:
+            """Closes the largest shard while it, or all together, hold too many words."""
+            while True:
                 largest = max(open_shards.values(), key=lambda s: s.size)
-                if largest.size <= largest.context:
+                full = largest.size >= shard_words or sum(s.size for s in open_shards.values()) >= 2 * shard_words
+                if not full or largest.size <= largest.context:
                     return
                 context = largest.tail() if largest is current else None
                 yield largest.row()
                 largest.clear(context)
 
         for batch in batches:
-            langs = pc.fill_null(batch.column("lang"), "und").dictionary_encode()
-            for code, lang in enumerate(langs.dictionary.to_pylist()):
-                texts = batch.column("text").filter(pc.equal(langs.indices, code))
-                shard = open_shards.setdefault(lang, _Shard(lang))
-                for row in _gather(*tk.buffers(texts), shard, room):
-                    yield _record(row)
+            for i, j in tk.chunks(tk.buffers(batch.column("text"))[1], READ_BYTES):
+                langs = pc.fill_null(batch.column("lang")[i:j], "und").dictionary_encode()
+                for code, lang in enumerate(langs.dictionary.to_pylist()):
+                    texts = batch.column("text")[i:j].filter(pc.equal(langs.indices, code))
+                    shard = open_shards.setdefault(lang, _Shard(lang))
+                    for row in _gather(*tk.buffers(texts), shard, room):
+                        yield _record(row)
         for shard in open_shards.values():
             if shard.size > shard.context:
                 yield _record(shard.row())
