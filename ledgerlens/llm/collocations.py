@@ -42,7 +42,7 @@ from ledgerlens.llm.common import stored
 
 LEAST = 30
 DEPTH = 4
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 FILTER_BITS = 1 << 29
 BITS_EACH = 16
 CONTAINED = (100, 80)
@@ -51,7 +51,7 @@ TOP = 2000
 RANKED = 100_000
 #: Bytes of text that are cut into words at once (a longer text by itself), and rows of a record batch.
 READ_BYTES = 4 << 20
-BATCH = 1 << 16
+BATCH = 1 << 15
 
 _U = np.uint64
 
@@ -427,8 +427,9 @@ def _longer(pairs_filter):
 # --- from counts to phrases ------------------------------------------------------------
 
 def _sums(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Sums across shards; a key has one row of each shard at most, and corrections."""
-    return rows.groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    """Sums across shards.  A shard has a key once, so that adding before the shuffle would
+    fill memory for little: the rows are dealt first, and no key has more rows than shards."""
+    return rows.repartition(*keys).groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
 
 
 def counted(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST,
