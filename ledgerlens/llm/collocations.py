@@ -10,18 +10,20 @@ into words at spaces and tabs.  Counts are exact and per language.
    last three words, whose own phrases the next shard counts back.
 2. Word counts are summed across shards.  A phrase is at most as frequent as its words,
    so words below ``least`` become gaps.  Each shard builds its index over the rest,
-   extends the interval of each word to the left, and emits its two-word phrases.
-3. Their sums leave the frequent pairs, and gaps come where a pair is not
-   frequent.  Each shard builds a bidirectional index of what remains: the interval
-   of a phrase in the Burrows-Wheeler transform of the text and of the reversed text.
-   Phrases grow to the left and to the right in turn, up to four words.
+   extends the interval of each word to the left, and emits a fingerprint and the
+   count of each pair.
+3. Gaps come where the sum of a pair is below ``least``.  Each shard builds a
+   bidirectional index of what remains: the interval of a phrase in the
+   Burrows-Wheeler transform of the text and of the reversed text.  Phrases grow to
+   the left and to the right in turn, from two words to four, and are emitted whole.
 4. The sums of all shards give every candidate's count and those of its parts;
    cuts, containment and ranks are joins and aggregates over phrases.
 
 Shards learn which words and pairs are frequent from Bloom filters of at most
-``FILTER_BITS`` bits.  A false positive costs a row and changes no count, as only
-phrases with an exact sum of ``least`` or more go on.  Words are 64-bit fingerprints
-(of language and word) until the strings join the candidates.
+``FILTER_BITS`` bits.  False positives, and pairs of equal fingerprint, cost rows and
+change no count, as only phrases whose own sum is ``least`` or more go on.  Words are
+64-bit fingerprints (of language and word); only the words of phrases that may be among
+the first are read again as strings.
 
 Defined results: a null text is empty, a null language is ``und``.  Document ids and
 other columns are not read, so repeated rows count again.  A word may be of any length.
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textkit as tk
@@ -317,13 +319,8 @@ def _dense(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # --- filters of frequent words and pairs ----------------------------------------------
 
 def _pair(a, b):
-    """One fingerprint of two, in numpy; ``_pair_column`` is the same in Spark."""
-    return ((a << _U(17)) | (a >> _U(47))) ^ b
-
-
-def _pair_column(a: str, b: str) -> Column:
-    a = F.col(a)
-    return F.shiftleft(a, 17).bitwiseOR(F.shiftrightunsigned(a, 47)).bitwiseXOR(F.col(b))
+    """One fingerprint of two words'."""
+    return tk.mix(((a << _U(17)) | (a >> _U(47))) ^ b)
 
 
 class Bloom:
@@ -341,15 +338,15 @@ class Bloom:
         return out
 
 
-def bloom(frequent: DataFrame, fingerprint: Column, most: int = FILTER_BITS) -> Bloom:
-    """The filter of the rows' fingerprints, put together in Spark: the driver gets its
+def bloom(frequent: DataFrame, column: str, most: int = FILTER_BITS) -> Bloom:
+    """The filter of a column of fingerprints, put together in Spark: the driver gets its
     words, at most ``most`` bits."""
     bits = 64
     wanted = frequent.count() * BITS_EACH
     while bits < min(wanted, most):
         bits *= 2
     mask = F.lit(bits - 1).cast("long")
-    h = fingerprint
+    h = F.col(column)
     place = F.explode(F.array(h.bitwiseAND(mask), F.shiftrightunsigned(h, 29).bitwiseAND(mask))).alias("place")
     words = (frequent.select(place)
              .select(F.shiftright("place", 6).alias("at"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
@@ -368,12 +365,11 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]
         yield text, np.append(_U(0), own), batch.column("context")[i].as_py()
 
 
-def _rows(hashes: np.ndarray, words: np.ndarray, counts: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+def _rows(hashes: np.ndarray, counts: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
     names = [*(f"h{i}" for i in range(width)), "n"]
-    for at in range(0, len(words), BATCH):
-        part = words[at:at + BATCH]
-        columns = [pa.array(hashes[part[:, i]].view(np.int64)) if i < part.shape[1] else pa.nulls(len(part), pa.int64())
-                   for i in range(width)]
+    for at in range(0, len(hashes), BATCH):
+        part = hashes[at:at + BATCH].view(np.int64)
+        columns = [pa.array(part[:, i]) if i < part.shape[1] else pa.nulls(len(part), pa.int64()) for i in range(width)]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[at:at + BATCH], pa.int64())], names=names)
 
 
@@ -386,6 +382,7 @@ def _context(text: np.ndarray, context: int, length: int) -> np.ndarray:
 
 
 def _pairs(words_filter):
+    """(fingerprint, count) of the pairs of known words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, hashes, context in _read(batch):
@@ -393,64 +390,72 @@ def _pairs(words_filter):
                 known[0] = False
                 text = text * known[text]
                 back = _context(text, context, 2)
-                if len(back):
-                    yield from _rows(hashes, back, np.full(len(back), -1), 2)
                 text, used = _dense(_compact(text))
                 found = Phrases(Index(text, len(used) - 1, 2), None).left()
-                yield from _rows(hashes[used], found.words, found.counts, 2)
+                for words, own, counts in ((back, hashes, np.full(len(back), -1)), (found.words, hashes[used], found.counts)):
+                    yield from _rows(_pair(own[words[:, 0]], own[words[:, 1]])[:, None], counts, 1)
     return run
 
 
-def _longer(pairs_filter):
+def _phrases(pairs_filter):
+    """(up to four words, count) of the phrases whose pairs are all frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, hashes, context in _read(batch):
                 h = hashes[text]
                 good = np.zeros(len(text) + 1, bool)  # whether the word at i follows i - 1 in a frequent pair
                 good[1:-1] = (text[:-1] > 0) & (text[1:] > 0) & pairs_filter.value.has(_pair(h[:-1], h[1:]))
-                head = [text[1 + i:1 + i + length] for length in (3, 4) for i in range(context - length + 1)
+                head = [text[1 + i:1 + i + length] for length in range(2, DEPTH) for i in range(context - length + 1)
                         if good[2 + i:1 + i + length].all()]
                 for x in head:
-                    yield from _rows(hashes, x[None, :], np.array([-1]), DEPTH)
+                    yield from _rows(hashes[x[None, :]], np.array([-1]), DEPTH)
                 keep = good[:-1] | good[1:]  # words of some frequent pair
                 text = text * keep
                 text = np.insert(text, np.flatnonzero(~good[:-1]), 0)  # a gap before a word that follows in no pair
                 text, used = _dense(_compact(text))
                 size = len(used) - 1
-                found = Phrases(Index(text, size, DEPTH), Index(text[::-1], size, DEPTH)).left()
-                for step in (Phrases.right, Phrases.left):
+                own, found = hashes[used], Phrases(Index(text, size, DEPTH), Index(text[::-1], size, DEPTH))
+                for step in (Phrases.left, Phrases.right, Phrases.left):
                     found = step(found)
-                    yield from _rows(hashes[used], found.words, found.counts, DEPTH)
+                    for at in range(0, len(found.words), BATCH):
+                        part = slice(at, at + BATCH)
+                        yield from _rows(own[found.words[part]], found.counts[part], DEPTH)
     return run
 
 
 # --- from counts to phrases ------------------------------------------------------------
 
-def _sums(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Sums across shards.  A shard has a key once, so that adding before the shuffle would
-    fill memory for little: the rows are dealt first, and no key has more rows than shards."""
-    return rows.repartition(*keys).groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-
-
-def counted(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST,
-            shard_words: int = SHARD_WORDS, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(languages, words, phrases): ``lang, n``; ``h, lang, word, f`` and ``h0..h3, f`` of
-    all words and phrases of one to four words that occur ``least`` times; null beyond the phrase."""
-    spark = docs.sparkSession
-    parts = shards(docs, text, lang, shard_words)
-    languages = parts.groupBy("lang").agg(F.sum("n").alias("n"))
-    each = parts.select("lang", F.inline(F.arrays_zip("hashes", "words", "counts")))
-    words = stored(_sums(each.select(F.col("hashes").alias("h"), "lang", F.col("words").alias("word"), F.col("counts").alias("n")),
-                         ["h", "lang", "word"], least), "words")
+def counted(parts: DataFrame, least: int = LEAST, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """(words, phrases) that occur ``least`` times: ``h, lang, f``, and ``h0..h3, f`` of two
+    to four words (null beyond the phrase)."""
+    context = parts.sparkSession.sparkContext
+    summed = F.sum("n").alias("f")
+    each = parts.select("lang", F.inline(F.arrays_zip("hashes", "counts")))
+    words = each.groupBy(F.col("hashes").alias("h"), "lang").agg(F.sum("counts").alias("f"))
+    words = stored(words.where(F.col("f") >= least), "words")
     index = parts.select("ids", "hashes", "context")
-    known = spark.sparkContext.broadcast(bloom(words, F.col("h"), filter_bits))
-    pairs = stored(_sums(index.mapInArrow(_pairs(known), "h0 long, h1 long, n long"), ["h0", "h1"], least), "pairs")
-    joined = spark.sparkContext.broadcast(bloom(pairs, _pair_column("h0", "h1"), filter_bits))
-    longer = index.mapInArrow(_longer(joined), "h0 long, h1 long, h2 long, h3 long, n long")
-    longer = stored(_sums(longer, ["h0", "h1", "h2", "h3"], least), "phrases")
-    none = F.lit(None).cast("long")
-    phrases = pairs.select("h0", "h1", none.alias("h2"), none.alias("h3"), "f").unionByName(longer)
-    return languages, words, phrases
+    known = context.broadcast(bloom(words, "h", filter_bits))
+    pairs = index.mapInArrow(_pairs(known), "h0 long, n long").groupBy("h0").agg(summed)
+    pairs = stored(pairs.where(F.col("f") >= least), "pairs")
+    joined = context.broadcast(bloom(pairs, "h0", filter_bits))
+    # A shard has a phrase once, so adding before the shuffle would fill memory for little:
+    # the rows are dealt first, and no phrase has more rows than there are shards.
+    keys = [f"h{i}" for i in range(DEPTH)]
+    phrases = index.mapInArrow(_phrases(joined), "h0 long, h1 long, h2 long, h3 long, n long")
+    phrases = phrases.repartition(*keys).groupBy(*keys).agg(summed).where(F.col("f") >= least)
+    return words, stored(phrases, "phrases")
+
+
+def _spelled(wanted):
+    """(h, word) of the fingerprints in the filter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                hashes = batch.column("hashes")[i].values
+                mask = pa.array(wanted.value.has(hashes.to_numpy(zero_copy_only=False).view(_U)))
+                yield pa.RecordBatch.from_arrays(
+                    [hashes.filter(mask), batch.column("words")[i].values.filter(mask)], names=["h", "word"])
+    return run
 
 
 def _parts(length: int) -> list[tuple[int, int]]:
@@ -462,48 +467,49 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
                  contained: tuple[int, int] = CONTAINED, shard_words: int = SHARD_WORDS,
                  filter_bits: int = FILTER_BITS) -> DataFrame:
     """Per language its ``top`` phrases by score: ``lang, rank, phrase, a, l, r, n, score``."""
-    languages, words, phrases = counted(docs, text, lang, least, shard_words, filter_bits)
+    parts = shards(docs, text, lang, shard_words)
+    words, phrases = counted(parts, least, filter_bits)
     key = F.array_compact(F.array(*(F.col(f"h{i}") for i in range(DEPTH))))
     phrases = stored(phrases.select(key.alias("key"), F.col("f").alias("a")), "counts")
-    counts = stored(phrases.select("key", "a").unionByName(words.select(F.array("h").alias("key"), F.col("f").alias("a"))), "parts")
+    counts = stored(phrases.unionByName(words.select(F.array("h").alias("key"), F.col("f").alias("a"))), "parts")
 
-    # phrases that a longer one holds often enough
+    # phrases that a longer one holds often enough go
     many, share = contained
-    longer = phrases.where(F.size("key") > 2)
     inner = F.when(F.size("key") == 3, F.array(*(F.slice("key", i + 1, j - i) for i, j in _parts(3)))).otherwise(
         F.array(*(F.slice("key", i + 1, j - i) for i, j in _parts(4))))
-    holder = stored(longer.select(F.explode(inner).alias("key"), F.col("a").alias("longer"))
-                    .groupBy("key").agg(F.max("longer").alias("longer")), "holders")
+    holders = phrases.where(F.size("key") > 2).select(F.explode(inner).alias("key"), F.col("a").alias("longer"))
+    holders = stored(holders.groupBy("key").agg(F.max("longer").alias("longer")), "holders")
     held = F.col("longer").isNotNull() & (many * F.col("longer").cast("decimal(20,0)") >= share * F.col("a").cast("decimal(20,0)"))
-    free = stored(phrases.join(holder, "key", "left").where(~held).select("key", "a"), "free")
+    free = stored(phrases.join(holders, "key", "left").where(~held).select("key", "a"), "free")
 
     # the lowest-scoring cut
     cuts = free.select("key", "a", F.explode(F.sequence(F.lit(1), F.size("key") - 1)).alias("cut"))
-    cuts = cuts.select("*", F.slice("key", F.lit(1), F.col("cut")).alias("left_key"),
-                       F.slice("key", F.col("cut") + 1, F.size("key") - F.col("cut")).alias("right_key"))
-    left = counts.select(F.col("key").alias("left_key"), F.col("a").alias("l"))
-    right = counts.select(F.col("key").alias("right_key"), F.col("a").alias("r"))
-    cuts = stored(cuts.join(left, "left_key").drop("left_key"), "cuts").join(right, "right_key").drop("right_key")
+    left = counts.select(F.col("key").alias("part"), F.col("a").alias("l"))
+    right = counts.select(F.col("key").alias("part"), F.col("a").alias("r"))
+    cuts = stored(cuts.withColumn("part", F.slice("key", F.lit(1), F.col("cut"))).join(left, "part").drop("part"), "cuts")
+    behind = F.slice("key", F.col("cut") + 1, F.size("key") - F.col("cut"))
+    cuts = cuts.withColumn("part", behind).join(right, "part").drop("part")
     score = F.expr("(cast(2000000 as decimal(7,0)) * cast(a as decimal(19,0))) div (cast(l as decimal(19,0)) + cast(r as decimal(19,0)))")
-    scored = stored(cuts.withColumn("score", score.cast("long")), "scored").groupBy("key", "a").agg(
-        F.min(F.struct("score", "cut", "l", "r")).alias("best"))
-    scored = stored(scored.select("key", "a", "best.l", "best.r", "best.score"), "best")
-
-    # their words
-    spelled = stored(scored.select("key", F.posexplode("key").alias("place", "h")), "spelled").join(
-        words.select("h", "lang", "word"), "h")
-    spelled = stored(spelled, "named").groupBy("key").agg(
-        F.min("lang").alias("lang"),
+    cuts = stored(cuts.withColumn("score", score.cast("long")), "scored")
+    best = cuts.groupBy("key", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("best"))
+    best = stored(best.select("key", F.col("key")[0].alias("h"), "a", "best.l", "best.r", "best.score"), "best")
+    best = stored(best.join(words.select("h", "lang"), "h").drop("h"), "ranked")
+
+    # those that may be among the first of their language, ties included, and their words
+    slices = 1 + best.count() // RANKED
+    order = [F.desc("score"), F.desc("a")]
+    some = Window.partitionBy("lang", F.pmod(F.xxhash64("key"), F.lit(slices))).orderBy(*order)
+    best = stored(best.withColumn("place", F.rank().over(some)).where(F.col("place") <= top).drop("place"), "first")
+    wanted = stored(best.select("key", F.posexplode("key").alias("place", "h")), "wanted")
+    asked = docs.sparkSession.sparkContext.broadcast(bloom(wanted, "h", filter_bits))
+    names = stored(parts.select("hashes", "words").mapInArrow(_spelled(asked), "h long, word string").distinct(), "names")
+    spelled = stored(wanted.join(names, "h"), "spelled").groupBy("key").agg(
         F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("place", "word"))), lambda x: x["word"])).alias("phrase"))
-    named = stored(scored.join(spelled, "key"), "ranked")
-
-    # the first of each language: within slices of its phrases, then among those
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    slices = 1 + named.count() // RANKED
-    if slices > 1:
-        within = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(slices))).orderBy(*order)
-        named = named.withColumn("place", F.row_number().over(within)).where(F.col("place") <= top).drop("place")
-    first = named.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
+    best = stored(best.join(spelled, "key"), "named")
+
+    order.append(F.asc("phrase"))
+    first = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
+    languages = parts.groupBy("lang").agg(F.sum("n").alias("n"))
     return first.where(F.col("rank") <= top).join(languages, "lang").select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score")
 

@@ -247,12 +247,16 @@ def test_shards_and_indexes_count_every_phrase(monkeypatch):
                 names[h] = row["lang"], word
                 got[row["lang"], (word,)] += n
         whole_batch = pa.Table.from_batches(shards).combine_chunks().to_batches() if shards else []
-        for make in (collocations._pairs, collocations._longer):
-            for row in (r for b in make(Everything())(iter(whole_batch)) for r in b.to_pylist()):
-                n = row.pop("n")
-                spelled = [names[h] for h in row.values() if h is not None]
-                got[spelled[0][0], tuple(w for _, w in spelled)] += n
-        assert {k: v for k, v in got.items() if v} == counts_of(texts, langs)
+        for row in (r for b in collocations._phrases(Everything())(iter(whole_batch)) for r in b.to_pylist()):
+            n = row.pop("n")
+            spelled = [names[h] for h in row.values() if h is not None]
+            got[spelled[0][0], tuple(w for _, w in spelled)] += n
+        expected = counts_of(texts, langs)
+        assert {k: v for k, v in got.items() if v} == expected
+        pairs: Counter = Counter()
+        for row in (r for b in collocations._pairs(Everything())(iter(whole_batch)) for r in b.to_pylist()):
+            pairs[row["h0"]] += row["n"]
+        assert sorted(n for n in pairs.values() if n) == sorted(n for (_, w), n in expected.items() if len(w) == 2)
 
 
 @pytest.mark.parametrize("shard_words, filter_bits, top", [(1 << 22, 1 << 29, 2000), (40, 64, 5)])
