@@ -53,9 +53,12 @@ TOP = 2000
 RANKED = 100_000
 #: Bytes of text that are cut into words at once (a longer text by itself), and rows of a record batch.
 READ_BYTES = 4 << 20
+#: Fingerprints that a task holds to add up equal phrases of its shards.
+HELD = 1 << 21
 BATCH = 1 << 15
 
 _U = np.uint64
+_PLACES = tk.mix(np.arange(1, DEPTH + 1, dtype=_U)) | _U(1)
 
 #: What a byte is: 0 of a word, 1 between words, 2 between pieces.
 _KIND = np.zeros(256, np.uint8)
@@ -365,11 +368,39 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]
         yield text, np.append(_U(0), own), batch.column("context")[i].as_py()
 
 
+class _Sums:
+    """Counts of phrases, added across the shards of a task before they are emitted."""
+
+    def __init__(self, width: int) -> None:
+        self.width, self.hashes, self.counts, self.size = width, [], [], 0
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        wide = np.zeros((len(hashes), self.width), _U)
+        wide[:, :hashes.shape[1]] = hashes
+        self.hashes.append(wide)
+        self.counts.append(counts)
+        self.size += len(hashes)
+        if self.size * self.width >= HELD:
+            yield from self.rows()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if not self.size:
+            return
+        hashes, counts = np.concatenate(self.hashes), np.concatenate(self.counts)
+        self.hashes, self.counts, self.size = [], [], 0
+        order = np.argsort(hashes[:, 0] if self.width == 1 else tk.mix(hashes * _PLACES[:self.width]).sum(1, dtype=_U))
+        hashes, counts = hashes[order], counts[order]
+        new = np.ones(len(hashes), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]).any(1)
+        first = np.flatnonzero(new)
+        yield from _rows(hashes[first], np.add.reduceat(counts, first), self.width)
+
+
 def _rows(hashes: np.ndarray, counts: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
     names = [*(f"h{i}" for i in range(width)), "n"]
     for at in range(0, len(hashes), BATCH):
         part = hashes[at:at + BATCH].view(np.int64)
-        columns = [pa.array(part[:, i]) if i < part.shape[1] else pa.nulls(len(part), pa.int64()) for i in range(width)]
+        columns = [pa.array(part[:, i], mask=part[:, i] == 0) for i in range(width)]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[at:at + BATCH], pa.int64())], names=names)
 
 
@@ -384,6 +415,7 @@ def _context(text: np.ndarray, context: int, length: int) -> np.ndarray:
 def _pairs(words_filter):
     """(fingerprint, count) of the pairs of known words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums(1)
         for batch in batches:
             for text, hashes, context in _read(batch):
                 known = words_filter.value.has(hashes)
@@ -393,13 +425,15 @@ def _pairs(words_filter):
                 text, used = _dense(_compact(text))
                 found = Phrases(Index(text, len(used) - 1, 2), None).left()
                 for words, own, counts in ((back, hashes, np.full(len(back), -1)), (found.words, hashes[used], found.counts)):
-                    yield from _rows(_pair(own[words[:, 0]], own[words[:, 1]])[:, None], counts, 1)
+                    yield from sums.add(_pair(own[words[:, 0]], own[words[:, 1]])[:, None], counts)
+        yield from sums.rows()
     return run
 
 
 def _phrases(pairs_filter):
     """(up to four words, count) of the phrases whose pairs are all frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums(DEPTH)
         for batch in batches:
             for text, hashes, context in _read(batch):
                 h = hashes[text]
@@ -408,7 +442,7 @@ def _phrases(pairs_filter):
                 head = [text[1 + i:1 + i + length] for length in range(2, DEPTH) for i in range(context - length + 1)
                         if good[2 + i:1 + i + length].all()]
                 for x in head:
-                    yield from _rows(hashes[x[None, :]], np.array([-1]), DEPTH)
+                    yield from sums.add(hashes[x[None, :]], np.array([-1]))
                 keep = good[:-1] | good[1:]  # words of some frequent pair
                 text = text * keep
                 text = np.insert(text, np.flatnonzero(~good[:-1]), 0)  # a gap before a word that follows in no pair
@@ -417,9 +451,8 @@ def _phrases(pairs_filter):
                 own, found = hashes[used], Phrases(Index(text, size, DEPTH), Index(text[::-1], size, DEPTH))
                 for step in (Phrases.left, Phrases.right, Phrases.left):
                     found = step(found)
-                    for at in range(0, len(found.words), BATCH):
-                        part = slice(at, at + BATCH)
-                        yield from _rows(own[found.words[part]], found.counts[part], DEPTH)
+                    yield from sums.add(own[found.words], found.counts)
+        yield from sums.rows()
     return run
 
 
@@ -435,11 +468,11 @@ def counted(parts: DataFrame, least: int = LEAST, filter_bits: int = FILTER_BITS
     words = stored(words.where(F.col("f") >= least), "words")
     index = parts.select("ids", "hashes", "context")
     known = context.broadcast(bloom(words, "h", filter_bits))
-    pairs = index.mapInArrow(_pairs(known), "h0 long, n long").groupBy("h0").agg(summed)
+    # A task emits a phrase about once, so adding again before the shuffle would fill memory
+    # for nothing: the rows are dealt first, and no phrase has more rows than shards.
+    pairs = index.mapInArrow(_pairs(known), "h0 long, n long").repartition("h0").groupBy("h0").agg(summed)
     pairs = stored(pairs.where(F.col("f") >= least), "pairs")
     joined = context.broadcast(bloom(pairs, "h0", filter_bits))
-    # A shard has a phrase once, so adding before the shuffle would fill memory for little:
-    # the rows are dealt first, and no phrase has more rows than there are shards.
     keys = [f"h{i}" for i in range(DEPTH)]
     phrases = index.mapInArrow(_phrases(joined), "h0 long, h1 long, h2 long, h3 long, n long")
     phrases = phrases.repartition(*keys).groupBy(*keys).agg(summed).where(F.col("f") >= least)
