@@ -15,13 +15,15 @@ into words at spaces and tabs.  Counts are exact and per language.
 3. Gaps come where the sum of a pair is below ``least``.  Each shard builds a
    bidirectional index of what remains: the interval of a phrase in the
    Burrows-Wheeler transform of the text and of the reversed text.  Phrases grow to
-   the left and to the right in turn, from two words to four, and are emitted whole.
-4. The sums of all shards give every candidate's count and those of its parts;
-   cuts, containment and ranks are joins and aggregates over phrases.
-
-Shards learn which words and pairs are frequent from Bloom filters of at most
-``FILTER_BITS`` bits.  False positives, and pairs of equal fingerprint, cost rows and
-change no count, as only phrases whose own sum is ``least`` or more go on.  Words are
+   the left and to the right in turn, from two words to four, and their fingerprints
+   and counts are summed likewise.
+4. The shards emit whole the phrases whose fingerprints are frequent.  Their sums are
+   every candidate's count and those of its parts; cuts, containment and ranks are
+   joins and aggregates over phrases.
+
+Shards learn which words and phrases are frequent from Bloom filters of at most
+``FILTER_BITS`` bits.  Fingerprints of phrases travel in blocks, a sorted array for each
+block and task.  False positives, and phrases of equal fingerprint, cost rows and change no count, as only phrases whose own sum is ``least`` or more go on.  Words are
 64-bit fingerprints (of language and word); only the words of phrases that may be among
 the first are read again as strings.
 
@@ -55,6 +57,8 @@ RANKED = 100_000
 READ_BYTES = 4 << 20
 #: Fingerprints that a task holds to add up equal phrases of its shards.
 HELD = 1 << 21
+#: Words of the corpus for each block of fingerprints that one task adds up.
+BLOCK_WORDS = 1 << 21
 BATCH = 1 << 15
 
 _U = np.uint64
@@ -368,6 +372,74 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]
         yield text, np.append(_U(0), own), batch.column("context")[i].as_py()
 
 
+def _fingerprint(words: np.ndarray) -> np.ndarray:
+    """One fingerprint of the words of each row."""
+    out = words[:, 0]
+    for i in range(1, words.shape[1]):
+        out = _pair(out, words[:, i])
+    return out
+
+
+class _Blocks:
+    """Counts of fingerprints, added across the shards of a task and emitted by block:
+    of each fingerprint the first ``bits`` bits, its block, and 32 more."""
+
+    def __init__(self, bits: int) -> None:
+        self.bits, self.held, self.counts, self.size = bits, [], [], 0
+
+    def add(self, fingerprints: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(fingerprints >> _U(32 - self.bits))
+        self.counts.append(counts)
+        self.size += len(counts)
+        if self.size >= HELD:
+            yield from self.rows()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if not self.size:
+            return
+        held, counts = _added(np.concatenate(self.held), np.concatenate(self.counts))
+        self.held, self.counts, self.size = [], [], 0
+        edges = np.searchsorted(held, np.arange((1 << self.bits) + 1, dtype=_U) << _U(32)) if self.bits else np.array([0, len(held)])
+        full = np.flatnonzero(np.diff(edges))
+        rest, counts = held.astype("<u4"), counts.astype("<i4")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(full, pa.int64()),
+             pa.array([rest[edges[b]:edges[b + 1]].tobytes() for b in full], pa.binary()),
+             pa.array([counts[edges[b]:edges[b + 1]].tobytes() for b in full], pa.binary())], names=["block", "rest", "n"])
+
+
+BLOCK = "block long, rest binary, n binary"
+
+
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def _frequent(least: int):
+    """The fingerprints of a block whose counts of all tasks reach ``least``, mixed for the filter."""
+    def run(block: pa.Table) -> pa.Table:
+        rest, counts = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in block.column(name)])
+                        for name, kind in (("rest", "<u4"), ("n", "<i4")))
+        rest, counts = _added(rest, counts.astype(np.int64))
+        whole = (_U(block.column("block")[0].as_py()) << _U(32)) | rest[counts >= least].astype(_U)
+        return pa.table({"h": pa.array(tk.mix(whole).view(np.int64))})
+    return run
+
+
+class _Known:
+    """Whether fingerprints are among the frequent ones, by the bits that their blocks keep."""
+
+    def __init__(self, bloom_filter, bits: int) -> None:
+        self.filter, self.bits = bloom_filter, bits
+
+    def has(self, fingerprints: np.ndarray) -> np.ndarray:
+        return self.filter.value.has(tk.mix(fingerprints >> _U(32 - self.bits)))
+
+
 class _Sums:
     """Counts of phrases, added across the shards of a task before they are emitted."""
 
@@ -412,46 +484,66 @@ def _context(text: np.ndarray, context: int, length: int) -> np.ndarray:
     return np.array([x for x in found if (x > 0).all()], np.int64).reshape(-1, length)
 
 
-def _pairs(words_filter):
-    """(fingerprint, count) of the pairs of known words."""
+def _pairs(words_filter, bits: int):
+    """Fingerprints and counts of the pairs of known words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums(1)
+        sums = _Blocks(bits)
         for batch in batches:
             for text, hashes, context in _read(batch):
                 known = words_filter.value.has(hashes)
                 known[0] = False
                 text = text * known[text]
                 back = _context(text, context, 2)
+                yield from sums.add(_fingerprint(hashes[back]), np.full(len(back), -1))
                 text, used = _dense(_compact(text))
                 found = Phrases(Index(text, len(used) - 1, 2), None).left()
-                for words, own, counts in ((back, hashes, np.full(len(back), -1)), (found.words, hashes[used], found.counts)):
-                    yield from sums.add(_pair(own[words[:, 0]], own[words[:, 1]])[:, None], counts)
+                yield from sums.add(_fingerprint(hashes[used][found.words]), found.counts)
+        yield from sums.rows()
+    return run
+
+
+def _grown(batches: Iterator[pa.RecordBatch], pairs) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words, counts) of the phrases of two, three and four words whose pairs are all frequent."""
+    for batch in batches:
+        for text, hashes, context in _read(batch):
+            h = hashes[text]
+            good = np.zeros(len(text) + 1, bool)  # whether the word at i follows i - 1 in a frequent pair
+            good[1:-1] = (text[:-1] > 0) & (text[1:] > 0) & pairs.has(_pair(h[:-1], h[1:]))
+            for length in range(2, DEPTH):
+                for i in range(context - length + 1):
+                    if good[2 + i:1 + i + length].all():
+                        yield h[None, 1 + i:1 + i + length], np.array([-1])
+            keep = good[:-1] | good[1:]  # words of some frequent pair
+            text = text * keep
+            text = np.insert(text, np.flatnonzero(~good[:-1]), 0)  # a gap before a word that follows in no pair
+            text, used = _dense(_compact(text))
+            size = len(used) - 1
+            own, found = hashes[used], Phrases(Index(text, size, DEPTH), Index(text[::-1], size, DEPTH))
+            for step in (Phrases.left, Phrases.right, Phrases.left):
+                found = step(found)
+                yield own[found.words], found.counts
+
+
+def _longer(pairs, bits: int):
+    """Fingerprints and counts of phrases of three and four words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Blocks(bits)
+        for words, counts in _grown(batches, pairs):
+            if words.shape[1] > 2:
+                yield from sums.add(_fingerprint(words), counts)
         yield from sums.rows()
     return run
 
 
-def _phrases(pairs_filter):
-    """(up to four words, count) of the phrases whose pairs are all frequent."""
+def _phrases(pairs, longer):
+    """(up to four words, count) of the phrases whose fingerprints are frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(DEPTH)
-        for batch in batches:
-            for text, hashes, context in _read(batch):
-                h = hashes[text]
-                good = np.zeros(len(text) + 1, bool)  # whether the word at i follows i - 1 in a frequent pair
-                good[1:-1] = (text[:-1] > 0) & (text[1:] > 0) & pairs_filter.value.has(_pair(h[:-1], h[1:]))
-                head = [text[1 + i:1 + i + length] for length in range(2, DEPTH) for i in range(context - length + 1)
-                        if good[2 + i:1 + i + length].all()]
-                for x in head:
-                    yield from sums.add(hashes[x[None, :]], np.array([-1]))
-                keep = good[:-1] | good[1:]  # words of some frequent pair
-                text = text * keep
-                text = np.insert(text, np.flatnonzero(~good[:-1]), 0)  # a gap before a word that follows in no pair
-                text, used = _dense(_compact(text))
-                size = len(used) - 1
-                own, found = hashes[used], Phrases(Index(text, size, DEPTH), Index(text[::-1], size, DEPTH))
-                for step in (Phrases.left, Phrases.right, Phrases.left):
-                    found = step(found)
-                    yield from sums.add(own[found.words], found.counts)
+        for words, counts in _grown(batches, pairs):
+            if words.shape[1] > 2:
+                known = longer.has(_fingerprint(words))
+                words, counts = words[known], counts[known]
+            yield from sums.add(words, counts)
         yield from sums.rows()
     return run
 
@@ -468,13 +560,19 @@ def counted(parts: DataFrame, least: int = LEAST, filter_bits: int = FILTER_BITS
     words = stored(words.where(F.col("f") >= least), "words")
     index = parts.select("ids", "hashes", "context")
     known = context.broadcast(bloom(words, "h", filter_bits))
+    total = parts.agg(F.sum("n")).first()[0] or 0
+    bits = min(32, max(0, (total // BLOCK_WORDS).bit_length()))
+
+    def frequent(rows: DataFrame, kind: str) -> _Known:
+        rows = stored(rows.groupBy("block").applyInArrow(_frequent(least), "h long"), kind)
+        return _Known(context.broadcast(bloom(rows, "h", filter_bits)), bits)
+
+    pairs = frequent(index.mapInArrow(_pairs(known, bits), BLOCK), "pairs")
+    longer = frequent(index.mapInArrow(_longer(pairs, bits), BLOCK), "longer")
     # A task emits a phrase about once, so adding again before the shuffle would fill memory
     # for nothing: the rows are dealt first, and no phrase has more rows than shards.
-    pairs = index.mapInArrow(_pairs(known), "h0 long, n long").repartition("h0").groupBy("h0").agg(summed)
-    pairs = stored(pairs.where(F.col("f") >= least), "pairs")
-    joined = context.broadcast(bloom(pairs, "h0", filter_bits))
     keys = [f"h{i}" for i in range(DEPTH)]
-    phrases = index.mapInArrow(_phrases(joined), "h0 long, h1 long, h2 long, h3 long, n long")
+    phrases = index.mapInArrow(_phrases(pairs, longer), "h0 long, h1 long, h2 long, h3 long, n long")
     phrases = phrases.repartition(*keys).groupBy(*keys).agg(summed).where(F.col("f") >= least)
     return words, stored(phrases, "phrases")
 
@@ -482,10 +580,13 @@ def counted(parts: DataFrame, least: int = LEAST, filter_bits: int = FILTER_BITS
 def _spelled(wanted):
     """(h, word) of the fingerprints in the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = np.zeros(0, _U)
         for batch in batches:
             for i in range(len(batch)):
                 hashes = batch.column("hashes")[i].values
-                mask = pa.array(wanted.value.has(hashes.to_numpy(zero_copy_only=False).view(_U)))
+                own = hashes.to_numpy(zero_copy_only=False).view(_U)
+                new = wanted.value.has(own) & ~np.isin(own, done)
+                done, mask = np.append(done, own[new]), pa.array(new)
                 yield pa.RecordBatch.from_arrays(
                     [hashes.filter(mask), batch.column("words")[i].values.filter(mask)], names=["h", "word"])
     return run
@@ -532,7 +633,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     slices = 1 + best.count() // RANKED
     order = [F.desc("score"), F.desc("a")]
     some = Window.partitionBy("lang", F.pmod(F.xxhash64("key"), F.lit(slices))).orderBy(*order)
-    best = stored(best.withColumn("place", F.rank().over(some)).where(F.col("place") <= top).drop("place"), "first")
+    if slices > 1:
+        best = stored(best.withColumn("place", F.rank().over(some)).where(F.col("place") <= top).drop("place"), "slices")
+    whole = Window.partitionBy("lang").orderBy(*order)
+    best = stored(best.withColumn("place", F.rank().over(whole)).where(F.col("place") <= top).drop("place"), "first")
     wanted = stored(best.select("key", F.posexplode("key").alias("place", "h")), "wanted")
     asked = docs.sparkSession.sparkContext.broadcast(bloom(wanted, "h", filter_bits))
     names = stored(parts.select("hashes", "words").mapInArrow(_spelled(asked), "h long, word string").distinct(), "names")

@@ -221,6 +221,15 @@ def brute_collocations(texts, langs, least, top):
     return sorted(out)
 
 
+def _unpacked(blocks):
+    """(block and rest, count) of every fingerprint."""
+    keys, counts = [], []
+    for row in blocks.to_pylist():
+        keys += [(row["block"], int(h)) for h in np.frombuffer(row["rest"], "<u4")]
+        counts += np.frombuffer(row["n"], "<i4").tolist()
+    return keys, counts
+
+
 class Everything:
     """A filter that lets all pass."""
     value = property(lambda self: self)
@@ -247,16 +256,19 @@ def test_shards_and_indexes_count_every_phrase(monkeypatch):
                 names[h] = row["lang"], word
                 got[row["lang"], (word,)] += n
         whole_batch = pa.Table.from_batches(shards).combine_chunks().to_batches() if shards else []
-        for row in (r for b in collocations._phrases(Everything())(iter(whole_batch)) for r in b.to_pylist()):
+        for row in (r for b in collocations._phrases(Everything(), Everything())(iter(whole_batch)) for r in b.to_pylist()):
             n = row.pop("n")
             spelled = [names[h] for h in row.values() if h is not None]
             got[spelled[0][0], tuple(w for _, w in spelled)] += n
         expected = counts_of(texts, langs)
         assert {k: v for k, v in got.items() if v} == expected
-        pairs: Counter = Counter()
-        for row in (r for b in collocations._pairs(Everything())(iter(whole_batch)) for r in b.to_pylist()):
-            pairs[row["h0"]] += row["n"]
-        assert sorted(n for n in pairs.values() if n) == sorted(n for (_, w), n in expected.items() if len(w) == 2)
+        bits = rng.choice([0, 3])
+        for make, lengths in ((collocations._pairs, {2}), (collocations._longer, {3, 4})):
+            sums: Counter = Counter()
+            for blocks in make(Everything(), bits)(iter(whole_batch)):
+                for key, n in zip(*_unpacked(blocks), strict=True):
+                    sums[key] += n
+            assert sorted(n for n in sums.values() if n) == sorted(n for (_, w), n in expected.items() if len(w) in lengths)
 
 
 @pytest.mark.parametrize("shard_words, filter_bits, top", [(1 << 22, 1 << 29, 2000), (40, 64, 5)])
