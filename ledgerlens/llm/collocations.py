@@ -53,16 +53,14 @@ CONTAINED = (100, 80)
 TOP = 2000
 #: Rows that one task ranks before the last step.
 RANKED = 100_000
-#: Bytes of text that are cut into words at once (a longer text by itself), and rows of a record batch.
+#: Bytes of text that are cut into words at once (a longer text by itself).
 READ_BYTES = 4 << 20
 #: Fingerprints that a task holds to add up equal phrases of its shards.
 HELD = 1 << 21
 #: Words of the corpus for each block of fingerprints that one task adds up.
 BLOCK_WORDS = 1 << 21
-BATCH = 1 << 15
 
 _U = np.uint64
-_PLACES = tk.mix(np.arange(1, DEPTH + 1, dtype=_U)) | _U(1)
 
 #: What a byte is: 0 of a word, 1 between words, 2 between pieces.
 _KIND = np.zeros(256, np.uint8)
@@ -440,40 +438,58 @@ class _Known:
         return self.filter.value.has(tk.mix(fingerprints >> _U(32 - self.bits)))
 
 
-class _Sums:
-    """Counts of phrases, added across the shards of a task before they are emitted."""
+class _Phrases:
+    """Counts of whole phrases, added across the shards of a task and emitted by block; a
+    block's phrases are in the order of their words, of which neighbours share the first."""
 
-    def __init__(self, width: int) -> None:
-        self.width, self.hashes, self.counts, self.size = width, [], [], 0
+    def __init__(self, bits: int) -> None:
+        self.bits, self.held, self.counts, self.size = bits, [], [], 0
 
-    def add(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        wide = np.zeros((len(hashes), self.width), _U)
-        wide[:, :hashes.shape[1]] = hashes
-        self.hashes.append(wide)
+    def add(self, words: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        wide = np.zeros((len(words), DEPTH), _U)
+        wide[:, :words.shape[1]] = words
+        self.held.append(wide)
         self.counts.append(counts)
-        self.size += len(hashes)
-        if self.size * self.width >= HELD:
+        self.size += len(words)
+        if self.size * DEPTH >= HELD:
             yield from self.rows()
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        hashes, counts = np.concatenate(self.hashes), np.concatenate(self.counts)
-        self.hashes, self.counts, self.size = [], [], 0
-        order = np.argsort(hashes[:, 0] if self.width == 1 else tk.mix(hashes * _PLACES[:self.width]).sum(1, dtype=_U))
-        hashes, counts = hashes[order], counts[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = (hashes[1:] != hashes[:-1]).any(1)
-        first = np.flatnonzero(new)
-        yield from _rows(hashes[first], np.add.reduceat(counts, first), self.width)
+        words, counts = _added_rows(np.concatenate(self.held), np.concatenate(self.counts))
+        self.held, self.counts, self.size = [], [], 0
+        block = _fingerprint(words) >> _U(32) >> _U(32 - self.bits)
+        order = np.argsort(block, kind="stable")
+        block, words, counts = block[order], words[order], counts[order].astype("<i4")
+        full, edges = np.unique(block, return_index=True)
+        edges = np.append(edges, len(block))
+        parts = list(zip(edges[:-1], edges[1:], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(full.astype(np.int64)), pa.array([words[i:j].T.tobytes() for i, j in parts], pa.binary()),
+             pa.array([counts[i:j].tobytes() for i, j in parts], pa.binary())], names=["block", "rest", "n"])
 
 
-def _rows(hashes: np.ndarray, counts: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
-    names = [*(f"h{i}" for i in range(width)), "n"]
-    for at in range(0, len(hashes), BATCH):
-        part = hashes[at:at + BATCH].view(np.int64)
-        columns = [pa.array(part[:, i], mask=part[:, i] == 0) for i in range(width)]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[at:at + BATCH], pa.int64())], names=names)
+def _added_rows(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows in order, and the sums of their counts."""
+    order = np.lexsort(words.T[::-1])
+    words = words[order]
+    new = np.ones(len(words), bool)
+    new[1:] = (words[1:] != words[:-1]).any(1)
+    first = np.flatnonzero(new)
+    return words[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+def _whole(least: int):
+    """The phrases of a block whose counts of all tasks reach ``least``: null beyond the phrase."""
+    def run(block: pa.Table) -> pa.Table:
+        words = np.concatenate([np.frombuffer(x.as_buffer(), "<u8").reshape(DEPTH, -1).T for x in block.column("rest")])
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), "<i4") for x in block.column("n")]).astype(np.int64)
+        words, counts = _added_rows(words, counts)
+        words, counts = words[counts >= least], counts[counts >= least]
+        columns = {f"h{i}": pa.array(words[:, i].view(np.int64), mask=words[:, i] == 0) for i in range(DEPTH)}
+        return pa.table(columns | {"f": pa.array(counts)})
+    return run
 
 
 def _context(text: np.ndarray, context: int, length: int) -> np.ndarray:
@@ -535,10 +551,10 @@ def _longer(pairs, bits: int):
     return run
 
 
-def _phrases(pairs, longer):
-    """(up to four words, count) of the phrases whose fingerprints are frequent."""
+def _phrases(pairs, longer, bits: int):
+    """Words and counts of the phrases whose fingerprints are frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums(DEPTH)
+        sums = _Phrases(bits)
         for words, counts in _grown(batches, pairs):
             if words.shape[1] > 2:
                 known = longer.has(_fingerprint(words))
@@ -554,7 +570,6 @@ def counted(parts: DataFrame, least: int = LEAST, filter_bits: int = FILTER_BITS
     """(words, phrases) that occur ``least`` times: ``h, lang, f``, and ``h0..h3, f`` of two
     to four words (null beyond the phrase)."""
     context = parts.sparkSession.sparkContext
-    summed = F.sum("n").alias("f")
     each = parts.select("lang", F.inline(F.arrays_zip("hashes", "counts")))
     words = each.groupBy(F.col("hashes").alias("h"), "lang").agg(F.sum("counts").alias("f"))
     words = stored(words.where(F.col("f") >= least), "words")
@@ -569,11 +584,8 @@ def counted(parts: DataFrame, least: int = LEAST, filter_bits: int = FILTER_BITS
 
     pairs = frequent(index.mapInArrow(_pairs(known, bits), BLOCK), "pairs")
     longer = frequent(index.mapInArrow(_longer(pairs, bits), BLOCK), "longer")
-    # A task emits a phrase about once, so adding again before the shuffle would fill memory
-    # for nothing: the rows are dealt first, and no phrase has more rows than shards.
-    keys = [f"h{i}" for i in range(DEPTH)]
-    phrases = index.mapInArrow(_phrases(pairs, longer), "h0 long, h1 long, h2 long, h3 long, n long")
-    phrases = phrases.repartition(*keys).groupBy(*keys).agg(summed).where(F.col("f") >= least)
+    phrases = index.mapInArrow(_phrases(pairs, longer, bits), BLOCK).groupBy("block").applyInArrow(
+        _whole(least), "h0 long, h1 long, h2 long, h3 long, f long")
     return words, stored(phrases, "phrases")
 
 

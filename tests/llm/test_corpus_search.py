@@ -256,13 +256,16 @@ def test_shards_and_indexes_count_every_phrase(monkeypatch):
                 names[h] = row["lang"], word
                 got[row["lang"], (word,)] += n
         whole_batch = pa.Table.from_batches(shards).combine_chunks().to_batches() if shards else []
-        for row in (r for b in collocations._phrases(Everything(), Everything())(iter(whole_batch)) for r in b.to_pylist()):
-            n = row.pop("n")
-            spelled = [names[h] for h in row.values() if h is not None]
-            got[spelled[0][0], tuple(w for _, w in spelled)] += n
+        bits = rng.choice([0, 3])
+        for blocks in collocations._phrases(Everything(), Everything(), bits)(iter(whole_batch)):
+            for block in blocks.to_pylist():
+                one = {k: pa.chunked_array([pa.array([v])]) for k, v in block.items()}
+                for row in collocations._whole(-1 << 40)(pa.table(one)).to_pylist():
+                    n = row.pop("f")
+                    spelled = [names[h] for h in row.values() if h is not None]
+                    got[spelled[0][0], tuple(w for _, w in spelled)] += n
         expected = counts_of(texts, langs)
         assert {k: v for k, v in got.items() if v} == expected
-        bits = rng.choice([0, 3])
         for make, lengths in ((collocations._pairs, {2}), (collocations._longer, {3, 4})):
             sums: Counter = Counter()
             for blocks in make(Everything(), bits)(iter(whole_batch)):
