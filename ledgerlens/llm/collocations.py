@@ -56,7 +56,7 @@ RANKED = 100_000
 #: Bytes of text that are cut into words at once (a longer text by itself).
 READ_BYTES = 4 << 20
 #: Fingerprints that a task holds to add up equal phrases of its shards.
-HELD = 1 << 21
+HELD = 1 << 20
 #: Words of the corpus for each block of fingerprints that one task adds up.
 BLOCK_WORDS = 1 << 21
 
