@@ -1,31 +1,37 @@
-"""Sums and means of doubles that lose nothing, cannot overflow and do not depend on
-the order of the rows.
+"""Exact sums and means of doubles: no digit is lost, no row order shows, nothing overflows.
 
 ``sum(double)`` depends on the order rows are added, so the same query can differ in
-the last bits between runs and partitionings.  Here a value x is split into
-
-* whole 10^-scale units u (if |u| < 2^59), carried as three limbs of 20 bits, which
-  add up as bigints without overflow for 8e12 rows of a group, and
-* a residue, x - u / 10^scale: a plain double.  Values beyond 2^59 units and
-  infinities are all residue.
-
-The limbs are joined as ``decimal(38,0)`` once per group.  Amounts that are whole
-units have residue 0, so their sums are exact and stay on Spark's primitive ``long``
-path (no ``BigDecimal`` per row).  Where there is a residue, the total is settled to
-``SETTLED_DIGITS`` significant digits, so that the order of the residue cannot show.
-
-NaN counts as missing, like null; ``profile_null_counts`` reports both.
+the last bits between runs and partitionings.  Here a double is cut into seven signed
+digits of 24 bits, from 2^59 down to 2^-108 (a fixed-width superaccumulator).  Digits of
+one weight add up as ``bigint`` without overflow for 2^40 rows of a group, partial sums
+merge like any sum, and the total is rounded to a double once: it equals
+``math.fsum``, whatever the order, the partitioning and the magnitudes.
+
+Amounts mean decimals: where every value of a group is a double nearest to a whole
+10^-scale, the total is the double nearest to their decimal sum, e.g. 0.1 + 0.1 + 0.1 =
+0.3 (``math.fsum`` gives 0.30000000000000004).  Such totals need no carrying: a plain
+weighted sum of the digits is near enough to be rounded to ``scale`` decimals.
+
+Values of 2^59 and more, infinities, and values below 2^-55 but not 0 are added as plain
+doubles beside the digits; their sum alone is settled to ``SETTLED_DIGITS`` significant
+digits, so that its order cannot show.  NaN counts as missing, like null; ``profile_null_counts``
+reports both.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LIMB = 1 << 20
-IN_RANGE = float(1 << 59)
+DIGIT = 24
+#: The exponents of the digits' weights.
+WEIGHTS = tuple(range(36, -109, -DIGIT))
+#: Whole numbers have no digits below 2^-12.
+WHOLE_WEIGHTS = WEIGHTS[:3]
+LARGEST, SMALLEST = 2.0**59, 2.0**-55
 SETTLED_DIGITS = 13
 
 
@@ -35,46 +41,91 @@ def _col(c: Column | str) -> Column:
 
 @dataclass(frozen=True)
 class Parts:
-    """The addends of a value, or their sums: three limbs and the residue."""
-    high: Column
-    middle: Column
-    low: Column
+    """The addends of a value, or their sums: its digits, what lies outside them, and how
+    many values are no whole units."""
+    digits: tuple[Column, ...]
     rest: Column
+    odd: Column
 
-    def map(self, f) -> Parts:
-        return Parts(f(self.high), f(self.middle), f(self.low), f(self.rest))
+    def map(self, f: Callable[[Column], Column]) -> Parts:
+        return Parts(tuple(f(d) for d in self.digits), f(self.rest), f(self.odd))
+
+    def with_parts(self, other: Parts, f: Callable[[Column, Column], Column]) -> Parts:
+        """Part by part; both have digits of the same weights."""
+        pairs = zip(self.digits, other.digits, strict=True)
+        return Parts(tuple(f(a, b) for a, b in pairs), f(self.rest, other.rest), f(self.odd, other.odd))
 
     def columns(self, prefix: str) -> list[Column]:
-        return [self.high.alias(f"{prefix}_high"), self.middle.alias(f"{prefix}_middle"),
-                self.low.alias(f"{prefix}_low"), self.rest.alias(f"{prefix}_rest")]
+        named = [d.alias(f"{prefix}_d{i}") for i, d in enumerate(self.digits)]
+        return [*named, self.rest.alias(f"{prefix}_rest"), self.odd.alias(f"{prefix}_odd")]
 
 
-def stored_parts(prefix: str) -> Parts:
+def stored_parts(prefix: str, whole: bool = False) -> Parts:
     """The columns that ``Parts.columns(prefix)`` made."""
-    return Parts(*(F.col(f"{prefix}_{name}") for name in ("high", "middle", "low", "rest")))
+    weights = WHOLE_WEIGHTS if whole else WEIGHTS
+    return Parts(tuple(F.col(f"{prefix}_d{i}") for i in range(len(weights))), F.col(f"{prefix}_rest"), F.col(f"{prefix}_odd"))
 
 
-def parts(c: Column | str, scale: int) -> Parts:
-    """The addends of each value; all null where it is null or NaN."""
+def parts(c: Column | str, scale: int, whole: bool = False) -> Parts:
+    """The addends of each value; all null where it is null or NaN.  ``whole`` says that
+    the column is of an integer type, whose values have fewer digits."""
     value = F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))
-    units = value * float(10**scale)
-    inside = F.abs(units) < IN_RANGE
-    whole = F.when(inside, F.rint(units)).cast("bigint")
-    limb = F.lit(LIMB - 1).cast("bigint")
+    size = F.abs(value)
+    inside = (size < LARGEST) & ((size >= SMALLEST) | (size == 0))
+    held = F.when(inside, value)
+    # whole multiples of each weight; a digit is what the next one has more
+    multiples = [F.rint(held * 2.0**-w) for w in (WHOLE_WEIGHTS if whole else WEIGHTS)]
+    digits = [multiples[0], *(m - before * 2.0**DIGIT for before, m in zip(multiples, multiples[1:]))]
+    unit = float(10**scale)
     return Parts(
-        F.shiftright(whole, 40),
-        F.shiftright(whole, 20).bitwiseAND(limb),
-        whole.bitwiseAND(limb),
-        F.when(inside, value - F.rint(units) / float(10**scale)).otherwise(value),
+        tuple(d.cast("bigint") for d in digits),
+        F.when(inside, F.lit(0.0)).otherwise(value),
+        (value != F.rint(value * unit) / unit).cast("bigint"),
     )
 
 
-def units(total: Parts) -> Column:
-    """The whole units of summed parts, as a decimal; 0 if there are none."""
-    def weighed(limbs: Column, weight: int) -> Column:
-        return F.coalesce(limbs.cast("decimal(19,0)"), F.lit(0).cast("decimal(19,0)")) * F.lit(weight).cast("decimal(13,0)")
+def _weighted(digits: Sequence[Column], f: Callable[[Column], Column] = lambda d: d) -> Column:
+    """The digits' sum in plain doubles, from the smallest weight."""
+    terms = [f(d).cast("double") * 2.0**w for d, w in zip(digits, WEIGHTS)]
+    out = terms[-1]
+    for term in reversed(terms[:-1]):
+        out = term + out
+    return out
+
+
+def _rounded(digits: Sequence[Column]) -> Column:
+    """The exact sum of the digits, rounded once to the nearest double, ties to even.
+
+    Carries go from the smallest weight up, so that every digit lies within +-2^23.
+    Then digits are joined from the largest down to an integer of at least 80 bits; of
+    those below only the sign of the first that is not 0 can matter, as a quarter
+    of a unit.
+    """
+    base = F.lit(1 << DIGIT).cast("bigint")
+
+    def carried(state: Column, digit: Column) -> Column:
+        value = digit + state["carry"]
+        carry = F.shiftright(value + F.lit(1 << (DIGIT - 1)).cast("bigint"), DIGIT)
+        return F.struct(carry.alias("carry"), F.concat(F.array(value - carry * base), state["digits"]).alias("digits"))
+
+    none = F.array().cast("array<bigint>")
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), none.alias("digits"))
+    ordered = F.aggregate(F.array(*reversed(digits)), start, carried,
+                          lambda state: F.concat(F.array(state["carry"]), state["digits"]))
+    number = "decimal(38,0)"
+
+    def joined(state: Column, digit: Column) -> Column:
+        more = (state["n"] * F.lit(1 << DIGIT).cast("decimal(8,0)") + digit.cast("decimal(19,0)")).cast(number)
+        sign = F.when(state["below"] != 0, state["below"]).otherwise(F.signum(digit).cast("int"))
+        return F.when(
+            F.abs(state["n"]) < F.lit(str(1 << 80)).cast(number),
+            F.struct(more.alias("n"), (state["weight"] - DIGIT).alias("weight"), state["below"].alias("below")),
+        ).otherwise(F.struct(state["n"].alias("n"), state["weight"].alias("weight"), sign.alias("below")))
 
-    return weighed(total.high, LIMB * LIMB) + weighed(total.middle, LIMB) + weighed(total.low, 1)
+    begin = F.struct(F.lit(0).cast(number).alias("n"), F.lit(WEIGHTS[0] + 2 * DIGIT).alias("weight"), F.lit(0).alias("below"))
+    return F.aggregate(ordered, begin, joined, lambda state: (
+        (state["n"] * F.lit(4).cast("decimal(1,0)") + state["below"].cast("decimal(1,0)")).cast(number).cast("double")
+        * F.pow(F.lit(2.0), (state["weight"] - 2).cast("double"))))
 
 
 def settled(x: Column) -> Column:
@@ -83,29 +134,31 @@ def settled(x: Column) -> Column:
 
 
 def total(summed: Parts, scale: int, count: Column | None = None) -> Column:
-    """The sum of summed parts as a double, or with ``count`` their mean."""
-    whole, rest = units(summed).cast("double"), summed.rest
-    if count is not None:
-        whole, rest = F.try_divide(whole, count), F.try_divide(rest, count)
-    value = whole / float(10**scale) + rest
-    return F.when(rest == 0, value).otherwise(settled(value))
+    """The sum of summed parts as a double, or with ``count`` their mean; null without values."""
+    digits = [F.coalesce(d, F.lit(0).cast("bigint")) for d in summed.digits]
+    # the plain sum errs by at most 7 roundings of the sizes; a tenth of a unit is near enough
+    near = _weighted(digits, F.abs) < 0.1 * 2.0**50 / 10**scale
+    value = F.when((summed.odd == 0) & near, F.round(_weighted(digits), scale)).otherwise(_rounded(digits))
+    value = F.when(summed.rest == 0, value).when(summed.rest.isNotNull(), value + settled(summed.rest))
+    return value if count is None else F.try_divide(value, count)
 
 
 def money_sum(c: Column | str, scale: int = 2) -> Column:
-    """Sum of an amount column, exact for amounts of at most ``scale`` decimals."""
+    """Sum of an amount column: the decimal sum of amounts of at most ``scale`` decimals,
+    else the exactly rounded sum of the doubles."""
     return total(parts(c, scale).map(F.sum), scale)
 
 
 MEAN_SCALE = 6
 
 
-def exact_mean(c: Column | str, scale: int = MEAN_SCALE) -> Column:
-    """Mean of the non-missing values, independent of summation order.
+def exact_mean(c: Column | str, scale: int = MEAN_SCALE, whole: bool = False) -> Column:
+    """Mean of the non-missing values: their exact sum, rounded, over their number.
 
     A double ``avg`` adds in partition order, so a mean lying on a rounding tie can
     round either way depending on how rows are split; here it cannot.
     """
-    p = parts(c, scale)
+    p = parts(c, scale, whole)
     return total(p.map(F.sum), scale, F.count(p.rest))
 
 

@@ -33,7 +33,7 @@ def unit_scale(df: DataFrame, name: str) -> int:
 def rounded_avg(c: Column | str, scale: int = AVG_SCALE, units: int = MEAN_SCALE) -> Column:
     """Mean rounded to ``scale`` decimals, summed exactly in 10^-units steps
     (``exact_mean``), so every plan and partitioning gives the same digits."""
-    return F.round(exact_mean(c, units), scale)
+    return F.round(exact_mean(c, units, whole=units == 0), scale)
 
 
 def row_count(df: DataFrame) -> DataFrame:

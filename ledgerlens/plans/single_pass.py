@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import MEAN_SCALE, Parts, parts, round_half_even, stored_parts, total
+from ledgerlens.functions.money import MEAN_SCALE, parts, round_half_even, stored_parts, total
 from ledgerlens.operators.clean import missing_as_null
 from ledgerlens.operators.summaries import AVG_SCALE, ranked, unit_scale
 from ledgerlens.session import checkpoint_root
@@ -36,7 +36,7 @@ def order_stats(
     rating = missing_as_null(df, "customer_rating")
     express = F.col("is_express") & (F.col("total_amount") > F.lit(threshold))
     amount = parts("total_amount", scale)
-    quantity = parts("quantity", unit_scale(df, "quantity"))
+    quantity = parts("quantity", unit_scale(df, "quantity"), whole=unit_scale(df, "quantity") == 0)
     return df.groupBy(category, region).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("order_id").alias("n_orders"),
@@ -45,7 +45,6 @@ def order_stats(
         *parts(rating, MEAN_SCALE).map(F.sum).columns("rating"),
         *quantity.map(F.sum).columns("qty"),
         F.count(quantity.rest).alias("n_qty"),
-        F.max(F.lit(unit_scale(df, "quantity"))).alias("qty_scale"),
         F.count_if(express).alias("x_rows"),
         F.count(F.when(express, F.col("order_id"))).alias("x_orders"),
         *amount.map(lambda c: F.sum(F.when(express, c))).columns("express"),
@@ -69,30 +68,29 @@ def reports_from_stats(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(row count, category summary, express by region) from ``order_stats``."""
     fill = fill_value(stats, scale).scalar()
+    whole = "qty_d3" not in stats.columns  # whole numbers have fewer digits
+    quantity = stored_parts("qty", whole)
     by_cat = stats.groupBy(category).agg(
         F.sum("n_rows").alias("n_rows"),
         F.sum("n_orders").alias("total_orders"),
         F.sum("n_rated").alias("n_rated"),
         F.sum("n_qty").alias("n_qty"),
-        F.max("qty_scale").alias("qty_scale"),
-        *(c for name in ("amount", "rating", "qty") for c in stored_parts(name).map(F.sum).columns(name)),
+        *(c for name, p in (("amount", stored_parts("amount")), ("rating", stored_parts("rating")), ("qty", quantity))
+          for c in p.map(F.sum).columns(name)),
     )
     # The imputed rows add the parts of the fill, once for each missing rating.  Values
     # that several expressions read are columns first, so the plan holds each once.
     by_cat = by_cat.withColumn("fill", fill).withColumn("missing", F.col("n_rows") - F.col("n_rated"))
     by_cat = by_cat.select("*", *parts("fill", MEAN_SCALE).columns("fill"))
-    present, added = stored_parts("rating"), stored_parts("fill")
 
     def joined(have: Column, more: Column) -> Column:
         filled = more * F.col("missing")
         return F.coalesce(have + filled, have, filled)
 
-    imputed = Parts(joined(present.high, added.high), joined(present.middle, added.middle),
-                    joined(present.low, added.low), joined(present.rest, added.rest))
+    imputed = stored_parts("rating").with_parts(stored_parts("fill"), joined)
     slots = F.col("n_rated") + F.when(F.col("fill").isNotNull(), F.col("missing")).otherwise(F.lit(0))
     by_cat = by_cat.select("*", *imputed.columns("imputed"), slots.alias("slots"))
-    quantity = F.when(F.col("qty_scale") == 0, total(stored_parts("qty"), 0, F.col("n_qty"))).otherwise(
-        total(stored_parts("qty"), MEAN_SCALE, F.col("n_qty")))
+    quantity = total(quantity, 0 if whole else MEAN_SCALE, F.col("n_qty"))
     summary = by_cat.select(
         category,
         "total_orders",

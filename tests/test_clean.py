@@ -16,7 +16,7 @@ def test_impute_fills_null_and_nan_with_rounded_mean(spark):
     assert out == {0: 4.0, 1: 4.5, 2: 4.5, 3: 5.0}
 
 
-def test_impute_rounds_half_up_to_scale(spark):
+def test_impute_rounds_to_scale(spark):
     df = _ratings(spark, [2.0, 3.0, 4.0, 3.3, None])  # mean 3.075 -> 3.1
     assert mean_value(df, "r").first().fill_value == 3.1
     assert impute_mean(df, "r").filter("id = 4").first().r == 3.1

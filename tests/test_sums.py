@@ -1,11 +1,14 @@
 """Sums and means that lose nothing and cannot overflow, with ANSI on and off."""
 
 import math
+import random
+from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.money import Parts, exact_mean, money_sum, parts, round_half_even, total
+from ledgerlens.functions.money import WEIGHTS, Parts, exact_mean, money_sum, parts, round_half_even, total
 from ledgerlens.operators import clean, runlog, summaries
 from ledgerlens.plans import single_pass_reports
 
@@ -35,7 +38,40 @@ def frame(spark, values):
 ])
 def test_sum(ansi, values, want):
     got = frame(ansi, values).agg(money_sum("x").alias("s")).first().s
-    assert got == want or math.isclose(got, want, rel_tol=1e-12)
+    assert got == want
+
+
+def spread(rng):
+    """A double of any magnitude that the digits cover, or a whole-cent one."""
+    return rng.choice([rng.choice([-1, 1]) * rng.uniform(0.5, 1) * 2.0 ** rng.randint(-54, 58), rng.randint(-10**9, 10**9) / 100, 0.0, -0.0])
+
+
+def test_sums_equal_fsum_to_the_last_bit(spark):
+    """Groups of mixed magnitudes with cancellation, in several orders and partitionings."""
+    rng = random.Random(17)
+    groups = {g: [spread(rng) for _ in range(rng.choice([1, 2, 3, 40]))] + [0.001] for g in range(150)}
+    groups |= {1000 + g: (x := [spread(rng) for _ in range(20)]) + [-v for v in x] + [2.0**-55, 1e-3] for g in range(50)}
+    groups |= {2000: [1e15 + 0.25, 0.004, 123456789012.345], 2001: [123456789012345.0, 0.004], 2002: [2.0**58, 1.0 + 2.0**-52, -2.0**58],
+               2003: [2.0**53, 1.0, 2.0**-50], 2004: [2.0**53, 1.0, -(2.0**-50)], 2005: [2.0**53 + 2, 1.0], 2006: [1e-9] * 999 + [0.5]}
+    rows = [(g, x) for g, values in groups.items() for x in values]
+    want = {g: math.fsum(values) for g, values in groups.items()}
+    for n, order in ((1, rows), (5, rows[::-1]), (7, rng.sample(rows, len(rows)))):
+        df = spark.createDataFrame(order, "g int, x double").repartition(n)
+        got = {r.g: r.s for r in df.groupBy("g").agg(money_sum("x").alias("s")).collect()}
+        assert got == want
+
+
+def test_values_beyond_the_digits_cost_no_others(spark):
+    for values, want in (([123456789012345.0, 1e-30], 123456789012345.0), ([1e-30, 2e-30], 3e-30), ([1e300, 0.01, -1e300], 0.01)):
+        assert frame(spark, values).agg(money_sum("x").alias("s")).first().s == want
+
+
+def test_whole_cents_sum_as_decimals(spark):
+    rng = random.Random(23)
+    groups = {g: [rng.randint(-10**7, 10**9) / 100 for _ in range(rng.choice([1, 3, 200]))] for g in range(100)}
+    df = spark.createDataFrame([(g, x) for g, values in groups.items() for x in values], "g int, x double").repartition(4)
+    got = {r.g: r.s for r in df.groupBy("g").agg(money_sum("x").alias("s")).collect()}
+    assert got == {g: float(sum(Decimal(repr(x)) for x in values)) for g, values in groups.items()}
 
 
 @pytest.mark.parametrize("values, want", [
@@ -47,20 +83,22 @@ def test_sum(ansi, values, want):
 ])
 def test_mean(ansi, values, want):
     got = frame(ansi, values).agg(exact_mean("x").alias("m")).first().m
-    assert got == want or math.isclose(got, want, rel_tol=1e-12)
+    assert got == want
     assert summaries.mean_of(frame(ansi, [4e-7] * 4), "x", "m", scale=10).first().m == 4e-7
 
 
 def test_totals_beyond_a_bigint(ansi):
-    """Sums of parts whose units pass 9.2e18 many times over."""
-    big = 1 << 62
-    row = ansi.range(3).select(F.lit(big).alias("h"), F.lit(0.0).alias("r"))
-    got = row.select(total(Parts(F.col("h"), F.col("h"), F.col("h"), F.col("r")), 2).alias("t")).first().t
-    assert got == ((big << 40) + (big << 20) + big) / 100
-    for value in (float(1 << 58), -float(1 << 58), 123456789012.0, -1.0):
-        p = ansi.createDataFrame([(value,)], "x double").select(*parts("x", 0).columns("p")).first()
-        assert (p.p_high << 40) + (p.p_middle << 20) + p.p_low == int(value) and p.p_rest == 0
-        assert max(abs(p.p_high), p.p_middle, p.p_low) < 1 << 20
+    """Sums of digits whose whole passes 9.2e18 many times over."""
+    for big in (1 << 62, -(1 << 62), (1 << 61) + 12345, 3):
+        row = ansi.range(1).select(F.lit(big).alias("d"), F.lit(0.0).alias("r"), F.lit(1).cast("bigint").alias("odd"))
+        got = row.select(total(Parts((F.col("d"),) * len(WEIGHTS), F.col("r"), F.col("odd")), 2).alias("t")).first().t
+        assert got == float(sum(Fraction(big) * Fraction(2) ** w for w in WEIGHTS))
+    for value in (float(1 << 58), -float(1 << 58), 123456789012.0, -1.0, 0.1, 1e-9, -123.456):
+        for whole in {False, value == int(value)}:
+            p = ansi.createDataFrame([(value,)], "x double").select(*parts("x", 0, whole).columns("p")).first().asDict()
+            digits = [p[f"p_d{i}"] for i in range(3 if whole else len(WEIGHTS))]
+            assert sum(d * Fraction(2) ** w for d, w in zip(digits, WEIGHTS)) == Fraction(value) and p["p_rest"] == 0
+            assert max(map(abs, digits)) <= 1 << 23
 
 
 def test_order_does_not_show(spark):
