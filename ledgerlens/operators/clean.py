@@ -36,7 +36,7 @@ def mean_value(df: DataFrame, name: str, scale: int = C.IMPUTE_SCALE) -> DataFra
     overflow nor depend on the partitioning (``functions.money``).
     """
     units = 0 if isinstance(_data_type(df, name), _INTEGRAL) else MEAN_SCALE
-    mean = df.agg(exact_mean(missing_as_null(df, name), units, whole=units == 0).alias("mean"))
+    mean = df.agg(exact_mean(name, units, whole=units == 0).alias("mean"))
     return mean.select(round_half_even(F.col("mean"), scale).alias("fill_value"))
 
 

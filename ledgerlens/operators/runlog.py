@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
@@ -143,10 +143,13 @@ def step_pivot(log: DataFrame, steps: Sequence[str] | None = None, run: str = "r
     steps = all_steps(log) if steps is None else steps
     if not steps:
         return log.select(run).distinct()
-    cols = [
-        F.coalesce(money_sum(F.when(F.col("step") == F.lit(s), F.col("secs")), scale), F.lit(0.0)).alias(s)
-        for s in steps
-    ]
+    secs = parts("secs", scale)
+
+    def seconds(step: str) -> Column:
+        own = F.col("step") == F.lit(step)
+        return F.coalesce(total(secs.map(lambda part: F.sum(F.when(own, part))), scale), F.lit(0.0))
+
+    cols = [seconds(s).alias(s) for s in steps]
     return log.groupBy(run).agg(*cols)
 
 

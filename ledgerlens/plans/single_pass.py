@@ -42,7 +42,7 @@ def order_stats(
         F.count("order_id").alias("n_orders"),
         *amount.map(F.sum).columns("amount"),
         F.count(rating).alias("n_rated"),
-        *parts(rating, MEAN_SCALE).map(F.sum).columns("rating"),
+        *parts("customer_rating", MEAN_SCALE).map(F.sum).columns("rating"),
         *quantity.map(F.sum).columns("qty"),
         F.count(quantity.rest).alias("n_qty"),
         F.count_if(express).alias("x_rows"),

