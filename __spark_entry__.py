@@ -40,6 +40,7 @@ VISIBLE_SECS = 300.0
 FILL_RATING = 5.0
 HEAD_ROWS = 3
 TOP_ROWS = 3
+TUNED_BYTES = 256 << 10  # the test tables' scans are one partition each: small ones deal them out
 STEPS = tables.EVENT_STEP_ORDER
 SEED = C.GEN_SEED
 
@@ -149,11 +150,11 @@ def q_result_roundtrip_parquet(spark, sf_dir):
 
 
 def q_tuned_category_summary(spark, sf_dir):
-    return tuned_report(_lines(spark, sf_dir), "category_summary", EXPRESS_THRESHOLD)
+    return tuned_report(_lines(spark, sf_dir), "category_summary", EXPRESS_THRESHOLD, partition_bytes=TUNED_BYTES)
 
 
 def q_tuned_express_by_region(spark, sf_dir):
-    return tuned_report(_lines(spark, sf_dir), "express_by_region", EXPRESS_THRESHOLD)
+    return tuned_report(_lines(spark, sf_dir), "express_by_region", EXPRESS_THRESHOLD, partition_bytes=TUNED_BYTES)
 
 
 def q_single_pass_category_summary(spark, sf_dir):
@@ -243,6 +244,10 @@ def q_runlog_stack_offsets(spark, sf_dir):
     return runlog.stack_offsets(_log(spark, sf_dir), pre_aggregated=True)
 
 
+def q_runlog_long_offsets(spark, sf_dir):
+    return runlog.long_offsets(_log(spark, sf_dir), pre_aggregated=True)
+
+
 def q_runlog_visible_steps(spark, sf_dir):
     return runlog.visible_steps(_log(spark, sf_dir), VISIBLE_SECS)
 
@@ -321,6 +326,7 @@ def _order_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "runlog_steps_long": q_runlog_steps_long,
         "runlog_step_pivot": q_runlog_step_pivot,
         "runlog_stack_offsets": q_runlog_stack_offsets,
+        "runlog_long_offsets": q_runlog_long_offsets,
         "runlog_visible_steps": q_runlog_visible_steps,
         "runlog_totals": q_runlog_totals,
         "runlog_speedups": q_runlog_speedups,

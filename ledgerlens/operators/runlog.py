@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import constants as C
-from ledgerlens.functions.money import money_sum, parts, total
+from ledgerlens.functions.money import money_sum, parts, stored_parts, total
 from ledgerlens.functions.ordering import list_position
+from ledgerlens.session import scratch_path
 from ledgerlens.sources.tables import run_meta
 
 
@@ -184,6 +185,44 @@ def stack_offsets(
     return log.withColumn("offset", F.coalesce(earlier, F.lit(0.0)))
 
 
+def long_offsets(
+    log: DataFrame, run: str = "run_id", pos: str = "step_pos", pre_aggregated: bool = False,
+    scale: int = 2, partitions: int | None = None,
+) -> DataFrame:
+    """``stack_offsets`` for runs of any length: prefix sums on two levels.
+
+    The steps are range-partitioned by run and position, so that a run may span many
+    partitions, and written once.  The sums of each (run, partition), one row each, give
+    what every partition of a run starts from; inside a partition a window adds up
+    the rest.  Only the table of sums has all of a run in one task.
+
+    Rows of a null run form a run, as in ``stack_offsets``.  ``partitions`` defaults to
+    the session's shuffle partitions, which AQE merges where they are small.
+    """
+    if not pre_aggregated:
+        log = aggregate_steps(log, run, scale=scale)
+    spark, columns = log.sparkSession, log.columns
+    order = [F.col(run), F.col(pos), F.col("step")]
+    dealt = log.repartitionByRange(partitions, *order) if partitions else log.repartitionByRange(*order)
+    path = scratch_path(spark, "steps")
+    dealt.withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+
+    secs = parts("secs", scale)
+    sums = dealt.groupBy(F.col(run).alias("_run"), "_part").agg(*secs.map(F.sum).columns("sum"))
+    before = Window.partitionBy("_run").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    start = sums.select("_run", "_part", *stored_parts("sum").map(lambda c: F.sum(c).over(before)).columns("start"))
+    joined = dealt.join(start.withColumnRenamed("_part", "_start_part"),
+                        F.col(run).eqNullSafe(F.col("_run")) & (F.col("_part") == F.col("_start_part")))
+    within = Window.partitionBy(run, "_part").orderBy(F.col(pos), F.col("step")).rowsBetween(Window.unboundedPreceding, -1)
+
+    def added(a: Column, b: Column) -> Column:
+        return F.coalesce(a + b, a, b)
+
+    earlier = stored_parts("start").with_parts(secs.map(lambda c: F.sum(c).over(within)), added)
+    return joined.withColumn("offset", F.coalesce(total(earlier, scale), F.lit(0.0))).select(*columns, "offset")
+
+
 def visible_steps(log: DataFrame, min_secs: float = C.STEP_LABEL_MIN_SECS) -> DataFrame:
     """Steps long enough to carry a label: ``secs > min_secs``."""
     return log.filter(F.col("secs") > F.lit(min_secs))

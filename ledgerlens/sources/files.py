@@ -6,13 +6,12 @@ writes a directory of part files in parallel, one or more per task.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens import schemas
-from ledgerlens.session import remove_scratch, scratch_path
+from ledgerlens.sources import record_store
 
 # --- fixed values: text formats ----------------------------------------------
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -108,8 +107,11 @@ def read_run_records(spark: SparkSession, path: str, multi_line: bool = True) ->
     ``multi_line`` reads one pretty-printed object per file, the job's own
     format; a glob such as ``dir/*.json`` unions any number of files.  Use
     ``multi_line=False`` for JSON-lines files such as ``write_run_records``
-    output.  Files under ``experiment_id=...`` folders get the id from the path.
+    output, of which the last committed version is read.  Files under
+    ``experiment_id=...`` folders get the id from the path.
     """
+    if not multi_line and record_store.exists(spark, path):
+        return record_store.read(spark, path)
     records = spark.read.schema(schemas.RUN_RECORD).option("multiLine", multi_line).json(path)
     return records.select(*schemas.RUN_RECORD.names)
 
@@ -150,36 +152,12 @@ def write_run_records(records: DataFrame, path: str, buckets: int = RECORD_BUCKE
     is replaced when its id is written again.
 
     Of several records for one id the latest is kept.  Only the buckets that
-    ``records`` touches are rewritten: their other records are read, merged (a written
-    table, so that nothing is overwritten while it is read) and put back by dynamic
-    partition overwrite.  The folders do not grow with the ids; ``buckets`` must stay
-    the same for a path.  Non-ASCII step names are written as UTF-8.
+    ``records`` touches are rewritten, as new folders, and become visible at once with the
+    commit of the next version (``record_store``): writers at the same time lose
+    nothing, and readers see whole versions.  The folders do not grow with the ids;
+    ``buckets`` must stay the same for a path.  Non-ASCII step names are written as UTF-8.
     """
-    spark = records.sparkSession
-    merged_path = scratch_path(spark, "run-records")
-    bucket = F.pmod(F.xxhash64("experiment_id"), F.lit(buckets)).cast("int")
-    new = _latest(records.select(*schemas.RUN_RECORD.names)).withColumn("bucket", bucket)
-    layout = T.StructType([*schemas.RUN_RECORD.fields, T.StructField("bucket", T.IntegerType())])
-    new.write.parquet(merged_path)
-    new = spark.read.schema(layout).parquet(merged_path)
-    try:
-        old = spark.read.schema(layout).json(path).select(*layout.names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        old = None
-    if old is not None:
-        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-        kept = old.where(F.col("bucket").isin(touched)).join(new.select("experiment_id"), "experiment_id", "left_anti")
-        kept.select(*layout.names).write.mode("append").parquet(merged_path)
-        new = spark.read.schema(layout).parquet(merged_path)
-    (
-        new.repartition("bucket").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .json(path)
-    )
-    remove_scratch(spark, merged_path)
+    record_store.write(_latest(records.select(*schemas.RUN_RECORD.names)), path, buckets)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

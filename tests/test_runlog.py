@@ -239,3 +239,38 @@ def test_pivot_without_steps_lists_runs(spark):
     log = spark.createDataFrame([("r1", "c", "a", 1, 1.0), ("r1", "c", "b", 2, 2.0)],
                                 "run_id string, config string, step string, step_pos int, secs double")
     assert [tuple(r) for r in runlog.step_pivot(log, []).collect()] == [("r1",)]
+
+
+# --- offsets of runs that span partitions -------------------------------------------
+
+def test_long_offsets_equal_the_window(spark):
+    """One run with most of the rows, short runs, a null run, equal positions, missing seconds."""
+    n = 20000
+    log = spark.range(n).select(
+        F.when(F.col("id") % 50 == 0, F.concat(F.lit("r"), (F.col("id") % 7).cast("string")))
+        .when(F.col("id") % 50 == 1, F.lit(None).cast("string")).otherwise("long").alias("run_id"),
+        F.lit("c").alias("config"), F.format_string("s%07d", F.col("id")).alias("step"),
+        (F.pmod(F.xxhash64("id"), F.lit(n // 4))).cast("int").alias("step_pos"),
+        F.when(F.col("id") % 11 != 0, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10**6)) / 1000.0).alias("secs"))
+    for pre_aggregated, rows in ((True, log), (False, log.unionByName(log.where("step_pos % 3 = 0")))):
+        got = runlog.long_offsets(rows, partitions=8, pre_aggregated=pre_aggregated)
+        want = runlog.stack_offsets(rows, pre_aggregated=pre_aggregated)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_long_offsets_hold_no_run_in_one_task(spark):
+    log = spark.range(40000).select(
+        F.lit("one").alias("run_id"), F.lit("c").alias("config"), F.col("id").cast("string").alias("step"),
+        F.col("id").cast("int").alias("step_pos"), (F.col("id") % 100 / 100).alias("secs"))
+    out = runlog.long_offsets(log, partitions=8, pre_aggregated=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_part" in plan.split("Window [")[1]  # the window over steps is per part
+    cents = sum(i % 100 for i in range(39999))
+    assert out.where("step_pos = 39999").first().offset == cents / 100
+    assert out.count() == 40000
+
+
+def test_long_offsets_of_no_rows(spark):
+    log = spark.createDataFrame([], "run_id string, config string, step string, step_pos int, secs double")
+    assert runlog.long_offsets(log).count() == 0

@@ -189,6 +189,10 @@ def queries(express_threshold: float, visible_secs: float, fill_rating: float,
     rl = with_views(RUN_LOG)
     gen = with_views(IDS, generated_orders_view(seed))
     g = gen_columns(seed)
+    offsets = f"""SELECT *, round(CAST(coalesce(sum({present('secs')}) OVER (
+    PARTITION BY run_id ORDER BY step_pos, step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    AS DOUBLE), 2) AS "offset"
+FROM run_log"""
     null_checks, column_checks = [], []
     # (column, Spark SQL type name, floating)
     for i, (c, dtype, floating) in enumerate([
@@ -265,10 +269,8 @@ FROM run_log r LEFT JOIN meta m ON r.config = m.config""",
 WHERE config NOT IN (SELECT config FROM meta)""",
         "runlog_steps_long": rl + STEPS_LONG,
         "runlog_step_pivot": rl + f"SELECT run_id,\n       {pivot_cols}\nFROM run_log GROUP BY run_id",
-        "runlog_stack_offsets": rl + f"""SELECT *, round(CAST(coalesce(sum({present('secs')}) OVER (
-    PARTITION BY run_id ORDER BY step_pos, step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-    AS DOUBLE), 2) AS "offset"
-FROM run_log""",
+        "runlog_stack_offsets": rl + offsets,
+        "runlog_long_offsets": rl + offsets,
         "runlog_visible_steps": rl + f"SELECT * FROM run_log WHERE secs > {visible_secs!r}",
         "runlog_totals": with_views(RUN_LOG, RUN_TOTALS) + "SELECT * FROM run_totals",
         "runlog_speedups": with_views(RUN_LOG, PAIRS) + f""", totals AS (
