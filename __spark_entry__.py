@@ -42,6 +42,7 @@ HEAD_ROWS = 3
 TOP_ROWS = 3
 TUNED_BYTES = 256 << 10  # the test tables' scans are one partition each: small ones deal them out
 STEPS = tables.EVENT_STEP_ORDER
+STEP_WIDTH = 2  # the test log has five steps
 SEED = C.GEN_SEED
 
 
@@ -86,6 +87,13 @@ def q_profile_head(spark, sf_dir):
     return profile.profile_head(tables.read_table(spark, sf_dir, "orders"), HEAD_ROWS, ["o_orderkey"])
 
 
+def q_profile_file_head(spark, sf_dir):
+    orders = tables.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = scratch_path(spark, "orders-in-order")
+    files.write_csv(orders.orderBy("o_orderkey"), path)
+    return profile.file_head(files.read_csv(spark, path, orders.schema), HEAD_ROWS)
+
+
 def q_filter_express(spark, sf_dir):
     return filters.filter_flag(_lines(spark, sf_dir), "is_express")
 
@@ -240,6 +248,12 @@ def q_runlog_step_pivot(spark, sf_dir):
     return runlog.step_pivot(_log(spark, sf_dir))
 
 
+def q_runlog_step_blocks(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    blocks = runlog.step_blocks(log, runlog.step_dictionary(log, STEP_WIDTH), STEP_WIDTH)
+    return blocks.select("run_id", "block", *(F.col("secs")[i].alias(f"slot_{i}") for i in range(STEP_WIDTH)))
+
+
 def q_runlog_stack_offsets(spark, sf_dir):
     return runlog.stack_offsets(_log(spark, sf_dir), pre_aggregated=True)
 
@@ -302,6 +316,7 @@ def _order_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_dtypes": q_profile_dtypes,
         "profile_null_counts": q_profile_null_counts,
         "profile_head": q_profile_head,
+        "profile_file_head": q_profile_file_head,
         # filters and imputation
         "filter_express": q_filter_express,
         "filter_amount_gt": q_filter_amount_gt,
@@ -325,6 +340,7 @@ def _order_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "runlog_unknown_ids": q_runlog_unknown_ids,
         "runlog_steps_long": q_runlog_steps_long,
         "runlog_step_pivot": q_runlog_step_pivot,
+        "runlog_step_blocks": q_runlog_step_blocks,
         "runlog_stack_offsets": q_runlog_stack_offsets,
         "runlog_long_offsets": q_runlog_long_offsets,
         "runlog_visible_steps": q_runlog_visible_steps,

@@ -88,3 +88,17 @@ def profile_head(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> Dat
     ties = [F.col(f"`{f.name}`") for f in df.schema.fields
             if f.name not in named and not isinstance(f.dataType, T.MapType)]
     return df.orderBy(*order_by, *ties).limit(n)
+
+
+def file_head(df: DataFrame, n: int) -> DataFrame:
+    """First ``n`` rows of files in the order they are stored: by file path, then by the
+    split's place in the file, then by the row's place in the split.
+
+    ``df`` is a file scan (or columns and filters over one).  Any split size gives the same
+    rows, and it is a top n per task, not a global sort.
+    """
+    place = {"_file": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start"),
+             "_row": F.monotonically_increasing_id()}
+    # by position: the frame's own columns may have these names
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_kept"), *(c.alias(name) for name, c in place.items()))
+    return rows.orderBy(*place).limit(n).select("_kept.*")

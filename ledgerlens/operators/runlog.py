@@ -124,13 +124,20 @@ def unknown_configs(
 
 # --- step tables ------------------------------------------------------------------
 
+#: Steps that a pivot shows as columns at most.
+PIVOT_STEPS = 1000
+
+
 def all_steps(log: DataFrame) -> list[str]:
     """The distinct step names, by their first position and then by name.
 
     A pivot's columns must be known before the query runs, so the names (one row per
-    step after partial aggregation) pass through the driver.
+    step after partial aggregation) pass through the driver.  More than ``PIVOT_STEPS`` raise
+    ``ValueError``: ``step_blocks`` takes any number.
     """
-    rows = log.where(F.col("step").isNotNull()).groupBy("step").agg(F.min("step_pos").alias("first")).collect()
+    rows = log.where(F.col("step").isNotNull()).groupBy("step").agg(F.min("step_pos").alias("first")).limit(PIVOT_STEPS + 1).collect()
+    if len(rows) > PIVOT_STEPS:
+        raise ValueError(f"more than {PIVOT_STEPS} steps: use step_blocks")
     return [r.step for r in sorted(rows, key=lambda r: (r.first is None, r.first, r.step))]
 
 
@@ -154,6 +161,55 @@ def step_pivot(log: DataFrame, steps: Sequence[str] | None = None, run: str = "r
     return log.groupBy(run).agg(*cols)
 
 
+# --- step tables of any width: blocks of a numbered dictionary -----------------------
+
+BLOCK_WIDTH = 100
+
+
+def step_dictionary(log: DataFrame, width: int = BLOCK_WIDTH, partitions: int | None = None) -> DataFrame:
+    """All steps numbered by their first position and then by name: ``step, place, block, slot``.
+
+    Names never pass through the driver or one task: they are range-partitioned and
+    written, numbered inside each part, and each part starts from the rows of those before.
+    """
+    names = log.where(F.col("step").isNotNull()).groupBy("step").agg(F.min("step_pos").alias("first"))
+    order = [F.col("first").asc_nulls_last(), F.col("step")]
+    dealt = names.repartitionByRange(partitions, *order) if partitions else names.repartitionByRange(*order)
+    path = scratch_path(log.sparkSession, "steps")
+    dealt.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    dealt = log.sparkSession.read.parquet(path)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    start = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy("part").orderBy(*order)
+    place = F.col("start") + F.row_number().over(within) - 1
+    return (dealt.join(start, "part").select("step", place.alias("place"))
+            .select("step", "place", F.expr(f"place div {width}").alias("block"), (F.col("place") % width).cast("int").alias("slot")))
+
+
+def step_blocks(log: DataFrame, dictionary: DataFrame, width: int = BLOCK_WIDTH, run: str = "run_id", scale: int = 2) -> DataFrame:
+    """Sparse run x step matrix for any number of steps: ``run, block, secs``.
+
+    ``secs`` has the seconds of the block's ``width`` slots, 0 for a missing step; a run has rows
+    of those blocks only that hold one of its steps.  Repeated (run, step) rows are summed
+    before the join with ``dictionary`` (``step_dictionary``), so a step of every run meets one
+    row a run.
+    """
+    cells = log.where(F.col("step").isNotNull()).groupBy(run, "step").agg(money_sum("secs", scale).alias("secs"))
+    cells = cells.join(dictionary.select("step", "block", "slot"), "step")
+    held = F.map_from_entries(F.collect_list(F.struct("slot", F.coalesce("secs", F.lit(0.0)))))  # at most ``width``
+    slots = F.sequence(F.lit(0), F.lit(width - 1))
+    return cells.groupBy(run, "block").agg(held.alias("held")).select(
+        run, "block", F.transform(slots, lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0.0))).alias("secs"))
+
+
+def block_table(blocks: DataFrame, dictionary: DataFrame, block: int, run: str = "run_id") -> DataFrame:
+    """One block as a table with a column per step: at most ``width`` names reach the driver."""
+    names = dictionary.where(F.col("block") == block).select("step", "slot").collect()
+    own = blocks.where(F.col("block") == block)
+    return own.select(run, *(F.col("secs")[r.slot].alias(r.step) for r in sorted(names, key=lambda r: r.slot)))
+
+
 def aggregate_steps(log: DataFrame, run: str = "run_id", key: str = "config", scale: int = 2) -> DataFrame:
     """One row per (run, step): sum of repeated rows, earliest position.
 

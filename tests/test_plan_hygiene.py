@@ -19,13 +19,14 @@ from ledgerlens.sources import files, tables
 from .conftest import SF001
 
 QUERIES = E._order_queries()
-LIMITED = {"top_categories", "profile_head"}
+LIMITED = {"top_categories", "profile_head", "profile_file_head"}
 #: Their result is a scan of what an earlier job wrote; the frames below stand for that job.
 MATERIALIZED = {"single_pass_category_summary", "single_pass_express_by_region"}
 #: Their rows are dealt once into a cache, on purpose: tests/test_plans.py looks at these plans.
 TUNED = {"tuned_category_summary", "tuned_express_by_region"}
-#: Steps are dealt by range of run and position, and joined with one row per run and part.
-RANGED = {"runlog_long_offsets"}
+#: Steps or names are dealt by range, and joined with one row per part; the dictionary of
+#: names meets one row per run and step.
+RANGED = {"runlog_long_offsets", "runlog_step_blocks"}
 
 
 def _frames(spark):

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from ledgerlens.operators import profile
@@ -49,3 +51,28 @@ def test_profile_columns_types_and_counts(spark):
 def test_head_breaks_ties_deterministically(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (0, "z")], "k int, v string")
     assert [tuple(r) for r in profile.profile_head(df, 2, ["k"]).collect()] == [(0, "z"), (1, "a")]
+
+
+@pytest.mark.parametrize("split", ["64", "1000", "128m"])
+def test_file_head_is_the_first_lines_for_any_split(spark, tmp_dir, split):
+    """Lines in no order of their values, over several files and many splits."""
+    lines = [f"{(i * 7919) % 1000},{'x' * (i % 40)},{i}" for i in range(600)]
+    os.makedirs(tmp_dir + "/csv")
+    for f in range(3):
+        with open(f"{tmp_dir}/csv/part-{f}.csv", "w") as out:
+            out.write("\n".join(["k,v,_row", *lines[f * 200:(f + 1) * 200]]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        df = spark.read.option("header", True).csv(tmp_dir + "/csv")
+        for n in (1, 5, 250):
+            head = profile.file_head(df, n)
+            assert [",".join(x or "" for x in r) for r in head.collect()] == lines[:n]
+        assert head.columns == ["k", "v", "_row"]
+        assert "TakeOrderedAndProject" in head._jdf.queryExecution().executedPlan().toString()
+        assert profile.file_head(df.where("k = 'none'"), 3).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)

@@ -274,3 +274,47 @@ def test_long_offsets_hold_no_run_in_one_task(spark):
 def test_long_offsets_of_no_rows(spark):
     log = spark.createDataFrame([], "run_id string, config string, step string, step_pos int, secs double")
     assert runlog.long_offsets(log).count() == 0
+
+
+# --- pivot over many step names ----------------------------------------------------
+
+def test_step_blocks_equal_the_pivot(spark):
+    rows = [(f"r{r}", "c", f"s{s:02d}", s % 5, (r * 31 + s * 7) / 100) for r in range(6) for s in range(23) if (r * s) % 4 != 1]
+    rows += [("r0", "c", "s01", 1, 0.5), ("r0", "c", None, 1, 9.0), ("r1", "c", "s02", None, None), (None, "c", "s03", 2, 1.0)]
+    log = spark.createDataFrame(rows, "run_id string, config string, step string, step_pos int, secs double")
+    dictionary = runlog.step_dictionary(log, 4, partitions=3)
+    names = [r.step for r in dictionary.orderBy("place").collect()]
+    assert names == runlog.all_steps(log)
+    assert all(r.block == r.place // 4 and r.slot == r.place % 4 for r in dictionary.collect())
+    blocks = runlog.step_blocks(log, dictionary, 4)
+    pivot = {r.run_id: r.asDict() for r in runlog.step_pivot(log.where("step IS NOT NULL")).collect()}
+    got = {}
+    for b in range(6):
+        table = runlog.block_table(blocks, dictionary, b)
+        assert table.columns == ["run_id", *names[b * 4:b * 4 + 4]]
+        for r in table.collect():
+            got.setdefault(r.run_id, {}).update(r.asDict())
+    assert {run: {s: cells.get(s, 0.0) for s in names} for run, cells in got.items()} == {
+        run: {s: cells[s] for s in names} for run, cells in pivot.items()}
+
+
+def test_a_hundred_thousand_step_names(spark):
+    n, width = 100_000, 500
+    log = spark.range(2 * n).select(
+        F.when(F.col("id") < n, "long").otherwise(F.concat(F.lit("r"), (F.col("id") % 50).cast("string"))).alias("run_id"),
+        F.lit("c").alias("config"), F.format_string("s%06d", F.col("id") % n).alias("step"),
+        (F.col("id") % n).cast("int").alias("step_pos"), F.lit(0.25).alias("secs"))
+    with pytest.raises(ValueError, match="step_blocks"):
+        runlog.all_steps(log)
+    dictionary = runlog.step_dictionary(log, width)
+    blocks = runlog.step_blocks(log, dictionary, width)
+    sizes = blocks.agg(F.count(F.lit(1)), F.max(F.size("secs")), F.sum(F.aggregate("secs", F.lit(0.0), lambda a, b: a + b))).first()
+    assert tuple(sizes) == (n // width * 51, width, 2 * n * 0.25)
+    first = runlog.block_table(blocks, dictionary, 199)
+    assert first.columns[1:] == [f"s{i:06d}" for i in range(199 * width, n)]
+    assert first.where("run_id = 'long'").first()["s099999"] == 0.25
+
+
+def test_step_blocks_of_no_rows(spark):
+    log = spark.createDataFrame([], "run_id string, config string, step string, step_pos int, secs double")
+    assert runlog.step_blocks(log, runlog.step_dictionary(log)).count() == 0

@@ -269,6 +269,12 @@ FROM run_log r LEFT JOIN meta m ON r.config = m.config""",
 WHERE config NOT IN (SELECT config FROM meta)""",
         "runlog_steps_long": rl + STEPS_LONG,
         "runlog_step_pivot": rl + f"SELECT run_id,\n       {pivot_cols}\nFROM run_log GROUP BY run_id",
+        "profile_file_head": f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT {head_rows}",
+        "runlog_step_blocks": rl + """, names AS (
+  SELECT step, row_number() OVER (ORDER BY min(step_pos), step) - 1 AS place FROM run_log GROUP BY step)
+SELECT run_id, place // 2 AS block, coalesce(sum(CASE WHEN place % 2 = 0 THEN secs END), 0) AS slot_0,
+       coalesce(sum(CASE WHEN place % 2 = 1 THEN secs END), 0) AS slot_1
+FROM run_log JOIN names USING (step) GROUP BY run_id, place // 2""",
         "runlog_stack_offsets": rl + offsets,
         "runlog_long_offsets": rl + offsets,
         "runlog_visible_steps": rl + f"SELECT * FROM run_log WHERE secs > {visible_secs!r}",
