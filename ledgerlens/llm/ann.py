@@ -59,9 +59,15 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """All inner products, each added up in one fixed order: rows of equal numbers get equal
+    products wherever they lie (a matrix product's rounding depends on the place)."""
+    return np.einsum("ij,kj->ik", np.ascontiguousarray(x), np.ascontiguousarray(y), optimize=False)
+
+
 def prefixes(x: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
     """The nearest pivots of each unit vector, nearest first."""
-    near = -(x @ pivots.T)
+    near = -products(x, pivots)
     top = np.argpartition(near, length - 1, axis=1)[:, :length] if length < len(pivots) else np.broadcast_to(np.arange(len(pivots)), near.shape)
     order = np.take_along_axis(near, top, axis=1).argsort(axis=1, kind="stable")
     return np.take_along_axis(top, order, axis=1)
@@ -101,7 +107,7 @@ def _search_batches(pivots: np.ndarray, length: int, query_ids: np.ndarray, quer
                     saving = files.saving(query_prefix[q])
                     near = np.flatnonzero(saving >= np.partition(saving, len(ids) - keep)[len(ids) - keep])
                     near = near[ids[near] != query_ids[q]]
-                    score = x[near] @ queries[q]
+                    score = products(x[near], queries[q:q + 1])[:, 0]
                     best = np.lexsort((ids[near], -score))[:k]
                     out.append((np.full(len(best), query_ids[q]), ids[near][best], score[best]))
                 yield pa.RecordBatch.from_arrays(
