@@ -143,15 +143,23 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Classifier:
     n = known.count()
     chosen = F.broadcast(known.where(hash_fraction("doc_id", 2) < min(1.0, LABELLED / max(1, n))))  # about LABELLED short rows
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .where(F.length("text") <= TRAIN_CHARS).join(chosen, "doc_id").collect()) if n else []
+            .where(F.length("text") <= TRAIN_CHARS).join(chosen, "doc_id")
+            .groupBy("doc_id", "domain").agg(F.min("text").alias("text")).collect()) if n else []  # one text an id
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return train([r.text for r in rows], [r.domain for r in rows], domains)
 
 
+def _fraction(h: Column) -> Column:
+    return F.pmod(h, F.lit(1 << 30)) / float(1 << 30)
+
+
 def posteriors(docs: DataFrame, model: Classifier, carry: list[str]) -> DataFrame:
     """The columns ``carry`` of ``docs`` with tokens and posterior beside them."""
-    carried = [c for c in carry if c not in ("tokens", "posterior", "rate", "copies", "_text")]
-    rows = docs.select(*carried, F.col("text").cast("string").alias("_text"))
+    carried = [c for c in carry if c not in ("tokens", "posterior", "rate", "copies", "_text", "_draw")]
+    text = F.col("text").cast("string")
+    draw = F.when(F.col("doc_id").isNull(), _fraction(F.xxhash64(text, F.lit(22)))).otherwise(hash_fraction("doc_id", 22))
+    rows = docs.select(*carried, draw.alias("_draw"), text.alias("_text"))
+    carried = [*carried, "_draw"]
     out = T.StructType([f for f in rows.schema if f.name in carried]
                        + [T.StructField("tokens", T.LongType()), T.StructField("posterior", T.ArrayType(T.DoubleType()))])
     return rows.mapInArrow(_posterior_batches(model, carried), out)
@@ -204,7 +212,9 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], total:
     ``weights`` gives each domain's share of the tokens.  The totals are these
     shares of ``total`` (all tokens by default), or of the number that keeps the
     expected tokens of domain ``anchor`` as they are.  ``copies`` rounds the rate
-    at random by a hash of doc_id, so that its expectation is the rate.
+    at random by a hash of doc_id, or of the text where that is null, so that its
+    expectation is the rate; rows of one id share their draw.  An id that labels
+    several texts gives the classifier the smallest.
     """
     domains = sorted(weights)
     members = stored(posteriors(docs, fit(docs, labelled, domains), carry or ["doc_id"]), "posteriors")
@@ -216,5 +226,5 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], total:
     steps = fit_rates(members, list(share * total), max_rate)
     rated = members.withColumn("rate", rate_of(steps, len(domains), max_rate))
     whole = F.floor("rate")
-    extra = F.when(F.coalesce(hash_fraction("doc_id", 22), F.lit(0.5)) < F.col("rate") - whole, 1).otherwise(0)
-    return rated.withColumn("copies", (whole + extra).cast("long"))
+    extra = F.when(F.col("_draw") < F.col("rate") - whole, 1).otherwise(0)
+    return rated.withColumn("copies", (whole + extra).cast("long")).drop("_draw")
