@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -72,6 +73,8 @@ BOILERPLATE_NAMES = frozenset(
     "notification pager pagination popup promo promoted promotion recommended related replies reply search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split())
 MAIN_TAGS = frozenset(("article", "main"))
+#: Levels of the tree; deeper elements lie side by side on the last.
+DEEPEST = 150
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""\"[^\"]*\"|'[^']*'|([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
@@ -106,9 +109,11 @@ def _label(tag: str, attributes: str) -> str:
 
 
 def parse(html: str) -> Node:
-    """The tree of block elements with their own texts, in page order."""
+    """The tree of block elements with their own texts, in page order.  Elements nested
+    deeper than ``DEEPEST`` become children of the last one that is not; no text is lost."""
     root = Node("root")
     stack, inline = [root], []
+    opened: Counter = Counter()  # open elements by tag
     buffer: list[str] = []
     links = order = at = 0
 
@@ -130,6 +135,7 @@ def parse(html: str) -> Node:
 
     def close_to(depth: int) -> None:
         flush()
+        opened.subtract(node.label.split(".", 1)[0] for node in stack[depth:])
         del stack[depth:]
         inline.clear()
 
@@ -157,7 +163,7 @@ def parse(html: str) -> Node:
             else:
                 inline.append(tag)
         elif m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[depth].label.split(".", 1)[0] == tag:
                     close_to(depth)
                     break
@@ -182,8 +188,9 @@ def parse(html: str) -> Node:
             flush()
             if tag not in VOID:
                 node = Node(_label(tag, m[3]))
-                stack[-1].children.append(node)
+                stack[min(len(stack), DEEPEST) - 1].children.append(node)
                 stack.append(node)
+                opened[tag] += 1
     flush()
     return root
 
