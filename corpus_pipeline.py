@@ -25,27 +25,35 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the smallest doc_id."""
+    """One document of each group of near copies stays: the smallest doc_id.  Of rows that
+    repeat an id the least stays, by its text and then its other columns."""
     kept = near_dup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    rank = F.struct("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
+    named = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(rank).alias("least"))
+    return named.select("doc_id", "least.*").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data give way to their kinds; n_chars follows."""
+    """Personal data give way to their kinds; n_chars follows.  Null texts and ids stay as
+    they are; every row is masked by itself."""
     masked = pii.masked(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay at their fitted rates."""
+    """Documents stay at their fitted rates: by a draw from the id, or from the text of a row
+    without one.  Columns that are named as the operator's own are kept aside."""
     labels = queries.labelled_domains(table(spark, sf_dir, "labels"))
-    rated = mixing.mix(docs, labels, MIX_WEIGHTS, anchor="clean", max_rate=1.0, carry=docs.columns)
-    return rated.where("copies > 0").select(docs.columns)
+    aside = {c: f"_kept_{c}" for c in docs.columns if c in ("tokens", "posterior", "rate", "copies", "_text", "_draw")}
+    rows = docs.withColumnsRenamed(aside)
+    rated = mixing.mix(rows, labels, MIX_WEIGHTS, anchor="clean", max_rate=1.0, carry=rows.columns)
+    kept = rated.where("copies > 0").select(rows.columns)
+    return kept.withColumnsRenamed({new: old for old, new in aside.items()})
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 4096 ids along the space-filling curve."""
+    """Sequences of 4096 ids along the space-filling curve.  A null text is empty; rows that
+    repeat an id are documents of their own."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
