@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlens.llm import ann, html_text, mixing
+from ledgerlens.llm import ann, html_text, mixing, toxicity
 
 
 @pytest.mark.parametrize("levels", [300, 100_000])
@@ -71,3 +71,14 @@ def test_mixing_keeps_columns_of_its_own_names(spark, tmp_path):
     assert out.schema == docs.schema
     got = out.collect()
     assert got and all(r.tokens == 777 and r.rate == "kept" for r in got)
+
+
+def test_toxicity_finds_held_out_toxic_texts(spark):
+    """Recall and false positives on labels that were never trained on."""
+    path = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")
+    marked = toxicity.toxicity(docs, labels).where("held_out").join(labels.select("doc_id", "toxic"), "doc_id")
+    counts = {(r.toxic, r.predicted): r["count"] for r in marked.groupBy("toxic", "predicted").count().collect()}
+    hit, missed, wrong, right = (counts.get(k, 0) for k in ((1, 1), (1, 0), (0, 1), (0, 0)))
+    assert hit + missed > 30
+    assert hit >= 0.75 * (hit + missed) and wrong <= 0.05 * (wrong + right)
