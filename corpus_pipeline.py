@@ -28,9 +28,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the smallest doc_id.  Of rows that
     repeat an id the least stays, by its text and then its other columns."""
     kept = near_dup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi")
+    # texts are compared for the ids that need it only, which are few or none
+    many = stored(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     rank = F.struct("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
-    named = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(rank).alias("least"))
-    return named.select("doc_id", "least.*").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    least = named.join(many, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(rank).alias("least"))
+    least = least.select("doc_id", "least.*").select(docs.columns)
+    return named.join(many, "doc_id", "left_anti").unionByName(least).unionByName(docs.where("doc_id IS NULL"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
