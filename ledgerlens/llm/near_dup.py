@@ -42,6 +42,8 @@ from ledgerlens.llm import textkit as tk
 from ledgerlens.llm.common import stored
 
 PERMUTATIONS = 64
+#: Bytes of text that a task turns into shingles at once (a longer text by itself).
+READ_BYTES = 1 << 18
 PER_BAND = 2
 BANDS = PERMUTATIONS // PER_BAND
 BLOCK = 1024
@@ -71,7 +73,7 @@ def band_keys(low: np.ndarray, high: np.ndarray) -> np.ndarray:
 def _sets(texts, k: int) -> Iterator[np.ndarray]:
     """The sorted shingle fingerprints of every text."""
     data, offsets = tk.buffers(texts)
-    for i, j in tk.chunks(offsets):
+    for i, j in tk.chunks(offsets, READ_BYTES):
         part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         starts, ends, first = tk.words(part, at)
         h = tk.hashes(part, starts, ends, fold=True)
