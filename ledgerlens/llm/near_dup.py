@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textkit as tk
-from ledgerlens.llm.common import stored
+from ledgerlens.llm.common import lean, stored
 
 PERMUTATIONS = 64
 #: Bytes of text that a task turns into shingles at once (a longer text by itself).
@@ -102,7 +102,7 @@ def _fingerprint_batches(k: int):
 
 def fingerprints(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _fingerprint_batches(k), "doc_id long, n_shingles long, print binary, bands array<bigint>")
+        lean(_fingerprint_batches(k)), "doc_id long, n_shingles long, print binary, bands array<bigint>")
 
 
 def _confirm_batches(k: int, percent: int):
@@ -122,7 +122,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-            .mapInArrow(_confirm_batches(k, percent), "a long, b long"))
+            .mapInArrow(lean(_confirm_batches(k, percent)), "a long, b long"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -219,7 +219,7 @@ def cross_component_pairs(open_bands: DataFrame, texts: DataFrame, k: int, perce
     and only pairs that pass the samples leave it."""
     nodes = open_bands.select(F.col("node").alias("doc_id")).distinct()
     sketches = texts.join(nodes, "doc_id", "left_semi").mapInArrow(
-        _sketch_batches(k), "node long, size long, keys binary, sketch binary, lowest binary")
+        lean(_sketch_batches(k)), "node long, size long, keys binary, sketch binary, lowest binary")
     sketches = stored(sketches.dropDuplicates(["node", "size", "keys", "lowest"]), "sketches")
     rows = open_bands.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textkit as tk
-from ledgerlens.llm.common import hash_fraction
+from ledgerlens.llm.common import hash_fraction, lean
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = KINDS + ("other",)
@@ -248,9 +248,9 @@ def field_spans(text: str, base: list[tuple[int, str, int]], model: Model) -> li
 
 
 def _candidates(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    evidence = (data == 64) | ((data >= 48) & (data <= 57))
-    total = np.concatenate([[0], np.cumsum(evidence)])
-    return total[offsets[1:]] > total[offsets[:-1]]
+    at = np.flatnonzero((data == 64) | ((data >= 48) & (data <= 57)))
+    before = np.searchsorted(at, offsets)
+    return before[1:] > before[:-1]
 
 
 def _scan_batches(model: Model):
@@ -262,14 +262,16 @@ def _scan_batches(model: Model):
             counts = np.zeros((len(KINDS), n), np.int64)
             digests, spans, added = [nothing] * n, [""] * n, [0] * n
             data, offsets = tk.buffers(texts)
-            for r in np.flatnonzero(_candidates(data, offsets)).tolist():
-                text = texts[r].as_py()
-                base = base_spans(text)
-                more = field_spans(text, base, model)
-                for x, kind in enumerate(KINDS):
-                    counts[x, r] = sum(s[1] == kind for s in base)
-                digests[r] = hashlib.sha256(joined(base).encode()).hexdigest()
-                spans[r], added[r] = joined(base + more), len(more)
+            for i, j in tk.chunks(offsets):
+                hit = _candidates(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                for r in (np.flatnonzero(hit) + i).tolist():
+                    text = texts[r].as_py()
+                    base = base_spans(text)
+                    more = field_spans(text, base, model)
+                    for x, kind in enumerate(KINDS):
+                        counts[x, r] = sum(s[1] == kind for s in base)
+                    digests[r] = hashlib.sha256(joined(base).encode()).hexdigest()
+                    spans[r], added[r] = joined(base + more), len(more)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *map(pa.array, counts), pa.array(digests, pa.string()),
                  pa.array(spans, pa.string()), pa.array(added, pa.int64())],
@@ -316,14 +318,15 @@ def masked(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at)
-            data, offsets = tk.buffers(texts)
-            hit = np.flatnonzero(_candidates(data, offsets)).tolist()
-            if hit:
-                new = texts.to_pylist()
-                for r in hit:
-                    new[r] = mask(new[r], model)
-                batch = batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
-            yield batch
-
-    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run, schema)
+            data, offsets = tk.buffers(batch.column(at))
+            for i, j in tk.chunks(offsets):
+                part = batch.slice(i, j - i)
+                hit = np.flatnonzero(_candidates(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])).tolist()
+                if hit:
+                    new = part.column(at).to_pylist()
+                    for r in hit:
+                        new[r] = mask(new[r], model)
+                    part = part.set_column(at, part.schema.field(at), pa.array(new, part.schema.field(at).type))
+                yield part
+
+    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(lean(run), schema)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textkit as tk
-from ledgerlens.llm.common import hash_fraction
+from ledgerlens.llm.common import hash_fraction, lean
 
 WINDOW = 32
 STRIDE = 24
@@ -388,7 +388,7 @@ def clean(docs: DataFrame, model: Model) -> DataFrame:
             scores = [_score_chunk(model, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in tk.chunks(offsets, CHUNK)]
             yield batch.filter(pa.array(np.concatenate([np.zeros(0), *scores]) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:
