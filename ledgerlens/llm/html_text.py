@@ -21,7 +21,12 @@ node, so a tree's *skeleton* has few nodes whatever the page's length.
 
 Class words say less than elements do.  They reject no html, body or main element,
 and where a page would have no article or main element left, they do not reject what
-holds one.
+holds one.  Inside an article only whole names reject ("share", "share-buttons", but not
+"share-prices"); other compounds are a hint, which the wrapper has to confirm by a slot
+that is mostly links.  Links elsewhere in an article are content.
+
+Pages of one skeleton that agree in all their content are copies of one page and count
+once where a node's constancy is judged.
 
 Every page, of any skeleton, shapes its host's wrapper and is aligned with it.  A node
 that stays unaligned takes its role from its names and those of its ancestors.
@@ -76,6 +81,11 @@ MAIN_TAGS = frozenset(("article", "main"))
 #: Levels of the tree; deeper elements lie side by side on the last.
 DEEPEST = 150
 
+#: What a compound name may add to a boilerplate word and still be a whole name.
+CONTAINER_WORDS = frozenset(
+    "area bar block bottom box button buttons column container content count group holder icon icons inner item items left "
+    "link links list outer panel post posts right row section slot title top unit wrap wrapper".split())
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""\"[^\"]*\"|'[^']*'|([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 _NAME = re.compile(r"[a-z]+")
@@ -89,13 +99,16 @@ class Node:
 
 
 def _names(value: str) -> set[str]:
-    """The words of class names, ids or roles; "hidden" only as a whole name."""
+    """The words of class names, ids or roles; "hidden" only as a whole name.  A boilerplate
+    word that is one part of a compound is marked by "~"."""
     names = set()
     for token in value.lower().strip("\"'").split():
         words = _NAME.findall(token)
         if len(words) > 1 and words[0] in STATE_WORDS:
             continue
-        names.update(w for w in words if w != "hidden" or token in ("hidden", "visually-hidden"))
+        part = not (BOILERPLATE_NAMES | CONTAINER_WORDS).issuperset(words)
+        names.update(f"~{w}" if part and w in BOILERPLATE_NAMES else w
+                     for w in words if w != "hidden" or token in ("hidden", "visually-hidden"))
     return names
 
 
@@ -279,7 +292,7 @@ def match(a: Shape, b: Shape, memo: dict) -> tuple[int, list[tuple[int, int]]]:
 
 
 def _add_stats(into: dict, more: dict) -> None:
-    for k in ("pages", "chars", "links"):
+    for k in ("pages", "chars", "links", "votes"):
         into[k] = into.get(k, 0) + more.get(k, 0)
     into["low"] = min(into.get("low", more["low"]), more["low"]) if "low" in more else into.get("low", "~")
     into["high"] = max(into.get("high", more["high"]), more["high"]) if "high" in more else into.get("high", "")
@@ -308,42 +321,47 @@ def _rejected(label: str, inside_main: bool) -> str:
         return "element"  # a header inside the article holds its headline
     if tag in NEVER_BY_NAME:
         return ""
-    words = BOILERPLATE_NAMES - {"header", "masthead"} if inside_main else BOILERPLATE_NAMES
-    return "name" if tag == "form" or "hidden" in names or words & set(names) else ""
+    if inside_main:
+        words = (BOILERPLATE_NAMES - {"header", "masthead"}).intersection(names)
+    else:
+        words = BOILERPLATE_NAMES.intersection(n.removeprefix("~") for n in names)
+    return "name" if tag == "form" or "hidden" in names or words else ""
 
 
 def _main(label: str) -> bool:
     tag, *names = label.split(".")
-    return (tag in MAIN_TAGS or "main" in names) and not _rejected(label, True)
+    return (tag in MAIN_TAGS or "main" in names) and not _rejected(label.replace("~", ""), True)
 
 
 def _holds_main(node: Shape) -> bool:
     return any(_rejected(c.label, False) != "element" and (_main(c.label) or _holds_main(c)) for c in node.children)
 
 
-def name_roles(root: Shape) -> tuple[list[tuple[bool, bool]], bool]:
-    """For each node in preorder, as names tell: whether it may be content, and
-    whether it lies in an article or main element; and whether only such nodes are
-    content.  An article reached through a layout word does not shut out the rest."""
+def name_roles(root: Shape) -> tuple[list[tuple[bool, bool, bool]], bool]:
+    """For each node in preorder, as names tell: whether it may be content, whether
+    it lies in an article or main element, and whether a compound name in there hints at
+    boilerplate; and whether only nodes in such elements are content.  An article reached
+    through a layout word does not shut out the rest."""
     passed: set[int] = set()
 
-    def walk(node: Shape, allowed: bool, inside: bool, through: bool) -> None:
+    def walk(node: Shape, allowed: bool, inside: bool, through: bool, hinted: bool) -> None:
         if allowed:
             how = _rejected(node.label, inside)
             through = through or id(node) in passed
             if how == "name" and not inside and id(node) not in passed:
                 stopped.append(node)
             allowed = not how or (how == "name" and id(node) in passed)
+        hinted = hinted or (inside and "~" in node.label)
         inside = inside or (allowed and _main(node.label))
-        roles.append((allowed and (inside or not through), inside))
+        roles.append((allowed and (inside or not through), inside, hinted))
         for child in node.children:
-            walk(child, allowed, inside, through)
+            walk(child, allowed, inside, through, hinted)
 
     while True:
-        roles: list[tuple[bool, bool]] = []
+        roles: list[tuple[bool, bool, bool]] = []
         stopped: list[Shape] = []
-        walk(root, True, False, False)
-        found = any(inside for _, inside in roles)
+        walk(root, True, False, False, False)
+        found = any(inside for _, inside, _ in roles)
         layout = {id(node) for node in stopped if _holds_main(node)}
         if found or not layout:
             return roles, found and not passed
@@ -353,12 +371,12 @@ def name_roles(root: Shape) -> tuple[list[tuple[bool, bool]], bool]:
 def classify(wrapper: Shape) -> None:
     """Marks the wrapper nodes whose own text is template."""
     nodes = list(zip(shapes(wrapper), name_roles(wrapper)[0]))
-    varied = {role for node, role in nodes if node.stats.get("low") != node.stats.get("high")}
-    for node, role in nodes:
+    varied = {role[:2] for node, role in nodes if node.stats.get("low") != node.stats.get("high")}
+    for node, (allowed, inside, hinted) in nodes:
         s = node.stats
-        constant = s.get("pages", 0) >= CONSTANT_PAGES and s.get("chars", 0) > 0 and s.get("low") == s.get("high")
+        constant = s.get("votes", 0) >= CONSTANT_PAGES and s.get("chars", 0) > 0 and s.get("low") == s.get("high")
         linked = s.get("links", 0) > LINK_SHARE * max(1, s.get("chars", 0))
-        node.template = linked or (constant and role in varied)
+        node.template = (linked and (hinted or not inside)) or (constant and (allowed, inside) in varied)
 
 
 def fold(trees: list[Shape]) -> Shape:
@@ -371,8 +389,9 @@ def fold(trees: list[Shape]) -> Shape:
 
 def with_stats(skeleton: str, stats: list[dict]) -> Shape:
     page = shape_of(skeleton)
+    varies = any(s["low"] != s["high"] for s, role in zip(stats, name_roles(page)[0]) if role[0])
     for node, s in zip(shapes(page), stats):
-        node.stats = dict(s)
+        node.stats = dict(s, votes=s["pages"] if varies else 1)
     return page
 
 
@@ -384,17 +403,18 @@ def induce(skeletons: list[tuple[str, list[dict]]]) -> Shape:
 
 
 STATS = ("pages", "chars", "links", "low", "high")
+KEPT = (*STATS, "votes")
 
 
 def tree_to_json(tree: Shape) -> str:
     def plain(s: Shape) -> list:
-        return [s.label, [s.stats[k] for k in STATS], [plain(c) for c in s.children]]
+        return [s.label, [s.stats[k] for k in KEPT], [plain(c) for c in s.children]]
     return json.dumps(plain(tree), separators=(",", ":"))
 
 
 def tree_from_json(text: str) -> Shape:
     def built(x: list) -> Shape:
-        return Shape(x[0], [built(c) for c in x[2]], stats=dict(zip(STATS, x[1])))
+        return Shape(x[0], [built(c) for c in x[2]], stats=dict(zip(KEPT, x[1])))
     return built(json.loads(text))
 
 
@@ -424,7 +444,7 @@ def content_nodes(skeleton: str, wrapper_json: str) -> tuple[bool, ...]:
     if wrapper.label == page.label:
         align(wrapper, page)
     roles, regions = name_roles(page)
-    return tuple(allowed and (inside or not regions) and not node.template for node, (allowed, inside) in zip(shapes(page), roles))
+    return tuple(allowed and (inside or not regions) and not node.template for node, (allowed, inside, _) in zip(shapes(page), roles))
 
 
 def page_text(html: str, wrapper_json: str) -> str:
