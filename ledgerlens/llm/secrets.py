@@ -5,8 +5,10 @@ candidates are decoded and reported only if their structure holds:
 
 * ``jwt``: dotted base64url parts whose header is a JSON object with ``alg``;
 * ``pem``: an armoured block whose label names a private key and whose body
-  decodes to a key encoding;
-* ``key``: a bare base64 or hex run that decodes to a key encoding, i.e. DER
+  decodes to a key encoding, or, under ``Proc-Type: 4,ENCRYPTED``, to whole blocks of the
+  cipher whose initial vector ``DEK-Info`` gives; line ends may be escaped;
+* ``key``: a bare base64, base64url or hex run, on one line or wrapped over several (line
+  ends may be escaped, hex bytes parted by colons), that decodes to a key encoding, i.e. DER
   whose nested lengths close exactly and whose fields are those of a private key
   (PKCS#1, PKCS#8, SEC 1), or an ``openssh-key-v1`` container whose length-prefixed
   fields end where the data end.
@@ -22,6 +24,7 @@ import base64
 import binascii
 import hashlib
 import json
+import math
 import re
 from collections.abc import Iterator
 
@@ -39,12 +42,24 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+){2,4}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----(?:\s|\\[nr])*+((?:[A-Za-z-]++: [^\n\\]*+(?:\s|\\[nr])++)*+)"
+                  r"((?:[A-Za-z0-9+/=\s]++|\\[nr])++)-----END \1-----")
+_ENCRYPTED = re.compile(r"Proc-Type: 4,ENCRYPTED\b")
+_VECTOR = re.compile(r"DEK-Info: [A-Z0-9-]+,((?:[0-9A-Fa-f]{16}){1,2})(?![0-9A-Fa-f])")
 _BASE64_RUN = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
 _HEX_RUN = re.compile(r"[0-9A-Fa-f]{64,}")
+# heads of keys: an ASN.1 sequence (0x30) or the name of the container, and what may follow on other lines
+_HEAD64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n))(?:M[A-Za-z0-9+/_-]{15}|b3BlbnNzaC1rZXktdjEA)")
+_HEAD16 = re.compile(r"(?:(?<![0-9A-Fa-f:])|(?<=\\n))(?:30(?::?[0-9A-Fa-f]{2}){11}|6[Ff]:?70:?65:?6[Ee]:?73:?73:?68)")
+_LINE64, _LINE16 = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"(?:[0-9A-Fa-f]{2})+")
+_BREAK64 = re.compile(r"[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t]*")
+_BREAK16 = re.compile(r":?[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t]*|:")
+_PADDING, _FOLLOWS = re.compile(r"={0,2}"), re.compile(r"[A-Za-z0-9+/]")
+_JWT_HEAD = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]{8}")
 # the words of the base pattern; a hint leaves the byte that the next one may begin with
 _ASSIGN_HINT = re.compile(rb"password|passwd|secre(?=t)|token|api_?key")
-_OTHER_HINT = re.compile(rb"AKI(?=A)|-----BEGIN |eyJ")
+_OTHER_HINT = re.compile(rb"AKI(?=A)|-----BEGIN |eyJ|e[wy](?=[A-Za-z0-9_-]{8})|M(?=[A-Za-z0-9+/_-]{15})|b3BlbnNzaC1rZXk|"
+                         rb"30:?8(?=[1-4])|6[Ff]:?70:?65(?=:?6[Ee])")
 
 _HEX_BYTE = np.zeros(256, bool)
 _HEX_BYTE[list(b"0123456789abcdef")] = True
@@ -100,11 +115,11 @@ def is_der_key(data: bytes) -> bool:
     return len(tags) in (6, 9) and all(t == 0x02 for t in tags)  # DSA, PKCS#1
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """An ``openssh-key-v1`` container whose length-prefixed fields close exactly."""
+def _openssh_end(data: bytes) -> int:
+    """Where the length-prefixed fields of an ``openssh-key-v1`` container end; 0 if it is none."""
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
-        return False
+        return 0
     at, read = len(magic), 0
 
     def field() -> bool:
@@ -115,14 +130,32 @@ def is_openssh_key(data: bytes) -> bool:
         return at <= len(data)
 
     if not (field() and field() and field()) or at + 4 > len(data):
-        return False
+        return 0
     keys = int.from_bytes(data[at:at + 4], "big")
     at += 4
     while read < keys + 1:  # the public keys and the private section
         if not field():
-            return False
+            return 0
         read += 1
-    return keys >= 1 and at == len(data)
+    return at if keys >= 1 else 0
+
+
+def is_openssh_key(data: bytes) -> bool:
+    """A container whose fields close exactly where the data end."""
+    return 0 < _openssh_end(data) == len(data)
+
+
+def _der_size(head: bytes) -> int:
+    """The length that the head of a key states; 0 if it does not begin as a key does: a
+    sequence whose first field is a version number or, for encrypted keys, a sequence."""
+    if head[0] != 0x30:
+        return 0
+    size, at = head[1], 2
+    if size & 0x80:
+        at += size & 0x7F
+        size = int.from_bytes(head[2:at], "big")
+    first = head[at:at + 2]
+    return at + size if len(first) == 2 and 2 < at <= 6 and (first == b"\x02\x01" or first[0] == 0x30) else 0
 
 
 def _is_key(data: bytes) -> bool:
@@ -136,6 +169,12 @@ def _base64(text: str) -> bytes | None:
         return None
 
 
+def _is_encrypted(headers: str, body: bytes) -> bool:
+    """Whole blocks of the cipher that the armour's headers name."""
+    vector = _VECTOR.search(headers)
+    return bool(_ENCRYPTED.search(headers) and vector) and len(body) % (len(vector[1]) // 2) == 0
+
+
 def is_signed_token(text: str) -> bool:
     header = _base64(text.split(".")[0].replace("-", "+").replace("_", "/"))
     try:
@@ -145,6 +184,66 @@ def is_signed_token(text: str) -> bool:
     return isinstance(value, dict) and isinstance(value.get("alg"), str)
 
 
+# --- keys on one line or several --------------------------------------------------------
+
+def _gather(text: str, at: int, line: re.Pattern, line_end: re.Pattern, need: int | None) -> tuple[str, int]:
+    """``need`` characters of the lines from ``at`` on (all of them, if None) and where they
+    end; with fewer, what there is."""
+    parts, have = [], 0
+    while True:
+        m = line.match(text, at)
+        if not m:
+            return "".join(parts), at
+        part = m[0] if need is None else m[0][:need - have]
+        parts.append(part)
+        have += len(part)
+        stop = at + len(part)
+        end = line_end.match(text, m.end())
+        if have == need or not end or not line.match(text, end.end()):
+            return "".join(parts), stop
+        at = end.end()
+
+
+def _unhex(text: str) -> bytes:
+    return bytes.fromhex(text[:len(text) // 2 * 2])
+
+
+def _unbase64(text: str) -> bytes:
+    text = text if len(text) % 4 != 1 else text[:-1]
+    return _base64(text.replace("-", "+").replace("_", "/")) or b""
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int]]:
+    """[start, end) of the keys whose own lengths say where they end.  A head that does not
+    begin as a key does is left at once, so texts of many heads stay linear."""
+    found = []
+    for head, line, line_end, decode, per_byte in (
+            (_HEAD64, _LINE64, _BREAK64, _unbase64, 4 / 3), (_HEAD16, _LINE16, _BREAK16, _unhex, 2)):
+        done = 0
+        for m in head.finditer(text):
+            if m.start() < done:
+                continue
+            size = _der_size(decode(m[0].replace(":", ""))) if m[0][0] in "M3" else None
+            if size == 0:
+                continue
+            need = None if size is None else math.ceil(size * per_byte)
+            body, end = _gather(text, m.start(), line, line_end, need)
+            data = decode(body)
+            if size is None:  # the container's end follows from its fields
+                size = _openssh_end(data)
+                need = math.ceil(size * per_byte)
+                body, end = _gather(text, m.start(), line, line_end, need) if size else ("", end)
+            if not size or len(body) != need or not _is_key(data[:size]):
+                continue
+            if per_byte != 2:
+                end += len(_PADDING.match(text, end)[0][:-size % 3])
+            if _FOLLOWS.match(text, end):
+                continue
+            found.append((m.start(), end))
+            done = end
+    return found
+
+
 # --- spans ----------------------------------------------------------------------------
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -156,12 +255,13 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 def structural_spans(text: str) -> list[tuple[int, str, int]]:
     found = []
-    if "eyJ" in text:
-        found += [(m.start(), "jwt", m.end()) for m in _JWT.finditer(text) if "eyJ" in m[0] and is_signed_token(m[0])]
+    if "eyJ" in text or _JWT_HEAD.search(text):
+        found += [(m.start(), "jwt", m.end()) for m in _JWT.finditer(text)
+                  if ("eyJ" in m[0] or m[0].startswith(("ew", "ey"))) and is_signed_token(m[0])]
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            body = _base64("".join(m[2].split()))
-            if body is not None and "PRIVATE KEY" in m[1] and _is_key(body):
+            body = _base64("".join(m[3].replace("\\n", "").replace("\\r", "").split()))
+            if body and "PRIVATE KEY" in m[1] and (_is_key(body) or _is_encrypted(m[2], body)):
                 found.append((m.start(), "pem", m.end()))
     inside = [(s, e) for s, _, e in found]
     for pattern, decode in ((_HEX_RUN, lambda x: bytes.fromhex(x) if len(x) % 2 == 0 else None), (_BASE64_RUN, _base64)):
@@ -170,6 +270,7 @@ def structural_spans(text: str) -> list[tuple[int, str, int]]:
             if body and _is_key(body) and not any(s <= m.start() and m.end() <= e for s, e in inside):
                 found.append((m.start(), "key", m.end()))
                 inside.append((m.start(), m.end()))
+    found += [(start, "key", end) for start, end in wrapped_keys(text) if not any(s < end and start < e for s, e in inside)]
     return found
 
 
