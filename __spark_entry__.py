@@ -18,7 +18,7 @@ from ledgerlens import constants as C
 from ledgerlens.operators import clean, filters, profile, runlog, summaries
 from ledgerlens.plans import single_pass_reports, tuned_report
 from ledgerlens.session import scratch_path
-from ledgerlens.sources import files, generate, tables
+from ledgerlens.sources import files, generate, inference, tables
 from tools import oracle_sql as order_sql
 
 try:
@@ -71,6 +71,12 @@ def q_scan_csv_inferred(spark, sf_dir):
     return files.read_csv_inferred(spark, path)
 
 
+def q_scan_csv_once(spark, sf_dir):
+    path = scratch_path(spark, "orders-csv")
+    files.write_csv(_lines(spark, sf_dir), path)
+    return inference.read_csv_once(spark, path).rows
+
+
 def q_profile_shape(spark, sf_dir):
     return profile.profile_shape(_lines(spark, sf_dir))
 
@@ -297,6 +303,7 @@ def _order_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # scans
         "scan_csv_typed": q_scan_csv_typed,
         "scan_csv_inferred": q_scan_csv_inferred,
+        "scan_csv_once": q_scan_csv_once,
         "runlog_scan_json": q_runlog_scan_json,
         # generator
         "gen_order_ids": q_gen_order_ids,

@@ -213,6 +213,7 @@ FROM run_log"""
         # scans
         "scan_csv_typed": ol + "SELECT * FROM order_lines",
         "scan_csv_inferred": ol + "SELECT * FROM order_lines",
+        "scan_csv_once": ol + "SELECT * FROM order_lines",
         "runlog_scan_json": rl + f"""SELECT run_id AS experiment_id, {money('secs')} AS total_time_sec,
        CAST(count(*) AS INTEGER) AS n_steps
 FROM run_log GROUP BY run_id""",
