@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm import textkit as tk
-from ledgerlens.llm.common import hash_fraction, stored
+from ledgerlens.llm.common import hash_fraction, lean, stored
 
 ROWS = 1 << 16
 LABELLED = 4000
@@ -162,7 +162,7 @@ def posteriors(docs: DataFrame, model: Classifier, carry: list[str]) -> DataFram
     carried = [*carried, "_draw"]
     out = T.StructType([f for f in rows.schema if f.name in carried]
                        + [T.StructField("tokens", T.LongType()), T.StructField("posterior", T.ArrayType(T.DoubleType()))])
-    return rows.mapInArrow(_posterior_batches(model, carried), out)
+    return rows.mapInArrow(lean(_posterior_batches(model, carried)), out)
 
 
 def rate_of(steps: list[list[float]], k: int, max_rate: float | None) -> Column:

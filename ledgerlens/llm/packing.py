@@ -34,14 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import textkit as tk
-from ledgerlens.llm.common import stored
+from ledgerlens.llm.common import lean, stored
 
 END_ID = 2
 DIMENSIONS = 64
 AXES = 3
 BITS = 10
 CACHE_PIECES = 700_000
-CHUNK = 4 << 20
 
 # a fixed orthonormal projection of the hashed vectors
 _PROJECTION = np.linalg.qr(np.random.default_rng(5).standard_normal((DIMENSIONS, AXES)))[0]
@@ -132,12 +131,13 @@ class PieceTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # fingerprints in order, and each one's slot
+        self.slot = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.first = np.zeros(1 << 16, np.int64)
         self.size = 0
 
-    def _learn(self, new_hashes: list[int], new_pieces: list[str]) -> None:
+    def _learn(self, new_hashes: np.ndarray, new_pieces: list[str]) -> None:
         encoded: list[list[int]] = [[]] * len(new_pieces)
         other = []
         for i, piece in enumerate(new_pieces):
@@ -155,7 +155,9 @@ class PieceTokenizer:
             self.first = np.concatenate([self.first[:self.size + 1], np.zeros(self.size + 2 * n, np.int64)])
         self.ids[used:used + more] = np.fromiter(chain.from_iterable(encoded), np.uint32, more)
         self.first[self.size + 1:self.size + 1 + n] = used + np.cumsum(lengths)
-        self.slot.update(zip(new_hashes, range(self.size, self.size + n)))
+        at = np.searchsorted(self.known, new_hashes)
+        self.known = np.insert(self.known, at, new_hashes)
+        self.slot = np.insert(self.slot, at, np.arange(self.size, self.size + n, dtype=np.int32))
         self.size += n
 
     def chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,13 +171,15 @@ class PieceTokenizer:
         if whole.any():  # special tokens are told by their case
             keys[whole] = tk.mix(tk.hashes(data, starts[whole], ends[whole], fold=False) ^ np.uint64(1))
         distinct, at, back = np.unique(keys, return_index=True, return_inverse=True)
-        listed, slot = distinct.tolist(), self.slot
-        new = [x for x, h in enumerate(listed) if h not in slot]
-        if new:
+        place = np.searchsorted(self.known, distinct)
+        found = place < self.size
+        found[found] = self.known[place[found]] == distinct[found]
+        new = np.flatnonzero(~found)
+        if len(new):
             raw = data.tobytes()
-            self._learn([listed[x] for x in new],
+            self._learn(distinct[new],
                         [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
-        slots = np.fromiter((slot[h] for h in listed), np.int64, len(listed))[back]
+        slots = self.slot[np.searchsorted(self.known, distinct)][back]
         begin = self.first[slots]
         lengths = self.first[slots + 1] - begin
         total = np.concatenate([[0], np.cumsum(lengths)])
@@ -208,7 +212,7 @@ def _tokenize_batches(vocabulary: str, end_id: int):
         kind = np.uint16 if size <= 1 << 16 else np.uint32
         for batch in batches:
             data, offsets = tk.buffers(batch.column("text"))
-            for i, j in tk.chunks(offsets, CHUNK):
+            for i, j in tk.chunks(offsets):
                 ids, first = words.chunk(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 vectors, own = np.zeros((j - i, DIMENSIONS)), []
                 for d in range(j - i):
@@ -306,7 +310,7 @@ def pack(docs: DataFrame, vocabulary_file: str, capacity: int = 4096, end_id: in
 
     wide = max(Tokenizer.from_str(vocabulary).get_vocab_size(), end_id + 1) > 1 << 16
     tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _tokenize_batches(vocabulary, end_id), "doc_id long, curve long, ids binary")
+        lean(_tokenize_batches(vocabulary, end_id)), "doc_id long, curve long, ids binary")
     ordered = stored(tokens, "tokens").repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id", F.xxhash64("ids"))
     return ordered.select("doc_id", "ids").mapInArrow(
-        _pack_batches(capacity, wide, with_ids), _SCHEMA + (", ids array<int>" if with_ids else ""))
+        lean(_pack_batches(capacity, wide, with_ids)), _SCHEMA + (", ids array<int>" if with_ids else ""))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -432,3 +433,23 @@ def test_special_strings_and_marks_tokenize_as_whole_texts():
 def test_zipf_scores_are_a_distribution():
     scores = token_counts.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     assert math.isclose(sum(map(math.exp, scores.values())), 1.0, rel_tol=1e-9)
+
+
+def test_packing_tokenizes_in_little_memory():
+    # 4 MB of text with many different words, in one batch
+    rng = np.random.default_rng(3)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (30_000, 6))]
+    texts = [" ".join(words[i] for i in rng.integers(0, len(words), 30_000)) for _ in range(20)]
+    batch = pa.record_batch({"doc_id": pa.array(range(20), pa.int64()), "text": pa.array(texts)})
+    vocabulary = open(VOCABULARY, encoding="utf-8").read()
+    tokenizer = packing.piece_tokenizer(vocabulary).tokenizer
+    packing.piece_tokenizer(vocabulary).clear()
+    tracemalloc.start()
+    try:
+        rows = pa.Table.from_batches(packing._tokenize_batches(vocabulary, 2)([batch])).to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    for row, text in list(zip(rows, texts, strict=True))[:2]:
+        assert np.frombuffer(row["ids"], np.uint16).tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2]
+    assert peak < 120 << 20
