@@ -8,6 +8,7 @@ The typed table is a cast of the staged columns; the text is not read again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -20,9 +21,20 @@ from ledgerlens.session import scratch_path
 KINDS = ("int", "bigint", "decimal", "double", "date", "timestamp_ntz", "boolean", "string")
 _BIT = {kind: 1 << i for i, kind in enumerate(KINDS)}
 _NUMBERS = ("int", "bigint", "decimal", "double")
+_INT_MOST, _BIGINT_MOST = (1 << 31) - 1, (1 << 63) - 1
+# A failed try_cast raises and catches an exception, dozens of times the cost of a cast that
+# succeeds; so these patterns let through little else than what the cast takes, and all of that.
 _DIGITS = r"^[+-]?[0-9]+$"
-_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+_INT = r"^[+-]?[0-9]{1,9}\z"
+_BIGINT = r"^[+-]?[0-9]{10,18}\z"
+_PLAIN_DOUBLE = r"^[+-]?[0-9]++\.[0-9]++\z"
+_DOUBLE = (r"^[\x00-\x20]*+[+-]?(?:(?:[0-9]++(?:\.[0-9]*+)?+|\.[0-9]++)(?:[eE][+-]?[0-9]++)?+[fFdD]?"
+           r"|0[xX][0-9a-fA-F]*+\.?[0-9a-fA-F]*+[pP][+-]?[0-9]++[fFdD]?|(?i:nan|inf|infinity))[\x00-\x20]*+\z")
+_DAY = r"[0-9]{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
+_DATE = f"^{_DAY}$"
+_TIMESTAMP = f"^{_DAY} (?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
+_WHOLE_START = [ord(c) for c in "0123456789+-"]
+_NUMERIC_START = [*range(0x21), *_WHOLE_START, *map(ord, ".iInN")]  # 0 is the empty text's
 _MOST_DIGITS = 38
 
 
@@ -30,25 +42,43 @@ def _precision(field: Column) -> Column:
     return F.length(F.regexp_replace(field, "^[+-]?0*", ""))
 
 
-def kind_of(field: Column) -> Column:
-    """The narrowest kind of a text field; null for a missing one."""
-    whole = field.rlike(_DIGITS)
+def _within(number: Column, most: int) -> Column:
+    return number.between(F.lit(-most - 1), F.lit(most))
+
+
+def _kind(field: Column, named: Callable[[str], object]) -> Column:
+    """``named`` of the narrowest kind of a text field; null for a missing one.
+
+    Dates and timestamps are told before numbers, and words by their first character, as
+    no field fits both: each field meets few patterns."""
+    medium, large = field.try_cast("bigint"), field.try_cast(f"decimal({_MOST_DIGITS}, 0)")
+    numeric, dashed = F.ascii(field).isin(*_NUMERIC_START), field.substr(5, 1) == "-"
     return (
         F.when(field.isNull(), None)
-        .when(whole & field.try_cast("int").isNotNull(), "int")
-        .when(whole & field.try_cast("bigint").isNotNull(), "bigint")
-        .when(whole & (_precision(field) <= _MOST_DIGITS), "decimal")
-        .when(field.try_cast("double").isNotNull(), "double")
-        .when(field.rlike(_DATE) & field.try_cast("date").isNotNull(), "date")
-        .when(field.rlike(_TIMESTAMP) & field.try_cast("timestamp_ntz").isNotNull(), "timestamp_ntz")
-        .when(F.lower(field).isin("true", "false"), "boolean")
-        .otherwise("string")
+        .when(~numeric, F.when(F.lower(field).isin("true", "false"), named("boolean")).otherwise(named("string")))
+        .when(dashed & field.rlike(_TIMESTAMP) & field.try_cast("timestamp_ntz").isNotNull(), named("timestamp_ntz"))
+        .when(dashed & field.rlike(_DATE) & field.try_cast("date").isNotNull(), named("date"))
+        .when(field.rlike(_INT), named("int"))
+        .when(field.rlike(_PLAIN_DOUBLE), named("double"))
+        .when(field.rlike(_BIGINT), F.when(_within(medium, _INT_MOST), named("int")).otherwise(named("bigint")))
+        .when(field.rlike(_DIGITS) & (_precision(field) <= _MOST_DIGITS),
+              F.when(_within(large, _INT_MOST), named("int")).when(_within(large, _BIGINT_MOST), named("bigint")).otherwise(named("decimal")))
+        .when(field.rlike(_DOUBLE) & field.try_cast("double").isNotNull(), named("double"))
+        .otherwise(named("string"))
     )
 
 
+def kind_of(field: Column) -> Column:
+    """The narrowest kind of a text field; null for a missing one."""
+    return _kind(field, str)
+
+
 def _mask(field: Column) -> Column:
-    bits = F.create_map(*(F.lit(x) for pair in _BIT.items() for x in pair))
-    return F.coalesce(bits[kind_of(field)], F.lit(0))
+    return F.coalesce(_kind(field, _BIT.__getitem__), F.lit(0))
+
+
+def _digits(field: Column) -> Column:
+    return F.when(F.ascii(field).isin(*_WHOLE_START) & field.rlike(_DIGITS), _precision(field))
 
 
 def kinds_in(mask: int) -> list[str]:
@@ -92,6 +122,12 @@ def _named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def _free_name(name: str, taken: list[str]) -> str:
+    while name.lower() in {other.lower() for other in taken}:
+        name += "_"
+    return name
+
+
 def read_csv_once(spark: SparkSession, path: str) -> Inferred:
     """Header-row CSV with inferred types, the text read once.
 
@@ -105,19 +141,19 @@ def read_csv_once(spark: SparkSession, path: str) -> Inferred:
         empty = spark.createDataFrame([], T.StructType([]))
         return Inferred(empty, {}, empty, "")
     text = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    file_column = "_file"
-    while file_column.lower() in {name.lower() for name in names}:
-        file_column += "_"
+    file_column, marks = _free_name("_file", names), _free_name("_marks", names)
     parsed = spark.read.schema(text).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     parsed = parsed.select(*map(_named, names), F.col("_metadata.file_path").alias(file_column))
+    # one lambda over all fields: the same expression written out for every column compiles
+    # to a method that is too long for the JVM's compiler and stays interpreted
+    marked = F.transform(F.array(*map(_named, names)), lambda field: F.struct(_mask(field).alias("mask"), _digits(field).alias("digits")))
     seen = Observation()
     measures = []
-    for i, name in enumerate(names):
-        field = _named(name)
-        measures.append(F.bit_or(_mask(field)).alias(f"mask_{i}"))
-        measures.append(F.max(F.when(field.rlike(_DIGITS), _precision(field))).alias(f"digits_{i}"))
+    for i in range(len(names)):
+        measures.append(F.bit_or(F.col(marks)[i]["mask"]).alias(f"mask_{i}"))
+        measures.append(F.max(F.col(marks)[i]["digits"]).alias(f"digits_{i}"))
     target = scratch_path(spark, "csv-once")
-    parsed.observe(seen, *measures).write.parquet(target)
+    parsed.withColumn(marks, marked).observe(seen, *measures).drop(marks).write.parquet(target)
     staged = spark.read.schema(parsed.schema).parquet(target)
     got = seen.get
     types = {name: type_of(got.get(f"mask_{i}") or 0, got.get(f"digits_{i}")) for i, name in enumerate(names)}
